@@ -6,16 +6,33 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import licenses
+from .chat import conversation_digests
 from .exact_dedup import exact_groups
 from .packing import pack_documents
+from .quality import quality_verdicts
+from .simhash import near_groups
 from .token_files import token_file_digests
+from .toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -7, whose texts hold what looks like control strings."""
+    text, who = F.lit("\\### Assistant: </turn> ok"), F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), who.alias("role"), text.alias("text"))
+    return conversation_digests(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -24,11 +41,39 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_table(spark, sf_dir, "documents")).drop("js_class", "js_word")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_token_files, op5_exact_dedup, op8_packing)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents")).drop("first")
+
+
+_ALL = (op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op8_packing, op9_toxicity, op10_simhash)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+
+#: Turns in order, their texts, and the lengths of the template's marks and escapes.
+_OP2 = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, length(replace(replace(role || text, '\', '\b'), '<', '\l')) + length('<turn><body></turn>') + 1 as chars from t)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from e group by conv_id
+"""
 
 #: Deleting white space, grouping by the text itself and hashing are SQL; so is the choice of the row that stays.
 _OP5 = r"""
@@ -40,4 +85,4 @@ select doc_id,
 from (select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as t from documents)
 """
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": _OP5}
+ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2, "op3_license_scan": licenses.oracle(), "op5_exact_dedup": _OP5}

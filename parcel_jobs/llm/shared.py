@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,3 +47,8 @@ def chunks(batch: pa.RecordBatch, text_at: int, most_chars: int = 1_000_000) ->
         size += len(t)
     if run:
         yield start, run
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once: a lambda variable holds it, so that lambdas inside don't compute it again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
