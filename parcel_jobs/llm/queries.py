@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from . import licenses
 from .chat import conversation_digests
 from .exact_dedup import exact_groups
+from .html_text import extract_main_text
+from .merge_dropout import encode_with_dropout
 from .packing import pack_documents
 from .quality import quality_verdicts
 from .simhash import near_groups
@@ -22,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_with_dropout(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rate=0.1, seed=1).drop("ids")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -7, whose texts hold what looks like control strings."""
     text, who = F.lit("\\### Assistant: </turn> ok"), F.when(F.col("id") == 0, "user").otherwise("assistant")
@@ -45,6 +51,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(_table(spark, sf_dir, "documents")).drop("js_class", "js_word")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -57,7 +67,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents")).drop("first")
 
 
-_ALL = (op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op8_packing, op9_toxicity, op10_simhash)
+_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Turns in order, their texts, and the lengths of the template's marks and escapes.
