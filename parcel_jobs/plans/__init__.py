@@ -1,4 +1,4 @@
 """Bindings and registered queries."""
 
-from . import feeds  # noqa: F401 - importing registers
+from . import evidence, feeds  # noqa: F401 - importing registers
 from .catalogue import ORACLES, QUERIES  # noqa: F401
