@@ -112,7 +112,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
 
 def evidence(node: Node) -> list[str]:
     """What is seen of a node alone: its tag, class words, and how much of its own text, if any, is links."""
-    seen = [f"t:{node.tag}", *{f"w:{w}" for w in node.words}]
+    seen = [f"t:{node.tag}", *({f"w:{w}" for w in node.words} or {f"bare:{node.tag}"})]
     if node.chars:
         seen += [f"n:{min(6, int(math.log2(1 + node.chars / 8)))}", f"l:{round(2 * node.linked / node.chars)}"]
     return seen

@@ -74,6 +74,7 @@ def _features(docs: DataFrame) -> DataFrame:
 
 def _shares(counts: Column, total: Column) -> Column:
     """Counts as shares of the total, and the rest of it as a last share."""
+    total = F.greatest(total, F.lit(1))  # Spark may look at a row before it is filtered out
     return let(F.transform(counts, lambda x: x / total), lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, x: a + x)))))
 
 
