@@ -235,7 +235,7 @@ def encode_with_dropout(docs: DataFrame, model_file: str, rate: float = 0.1, see
 
         coder = encoder(model_file, rate, seed, variants)
         for batch in batches:
-            for first, texts in chunks(batch, 1):
+            for first, texts in chunks(batch.column(1)):
                 doc_ids = batch.column(0).slice(first, len(texts))
                 coded = coder.encode(texts, [xxh64_intdigest(str(i).encode(), seed) % variants for i in doc_ids.to_pylist()])
                 decoded = [coder.decode(x) for x in coded]

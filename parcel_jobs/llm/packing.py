@@ -118,7 +118,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
         n = 0
         for batch in batches:
             ids_col = batch.column(0)
-            for first, texts in chunks(batch, 1):
+            for first, texts in chunks(batch.column(1)):
                 for i, x in enumerate(bpe.ids(texts), first):
                     ids = np.frombuffer(x + end, bpe.dtype)
                     doc, total, at = ids_col[i].as_py(), len(ids), 0

@@ -34,9 +34,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def chunks(batch: pa.RecordBatch, text_at: int, most_chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+def text_column(batch: pa.RecordBatch, path: str) -> pa.Array:
+    """The column that path names, or the field of a struct column."""
+    name, _, field = path.partition(".")
+    column = batch.column(batch.schema.get_field_index(name))
+    return column.field(field) if field else column
+
+
+def chunks(texts: pa.Array, most_chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of runs of rows with a bounded number of characters; null texts come as ''. One longer text is a run alone."""
-    texts = batch.column(text_at)
     start, run, size = 0, [], 0
     for i, t in enumerate(texts):
         t = t.as_py() or ""

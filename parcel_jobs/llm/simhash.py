@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import roots_of
-from .shared import chunks, written
+from .shared import chunks, text_column, written
 
 WORDS_A_SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Widths of the blocks of a fingerprint. Three bits lie in three blocks at most, so two of the five are equal.
@@ -43,12 +43,12 @@ def fingerprints(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            last = batch.num_columns - 1
-            fps = [fingerprint(t, shingle) for _, texts in chunks(batch, last) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(np.array(fps, np.uint64).view(np.int64))], names=[*batch.schema.names[:last], "fp"])
+            fps = [fingerprint(t, shingle) for _, texts in chunks(text_column(batch, text)) for t in texts]
+            kept = [i for i, name in enumerate(batch.schema.names) if name in (*carry, "doc_id")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(np.array(fps, np.uint64).view(np.int64))], names=[*[batch.schema.names[i] for i in kept], "fp"])
 
-    docs = docs.select(*carry, "doc_id", F.col(text).alias("text to read"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+    docs = docs.select(*carry, "doc_id", *([] if carry else [text]))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in (*carry, "doc_id"))
     return docs.mapInArrow(run, f"{kinds}, fp long")
 
 
@@ -215,8 +215,8 @@ def near_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text"
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("row").alias("c"))
     by_fp = written(by_doc.groupBy("fp").agg(F.min(order).alias("least")), "distinct-fingerprints")
     roots = written(roots_of(near_links(by_fp.select("fp"))), "roots").toDF("fp", "root")
-    rooted = by_fp.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = by_fp.join(roots.hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = written(rooted.groupBy("root").agg(F.min("least").alias("least")), "components")
-    named = written(rooted.select("fp", "root").join(names, "root").select("fp", F.col("least.b").alias("component_id"), F.col("least.c").alias("first")), "fingerprint-components")
-    out = by_doc.join(named, "fp")
+    named = written(rooted.select("fp", "root").join(names.hint("merge"), "root").select("fp", F.col("least.b").alias("component_id"), F.col("least.c").alias("first")), "fingerprint-components")
+    out = by_doc.join(named.hint("merge"), "fp")
     return out.select(*carry, "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", (F.col("row") == F.col("first")).alias("first"))

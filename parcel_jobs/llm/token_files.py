@@ -67,7 +67,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(f"{path}/{name}.bin")
             ids.append(batch.column(0))
-            for _, texts in chunks(batch, 1):
+            for _, texts in chunks(batch.column(1)):
                 for x in bpe.ids(texts):
                     out.write(x)
                     out.write(end)

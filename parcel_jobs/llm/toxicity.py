@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import chunks
+from .shared import chunks, text_column
 from .wordcache import TwoGenerations
 
 #: Bounds of the sample: documents labelled toxic, labelled clean, and without a label.
@@ -64,10 +64,6 @@ def sample_of(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int, int] =
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
 
 
-def _presence(texts: list[list[str]]) -> list[set[str]]:
-    return [with_repeats(f for w in set(words) for f in features_of(w)) for words in texts]
-
-
 def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of each document, accuracy of each voter, and weight of each voter after correlations.
 
@@ -117,40 +113,67 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, m: int, l1: float = 2e-4,
     return w[:m], float(w[m])
 
 
-def fit(texts: list[str], toxic: list[int | None]) -> tuple[dict[str, float], float, list[str]]:
-    """Weights of features, bias, and the voters. Without voters, no feature has a weight and every score is near 0."""
-    words = [_LETTERS.findall(t.lower()) for t in texts]
-    present = _presence(words)
-    contexts: dict[str, set[int]] = defaultdict(set)
-    seen1: dict[str, int] = defaultdict(int)
-    for w, y, p in zip(words, toxic, present, strict=True):
-        if y == 1:
-            for f in p:
-                seen1[f] += 1
-    candidates = {f for f, n in seen1.items() if n >= LEAST_CONTEXTS}
-    seen0: dict[str, int] = defaultdict(int)
-    for y, p in zip(toxic, present, strict=True):
-        if y == 0:
-            for f in p & candidates:
-                seen0[f] += 1
-    n1, n0 = sum(y == 1 for y in toxic), sum(y == 0 for y in toxic)
-    lift = {f: (seen1[f] + 0.5) / (n1 + 1) / ((seen0[f] + 0.5) / (n0 + 1)) for f in candidates}
-    candidates = {f for f in candidates if lift[f] >= LEAST_LIFT}
-    for w, y in zip(words, toxic, strict=True):
-        if y == 1:
-            for a, b, c in zip(["", *w], w, [*w[1:], ""], strict=False):
-                for f in features_of(b):
-                    if f in candidates:
-                        contexts[f].add(hash((a, c)))
-    usable = sorted((f for f in candidates if len(contexts[f]) >= LEAST_CONTEXTS), key=lambda f: (-min(len(contexts[f]), seen1[f]) * np.log(lift[f]), f))
-    voters, kept = usable[:VOTERS], usable[:FEATURES]
-    if not voters:
+def fit(texts: Iterable[str], toxic: list[int | None]) -> tuple[dict[str, float], float, list[str]]:
+    """Weights of features, bias, and the voters. Without voters, no feature has a weight and every score is near 0.
+
+    Texts are held as numbers of their words. Only features of words in documents labelled toxic are looked at.
+    """
+    vocabulary: dict[str, int] = {}
+    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _LETTERS.findall(t.lower())], np.int32) for t in texts]
+    y = np.array([np.nan if v is None else float(v) for v in toxic])
+    n1, n0, names = int((y == 1).sum()), int((y == 0).sum()), list(vocabulary)
+    ids: dict[str, int] = {}
+    for w in sorted({int(w) for d, v in zip(docs, y, strict=True) if v == 1 for w in np.unique(d)}):
+        for f in features_of(names[w]):
+            ids.setdefault(f, len(ids))
+    if not ids or not n0:
+        return {}, -6.0, []
+    table = np.full((len(names), 1 + len(STEMS)), -1, np.int32)
+    for w, name in enumerate(names):
+        own = [ids.get(f, -1) for f in features_of(name)]
+        table[w, : len(own)] = own
+    m = len(ids)  # feature i of two words or more is feature m + i
+
+    def present(doc: np.ndarray) -> np.ndarray:
+        found, counts = np.unique(table[np.unique(doc)], return_counts=True)
+        keep = found >= 0
+        return np.concatenate([found[keep], found[keep & (counts > 1)] + m])
+
+    seen1, seen0 = np.zeros(2 * m, np.int32), np.zeros(2 * m, np.int32)
+    for d, v in zip(docs, y, strict=True):
+        if v == 1:
+            seen1[present(d)] += 1
+        elif v == 0:
+            seen0[present(d)] += 1
+    lift = (seen1 + 0.5) / (n1 + 1) / ((seen0 + 0.5) / (n0 + 1))
+    candidate = (seen1 >= LEAST_CONTEXTS) & (lift >= LEAST_LIFT)
+    contexts: dict[int, set[int]] = defaultdict(set)
+    for d, v in zip(docs, y, strict=True):
+        if v == 1:
+            around = np.concatenate([[-1], d, [-1]]).astype(np.int64)
+            key = around[:-2] * (len(names) + 2) + around[2:]
+            for column in range(table.shape[1]):
+                f = table[d, column]
+                for shift in (0, m):
+                    hit = np.flatnonzero((f >= 0) & candidate[np.maximum(f, 0) + shift])
+                    for i in hit.tolist():
+                        contexts[int(f[i]) + shift].add(int(key[i]))
+    name_of = list(ids)
+    show = lambda i: name_of[i] if i < m else name_of[i - m] + "*"
+    usable = [i for i, c in contexts.items() if len(c) >= LEAST_CONTEXTS and not (i >= m and name_of[i - m][-1] != "*")]
+    usable.sort(key=lambda i: (-min(len(contexts[i]), int(seen1[i])) * np.log(lift[i]), show(i)))
+    kept = np.array(usable[:FEATURES], np.int64)
+    if not len(kept):
         return {}, -6.0, []
-    votes = np.array([[v in p for v in voters] for p in present])
-    posterior, _, _ = label_model(votes, np.array([np.nan if y is None else float(y) for y in toxic]))
-    place = {f: i for i, f in enumerate(kept)}
-    weights, bias = fit_linear([np.array([place[f] for f in p if f in place], int) for p in present], posterior, len(kept))
-    return {f: float(x) for f, x in zip(kept, weights, strict=True) if abs(x) > 1e-3}, bias, voters
+    place = np.full(2 * m, -1)
+    place[kept] = np.arange(len(kept))
+    rows = [(p := place[present(d)])[p >= 0] for d in docs]
+    votes = np.zeros((len(docs), min(VOTERS, len(kept))), bool)
+    for i, r in enumerate(rows):
+        votes[i, r[r < votes.shape[1]]] = True
+    posterior, _, _ = label_model(votes, y)
+    weights, bias = fit_linear(rows, posterior, len(kept))
+    return {show(i): float(x) for i, x in zip(kept, weights, strict=True) if abs(x) > 1e-3}, bias, [show(i) for i in kept[: votes.shape[1]]]
 
 
 def train(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int, int] = SAMPLE) -> tuple[dict[str, float], float]:
@@ -174,15 +197,16 @@ def train(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int, int] = SAMP
     return model, bias
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
-    """One row for each row of docs (doc_id, text): the carried columns, held_out, score, predicted.
+def score_toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (), text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row for each row of docs (doc_id, text): doc_id, the carried columns, held_out, score, predicted.
 
     labels (doc_id, toxic) are read outside the held-out fold alone: crc32 of doc_id as text, mod 4, is not 2. Null
     toxic is no label; repeated labels count as toxic if one is. Null text is empty and scores by the bias; a null
     doc_id is outside the held-out fold and never fitted on. Without labels every score is near 0. Repeated rows are
     scored each; an empty table gives no rows; language, source and ids are not read by the score.
+    With carried columns, `text` names the text among them.
     """
-    model, bias = train(docs, labels)
+    model, bias = train(docs.select("doc_id", F.col(text).alias("text")), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, used = TwoGenerations(), {f.replace("**", "*") for f in model}
@@ -192,7 +216,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] =
 
         for batch in batches:
             odds = []
-            for _, texts in chunks(batch, batch.num_columns - 1):
+            for _, texts in chunks(text_column(batch, text)):
                 split = [set(t.split()) for t in texts]
                 every = set().union(*split)
                 known = cache.hold(every, found)
@@ -201,9 +225,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] =
                     words = {w: fs for t in s & voting for w, fs in known[t]}
                     odds.append(bias + sum(sorted(model.get(f, 0.0) for f in with_repeats(f for fs in words.values() for f in fs))))
             score = 1 / (1 + np.exp(-np.clip(np.array(odds, float), -30, 30)))
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(score)], names=[*batch.schema.names[:-1], "score"])
+            kept = [i for i, name in enumerate(batch.schema.names) if name in names]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(score)], names=[*[batch.schema.names[i] for i in kept], "score"])
 
-    inner = docs.select(*carry, held_out(F.col("doc_id")).alias("held_out"), F.coalesce("text", F.lit("")).alias("scored text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[:-1])
+    names = ("doc_id", *carry, "held_out")
+    inner = docs.select("doc_id", *carry, held_out(F.col("doc_id")).alias("held_out"), *([] if carry else [text]))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields if f.name in names)
     return inner.mapInArrow(run, f"{kinds}, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
