@@ -151,10 +151,10 @@ def _(t: Tables) -> DataFrame:
     return gates.target_gate(exports, "project0", AS_OF)
 
 
-@query("g5_coverage_gate", "select o_orderdate as day, count(*) as parsed, count(*) >= count(*) + cast(day(o_orderdate) % 3 as bigint) - 1 as covered, count(*) < 8 as sized from orders group by o_orderdate")
+@query("g5_coverage_gate", "select cast(o_orderdate as date) as day, count(*) as parsed, count(*) >= count(*) + cast(day(o_orderdate) % 3 as bigint) - 1 as covered, count(*) < 8 as sized from orders group by o_orderdate")
 def _(t: Tables) -> DataFrame:
     days = t("orders").groupBy(F.col("o_orderdate").alias("day")).agg(F.count("*").alias("parsed"))
-    return days.select("day", "parsed", gates.coverage_gate(F.col("parsed"), F.col("parsed") + F.day("day") % 3, slack=1).alias("covered"), gates.size_gate(F.col("parsed"), 8).alias("sized"))
+    return days.select(F.col("day").cast("date").alias("day"), "parsed", gates.coverage_gate(F.col("parsed"), F.col("parsed") + F.day("day") % 3, slack=1).alias("covered"), gates.size_gate(F.col("parsed"), 8).alias("sized"))
 
 
 _PROBE = """select '{name}' as candidate, cast(sum(case when b then n else 0 end) as bigint) as blank_rows, cast(sum(case when b then 0 else n - 1 end) as bigint) as duplicate_rows, count(*) filter (not b) as distinct_keys,
