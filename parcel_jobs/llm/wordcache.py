@@ -33,36 +33,80 @@ class TwoGenerations:
         return young
 
 
+#: Classes of Latin-1: commas and full stops, other marks, and the rest (letters, numbers, white space).
+_MARKS = bytes(ord(",") if chr(i) in ",." else ord("a") if chr(i).isalpha() or chr(i).isnumeric() or chr(i) in " \t\n\v\f\r\x85\xa0" else ord("!") for i in range(256))
+
+
 class WordBpe:
     """ids(texts): for each text its ids as little-endian bytes of self.dtype."""
 
     _TAILS = frozenset(".,;:!?")
 
-    def __init__(self, path: str, cache_words: int = 200_000):
+    def __init__(self, path: str, cache_words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or "</w>"
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.words, self.cores = TwoGenerations(cache_words), TwoGenerations(cache_words)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words.hold(set().union(*split), self._words)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        plain = [self._plain(t) for t in texts]
+        rough = [None if p is not None else t.replace("\n", " ").split(" ") for p, t in zip(plain, texts, strict=True)]
+        known = self.cores.hold(set().union(*filter(None, plain)), self._encode)
+        out = [b"".join(map(known.__getitem__, words)) if words is not None else b"" for words in plain]
+        known = self.words.hold(set().union(*filter(None, rough)), self._words)
+        return [b"".join(map(known.__getitem__, words)) if words is not None else done for words, done in zip(rough, out, strict=True)]
+
+    @staticmethod
+    def _plain(text: str) -> list[str] | None:
+        """Lower-case words with commas and full stops set apart, where that can't change a pre-token; else None.
+
+        It can't in texts of Latin-1 without special tokens in which no such mark stands beside another mark.
+        """
+        try:
+            marks = text.encode("latin-1").translate(_MARKS)
+        except UnicodeEncodeError:
+            return None
+        if b",," in marks or b",!" in marks or b"!," in marks or "<|" in text:
+            return None
+        return text.lower().replace(",", " ,").replace(".", " .").replace("\n", " ").split(" ")
 
     def _words(self, words: list[str]) -> list[bytes]:
         """A word of letters and one closing mark is two pre-tokens, and case is folded: both make fewer cores."""
         parts = []
         for w in words:
-            tail = w[-1:] if w[-1:] in self._TAILS and w[:-1].isalpha() else ""
+            tail = w[-1:] if w[-1:] in self._TAILS and w[:-1].isalpha() and w[-2] < "\u0100" else ""
             core = w[:-1] if tail else w
             parts.append((core.lower() if core.isascii() and "<" not in core else core, tail))
         known = self.cores.hold({x for p in parts for x in p}, self._encode)
         return [known[core] + known[tail] for core, tail in parts]
 
     def _encode(self, cores: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(cores, add_special_tokens=False)]
+        """Plain words of letters are encoded as one text: each is one pre-token, and its last id alone ends a word."""
+        out: list[bytes] = [b""] * len(cores)
+        plain = [i for i, c in enumerate(cores) if c.isalpha() and max(c) < "\u0100"]
+        other = {*range(len(cores))}.difference(plain)
+        for k in range(0, len(plain), 4000):
+            some = plain[k : k + 4000]
+            ids = np.array(self._ids([" ".join([cores[i] for i in some])])[0], self.dtype)
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(stops) != len(some):
+                other.update(some)
+                continue
+            joined, size, a = ids.tobytes(), self.dtype.itemsize, 0
+            for i, b in zip(some, (stops * size).tolist(), strict=True):
+                out[i] = joined[a:b]
+                a = b
+        for i, ids in zip(other, self._ids([cores[i] for i in other]), strict=True):
+            out[i] = np.array(ids, self.dtype).tobytes()
+        return out
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _OPEN: dict[tuple, WordBpe] = {}
