@@ -25,7 +25,8 @@ def exact_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text
     digit form a group of the next round. A group ends when it holds one row or when its texts have ended. Digits grow
     by `growth` each round, so a text of n bytes takes about log(n) rounds and moves each byte a bounded number of
     times; rows that are alone leave after the first digit. Groups are counted with partial sums, and their numbers
-    are joined back by plain joins, whose large partitions Spark may split: no task holds a group.
+    are joined back by sort-merge joins, whose large partitions Spark may split: no task holds a group, and as nothing
+    bounds the number of groups, none is broadcast, at any size.
 
     Null text is empty and equals texts of white space alone. Rows that repeat a doc_id are rows like others: one row
     of a group has kept = true. An empty table gives no rows; other columns are ignored. text_sha256 is a report only.
@@ -41,7 +42,7 @@ def exact_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text
     rows = docs.select(*carry, "doc_id", (-F.length(whole)).cast("long").alias("neg_chars"), *([] if carry else [F.col(text).alias("held")]))
     rows = named(rows, held).withColumn("digit", digit(0, first_digit)).drop("norm")
     groups = rows.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit", F.monotonically_increasing_id().alias("gid"))
-    state = rows.join(written(groups, "radix-groups"), "digit", "left").select(
+    state = rows.join(written(groups, "radix-groups").hint("merge"), "digit", "left").select(
         *carry, "doc_id", "neg_chars", "gid", F.sha2(norm(held), 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"),
         *[F.when(F.col("gid").isNotNull(), F.col(x)).alias(x) for x in own],
         F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.col("gid").isNull().alias("kept"),
@@ -56,7 +57,7 @@ def exact_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text
         groups = written(groups.where("n > 1").withColumn("next", F.monotonically_increasing_id()), "radix-groups")
         alone = F.col("n").isNull()
         on = ~alone & ~F.col("ended")
-        state = rows.join(groups, ["gid", "digit", "ended"], "left").select(
+        state = rows.join(groups.hint("merge"), ["gid", "digit", "ended"], "left").select(
             *carry, "doc_id", "neg_chars", F.when(on, F.col("next")).alias("gid"), "text_sha256", "row",
             *[F.when(on, F.col(x)).alias(x) for x in own],
             F.when(alone, F.col("doc_id")).otherwise(F.col("best.c")).alias("keep_id"), F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
