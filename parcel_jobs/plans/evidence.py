@@ -213,7 +213,7 @@ def _(t: Tables) -> DataFrame:
     return Q.latest_evidence(t("evidence"), AS_OF).select("id", "parcel_id", "source", "result")
 
 
-@query("w3_work_queue", f", l as (select parcel_id, max(checked_at) as last_check from evidence where id % 3 = 0 group by parcel_id) select s.parcel_id, cast(epoch(last_check) as bigint) as last_check from screening s left join l using (parcel_id) where last_check is null or last_check <= {_NOW} - interval 20 hours order by l.last_check nulls first, s.parcel_id limit 5")
+@query("w3_work_queue", f", l as (select parcel_id, max(checked_at) as last_check from evidence where id % 3 = 0 group by parcel_id) select s.parcel_id, cast(floor(epoch(last_check)) as bigint) as last_check from screening s left join l using (parcel_id) where last_check is null or last_check <= {_NOW} - interval 20 hours order by l.last_check nulls first, s.parcel_id limit 5")
 def _(t: Tables) -> DataFrame:
     due = Q.work_queue(t("screening"), t("evidence").where("id % 3 = 0"), AS_OF, limit=9)
     return due.withColumn("last_check", F.unix_timestamp(F.col("last_check").cast("timestamp")))
