@@ -18,9 +18,9 @@ from .shared import chunks, text_column
 from .wordcache import TwoGenerations
 
 #: Bounds of the sample: documents labelled toxic, labelled clean, and without a label.
-SAMPLE = (2000, 3000, 2000)
+SAMPLE = (1500, 2000, 1000)
 #: Characters of the sample's texts in all, at most about; beyond, the last documents by hash are left out of fitting.
-SAMPLE_CHARS = 40_000_000
+SAMPLE_CHARS = 20_000_000
 #: Voters, and features of the classifier, at most.
 VOTERS, FEATURES = 128, 600
 #: A voter's word or stem stands in so many different contexts at least, in documents labelled toxic; copies of a text count once.
