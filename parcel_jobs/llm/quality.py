@@ -22,8 +22,8 @@ COMMON = {
     "fr": "le la les de des du et en un une est que qui dans pour sur par au avec ce il ne pas plus sont aux son se".split(),
     "es": "el la los las de del y en un una es que por con para su al se lo como no más pero sus este ha son".split(),
 }
-#: Documents with fewer words or characters than these aren't judged by divergence.
-LEAST_WORDS, LEAST_CHARS = 100, 400
+#: Histograms of fewer words or characters than these are coarse: the limits rise by the allowances times 1 / size less 1 / full size.
+FULL_WORDS, FULL_CHARS, FOR_WORDS, FOR_CHARS = 100, 400, 3.0, 40.0
 #: Distances (0 to 1) beyond which a document is not of its language's kind: of classes alone, or of classes and words together.
 MOST_CLASS, MOST_BOTH = 0.30, (0.12, 0.26)
 
@@ -85,20 +85,24 @@ def _js(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)))
 
 
+def _allowance(size: Column, full: int, weight: float) -> Column:
+    """What a limit rises by for a document of this size: nothing from the full size on."""
+    return weight * F.greatest(F.lit(0.0), 1 / F.greatest(size, F.lit(1)) - 1 / full)
+
+
 def quality_verdicts(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row for each row of docs (doc_id, text, lang): the carried columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, js_class, js_word.
 
     base_failed: fewer than 10 words, or more than a fifth of them in repeated 5-word windows. Of the rest, a document
-    of at least LEAST_WORDS words and LEAST_CHARS characters is rejected if js_class exceeds MOST_CLASS, or both distances
-    exceed MOST_BOTH; shorter ones, and those of a language without a reference, are kept. Languages other than those of COMMON share one
+    is rejected if js_class exceeds MOST_CLASS, or both distances exceed MOST_BOTH. Below FULL_CHARS characters MOST_CLASS
+    rises, below FULL_WORDS words the second of MOST_BOTH, since short histograms stray by chance. Languages other than those of COMMON share one
     reference. Null text is empty, null lang is such another language. Repeated rows are judged each; an empty table
     gives no rows. References are five rows of sums over all rows, whatever the table's size.
     """
     counted = written(_features(docs).select(*carry, "q"), "quality")
     base_failed = (F.col("q.w.n_words") < 10) | (100 * F.col("q.w.n_repeat_words") > 20 * F.col("q.w.n_words"))
-    long = ~base_failed & (F.col("q.w.n_words") >= LEAST_WORDS) & (F.col("q.n_chars") >= LEAST_CHARS)
     classes, words = _shares(F.col("q.classes"), F.col("q.n_chars")), _shares(F.col("q.w.words"), F.col("q.w.n_words"))
-    judged = counted.where(long).select("q.lang", classes.alias("c"), words.alias("w"))
+    judged = counted.where(~base_failed).select("q.lang", classes.alias("c"), words.alias("w"))
     means = lambda name: F.posexplode(name).alias("at", "share")
     both = [judged.select("lang", F.lit(kind).alias("kind"), means(kind)).groupBy("lang", "kind", "at").agg(F.avg("share").alias("share")) for kind in ("c", "w")]
     reference = {(r["lang"], r["kind"], r["at"]): r["share"] for r in both[0].unionAll(both[1]).collect()}
@@ -110,8 +114,10 @@ def quality_verdicts(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> D
             out = out.when(F.col("q.lang") == lang, F.array(*[F.lit(float(x)) for x in shares]))
         return out
 
-    judged = counted.withColumns({"js_class": F.when(long, _js(classes, literal("c"))), "js_word": F.when(long, _js(words, literal("w")))})
-    far = F.coalesce((F.col("js_class") > MOST_CLASS) | ((F.col("js_class") > MOST_BOTH[0]) & (F.col("js_word") > MOST_BOTH[1])), F.lit(False))
+    judged = counted.withColumns({"js_class": F.when(~base_failed, _js(classes, literal("c"))), "js_word": F.when(~base_failed, _js(words, literal("w")))})
+    class_far = F.col("js_class") > MOST_CLASS + _allowance(F.col("q.n_chars"), FULL_CHARS, FOR_CHARS)
+    both_far = (F.col("js_class") > MOST_BOTH[0]) & (F.col("js_word") > MOST_BOTH[1] + _allowance(F.col("q.w.n_words"), FULL_WORDS, FOR_WORDS))
+    far = F.coalesce(class_far | both_far, F.lit(False))
     return judged.select(
         *carry, "q.w.n_words", "q.w.word_chars", F.get("q.classes", F.lit(len(CLASSES) - 1)).alias("n_symbols"), "q.n_dup_lines", "q.w.n_repeat_words",
         base_failed.alias("base_failed"), (~base_failed & ~far).alias("kept"), "js_class", "js_word",

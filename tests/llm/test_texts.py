@@ -93,6 +93,17 @@ def test_quality_divergence(spark):
     assert {r["doc_id"] for r in got if not r["kept"]} == {100, 101}
 
 
+def test_quality_judges_short_documents(spark):
+    rng = random.Random(8)
+    words = "the of and to in is that house river stone bridge walking morning paper garden window letter summer".split()
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+    good = [line(200) for _ in range(40)] + [line(n) for n in (12, 20, 30, 45, 60, 80, 99)]
+    table = [" | ".join(rng.choice(words[7:]) + rng.choice("abcdefg") * 2 for _ in range(n)) for n in (20, 30, 45)]
+    marks = [" ".join(rng.choice(words) + rng.choice(("$$$", "%%%", "&&&", "***")) for _ in range(n)) for n in (30, 60, 90)]
+    got = quality.quality_verdicts(docs(spark, [*enumerate(good), *enumerate(table + marks, 100)])).collect()
+    assert {r["doc_id"] for r in got if not r["kept"]} == {*range(100, 106)} and all(r["js_class"] is not None for r in got)
+
+
 PAGE = "<html><head><title>t</title></head><body><nav><a href=x>Home</a></nav><div class='cookie notice'>We use cookies</div>{}<section class='comments'><p>I liked this one</p></section><footer>&copy; me</footer></body></html>"
 
 
