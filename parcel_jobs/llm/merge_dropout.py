@@ -2,8 +2,11 @@
 
 BPE merges the best-scored pair of neighbours, the leftmost of equals, until none is in the vocabulary. With dropout, a
 candidate that comes up on the agenda is skipped if a keyed hash of it falls below the rate: the key is the seed, the
-word and the candidate's place in it, so a run can be repeated and another seed cuts words otherwise. All cuts of a
-text decode to the text.
+document, the word's position in it and the candidate's place in the word, so each occurrence of a word is drawn for
+itself, a run can be repeated and another seed cuts words otherwise. All cuts of a text decode to the text.
+
+A cut depends on the key only through which candidates are skipped. So a word met often has all candidates that can
+ever come up listed, and its cuts are kept by the set of those skipped; the draws themselves are never shared.
 """
 
 from __future__ import annotations
@@ -25,6 +28,9 @@ SPACE = "▁"
 NO_PAIR = np.int32(2**31 - 1)
 #: Longer words take the agenda one by one; shorter ones are merged side by side.
 LONG = 192
+#: Words up to this length with at most MOST_PLACES candidates are listed, and stay so in the cache, once they occur LISTED_FROM times in a batch.
+SHORT, MOST_PLACES, LISTED_FROM = 24, 40, 3
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -37,7 +43,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class MergeDropout:
     """Encoder and decoder of one SentencePiece BPE model; rate 0 gives the model's own ids."""
 
-    def __init__(self, model_file: str, rate: float, seed: int, variants: int = 4, cache_words: int = 100_000):
+    def __init__(self, model_file: str, rate: float, seed: int, cache_words: int = 100_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -67,11 +73,14 @@ class MergeDropout:
                 self.char[ord(p)] = i
         self.char[ord(" ")] = self.ids[SPACE]
         self.below, self.seed, self.size = np.uint64(min(int(rate * 2**64), 2**64 - 1)), seed, n
-        self.caches = [TwoGenerations(cache_words) for _ in range(variants)]
+        self.places, self.cuts = TwoGenerations(cache_words), TwoGenerations(3 * cache_words)
+
+    @staticmethod
+    def _place(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return ((start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)) * GOLDEN
 
     def _skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-        place = (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
-        return _mixed(key ^ (place * np.uint64(0x9E3779B97F4A7C15))) < self.below
+        return _mixed(key ^ self._place(start, middle, end)) < self.below
 
     def _pairs(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of candidates; NO_PAIR where there is none or it is skipped."""
@@ -146,15 +155,18 @@ class MergeDropout:
         return ids[:none].reshape(w, width), inside.reshape(w, width)
 
     def words(self, words: list[str], variant: int) -> list[bytes]:
-        """Ids, as little-endian 16-bit, of words as split() has them."""
+        """Ids, as little-endian 16-bit, of words as split() has them, drawn by the word and a variant."""
         from xxhash import xxh64_intdigest
 
         shown = [w if w[:1] == "\n" else f" {w}" for w in words]
+        return self._cut(shown, np.array([xxh64_intdigest(s.encode(), self.seed * 31 + variant) for s in shown], np.uint64))
+
+    def _cut(self, shown: list[str], keys: np.ndarray) -> list[bytes]:
+        """The same of shown words, each drawn by its own key."""
         raw = np.frombuffer("".join(shown).encode("utf-32-le"), "<u4")
         symbols, lengths = self.char[raw], np.array([len(s) for s in shown])
         ends = np.cumsum(lengths)
-        keys = np.array([xxh64_intdigest(s.encode(), self.seed * 31 + variant) for s in shown], np.uint64)
-        out: list[bytes] = [b""] * len(words)
+        out: list[bytes] = [b""] * len(shown)
         order = np.argsort(lengths, kind="stable")
         for part in np.array_split(order, max(1, len(order) // 20_000)):
             part = part[lengths[part] <= LONG]
@@ -198,13 +210,79 @@ class MergeDropout:
             words += [w[1:] for w in re.findall(" +[^ ]*", line)]
         return words
 
-    def encode(self, texts: list[str], variants: list[int]) -> list[bytes]:
+    def _places(self, word: str) -> np.ndarray | None:
+        """Hashed places of all candidates that can come up in a word under any draws; None if there are too many."""
+        shown, n = word if word[:1] == "\n" else f" {word}", len(word) + (word[:1] != "\n")
+        if n > SHORT:
+            return None
+        text, met, found = shown.replace(" ", SPACE), {(i, i + 1) for i in range(n)}, []
+        if SPACE in word:  # as text it goes by its bytes and merges with nothing
+            return None
+        for size in range(2, n + 1):
+            for a in range(n - size + 1):
+                b = a + size
+                if text[a:b] in self.ids:
+                    here = [(a, m, b) for m in range(a + 1, b) if (a, m) in met and (m, b) in met and text[a:m] in self.ids and text[m:b] in self.ids]
+                    found += here
+                    if here:
+                        met.add((a, b))
+        if len(found) > MOST_PLACES:
+            return None
+        return self._place(*np.array(found, np.int64).reshape(-1, 3).T)
+
+    def encode(self, texts: list[str], draws: list[int]) -> list[bytes]:
+        """Ids of texts, as little-endian 16-bit. draws: a number for each text, which keys all draws of its words."""
         split = [self.split(t) if t else [] for t in texts]
-        known: dict[int, dict] = {}
-        for v in set(variants):
-            need = set().union(*(s for s, own in zip(split, variants, strict=True) if own == v))
-            known[v] = self.caches[v].hold(need, lambda words, v=v: self.words(words, v))
-        return [b"".join(map(known[v].__getitem__, s)) for s, v in zip(split, variants, strict=True)]
+        sizes = np.array([len(s) for s in split], np.int64)
+        every = [w for s in split for w in s]
+        if not every:
+            return [b""] * len(texts)
+        number: dict[str, int] = {}
+        which = np.array([number.setdefault(w, len(number)) for w in every], np.int64)
+        own = _mixed(np.array([d % 2**64 for d in draws], np.uint64) ^ np.uint64(self.seed * int(GOLDEN) % 2**64))
+        position = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = _mixed(np.repeat(own, sizes) + (position + 1).astype(np.uint64) * GOLDEN)
+
+        words = list(number)
+        young, old, often = self.places.young, self.places.old, np.bincount(which) >= LISTED_FROM
+        asked = {w for w, o in zip(words[: 1 << (64 - MOST_PLACES)], often.tolist(), strict=False) if o or w in young or w in old}  # word and skips fit 64 bits
+        known = self.places.hold(asked, lambda some: [(self._places(w),) for w in some])  # a tuple, since hold() takes None for unknown
+        lists = [known[w][0] if w in asked else None for w in words]
+        listed = np.array([x is not None for x in lists])
+        counts = np.array([0 if x is None else len(x) for x in lists], np.int64)
+        skipped = np.zeros(len(every), np.uint64)
+        order = np.argsort(counts[which].astype(np.uint8), kind="stable")
+        ends = np.searchsorted(counts[which][order], np.arange(MOST_PLACES + 1), side="right")
+        row = np.zeros(len(words), np.int64)
+        for m in range(1, MOST_PLACES + 1):  # occurrences of all words of m candidates
+            same = np.flatnonzero(counts == m)
+            if not len(same):
+                continue
+            table, powers = np.array([lists[k] for k in same.tolist()]), np.uint64(1) << np.arange(m, dtype=np.uint64)
+            row[same] = np.arange(len(same))
+            own = order[ends[m - 1] : ends[m]]
+            for some in np.array_split(own, len(own) * m // 30_000 + 1):
+                hit = _mixed(keys[some][:, None] ^ table[row[which[some]]]) < self.below
+                skipped[some] = hit @ powers
+
+        coded: list[bytes] = [b""] * len(every)
+        shown = lambda w: w if w[:1] == "\n" else f" {w}"
+        alone = np.flatnonzero(~listed[which]).tolist()
+        if alone:
+            for i, cut in zip(alone, self._cut([shown(every[i]) for i in alone], keys[alone]), strict=True):
+                coded[i] = cut
+        shared = np.flatnonzero(listed[which])
+        pair = (which[shared].astype(np.uint64) << np.uint64(MOST_PLACES)) | skipped[shared]
+        _, first, back = np.unique(pair, return_index=True, return_inverse=True)
+        first = shared[first]  # any occurrence stands for all with the same word and skips
+        wanted = [(every[i], k) for i, k in zip(first.tolist(), skipped[first].tolist(), strict=True)]
+        one = dict(zip(wanted, first.tolist(), strict=True))
+        cuts = self.cuts.hold(one.keys(), lambda some: self._cut([shown(w) for w, _ in some], keys[[one[x] for x in some]]))
+        found = [cuts[x] for x in wanted]
+        for i, k in zip(shared.tolist(), back.tolist(), strict=True):
+            coded[i] = found[k]
+        stops = np.cumsum(sizes).tolist()
+        return [b"".join(coded[b - k : b]) for b, k in zip(stops, sizes.tolist(), strict=True)]
 
     def decode(self, ids: bytes) -> str:
         whole = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u2").tolist()))
@@ -220,24 +298,24 @@ def encoder(*args) -> MergeDropout:
     return _OPEN[args]
 
 
-def encode_with_dropout(docs: DataFrame, model_file: str, rate: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
+def encode_with_dropout(docs: DataFrame, model_file: str, rate: float = 0.1, seed: int = 1) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, n_tokens, ids_crc32, ids, decoded_sha256, lossless.
 
-    The draw for a word depends on the seed, its document's variant (a hash of doc_id and seed, one of `variants`), and
-    the word: a document cuts equal words alike, documents of another variant otherwise. ids_crc32 is of the ids as
+    The draw for a word depends on the seed, doc_id and the word's position: each occurrence is drawn for itself, within a
+    document and from document to document. ids_crc32 is of the ids as
     little-endian unsigned 32-bit; decoded_sha256 is of the text that the ids decode to, lossless whether it is the
-    text. Null text is empty: no ids. A null doc_id has a variant too. Repeated rows are encoded each; an empty table
+    text. Null text is empty: no ids. Null doc_ids share their draws. Repeated rows are encoded each, alike; an empty table
     gives no rows; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        coder = encoder(model_file, rate, seed, variants)
+        coder = encoder(model_file, rate, seed)
         for batch in batches:
             for first, texts in chunks(batch.column(1)):
                 doc_ids = batch.column(0).slice(first, len(texts))
-                coded = coder.encode(texts, [xxh64_intdigest(str(i).encode(), seed) % variants for i in doc_ids.to_pylist()])
+                coded = coder.encode(texts, [xxh64_intdigest(str(i).encode(), seed) for i in doc_ids.to_pylist()])
                 decoded = [coder.decode(x) for x in coded]
                 wide = [np.frombuffer(x, "<u2").astype("<u4") for x in coded]
                 yield pa.RecordBatch.from_pydict(

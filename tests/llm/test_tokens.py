@@ -125,6 +125,39 @@ def test_dropout_varies_and_skips(coders):
     assert len(cuts) == 4 and all(len(c) >= len(plain.encode([" ".join(words)], [0])[0]) for c in cuts)
 
 
+def test_dropout_draws_each_occurrence(coders):
+    dropped = coders[1]
+    word = "segmentations"
+    text = " ".join([word] * 400)
+    ids = np.frombuffer(dropped.encode([text], [5])[0], "<u2")
+    cuts, own = set(), []
+    for i in ids.tolist():
+        own.append(i)
+        if b"".join(dropped.bytes_of[x] for x in own) == f" {word}".encode():
+            cuts.add(tuple(own))
+            own = []
+    assert not own and len(cuts) > 20
+    assert len({dropped.encode([word], [d])[0] for d in range(400)}) > 20
+
+
+@settings(max_examples=100, deadline=None)
+@given(words=st.lists(st.sampled_from(["the", "tie", "houses", "a,", "▁x", "\t", "é日", "\nin", "x" * 30, "segmentation"]), min_size=1, max_size=40))
+def test_listed_words_are_cut_as_the_agenda_does(coders, words):
+    dropped = coders[1]
+
+    class Watched(merge_dropout.MergeDropout):
+        def __init__(self):
+            self.__dict__.update(dropped.__dict__)
+
+        def _places(self, word):  # nothing is listed: all is merged by key
+            return None
+
+    plain = Watched()
+    plain.places, plain.cuts = merge_dropout.TwoGenerations(10), merge_dropout.TwoGenerations(10)
+    text = " ".join(words)
+    assert dropped.encode([text, text], [3, 4]) == plain.encode([text, text], [3, 4])
+
+
 def test_dropout_query(spark):
     docs = spark.createDataFrame(rows(), SCHEMA)
     got = merge_dropout.encode_with_dropout(docs, PIECES).collect()
