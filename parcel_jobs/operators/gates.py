@@ -49,6 +49,22 @@ def target_gate(export: DataFrame, project: str, as_of: str) -> DataFrame:
     return export.select("project_ref", F.size(keys).cast("long").alias("n_keys"), bad.cast("long").alias("invalid_keys"), repeated.cast("long").alias("repeated_keys"), F.coalesce(usable, F.lit(False)).alias("usable"))
 
 
+def target_gate_rows(export: DataFrame, project: str, as_of: str) -> DataFrame:
+    """The same of exports with a row for each key (project_ref, captured_at, registry_drift, parcel_key), in partial sums: no export need fit one task.
+
+    Rows of an export that disagree close the gate: all must be fresh and without drift.
+    """
+    valid = F.coalesce(F.col("parcel_key").rlike(r"^[0-9]{18}\z"), F.lit(False))
+    age = F.lit(as_of).cast("timestamp") - F.col("captured_at")
+    sound = F.coalesce((age >= F.expr("interval 0 hours")) & (age <= F.expr("interval 24 hours")) & (F.col("registry_drift") == 0), F.lit(False))
+    per_key = export.select("project_ref", "parcel_key", valid.alias("valid"), sound.alias("sound")).groupBy("project_ref", "parcel_key").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("valid")).alias("bad"), F.count_if(~F.col("sound")).alias("unsound")
+    )
+    out = per_key.groupBy("project_ref").agg(F.sum("n").alias("n_keys"), F.sum("bad").alias("invalid_keys"), F.sum(F.col("n") - 1).alias("repeated_keys"), F.sum("unsound").alias("unsound"))
+    usable = (F.col("project_ref") == project) & (F.col("unsound") == 0) & (F.col("invalid_keys") == 0) & (F.col("repeated_keys") == 0)
+    return out.select("project_ref", "n_keys", "invalid_keys", "repeated_keys", F.coalesce(usable, F.lit(False)).alias("usable"))
+
+
 def coverage_gate(parsed: Column, reported: Column, slack: int = 0) -> Column:
     """Whether the rows that were parsed reach the total that was reported, less the slack."""
     return F.coalesce(parsed >= reported - slack, F.lit(False))

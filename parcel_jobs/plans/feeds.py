@@ -147,8 +147,7 @@ _EXPORTS = "select 'project' || cast(p_partkey % 3 as string) as project_ref, ti
 
 @query("g4_target_gate", ", e as (" + _EXPORTS.format(part="part") + ") select project_ref, count(*) as n_keys, count(*) filter (length(k) <> 18) as invalid_keys, count(*) - count(distinct k) as repeated_keys, project_ref = 'project0' as usable from e group by project_ref")
 def _(t: Tables) -> DataFrame:
-    exports = t.sql(_EXPORTS, part=t("part")).groupBy("project_ref").agg(F.min("captured_at").alias("captured_at"), F.max("registry_drift").alias("registry_drift"), F.collect_list("k").alias("parcel_keys"))
-    return gates.target_gate(exports, "project0", AS_OF)
+    return gates.target_gate_rows(t.sql(_EXPORTS, part=t("part")).withColumnRenamed("k", "parcel_key"), "project0", AS_OF)
 
 
 @query("g5_coverage_gate", "select cast(o_orderdate as date) as day, count(*) as parsed, count(*) >= count(*) + cast(day(o_orderdate) % 3 as bigint) - 1 as covered, count(*) < 8 as sized from orders group by o_orderdate")

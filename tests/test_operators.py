@@ -19,6 +19,20 @@ def test_gates_close(spark):
     assert gates.require_unique(df, ["k", "error"]) is df
 
 
+def test_target_gate_gathers_no_keys(spark):
+    from parcel_jobs.plans import QUERIES
+
+    plan = QUERIES["g4_target_gate"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    now, old, key = "2024-01-31 00:00:00", "2024-01-29 00:00:00", lambda i: f"{i:018d}"
+    rows = [("a", now, 0, key(1)), ("a", now, 0, key(2)), ("b", now, 0, key(1)), ("b", now, 0, key(1)), ("c", now, 0, None), ("d", now, 0, key(1)), ("d", old, 0, key(2)), ("e", now, 1, key(1)), ("f", now, None, key(1))]
+    df = spark.createDataFrame(rows, "project_ref string, captured_at string, registry_drift int, parcel_key string").withColumn("captured_at", F.col("captured_at").cast("timestamp"))
+    for project in "abcdef":
+        got = {r["project_ref"]: tuple(r)[1:] for r in gates.target_gate_rows(df, project, now).collect()}
+        assert {p: x[:3] for p, x in got.items()} == {"a": (2, 0, 0), "b": (2, 0, 1), "c": (1, 1, 0), "d": (2, 0, 0), "e": (1, 0, 0), "f": (1, 0, 0)}
+        assert {p for p, x in got.items() if x[3]} == ({"a"} if project == "a" else set())
+
+
 def test_fingerprint_ignores_order_and_partitions(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("v"))
     a = profile.table_fingerprint(df, "k").first()
