@@ -168,8 +168,11 @@ def near_links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
 
     Fingerprints within three bits are equal in two of five blocks, so each of the ten pairs of blocks is a bucket's
     key of 25 or 26 bits. A bucket over `tile` members is dealt out as pairs of its tiles, which meet in tasks of their
-    own; every pair of members meets once at least. Within a bucket only spanning links are returned.
+    own; every pair of members meets once at least. Within a bucket only spanning links are returned. ValueError for
+    a radius at which two blocks need not be equal.
     """
+    if not 0 <= radius <= len(BLOCKS) - 2:
+        raise ValueError(f"{len(BLOCKS)} blocks find all links up to a radius of {len(BLOCKS) - 2}, not of {radius}")
     low = np.cumsum((0, *BLOCKS))
     block = [F.shiftrightunsigned("fp", int(at)).bitwiseAND(F.lit((1 << w) - 1)) for at, w in zip(low, BLOCKS, strict=False)]
     keys = [F.shiftleft(block[i], 17).bitwiseOR(block[j]).bitwiseOR(F.lit(n << 32)) for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]

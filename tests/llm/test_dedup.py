@@ -133,3 +133,9 @@ def test_roots_of_long_chains_and_hubs(spark):
     got = dict(map(tuple, roots_of(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, 200: 200, 300: 200}
     assert roots_of(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_radius_that_blocks_do_not_cover_is_an_error(spark):
+    df = spark.createDataFrame([(0,), (0b1000000000000100000000000010000000000001,)], "fp long")
+    with pytest.raises(ValueError):
+        simhash.near_links(df, radius=4)
