@@ -13,8 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import chunks
-from .wordcache import word_bpe
+from .wordcache import runs_of, word_bpe
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -73,69 +72,74 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
 
     A document is its ids and end_id. Its full windows are sequences of their own; the rest is cut into near-equal
     pieces of at most most_piece, which are packed in blocks of block_pieces. Pieces of one document that follow each
-    other in one sequence are joined. Null text is empty: one piece, the end id. Repeated rows are packed each; other
-    columns are ignored; an empty table gives no rows. with_ids adds the ids of each piece.
+    other in one sequence are joined. Null text is empty: one piece, the end id. Repeated rows are packed each; null
+    doc_ids are documents like others, and doc_id may be of any type; other columns are ignored; an empty table gives
+    no rows. with_ids adds the ids of each piece.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         bpe = word_bpe(tokenizer)
-        end = np.array([end_id], bpe.dtype).tobytes()
         sequence = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
-        block: list[tuple] = []  # (row number, doc_id, start, ids, doc_tokens)
+        block: list[tuple] = []  # (row number, start, length, where in ids, ids of its run, doc_id, doc_tokens)
 
         def place(items: list[tuple]) -> None:
             nonlocal sequence
-            offset = 0
-            items.sort(key=lambda x: (x[0], x[2]))
-            joined: list[list] = []
-            for n, doc, start, ids, total in items:
-                if joined and joined[-1][0] == n and joined[-1][2] + len(joined[-1][3]) == start:
-                    joined[-1][3] = np.concatenate([joined[-1][3], ids])
-                else:
-                    joined.append([n, doc, start, ids, total])
-            for _, doc, start, ids, total in joined:
-                rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, sequence, offset, ids if with_ids else None))
-                offset += len(ids)
+            offset, i = 0, 0
+            items.sort(key=lambda x: x[:2])
+            while i < len(items):
+                n, start, length, at, ids, doc, total = items[i]
+                i += 1
+                while i < len(items) and items[i][0] == n and items[i][1] == start + length:
+                    length += items[i][2]
+                    i += 1
+                piece = ids[at : at + length]
+                rows.append((doc, start, length, zlib.crc32(piece), total, sequence, offset, piece if with_ids else None))
+                offset += length
             sequence += 1
 
         def flush() -> None:
-            for window in windows_of([len(x[3]) for x in block], capacity):
+            for window in windows_of([x[2] for x in block], capacity):
                 place([block[i] for i in window])
             block.clear()
 
         def out() -> pa.RecordBatch:
             names = [x.split()[0] for x in PIECE.split(", ")]
             cols = dict(zip(names, map(list, zip(*rows, strict=True)), strict=False)) if rows else {n: [] for n in names}
-            arrays = {n: pa.array(cols[n], pa.int64()) for n in names}
+            arrays = {"doc_id": pa.array(cols["doc_id"], id_type), **{n: pa.array(cols[n], pa.int64()) for n in names[1:]}}
             if with_ids:
                 arrays["ids"] = pa.array([x[-1].astype(np.int32) for x in rows], pa.list_(pa.int32()))
             rows.clear()
             return pa.RecordBatch.from_pydict(arrays)
 
-        n = 0
+        n, id_type = 0, pa.int64()
         for batch in batches:
-            ids_col = batch.column(0)
-            for first, texts in chunks(batch.column(1)):
-                for i, x in enumerate(bpe.ids(texts), first):
-                    ids = np.frombuffer(x + end, bpe.dtype)
-                    doc, total, at = ids_col[i].as_py(), len(ids), 0
+            id_type = batch.schema.types[0]
+            for first, texts in runs_of(batch.column(1)):
+                coded, bounds = bpe.encode(texts)
+                ids = np.insert(coded.astype("<u4"), bounds[1:], end_id)
+                bounds = (bounds + np.arange(len(bounds))).tolist()
+                for doc, low, high in zip(batch.column(0).slice(first, len(texts)).to_pylist(), bounds, bounds[1:], strict=False):
+                    total, at = high - low, 0
                     while total - at >= capacity:
-                        place([(n, doc, at, ids[at : at + capacity], total)])
+                        place([(n, at, capacity, low + at, ids, doc, total)])
                         at += capacity
                     if total > at:
                         parts = -(-(total - at) // most_piece)
                         cuts = [at + (total - at) * j // parts for j in range(parts + 1)]
-                        block.extend((n, doc, a, ids[a:b], total) for a, b in zip(cuts, cuts[1:], strict=False))
+                        block.extend((n, a, b - a, low + a, ids, doc, total) for a, b in zip(cuts, cuts[1:], strict=False))
                     n += 1
                     if len(block) >= block_pieces:
                         flush()
-                if len(rows) >= 5000:
-                    yield out()
+                    if len(rows) >= 5000:
+                        yield out()
         if block:
             flush()
-        yield out()
+        if rows:
+            yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(pack, PIECE + ", ids array<int>" * with_ids)
+    docs = docs.select("doc_id", "text")
+    kinds = PIECE.replace("doc_id long", f"doc_id {docs.schema['doc_id'].dataType.simpleString()}")
+    return docs.mapInArrow(pack, kinds + ", ids array<int>" * with_ids)

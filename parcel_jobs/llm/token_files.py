@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import chunks, new_path, written
-from .wordcache import word_bpe
+from .shared import new_path, written
+from .wordcache import runs_of, word_bpe
 
 PART = "part int, name string, width int, n_docs long, n_tokens long"
 
@@ -48,8 +48,9 @@ def _mapped(folder: str, name: str, dtype: str) -> np.ndarray:
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> tuple[str, DataFrame]:
     """Encode docs (doc_id, text) and write them as token files; return (folder, index).
 
-    Documents are dealt by ranges of doc_id, so every file is in ascending order; null ids come first, equal ids by
-    text. Null text is empty: it holds the end id alone. Other columns are ignored. An empty table makes no files.
+    Documents are dealt by ranges of doc_id, so every file is in ascending order; null ids come first, rows of equal ids
+    by a hash of their text. doc_id may be of any type that sorts. Null text is empty: it holds the end id alone.
+    Repeated rows are written each. Other columns are ignored. An empty table makes no files.
     The index has a row for each part: part, name, width, n_docs, n_tokens, base, idx (file of offsets).
     """
     spark = docs.sparkSession
@@ -59,7 +60,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
         from pyspark import TaskContext
 
         bpe, part = word_bpe(tokenizer), TaskContext.get().partitionId()
-        end, name = np.array([end_id], bpe.dtype).tobytes(), f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
+        name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}"
         store, path = _open(folder)
         out, ids, sizes = None, [], []
         for batch in batches:
@@ -67,20 +68,22 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(f"{path}/{name}.bin")
             ids.append(batch.column(0))
-            for _, texts in chunks(batch.column(1)):
-                for x in bpe.ids(texts):
-                    out.write(x)
-                    out.write(end)
-                    sizes.append(len(x) // bpe.dtype.itemsize + 1)
+            for _, texts in runs_of(batch.column(1)):
+                coded, at = bpe.encode(texts)
+                out.write(np.insert(coded, at[1:], end_id).tobytes())
+                sizes.append(np.diff(at) + 1)
         if out is None:
             return
         out.close()
-        table = pa.table({"doc_id": pa.chunked_array(ids), "n_tokens": pa.array(sizes, pa.int64())})
+        n_tokens = np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64)
+        table = pa.table({"doc_id": pa.chunked_array(ids), "n_tokens": pa.array(n_tokens)})
         with store.open_output_stream(f"{path}/{name}.docs") as f, pa.ipc.new_file(f, table.schema) as w:
             w.write_table(table)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "width": pa.array([bpe.dtype.itemsize], pa.int32()), "n_docs": [len(sizes)], "n_tokens": [sum(sizes)]})
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "width": pa.array([bpe.dtype.itemsize], pa.int32()), "n_docs": [len(n_tokens)], "n_tokens": [int(n_tokens.sum())]})
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", "turn", "row")  # rows of one doc_id, however many, are dealt to several parts
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("turn"), F.monotonically_increasing_id().alias("row"))
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = written(dealt.mapInArrow(encode, PART), "token-parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over parts, not documents
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")))
@@ -106,8 +109,11 @@ def _one_each(parts: DataFrame) -> DataFrame:
     return parts.repartition(parts.sparkSession.sparkContext.defaultParallelism * 4, "part")
 
 
-def read_token_files(folder: str, index: DataFrame, with_ids: bool = False) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit) of each document, and its ids if asked for."""
+def read_token_files(folder: str, index: DataFrame, with_ids: bool = False, id_type: str = "long") -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit) of each document, and its ids if asked for.
+
+    id_type is the type of doc_id that was written. An index without rows gives none.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _open(folder)
@@ -117,24 +123,28 @@ def read_token_files(folder: str, index: DataFrame, with_ids: bool = False) -> D
                 ids = _mapped(folder, f"{row['name']}.bin", f"<u{row['width']}")
                 with store.open_input_file(f"{path}/{row['name']}.docs") as f:
                     docs = pa.ipc.open_file(f).read_all()["doc_id"].combine_chunks()
-                base, step = int(at[0]), 4096
-                for i in range(0, len(docs), step):
-                    ends = [int(x) - base for x in at[i : i + step + 1]]
-                    cut = [ids[a:b].astype("<u4") for a, b in zip(ends, ends[1:], strict=False)]
+                base, i = int(at[0]), 0
+                while i < len(docs):  # as many documents as hold some million ids, one at least
+                    stop = max(i + 1, int(np.searchsorted(at, at[i] + np.uint64(4_000_000), side="right")) - 1)
+                    stop = min(stop, i + 4096, len(docs))
+                    ends = (at[i : stop + 1].astype(np.int64) - base).tolist()
+                    wide = ids[ends[0] : ends[-1]].astype("<u4")
+                    cut = [wide[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:], strict=False)]
                     out = {
-                        "doc_id": docs.slice(i, step).cast(pa.int64()),
+                        "doc_id": docs.slice(i, stop - i),
                         "start": pa.array([base + a for a in ends[:-1]], pa.int64()),
                         "n_tokens": pa.array([len(x) for x in cut], pa.int64()),
-                        "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in cut], pa.int64()),
+                        "ids_crc32": pa.array([zlib.crc32(x) for x in cut], pa.int64()),
                     }
                     if with_ids:
                         out["ids"] = pa.array([x.astype(np.int32) for x in cut], pa.list_(pa.int32()))
                     yield pa.RecordBatch.from_pydict(out)
+                    i = stop
 
-    kept = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
+    kept = f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     return _one_each(index).mapInArrow(read, kept)
 
 
 def token_file_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Write docs as token files and read every document back from them."""
-    return read_token_files(*write_token_files(docs, tokenizer, end_id))
+    return read_token_files(*write_token_files(docs, tokenizer, end_id), id_type=docs.schema["doc_id"].dataType.simpleString())
