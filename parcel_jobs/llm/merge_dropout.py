@@ -5,8 +5,9 @@ candidate that comes up on the agenda is skipped if a keyed hash of it falls bel
 document, the word's position in it and the candidate's place in the word, so each occurrence of a word is drawn for
 itself, a run can be repeated and another seed cuts words otherwise. All cuts of a text decode to the text.
 
-A cut depends on the key only through which candidates are skipped. So a word met often has all candidates that can
-ever come up listed, and its cuts are kept by the set of those skipped; the draws themselves are never shared.
+For each distinct word of a run of texts the agenda without dropout is known, with the candidates that come up on it. An
+occurrence that skips none of them is cut alike; every other occurrence is merged for itself, by its own draws. Words are
+merged side by side in numpy, long ones by a priority queue.
 """
 
 from __future__ import annotations
@@ -19,17 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .shared import chunks
-from .wordcache import TwoGenerations
+from .wordcache import TwoGenerations, runs_of
 
 SPACE = "▁"
 NO_PAIR = np.int32(2**31 - 1)
 #: Longer words take the agenda one by one; shorter ones are merged side by side.
 LONG = 192
-#: Words up to this length with at most MOST_PLACES candidates are listed, and stay so in the cache, once they occur LISTED_FROM times in a batch.
-SHORT, MOST_PLACES, LISTED_FROM = 24, 40, 3
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,14 +39,52 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... sizes[0] numbers, then those of starts[1], and so on."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class PairTable:
+    """Pairs of ids that merge: an open hash table, looked up for many pairs at once."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int], rank_of: dict[int, int]):
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks, self.merged = np.full(1 << self.bits, NO_PAIR, np.int32), np.zeros(1 << self.bits, np.int32)
+        for (a, b), m in pairs.items():
+            key = (a << 32) | b
+            at = int(self._slot(np.array([key], np.int64))[0])
+            while self.keys[at] >= 0:
+                at = (at + 1) & ((1 << self.bits) - 1)
+            self.keys[at], self.ranks[at], self.merged[at] = key, rank_of[m], m
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The slot of each pair; one with rank NO_PAIR if it is not in the table. Negative ids are in no pair."""
+        key = (left.astype(np.int64) << 32) | right
+        at = self._slot(key)
+        held = self.keys[at]
+        going = np.flatnonzero((held != key) & (held >= 0))
+        while len(going):
+            at[going] = (at[going] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[going]]
+            going = going[(held != key[going]) & (held >= 0)]
+        return at
+
+
 class MergeDropout:
     """Encoder and decoder of one SentencePiece BPE model; rate 0 gives the model's own ids."""
 
-    def __init__(self, model_file: str, rate: float, seed: int, cache_words: int = 100_000):
+    def __init__(self, model_file: str, rate: float, seed: int, cache_words: int = 200_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
         n = sp.get_piece_size()
+        if n > 1 << 16:
+            raise ValueError("vocabularies over 65536 pieces are not supported")
         normal = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.ids = {sp.id_to_piece(i): i for i in normal}
         self.byte_id = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -56,6 +93,7 @@ class MergeDropout:
             self.bytes_of[i] = p.replace(SPACE, " ").encode()
         for b, i in enumerate(self.byte_id):
             self.bytes_of[i] = bytes([b])
+        self.pieces = pa.array(self.bytes_of, pa.large_binary())
         if any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids):
             raise ValueError("pieces that span words are not supported")
         ranked = sorted(normal, key=lambda i: -sp.get_score(i))
@@ -63,47 +101,33 @@ class MergeDropout:
         for i in ranked:  # equal scores have equal ranks
             rank[i] = rank[last] if last is not None and sp.get_score(i) == sp.get_score(last) else len(rank)
             last = i
-        pairs = {(self.ids[p[:k]] << 32) | self.ids[p[k:]]: i for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
-        self.ranks = np.array([rank[i] for i in self.merged.tolist()], np.int32)
+        self.table = PairTable({(self.ids[p[:k]], self.ids[p[k:]]): i for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}, rank)
         self.char = np.full(0x110000, -1, np.int32)
         for p, i in self.ids.items():
             if len(p) == 1 and p != SPACE:  # a mark that is text itself goes by its bytes, so that it decodes
                 self.char[ord(p)] = i
         self.char[ord(" ")] = self.ids[SPACE]
         self.below, self.seed, self.size = np.uint64(min(int(rate * 2**64), 2**64 - 1)), seed, n
-        self.places, self.cuts = TwoGenerations(cache_words), TwoGenerations(3 * cache_words)
+        self.plain = TwoGenerations(cache_words)  # word: its ids without dropout, hashed places of the candidates that come up
 
     @staticmethod
     def _place(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
         return ((start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)) * GOLDEN
 
-    def _skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mixed(key ^ self._place(start, middle, end)) < self.below
-
-    def _pairs(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged id of candidates; NO_PAIR where there is none or it is skipped."""
-        want = (left.astype(np.int64) << 32) | right
-        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        good = (self.keys[at] == want) & (left >= 0) & (right >= 0)
-        good[good] = ~self._skipped(key[good], start[good], middle[good], end[good])
-        return np.where(good, self.ranks[at], NO_PAIR), self.merged[at]
-
-    def agenda(self, symbols: list[int], key: int) -> list[tuple[int, int, int]]:
-        """(id, start, end) of one word's pieces by a priority queue of candidates."""
+    def agenda(self, symbols: list[int], key: int | None) -> list[tuple[int, int, int]]:
+        """(id, start, end) of one word's pieces by a priority queue of candidates; without a key none is skipped."""
         n = len(symbols)
         ids, ends, before, after, heap = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1], []
-        hashed = np.array([key], np.uint64)
+        one = lambda x: np.array([x], np.int64)
 
         def push(i: int) -> None:
             j = after[i] if i >= 0 else -1
-            if j < 0:
+            if j < 0 or ids[i] < 0 or ids[j] < 0:
                 return
-            one = lambda x: np.array([x], np.int64)
-            rank, merged = self._pairs(one(ids[i]), one(ids[j]), hashed, one(i), one(j), one(ends[j]))
-            if rank[0] != NO_PAIR:
-                heapq.heappush(heap, (int(rank[0]), i, j, ends[i], ends[j], int(merged[0])))
+            slot = int(self.table.find(one(ids[i]), one(ids[j]))[0])
+            rank = int(self.table.ranks[slot])
+            if rank != NO_PAIR and not (key is not None and _mixed(np.array([key], np.uint64) ^ self._place(one(i), one(j), one(ends[j])))[0] < self.below):
+                heapq.heappush(heap, (rank, i, j, ends[i], ends[j], int(self.table.merged[slot])))
 
         for i in range(n):
             push(i)
@@ -118,81 +142,106 @@ class MergeDropout:
             push(i)
         return [(ids[i], i, ends[i]) for i in range(n) if ends[i] > i]
 
-    def _side_by_side(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _side_by_side(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
         """The same for many words, a row each: ids at the first character of each piece, and where those are.
 
         Symbols are linked lists in flat arrays, so a round touches the best pair of each row and its two neighbours.
+        Without keys nothing is skipped, and (row, hashed place) of all candidates that came up are returned as well.
         """
         w, width = symbols.shape
         none = w * width  # the place that stands for no neighbour
         ids = np.append(symbols.ravel(), np.int32(-1))
-        place = np.arange(none)
-        row, column = place // width, place % width
-        inside = column < lengths[row]
-        after = np.append(np.where(column + 1 < lengths[row], place + 1, none), none)
-        before = np.append(np.where(column > 0, place - 1, none), none)
+        place = np.arange(none, dtype=np.int32)
+        row_of = np.repeat(np.arange(w, dtype=np.int32), width)
+        column = np.append(place - row_of * np.int32(width), np.int32(0))
+        size = lengths.astype(np.int32)
+        inside = column[:none] < size[row_of]
+        more = column[:none] + 1 < size[row_of]
+        after = np.append(np.where(more, place + 1, none), none).astype(np.int32)
+        before = np.append(np.where(column[:none] > 0, place - 1, none), none).astype(np.int32)
         ranks, merged = np.full(none + 1, NO_PAIR, np.int32), np.zeros(none + 1, np.int32)
+        seen_rows, seen_places = [], []
 
         def consider(p: np.ndarray, r: np.ndarray) -> None:
             q = after[p]
-            end = np.where((n := after[q]) == none, lengths[r], n - r * width)
-            ranks[p], merged[p] = self._pairs(ids[p], ids[q], keys[r], p - r * width, q - r * width, end)
+            slot = self.table.find(ids[p], ids[q])
+            rank = self.table.ranks[slot]
+            rank[(ids[p] < 0) | (ids[q] < 0)] = NO_PAIR
+            some = np.flatnonzero(rank != NO_PAIR)
+            ps, qs, rs = p[some], q[some], r[some]
+            end = after[qs]
+            here = self._place(column[ps], column[qs], np.where(end == none, size[rs], column[end]))
+            if keys is None:
+                seen_rows.append(rs)
+                seen_places.append(here)
+            else:
+                rank[some[_mixed(keys[rs] ^ here) < self.below]] = NO_PAIR
+            ranks[p], merged[p] = rank, self.table.merged[slot]
 
-        consider(place[inside], row[inside])
-        rows, table = np.arange(w), ranks[:none].reshape(w, width)
+        consider(place[inside], row_of[inside])
+        rows, table = np.arange(w, dtype=np.int32), ranks[:none].reshape(w, width)
         while len(rows):
             held = table[rows]
-            best = held.argmin(axis=1)
+            best = held.argmin(axis=1).astype(np.int32)
             going = held[np.arange(len(rows)), best] != NO_PAIR
             rows = rows[going]
-            p = rows * width + best[going]
+            if not len(rows):
+                break
+            p = rows * np.int32(width) + best[going]
             q = after[p]
             ids[p], ranks[q], inside[q] = merged[p], NO_PAIR, False
             after[p] = after[q]
             before[after[p]] = p
-            consider(p, rows)
-            consider(before[p], rows)
-        return ids[:none].reshape(w, width), inside.reshape(w, width)
+            b = before[p]
+            left = b != none
+            consider(np.concatenate([p, b[left]]), np.concatenate([rows, rows[left]]))
+        found = (np.concatenate(seen_rows), np.concatenate(seen_places)) if keys is None else (rows, np.zeros(0, np.uint64))
+        return ids[:none].reshape(w, width), inside.reshape(w, width), found
 
-    def words(self, words: list[str], variant: int) -> list[bytes]:
-        """Ids, as little-endian 16-bit, of words as split() has them, drawn by the word and a variant."""
-        from xxhash import xxh64_intdigest
+    def _cut(self, shown: list[str], symbols: np.ndarray, starts: np.ndarray, which: np.ndarray, keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Cuts of the words numbered which, in that order: ids of all, sizes; and without keys the places of candidates, sizes.
 
-        shown = [w if w[:1] == "\n" else f" {w}" for w in words]
-        return self._cut(shown, np.array([xxh64_intdigest(s.encode(), self.seed * 31 + variant) for s in shown], np.uint64))
-
-    def _cut(self, shown: list[str], keys: np.ndarray) -> list[bytes]:
-        """The same of shown words, each drawn by its own key."""
-        raw = np.frombuffer("".join(shown).encode("utf-32-le"), "<u4")
-        symbols, lengths = self.char[raw], np.array([len(s) for s in shown])
-        ends = np.cumsum(lengths)
-        out: list[bytes] = [b""] * len(shown)
-        order = np.argsort(lengths, kind="stable")
-        for part in np.array_split(order, max(1, len(order) // 20_000)):
-            part = part[lengths[part] <= LONG]
+        shown are the distinct words, symbols those of all of them, starts where each one's begin, and the end.
+        """
+        n = np.diff(starts)[which]
+        order = np.argsort(n, kind="stable")
+        cuts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # (rows, sizes, ids)
+        places: list[tuple[np.ndarray, np.ndarray]] = []
+        short = order[: np.searchsorted(n[order], LONG, side="right")]
+        for part in np.array_split(short, max(1, int(n[short].sum()) // 60_000)):
             if not len(part):
                 continue
-            n = lengths[part]
-            table = np.full((len(part), n.max()), -1, np.int32)
-            at = np.arange(n.max()) < n[:, None]
-            table[at] = symbols[np.repeat(ends[part] - np.cumsum(n), n) + np.arange(n.sum())]
-            ids, alive = self._side_by_side(table, n, keys[part])
-            kept, counts = ids[alive], alive.sum(axis=1)
-            packed, stops = kept.astype("<u2").tobytes(), np.cumsum(counts)
-            for i, a, b in zip(part.tolist(), (2 * (stops - counts)).tolist(), (2 * stops).tolist(), strict=True):
-                out[i] = packed[a:b]
-            for k in np.flatnonzero((alive & (ids < 0)).any(axis=1)).tolist():
-                starts = [*np.flatnonzero(alive[k]).tolist(), int(n[k])]
-                out[part[k]] = self._with_bytes(shown[part[k]], [(int(ids[k, a]), a, b) for a, b in zip(starts, starts[1:], strict=False)])
-        for i in np.flatnonzero(lengths > LONG).tolist():
-            out[i] = self._with_bytes(shown[i], self.agenda(symbols[ends[i] - lengths[i] : ends[i]].tolist(), int(keys[i])))
-        return out
-
-    def _with_bytes(self, shown: str, pieces: list[tuple[int, int, int]]) -> bytes:
+            size, width = n[part], int(n[part].max())
+            at = np.minimum(starts[which[part]][:, None] + np.arange(max(width, 1)), len(symbols) - 1)
+            table = np.where(np.arange(max(width, 1)) < size[:, None], symbols[at], np.int32(-1)).astype(np.int32)
+            ids, alive, (r, found) = self._side_by_side(table, size, None if keys is None else keys[part])
+            odd = (alive & (ids < 0)).any(axis=1)
+            for k in np.flatnonzero(odd).tolist():
+                at = [*np.flatnonzero(alive[k]).tolist(), int(size[k])]
+                cut = self._with_bytes(shown[which[part[k]]], [(int(ids[k, a]), a, b) for a, b in zip(at, at[1:], strict=False)])
+                cuts.append((part[k : k + 1], np.array([len(cut)]), cut))
+            even = np.flatnonzero(~odd)
+            cuts.append((part[even], alive[even].sum(axis=1), ids[even][alive[even]].astype("<u2")))
+            places.append((part[r], found))
+        for i in order[len(short) :].tolist():
+            w = which[i]
+            cut = self._with_bytes(shown[w], self.agenda(symbols[starts[w] : starts[w + 1]].tolist(), None if keys is None else int(keys[i])))
+            cuts.append((np.array([i]), np.array([len(cut)]), cut))
+        sizes = np.zeros(len(which), np.int64)
+        held = np.concatenate([np.zeros(0, "<u2"), *[x for *_, x in cuts]])
+        at, begin = 0, np.zeros(len(which), np.int64)
+        for rows, counts, ids in cuts:
+            sizes[rows], begin[rows] = counts, at + np.cumsum(counts) - counts
+            at += len(ids)
+        rows, found = (np.concatenate([np.zeros(0, t), *x]) for x, t in zip(zip(*places, strict=True), (np.int64, np.uint64), strict=True)) if places else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        by_row = np.argsort(rows, kind="stable")
+        return held[_ragged(begin, sizes)], sizes, found[by_row], np.bincount(rows, minlength=len(which))
+
+    def _with_bytes(self, shown: str, pieces: list[tuple[int, int, int]]) -> np.ndarray:
         ids: list[int] = []
         for i, start, end in pieces:
             ids += [i] if i >= 0 else [self.byte_id[b] for b in shown[start:end].encode()]
-        return np.array(ids, "<u2").tobytes()
+        return np.array(ids, "<u2")
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -210,83 +259,84 @@ class MergeDropout:
             words += [w[1:] for w in re.findall(" +[^ ]*", line)]
         return words
 
-    def _places(self, word: str) -> np.ndarray | None:
-        """Hashed places of all candidates that can come up in a word under any draws; None if there are too many."""
-        shown, n = word if word[:1] == "\n" else f" {word}", len(word) + (word[:1] != "\n")
-        if n > SHORT:
-            return None
-        text, met, found = shown.replace(" ", SPACE), {(i, i + 1) for i in range(n)}, []
-        if SPACE in word:  # as text it goes by its bytes and merges with nothing
-            return None
-        for size in range(2, n + 1):
-            for a in range(n - size + 1):
-                b = a + size
-                if text[a:b] in self.ids:
-                    here = [(a, m, b) for m in range(a + 1, b) if (a, m) in met and (m, b) in met and text[a:m] in self.ids and text[m:b] in self.ids]
-                    found += here
-                    if here:
-                        met.add((a, b))
-        if len(found) > MOST_PLACES:
-            return None
-        return self._place(*np.array(found, np.int64).reshape(-1, 3).T)
-
-    def encode(self, texts: list[str], draws: list[int]) -> list[bytes]:
-        """Ids of texts, as little-endian 16-bit. draws: a number for each text, which keys all draws of its words."""
-        split = [self.split(t) if t else [] for t in texts]
-        sizes = np.array([len(s) for s in split], np.int64)
-        every = [w for s in split for w in s]
-        if not every:
-            return [b""] * len(texts)
-        number: dict[str, int] = {}
-        which = np.array([number.setdefault(w, len(number)) for w in every], np.int64)
+    def _split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(words of all texts, number of words of each)."""
+        spaced = pc.match_substring_regex(texts, "^ |  ").to_numpy(zero_copy_only=False)
+        if not spaced.any():
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+            words, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+        else:
+            lists = [self.split(t) for t in texts.to_pylist()]
+            words, sizes = pa.array([w for x in lists for w in x], pa.string()), np.array([len(x) for x in lists])
+        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        if empty.any():  # an empty text is no word
+            words = words.filter(pa.array(~np.repeat(empty, sizes)))
+            sizes = np.where(empty, 0, sizes)
+        return words, sizes.astype(np.int64)
+
+    def _hold(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids, hashed places of candidates) of each word without dropout, as bytes."""
+        shown, symbols, starts = self._symbols(words)
+        ids, sizes, places, counts = self._cut(shown, symbols, starts, np.arange(len(words)), None)
+        ids, places = ids.tobytes(), places.tobytes()
+        a, b = (2 * np.cumsum(sizes)).tolist(), (8 * np.cumsum(counts)).tolist()
+        return [(ids[i:j], places[k:m]) for i, j, k, m in zip([0, *a], a, [0, *b], b, strict=False)]
+
+    def _symbols(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        shown = [w if w[:1] == "\n" else f" {w}" for w in words]
+        symbols = self.char[np.frombuffer("".join(shown).encode("utf-32-le"), "<u4")]
+        return shown, symbols, np.concatenate([[0], np.cumsum([len(x) for x in shown], dtype=np.int64)])
+
+    def encode(self, texts: pa.Array, draws: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, n + 1 offsets). draws: a number for each text, which keys all draws of its words."""
+        texts = pc.fill_null(texts, "")
+        words, sizes = self._split(texts)
+        if not len(words):
+            return np.zeros(0, "<u2"), np.zeros(len(texts) + 1, np.int64)
+        coded = words.dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        known = self.plain.hold(set(distinct), self._hold)
+        held = [known[w] for w in distinct]
         own = _mixed(np.array([d % 2**64 for d in draws], np.uint64) ^ np.uint64(self.seed * int(GOLDEN) % 2**64))
-        position = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ends = np.cumsum(sizes)
+        position = np.arange(len(which)) - np.repeat(ends - sizes, sizes)
         keys = _mixed(np.repeat(own, sizes) + (position + 1).astype(np.uint64) * GOLDEN)
 
-        words = list(number)
-        young, old, often = self.places.young, self.places.old, np.bincount(which) >= LISTED_FROM
-        asked = {w for w, o in zip(words[: 1 << (64 - MOST_PLACES)], often.tolist(), strict=False) if o or w in young or w in old}  # word and skips fit 64 bits
-        known = self.places.hold(asked, lambda some: [(self._places(w),) for w in some])  # a tuple, since hold() takes None for unknown
-        lists = [known[w][0] if w in asked else None for w in words]
-        listed = np.array([x is not None for x in lists])
-        counts = np.array([0 if x is None else len(x) for x in lists], np.int64)
-        skipped = np.zeros(len(every), np.uint64)
-        order = np.argsort(counts[which].astype(np.uint8), kind="stable")
-        ends = np.searchsorted(counts[which][order], np.arange(MOST_PLACES + 1), side="right")
-        row = np.zeros(len(words), np.int64)
-        for m in range(1, MOST_PLACES + 1):  # occurrences of all words of m candidates
-            same = np.flatnonzero(counts == m)
-            if not len(same):
-                continue
-            table, powers = np.array([lists[k] for k in same.tolist()]), np.uint64(1) << np.arange(m, dtype=np.uint64)
-            row[same] = np.arange(len(same))
-            own = order[ends[m - 1] : ends[m]]
-            for some in np.array_split(own, len(own) * m // 30_000 + 1):
-                hit = _mixed(keys[some][:, None] ^ table[row[which[some]]]) < self.below
-                skipped[some] = hit @ powers
-
-        coded: list[bytes] = [b""] * len(every)
-        shown = lambda w: w if w[:1] == "\n" else f" {w}"
-        alone = np.flatnonzero(~listed[which]).tolist()
-        if alone:
-            for i, cut in zip(alone, self._cut([shown(every[i]) for i in alone], keys[alone]), strict=True):
-                coded[i] = cut
-        shared = np.flatnonzero(listed[which])
-        pair = (which[shared].astype(np.uint64) << np.uint64(MOST_PLACES)) | skipped[shared]
-        _, first, back = np.unique(pair, return_index=True, return_inverse=True)
-        first = shared[first]  # any occurrence stands for all with the same word and skips
-        wanted = [(every[i], k) for i, k in zip(first.tolist(), skipped[first].tolist(), strict=True)]
-        one = dict(zip(wanted, first.tolist(), strict=True))
-        cuts = self.cuts.hold(one.keys(), lambda some: self._cut([shown(w) for w, _ in some], keys[[one[x] for x in some]]))
-        found = [cuts[x] for x in wanted]
-        for i, k in zip(shared.tolist(), back.tolist(), strict=True):
-            coded[i] = found[k]
-        stops = np.cumsum(sizes).tolist()
-        return [b"".join(coded[b - k : b]) for b, k in zip(stops, sizes.tolist(), strict=True)]
-
-    def decode(self, ids: bytes) -> str:
-        whole = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u2").tolist()))
-        return whole[1:].decode() if whole[:1] == b" " else whole.decode()
+        places, counts = np.frombuffer(b"".join([x[1] for x in held]), np.uint64), np.array([len(x[1]) // 8 for x in held], np.int64)
+        first = np.cumsum(counts) - counts
+        skips = np.zeros(len(which), bool)  # whether the occurrence skips a candidate of the agenda without dropout
+        for a in range(0, len(which), 50_000):
+            w = which[a : a + 50_000]
+            m = counts[w]
+            hit = _mixed(np.repeat(keys[a : a + 50_000], m) ^ places[_ragged(first[w], m)]) < self.below
+            hits = np.concatenate([[0], np.cumsum(hit)])
+            upto = np.cumsum(m)
+            skips[a : a + 50_000] = hits[upto] > hits[upto - m]
+        shown, symbols, starts = self._symbols(distinct)
+        if self.below:
+            skips |= (np.diff(starts) > LONG)[which]  # the candidates of long words are not listed
+        alone = np.flatnonzero(skips)
+        ids, n, *_ = self._cut(shown, symbols, starts, which[alone], keys[alone])
+
+        cuts = b"".join([x[0] for x in held])
+        length = np.concatenate([[len(x[0]) for x in held], 2 * n]).astype(np.int64)
+        data = pa.py_buffer(cuts + ids.tobytes())
+        pool = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(length)]).astype(np.int64).tobytes()), data])
+        take = which.astype(np.int64)
+        take[alone] = len(held) + np.arange(len(alone))
+        out = np.frombuffer(pool.take(pa.array(take)).buffers()[2] or b"", "<u2")
+        upto = np.concatenate([[0], np.cumsum(length[take] // 2)])
+        return out[: upto[-1]], upto[np.concatenate([[0], ends])]
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """UTF-8 of each text; the space before the first word goes."""
+        if not len(ids):
+            return [b""] * (len(offsets) - 1)
+        held = self.pieces.take(pa.array(ids.astype(np.int32)))
+        _, ends, data = held.buffers()
+        at = np.frombuffer(ends, np.int64)[offsets].tolist()
+        data = memoryview(data)
+        return [bytes(data[a + (data[a : a + 1] == b" ") : b]) for a, b in zip(at, at[1:], strict=False)]
 
 
 _OPEN: dict[tuple, MergeDropout] = {}
@@ -298,14 +348,14 @@ def encoder(*args) -> MergeDropout:
     return _OPEN[args]
 
 
-def encode_with_dropout(docs: DataFrame, model_file: str, rate: float = 0.1, seed: int = 1) -> DataFrame:
-    """One row for each row of docs (doc_id, text): doc_id, n_tokens, ids_crc32, ids, decoded_sha256, lossless.
+def encode_with_dropout(docs: DataFrame, model_file: str, rate: float = 0.1, seed: int = 1, with_ids: bool = True) -> DataFrame:
+    """One row for each row of docs (doc_id, text): doc_id, n_tokens, ids_crc32, decoded_sha256, lossless, and ids if asked for.
 
     The draw for a word depends on the seed, doc_id and the word's position: each occurrence is drawn for itself, within a
-    document and from document to document. ids_crc32 is of the ids as
-    little-endian unsigned 32-bit; decoded_sha256 is of the text that the ids decode to, lossless whether it is the
-    text. Null text is empty: no ids. Null doc_ids share their draws. Repeated rows are encoded each, alike; an empty table
-    gives no rows; other columns are ignored.
+    document and from document to document. ids_crc32 is of the ids as little-endian unsigned 32-bit; decoded_sha256 is
+    of the text that the ids decode to, lossless whether it is the text. Null text is empty: no ids. Null doc_ids share
+    their draws. Repeated rows are encoded each, alike; an empty table gives no rows; other columns are ignored, also
+    such as have a name of the result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,22 +363,21 @@ def encode_with_dropout(docs: DataFrame, model_file: str, rate: float = 0.1, see
 
         coder = encoder(model_file, rate, seed)
         for batch in batches:
-            for first, texts in chunks(batch.column(1)):
+            for first, texts in runs_of(batch.column(1)):
                 doc_ids = batch.column(0).slice(first, len(texts))
-                coded = coder.encode(texts, [xxh64_intdigest(str(i).encode(), seed) for i in doc_ids.to_pylist()])
-                decoded = [coder.decode(x) for x in coded]
-                wide = [np.frombuffer(x, "<u2").astype("<u4") for x in coded]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": doc_ids,
-                        "n_tokens": pa.array([len(x) for x in wide], pa.int64()),
-                        "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in wide], pa.int64()),
-                        "ids": pa.array([x.view(np.int32) for x in wide], pa.list_(pa.int32())),
-                        "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded],
-                        "lossless": [d == t for d, t in zip(decoded, texts, strict=True)],
-                    }
-                )
+                ids, at = coder.encode(texts, [xxh64_intdigest(str(i).encode(), seed) for i in doc_ids.to_pylist()])
+                decoded, wide, bounds = coder.decode(ids, at), ids.astype("<u4"), at.tolist()
+                out = {
+                    "doc_id": doc_ids,
+                    "n_tokens": pa.array(np.diff(at)),
+                    "ids_crc32": pa.array([zlib.crc32(wide[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], pa.int64()),
+                    "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in decoded],
+                    "lossless": [d == (t or "").encode() for d, t in zip(decoded, texts.to_pylist(), strict=True)],
+                }
+                if with_ids:
+                    out["ids"] = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(wide.view(np.int32)))
+                yield pa.RecordBatch.from_pydict(out)
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_crc32 long, ids array<int>, decoded_sha256 string, lossless boolean")
+    return docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_crc32 long, decoded_sha256 string, lossless boolean" + ", ids array<int>" * with_ids)

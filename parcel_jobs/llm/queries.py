@@ -25,7 +25,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_with_dropout(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rate=0.1, seed=1).drop("ids")
+    return encode_with_dropout(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rate=0.1, seed=1, with_ids=False)
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
