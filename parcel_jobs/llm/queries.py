@@ -36,7 +36,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
