@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence. DataFrame functions only.
 
-A document's histograms, of classes of characters and of its language's common words, are compared with references by
-Jensen-Shannon distance. The references are means over all documents of the language in the same table.
+A document's histograms, of classes of characters and of its language's common words, are compared with fixed language
+references by Jensen-Shannon distance. A verdict depends on the document alone, never on other rows.
 """
 
 from __future__ import annotations
@@ -9,29 +9,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import let, written
+from .shared import let
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-#: Classes of characters, as patterns that count one character each; all others are a last class.
-CLASSES = ("[a-z]", "[A-Z]", "[0-9]", r"[\x20\x09-\x0D]", r"[.,;:!?'\x22()-]", SYMBOLS)
-#: Common words of the languages.
+#: Classes of characters that are counted as patterns; lower-case a-z, white space and all others are three more.
+UPPER, DIGITS, MARKS = "[A-Z]", "[0-9]", r"[.,;:!?'\x22()-]"
+#: Common words of the languages, by frequency.
 COMMON = {
-    "en": "the of and to in is that for it was on are be with as this by from or at not an they his her had have but which you".split(),
-    "de": "der die das und in den von zu ist mit sich auf für im dem nicht ein eine als auch es an des er sie bei aus wird".split(),
-    "fr": "le la les de des du et en un une est que qui dans pour sur par au avec ce il ne pas plus sont aux son se".split(),
-    "es": "el la los las de del y en un una es que por con para su al se lo como no más pero sus este ha son".split(),
+    "en": "the of and to a in is that it for was on with as by be this are at from".split(),
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als".split(),
+    "fr": "de la le et les des en un du une que pour est dans qui par sur pas au avec".split(),
+    "es": "de la que el en y los se las del un por con no una su para al es lo".split(),
+}
+#: The share that the r-th common word has of all words, r from 1: Zipf's law with these constants (head, exponent).
+ZIPF = (0.063, 0.82)
+#: Shares of a-z, A-Z, digits, white space, marks, symbols and other characters (letters with accents) in
+#: prose. They were counted over the documents of the sf0.1 tables that are labelled good, and rounded; "" stands for
+#: any other language, whose letters are one class.
+CLASSES = {
+    "en": (0.795, 0.014, 0.001, 0.166, 0.024, 0.0, 0.0),
+    "de": (0.772, 0.012, 0.001, 0.155, 0.022, 0.0, 0.038),
+    "fr": (0.708, 0.010, 0.001, 0.167, 0.024, 0.0, 0.090),
+    "es": (0.725, 0.012, 0.001, 0.161, 0.023, 0.0, 0.078),
+    "": (0.809, 0.0, 0.001, 0.166, 0.024, 0.0, 0.0),
 }
 #: Histograms of fewer words or characters than these are coarse: the limits rise by the allowances times 1 / size less 1 / full size.
 FULL_WORDS, FULL_CHARS, FOR_WORDS, FOR_CHARS = 100, 400, 3.0, 40.0
 #: Distances (0 to 1) beyond which a document is not of its language's kind: of classes alone, or of classes and words together.
-MOST_CLASS, MOST_BOTH = 0.30, (0.12, 0.26)
+MOST_CLASS, MOST_BOTH = 0.30, (0.12, 0.30)
+
+
+def references() -> dict[str, tuple[list[float], list[float]]]:
+    """(classes, common words and all others) of each language."""
+    head, power = ZIPF
+    words = [head * r**-power for r in range(1, len(COMMON["en"]) + 1)]
+    return {lang: (list(shares), [*words, 1 - sum(words)]) for lang, shares in CLASSES.items()}
 
 
 def _repeats(w: Column) -> Column:
     """Words that lie in 5-word windows found twice or more. Windows are told apart by hash first; only a text in which two hashes agree compares them as text."""
     at = F.sequence(F.lit(0), F.size(w) - 5)
-    hashes = F.transform(at, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(5)]))
+    hashes = lambda h: F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(5)]))
     windows = F.array_sort(F.transform(at, lambda i: F.struct(F.concat_ws(" ", *[F.get(w, i + k) for k in range(5)]).alias("g"), i.alias("i"))))
 
     def covered(s: Column) -> Column:
@@ -41,41 +60,34 @@ def _repeats(w: Column) -> Column:
         gaps = lambda p: F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda a, b: F.least(F.lit(5), F.coalesce(b - a, F.lit(5))))
         return let(places, lambda p: F.aggregate(gaps(p), F.lit(0).cast("long"), lambda n, x: n + x))
 
-    twice = let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
+    twice = let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: let(hashes(h), lambda g: F.size(F.array_distinct(g)) < F.size(g)))
     return F.when(F.size(w) < 6, F.lit(0).cast("long")).when(twice, let(windows, covered)).otherwise(F.lit(0).cast("long"))
 
 
-def _features(docs: DataFrame) -> DataFrame:
-    """docs with a struct q of counts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lang = F.lower(F.coalesce(F.col("lang"), F.lit("")))
-    lang = F.when(lang.isin(*COMMON), lang).otherwise(F.lit("other"))
-    every = sorted({w for words in COMMON.values() for w in words})
+def _features(text: Column, lang: Column) -> Column:
+    """Counts of a text, as a struct."""
     lists = F.when(F.lit(False), F.array(F.lit("")))
     for k, words in COMMON.items():
         lists = lists.when(lang == k, F.array(*map(F.lit, words)))
-    lists = lists.otherwise(F.array(*map(F.lit, every)))
 
     def of_words(w: Column) -> Column:
-        found = F.filter(w, lambda x: x.isin(*every))
-        by_word = let(found, lambda f: F.transform(lists, lambda x: F.size(f) - F.size(F.array_remove(f, x))))
-        return F.struct(
-            F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            _repeats(w).alias("n_repeat_words"), by_word.alias("words"),
-        )
-
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
-    return docs.withColumn("q", F.struct(
-        lang.alias("lang"), F.length(text).cast("long").alias("n_chars"), let(F.array_remove(F.split(text, SPACE), ""), of_words).alias("w"),
-        F.array(*[F.regexp_count(text, F.lit(c)).cast("long") for c in CLASSES]).alias("classes"),
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), _repeats(w).alias("n_repeat_words"))
+
+    def of_folded(w: Column) -> Column:
+        """How often each common word of the language stands among the words without marks and case, and how many there are."""
+        every = sorted({x for words in COMMON.values() for x in words})
+        counts = let(F.filter(w, lambda x: x.isin(*every)), lambda f: F.transform(lists, lambda x: F.size(f) - F.size(F.array_remove(f, x))))
+        return F.struct(F.size(w).cast("long").alias("n"), counts.alias("counts"))
+
+    n_of = lambda s, kind: F.regexp_count(s, F.lit(kind)).cast("long")
+    rest = lambda s: F.struct(F.length(s).cast("long").alias("n"), *[n_of(s, k).alias(name) for name, k in (("upper", UPPER), ("digits", DIGITS), ("marks", MARKS), ("symbols", SYMBOLS))])
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return F.struct(
+        F.length(text).cast("long").alias("n_chars"), let(F.array_remove(F.split(text, SPACE), ""), of_words).alias("w"),
+        let(F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D.,;:!?'\x22()-]+"), ""), of_folded).alias("f"),
+        let(F.regexp_replace(text, r"[a-z\x20\x09-\x0D]+", ""), rest).alias("c"),  # what is neither a-z nor white space is little
         let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
-    ))
-
-
-def _shares(counts: Column, total: Column) -> Column:
-    """Counts as shares of the total, and the rest of it as a last share."""
-    total = F.greatest(total, F.lit(1))  # Spark may look at a row before it is filtered out
-    return let(F.transform(counts, lambda x: x / total), lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, x: a + x)))))
+    )
 
 
 def _js(p: Column, q: Column) -> Column:
@@ -90,35 +102,45 @@ def _allowance(size: Column, full: int, weight: float) -> Column:
     return weight * F.greatest(F.lit(0.0), 1 / F.greatest(size, F.lit(1)) - 1 / full)
 
 
-def quality_verdicts(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def quality_verdicts(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), text: str = "text", lang: str = "lang") -> DataFrame:
     """One row for each row of docs (doc_id, text, lang): the carried columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, js_class, js_word.
 
     base_failed: fewer than 10 words, or more than a fifth of them in repeated 5-word windows. Of the rest, a document
     is rejected if js_class exceeds MOST_CLASS, or both distances exceed MOST_BOTH. Below FULL_CHARS characters MOST_CLASS
-    rises, below FULL_WORDS words the second of MOST_BOTH, since short histograms stray by chance. Languages other than those of COMMON share one
-    reference. Null text is empty, null lang is such another language. Repeated rows are judged each; an empty table
-    gives no rows. References are five rows of sums over all rows, whatever the table's size.
+    rises, below FULL_WORDS words the second of MOST_BOTH, since short histograms stray by chance. Common words are
+    compared without case and marks. Other languages than those of COMMON, null too, have letters as one class, and no
+    common words: js_word is null and js_class alone judges. Null text is empty: base_failed, distances null. Repeated
+    rows are judged each; an empty table gives no rows; other columns are ignored. Nothing is shuffled. `text` and
+    `lang` name the columns, or fields of a carried struct.
     """
-    counted = written(_features(docs).select(*carry, "q"), "quality")
-    base_failed = (F.col("q.w.n_words") < 10) | (100 * F.col("q.w.n_repeat_words") > 20 * F.col("q.w.n_words"))
-    classes, words = _shares(F.col("q.classes"), F.col("q.n_chars")), _shares(F.col("q.w.words"), F.col("q.w.n_words"))
-    judged = counted.where(~base_failed).select("q.lang", classes.alias("c"), words.alias("w"))
-    means = lambda name: F.posexplode(name).alias("at", "share")
-    both = [judged.select("lang", F.lit(kind).alias("kind"), means(kind)).groupBy("lang", "kind", "at").agg(F.avg("share").alias("share")) for kind in ("c", "w")]
-    reference = {(r["lang"], r["kind"], r["at"]): r["share"] for r in both[0].unionAll(both[1]).collect()}
-
-    def literal(kind: str) -> Column:
+    whole, kind = F.coalesce(F.col(text), F.lit("")), F.lower(F.coalesce(F.col(lang), F.lit("")))
+    kind = F.when(kind.isin(*COMMON), kind).otherwise(F.lit(""))
+    own = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), kind.alias("kind"), _features(whole, kind).alias("q"))
+    n, c, w = F.col("q.n_chars"), F.col("q.c"), F.col("q.w")
+    base_failed = (w["n_words"] < 10) | (100 * w["n_repeat_words"] > 20 * w["n_words"])
+    space = n - w["word_chars"]
+    lower, other = n - space - c["n"], c["n"] - c["upper"] - c["digits"] - c["marks"] - c["symbols"]
+    known = F.col("kind") != ""
+    letters = F.when(known, lower).otherwise(lower + c["upper"] + other)
+    none = F.lit(0).cast("long")
+    counts = F.array(letters, F.when(known, c["upper"]).otherwise(none), c["digits"], space, c["marks"], c["symbols"], F.when(known, other).otherwise(none))
+    classes = F.transform(counts, lambda x: x / F.greatest(n, F.lit(1)))
+    total = F.greatest(F.col("q.f.n"), F.lit(1))
+    shares = F.transform(F.col("q.f.counts"), lambda x: x / total)
+    words = let(shares, lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, x: a + x)))))
+
+    def reference(at: int) -> Column:
         out = F.when(F.lit(False), F.array(F.lit(0.0)))
-        for lang in sorted({k[0] for k in reference}):
-            shares = [reference[k] for k in sorted(k for k in reference if k[:2] == (lang, kind))]
-            out = out.when(F.col("q.lang") == lang, F.array(*[F.lit(float(x)) for x in shares]))
+        for k, held in references().items():
+            if at == 0 or k:
+                out = out.when(F.col("kind") == k, F.array(*[F.lit(float(x)) for x in held[at]]))
         return out
 
-    judged = counted.withColumns({"js_class": F.when(~base_failed, _js(classes, literal("c"))), "js_word": F.when(~base_failed, _js(words, literal("w")))})
-    class_far = F.col("js_class") > MOST_CLASS + _allowance(F.col("q.n_chars"), FULL_CHARS, FOR_CHARS)
-    both_far = (F.col("js_class") > MOST_BOTH[0]) & (F.col("js_word") > MOST_BOTH[1] + _allowance(F.col("q.w.n_words"), FULL_WORDS, FOR_WORDS))
-    far = F.coalesce(class_far | both_far, F.lit(False))
+    judged = own.withColumns({"js_class": F.when(~base_failed, _js(classes, reference(0))), "js_word": F.when(~base_failed & known, _js(words, reference(1)))})
+    class_far = F.col("js_class") > MOST_CLASS + _allowance(n, FULL_CHARS, FOR_CHARS)
+    both_far = (F.col("js_class") > MOST_BOTH[0]) & (F.col("js_word") > MOST_BOTH[1] + _allowance(w["n_words"], FULL_WORDS, FOR_WORDS))
+    far = F.coalesce(class_far, F.lit(False)) | F.coalesce(both_far, F.lit(False))
     return judged.select(
-        *carry, "q.w.n_words", "q.w.word_chars", F.get("q.classes", F.lit(len(CLASSES) - 1)).alias("n_symbols"), "q.n_dup_lines", "q.w.n_repeat_words",
+        "row.*", w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"), c["symbols"].alias("n_symbols"), "q.n_dup_lines", w["n_repeat_words"].alias("n_repeat_words"),
         base_failed.alias("base_failed"), (~base_failed & ~far).alias("kept"), "js_class", "js_word",
     )

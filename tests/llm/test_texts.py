@@ -106,24 +106,67 @@ def test_quality_counts(spark):
     assert quality.quality_verdicts(docs(spark, [])).collect() == []
 
 
-def test_quality_divergence(spark):
+def slow_distances(text, lang):
+    """Jensen-Shannon distances of a text from its language's references, in plain Python."""
+    lang = (lang or "").lower() if (lang or "").lower() in quality.COMMON else ""
+    ascii_only = lambda p: len(re.findall(p, text))
+    lower, upper, digits, space, marks, symbols = (ascii_only(p) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[\x20\x09-\x0D]", r"[.,;:!?'\x22()-]", r"[#*$%&|<>]"))
+    other = len(text) - lower - upper - digits - space - marks - symbols
+    counts = [lower, upper, digits, space, marks, symbols, other] if lang else [lower + upper + other, 0, digits, space, marks, symbols, 0]
+
+    def js(p, q):
+        kl = lambda a, b: sum(x * np.log2(x / y) for x, y in zip(a, b, strict=True) if x > 0)
+        m = [(x + y) / 2 for x, y in zip(p, q, strict=True)]
+        return max(0.0, (kl(p, m) + kl(q, m)) / 2) ** 0.5
+
+    by_class = js([x / len(text) for x in counts], quality.references()[lang][0])
+    words = [w for w in re.split(r"[\x20\x09-\x0D.,;:!?'\x22()-]+", text.lower()) if w]
+    shares = [words.count(w) / max(1, len(words)) for w in quality.COMMON.get(lang, ())]
+    return by_class, js([*shares, 1 - sum(shares)], quality.references()[lang][1]) if lang else None
+
+
+def test_quality_distances(spark):
     rng = random.Random(6)
-    words = "the of and to in is that house river stone bridge walking morning paper garden window letter summer".split()
-    good = [" ".join(rng.choice(words) for _ in range(200)).capitalize() + "." for _ in range(40)]
-    shout = [" ".join(rng.choice(words).upper() + "!!" + str(i) for i in range(200)) for _ in range(2)]
-    got = quality.quality_verdicts(docs(spark, [*enumerate(good), *enumerate(shout, 100), (200, "MUCH TOO SHORT TO BE JUDGED BY ANY HISTOGRAM AT ALL !!")])).collect()
-    assert {r["doc_id"] for r in got if not r["kept"]} == {100, 101}
-
-
-def test_quality_judges_short_documents(spark):
+    words = "the of and to in is that house river stone bridge walking morning paper garden window letter summer It's für être señor".split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(10, 300))) + rng.choice(["", ". The END!", " | 12 #"]) for _ in range(30)]
+    langs = ["en", "DE", "fr", "es", "xx", None]
+    rows = [(i, t, langs[i % 6], "r", 1, "l", 9) for i, t in enumerate(texts)]
+    got = quality.quality_verdicts(spark.createDataFrame(rows, DOCS + ", js_class int")).collect()
+    judged = [r for r in got if not r["base_failed"]]
+    assert len(judged) > 20
+    for r in judged:
+        want = slow_distances(texts[r["doc_id"]], langs[r["doc_id"] % 6])
+        assert r["js_class"] == pytest.approx(want[0], abs=1e-9)
+        assert r["js_word"] is None if want[1] is None else r["js_word"] == pytest.approx(want[1], abs=1e-9)
+
+
+def prose(rng, n):
+    """Words drawn with the shares of common English words; the rest are other words."""
+    other = "house river stone bridge walking morning paper garden window letter summer children between following".split()
+    weights = quality.references()["en"][1]
+    return " ".join(w or rng.choice(other) for w in rng.choices([*quality.COMMON["en"], None], weights, k=n)).capitalize() + "."
+
+
+def test_quality_verdicts_do_not_depend_on_other_rows(spark):
     rng = random.Random(8)
-    words = "the of and to in is that house river stone bridge walking morning paper garden window letter summer".split()
-    line = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
-    good = [line(200) for _ in range(40)] + [line(n) for n in (12, 20, 30, 45, 60, 80, 99)]
-    table = [" | ".join(rng.choice(words[7:]) + rng.choice("abcdefg") * 2 for _ in range(n)) for n in (20, 30, 45)]
-    marks = [" ".join(rng.choice(words) + rng.choice(("$$$", "%%%", "&&&", "***")) for _ in range(n)) for n in (30, 60, 90)]
-    got = quality.quality_verdicts(docs(spark, [*enumerate(good), *enumerate(table + marks, 100)])).collect()
-    assert {r["doc_id"] for r in got if not r["kept"]} == {*range(100, 106)} and all(r["js_class"] is not None for r in got)
+    good = [prose(rng, n) for n in (200, 150, 90, 60, 45, 30, 20)]
+    title = [prose(rng, 120).title()]
+    shout = [" ".join(rng.choice(prose(rng, 9).split()).upper() + "!!" + str(i) for i in range(200)) for _ in range(8)]
+    table = [" | ".join(rng.choice("house river stone bridge".split()) + rng.choice("abcdefg") * 2 for _ in range(n)) for n in (20, 30, 45)]
+    marks = [" ".join(rng.choice(prose(rng, 9).split()) + rng.choice(("$$$", "%%%", "&&&", "***")) for _ in range(n)) for n in (30, 60, 90)]
+    bad = shout + table + marks
+    rows = [*enumerate(good + title), *enumerate(bad, 100)]
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_verdicts(docs(spark, rows)).collect()}
+    assert {i for i, k in kept.items() if not k} == {i for i, _ in rows if i >= 100}
+    for i, t in (rows[0], rows[-1], (100, shout[0])):
+        assert quality.quality_verdicts(docs(spark, [(i, t)])).first()["kept"] == kept[i]
+    other = quality.quality_verdicts(docs(spark, [(1, "这是一段没有空格的文字，" * 30 + " a b c d e f g h i j")], lang="zh")).first()
+    assert other["kept"] and other["js_word"] is None
+
+
+def test_quality_of_one_long_repeated_window(spark):
+    got = quality.quality_verdicts(docs(spark, [(1, prose(random.Random(1), 60_000)), (2, "a b c d e " * 60_000)])).collect()
+    assert {r["doc_id"]: r["base_failed"] for r in got}[2] and [r["n_words"] for r in got if r["doc_id"] == 2] == [300_000]
 
 
 PAGE = "<html><head><title>t</title></head><body><nav><a href=x>Home</a></nav><div class='cookie notice'>We use cookies</div>{}<section class='comments'><p>I liked this one</p></section><footer>&copy; me</footer></body></html>"
