@@ -200,17 +200,69 @@ def test_marginals_are_those_of_all_assignments():
     assert model.marginals(nodes) == pytest.approx(brute, abs=1e-9)
 
 
-def test_held_out_pages():
-    train, test = html_text.labelled_pages()[::2], html_text.labelled_pages()[1::2]
-    model, right, total = html_text.trained(train), 0, 0
-    for page in test:
+def right_share(model, pages):
+    right = total = 0
+    for page in pages:
         nodes, _ = html_text.parse(page)
         label = []
         for x in nodes:
             label.append(x.label if x.label is not None else (label[x.parent] if x.parent >= 0 else False))
         right += sum((p > 0.5) == y for p, y in zip(model.marginals(nodes), label, strict=True))
         total += len(nodes)
-    assert right / total > 0.97
+    return right / total
+
+
+def test_held_out_layouts():
+    per_layout = len(html_text._BOXES) // 2
+    train = html_text.labelled_pages()
+    for k in range(0, 12, 2):  # each of these main layouts is left out of training in turn
+        held = [p for i, p in enumerate(train) if i // per_layout % len(html_text._MAINS) == k]
+        model = html_text.trained([p for i, p in enumerate(train) if i // per_layout % len(html_text._MAINS) != k])
+        assert right_share(model, held) > 0.95
+    assert right_share(html_text.trained(), html_text.labelled_pages(seed=99)) > 0.97
+
+
+def test_articles_of_the_tables(spark):
+    """The pages of the given tables mark their article by one element, and nothing else in them is content."""
+    import html as reference
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r in pages.join(html_text.extract_main_text(pages), ["page_id", "url"]).collect():
+        inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
+        blocks = re.sub(r"<[^>]+>", "", re.sub(r"</?(p|h1|br|ul|li)>", "\0", inner)).split("\0")
+        assert r["text"] == " ".join(filter(None, (re.sub(r"\s+", " ", reference.unescape(x)).strip() for x in blocks)))
+
+
+HOSTILE = ["<a" * 100_000, "<" + "a" * 1_000_000, "<a " * 100_000, "<div>" * 100_000, "<li><ul>" + "<div>" * 50_000 + "<li>" * 50_000, "<a \"" * 100_000, "</script " * 100_000, "<script></script " * 50_000, "<!--" * 100_000]
+HOSTILE += ["&" * 1_000_000, "&#" + "9" * 100_000 + ";", "&#" + "0" * 100_000 + "65;", '<x ">" ' * 50_000, "<p>" * 50_000, "<b>" * 50_000 + "</i>" * 50_000, "<?" * 100_000, "<p hidden " + " " * 100_000]
+
+
+@pytest.mark.parametrize("k", range(len(HOSTILE)))
+def test_hostile_pages_are_read_in_time(k):
+    import time
+
+    model, start = html_text.trained(), time.process_time()
+    assert html_text.main_text("<article><p>Head of it</p><p>" + HOSTILE[k], model).startswith("Head of it")
+    assert time.process_time() - start < 5
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h1>Head</h1><p class=notice>One text of the article that matters.</p><section class=more><p>Two more paragraphs, with words.</p><p>Three.</p></section></article>", "Head One text of the article that matters. Two more paragraphs, with words. Three."),
+        ("<body><p>First paragraph of a plain page, which has nothing else on it.</p><p>Second one, about as long as the first.</p></body>", "First paragraph of a plain page, which has nothing else on it. Second one, about as long as the first."),
+        ("<body><nav><a href=x>Home</a></nav><p>First paragraph of a plain page, which has text.</p><p>Second one, about as long, which goes on for some more words.</p><p>Third and last of them.</p><footer>me</footer></body>", "First paragraph of a plain page, which has text. Second one, about as long, which goes on for some more words. Third and last of them."),
+        ("<article><header><h1>Inner header text</h1></header><p>word word</p></article><aside>side</aside>", "Inner header text word word"),
+        ("<header>Site</header><div class=cookie>We use cookies</div><article><h1>T</h1><p>Body one two.</p><form><input>Your mail</form></article><section id=comments><p>nice one this is</p></section>", "T Body one two."),
+        ("<article><p>a &#65;&#x42;&#0067;&#99999999999; &amp; &notin; b\n c</p></article>", "a ABC\ufffd & ∉ b c"),
+    ],
+)
+def test_main_text_of_layouts(page, text):
+    assert html_text.main_text(page, html_text.trained()) == text
+
+
+def test_no_pages(spark):
+    assert html_text.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars int")).collect() == []
 
 
 def toxic_table(rng, n=900):
