@@ -70,19 +70,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-#: Turns in order, their texts, and the lengths of the template's marks and escapes.
+#: Turns in order, their texts, the lengths of the template's marks and escapes, and references that became placeholders.
 _OP2 = r"""
 with t as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
-e as (select *, length(replace(replace(role || text, '\', '\b'), '<', '\l')) + length('<turn><body></turn>') + 1 as chars from t)
+e as (select *, regexp_extract_all(text, '!\[[^\]\\<\n]*\]\([^)\\<\s]*\)') as refs from t),
+m as (select *, len(refs) as n, len(list_filter(refs, lambda r: regexp_matches(r, '\.(mp3|wav|ogg|flac)\)$'))) as audio, len(list_filter(refs, lambda r: regexp_matches(r, '\.(pdf|doc|docx|txt)\)$'))) as docs from e),
+c as (select *, length(replace(replace(role || text, '\', '\b'), '<', '\l')) + length('<turn><body></turn>') + 1
+    - length(array_to_string(refs, '')) + audio * length('<audio>') + docs * length('<document>') + (n - audio - docs) * length('<image>') as chars from m)
 select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
   cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
-  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
-  cast(sum(chars) as bigint) as formatted_chars
-from e group by conv_id
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn nulls first, role, text)) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars, cast(sum(n) as bigint) as n_attachments,
+  cast(sum(128 * audio + 512 * docs + 256 * (n - audio - docs)) as bigint) as expanded_tokens
+from c group by conv_id
 """
 
 #: Deleting white space, grouping by the text itself and hashing are SQL; so is the choice of the row that stays.

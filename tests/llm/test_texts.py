@@ -21,7 +21,8 @@ def docs(spark, texts, lang="en"):
 
 def test_conversations(spark):
     turns = [(1, 1, "assistant", "a </turn> \\l \\b <body>"), (1, 0, "user", None), (2, 0, None, "é\n"), (2, 0, "assistant", ""), (None, 5, "assistant", "x<turn>"), (1, 1, "assistant", "a </turn> \\l \\b <body>"), (3, None, "<user>", "\\")]
-    df = spark.createDataFrame([(*t, 1) for t in turns], "conv_id long, turn long, role string, text string, formatted int")
+    turns += [(4, 0, "user", "see ![cat](http://x/cat.png) and ![](a.mp3)![b](c.pdf) <image>"), (4, 1, "assistant", "![x](y) seen"), (4, 1, "assistant", "<x"), (4, 1, "assistant", "\\x"), (4, 2, "user", "![not](one two) ![nor <this](z)"), (5, 0, "assistant", "very long " * 100_000 + "![p](q.wav)")]
+    df = spark.createDataFrame([(*t, 1, "c") for t in turns], "conv_id long, turn long, role string, text string, formatted int, attachments string")
     got = {r["conv_id"]: r for r in chat.conversation_digests(df).collect()}
     for conv in {t[0] for t in turns}:
         own = sorted((t[1] if t[1] is not None else -1, t[2] or "", t[3] or "") for t in turns if t[0] == conv)
@@ -29,16 +30,38 @@ def test_conversations(spark):
         assert got[conv]["n_turns"] == len(own) and got[conv]["loss_chars"] == len(loss)
         assert got[conv]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
         assert got[conv]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    assert {i: (r["n_attachments"], r["expanded_tokens"]) for i, r in got.items() if r["n_attachments"]} == {4: (4, 256 + 128 + 512 + 256), 5: (1, 128)}
     assert chat.conversation_digests(df.limit(0)).collect() == []
 
 
-def test_parts_become_placeholders(spark):
+def test_conversations_give_the_rows_of_their_sql(spark):
+    import duckdb
+
+    from parcel_jobs.llm import queries
+
+    duck, data = duckdb.connect(), "/root/testdata/sf0.001"
+    for table in ("conversations", "documents"):
+        duck.execute(f"create view {table} as select * from '{data}/{table}.parquet'")
+    for name, sql in queries.ORACLES.items():
+        out = queries.QUERIES[name](spark, data)
+        want = duck.execute(sql)
+        names = [d[0] for d in want.description]
+        assert sorted(names) == sorted(out.columns)
+        rounded = lambda row: tuple(round(v, 9) if isinstance(v, float) else v for v in row)
+        assert sorted((rounded(r[c] for c in names) for r in out.collect()), key=repr) == sorted(map(rounded, want.fetchall()), key=repr)
+
+
+def test_parts_become_placeholders_and_come_back(spark):
     part = lambda kind, text=None, ref=None, tokens=None: (kind, text, ref, tokens)
-    rows = [(1, 0, "user", [part("text", "see <image> "), part("image", ref="a.png"), part("audio", ref="b", tokens=7)]), (1, 1, "assistant", [part("document", ref="c"), part("text", "ok"), part("text")]), (1, 2, "user", None)]
-    out = chat.format_conversations(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PART}")).first()
-    assert out["formatted"] == "<turn>user<body>see \\limage> <image><audio></turn>\n<turn>assistant<body><document>ok</turn>\n<turn>user<body></turn>\n"
-    assert [tuple(a) for a in out["attachments"]] == [("image", "a.png", 256), ("audio", "b", 7), ("document", "c", 512)] and out["expanded_tokens"] == 775
-    assert [out["formatted"][s["start"] : s["start"] + s["length"]] for s in out["spans"]] == ["<document>ok"]
+    rows = [(1, 0, "user", [part("text", "see <image> "), part("image", ref="a.png"), part("audio", ref="b", tokens=7)]), (1, 1, "assistant", [part("document", ref="c"), part("text", "ok"), part("text")]), (1, 2, "user", None), (1, 3, "user", [part(None, "n"), part("video", "v")])]
+    out = chat.format_conversations(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PART}"))
+    out = out.withColumn("turns", chat.read_turns(F.col("formatted"), F.col("attachments"))).first()
+    assert out["formatted"] == "<turn>user<body>see \\limage> <image><audio></turn>\n<turn>assistant<body><document>ok</turn>\n<turn>user<body></turn>\n<turn>user<body>nv</turn>\n"
+    assert [[(a["type"], a["ref"], a["tokens"]) for a in t] for t in out["attachments"]] == [[("image", "a.png", 256), ("audio", "b", 7)], [("document", "c", 512)], [], []] and out["expanded_tokens"] == 775
+    assert [(s["turn"], out["formatted"][s["start"] : s["start"] + s["length"]]) for s in out["spans"]] == [(1, "<document>ok")]
+    assert [(t["role"], [(p["type"], p["text"], p["ref"]) for p in t["parts"]]) for t in out["turns"]] == [
+        ("user", [("text", "see <image> ", None), ("image", None, "a.png"), ("audio", None, "b")]), ("assistant", [("document", None, "c"), ("text", "ok", None)]), ("user", []), ("user", [("text", "nv", None)]),
+    ]
 
 
 NOTICE, WHOLE_BSD, WHOLE_MIT = licenses.TEMPLATES[6][0], licenses.TEMPLATES[7][0], licenses.TEMPLATES[1][0]
