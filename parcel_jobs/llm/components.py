@@ -7,16 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import forget, written
 
 
 def _ends(forest: DataFrame) -> DataFrame:
-    """(node, up) of a written forest with every path halved until up is an end."""
+    """(node, up) of a written forest with every path halved until up is an end; the forests before it go."""
     while True:
         above = forest.select(F.col("node").alias("up"), F.col("up").alias("above"))
         if forest.join(above, "up", "left_semi").isEmpty():
             return forest
-        forest = written(forest.join(above.hint("merge"), "up", "left").select("node", F.coalesce("above", "up").alias("up")), "forest")
+        halved = written(forest.join(above.hint("merge"), "up", "left").select("node", F.coalesce("above", "up").alias("up")), "forest")
+        forget(forest)
+        forest = halved
 
 
 def roots_of(links: DataFrame) -> DataFrame:
@@ -33,7 +35,9 @@ def roots_of(links: DataFrame) -> DataFrame:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hung.append(_ends(written(both.groupBy("a").agg(F.min("b").alias("up")).where("up < a").toDF("node", "up"), "forest")))
         left, right = hung[-1].toDF("a", "ua"), hung[-1].toDF("b", "ub")
-        links = written(tidy(links.join(left.hint("merge"), "a", "left").join(right.hint("merge"), "b", "left").select(F.coalesce("ua", "a").alias("a"), F.coalesce("ub", "b").alias("b"))), "links")
+        renamed = written(tidy(links.join(left.hint("merge"), "a", "left").join(right.hint("merge"), "b", "left").select(F.coalesce("ua", "a").alias("a"), F.coalesce("ub", "b").alias("b"))), "links")
+        forget(links)
+        links = renamed
     if not hung:
         return links.toDF("node", "root")
     forest = _ends(reduce(DataFrame.unionAll, hung)).toDF("node", "root")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import forget, written
 
 #: Deleted before texts are compared.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -41,13 +41,14 @@ def exact_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text
 
     rows = docs.select(*carry, "doc_id", (-F.length(whole)).cast("long").alias("neg_chars"), *([] if carry else [F.col(text).alias("held")]))
     rows = named(rows, held).withColumn("digit", digit(0, first_digit)).drop("norm")
-    groups = rows.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit", F.monotonically_increasing_id().alias("gid"))
-    state = rows.join(written(groups, "radix-groups").hint("merge"), "digit", "left").select(
+    groups = written(rows.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit", F.monotonically_increasing_id().alias("gid")), "radix-groups")
+    state = rows.join(groups.hint("merge"), "digit", "left").select(
         *carry, "doc_id", "neg_chars", "gid", F.sha2(norm(held), 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"),
         *[F.when(F.col("gid").isNotNull(), F.col(x)).alias(x) for x in own],
         F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.col("gid").isNull().alias("kept"),
     )
     state = written(state, "radix")
+    forget(groups)
     done, at, width = [state.where("gid is null")], first_digit, first_digit
     while not (going := state.where("gid is not null")).isEmpty():
         width *= growth
@@ -64,6 +65,7 @@ def exact_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text
             (alone | (F.col("best.d") == F.col("row"))).alias("kept"),
         )
         state = written(state, "radix")
+        forget(groups)
         at += width
         done.append(state.where("gid is null"))
     return reduce(DataFrame.unionAll, done).select(*carry, "doc_id", "keep_id", "group_size", "kept", "text_sha256")

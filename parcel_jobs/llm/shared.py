@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,16 +25,46 @@ def shared_dir(spark: SparkSession) -> str:
     return base if "://" in base or base.startswith("file:") else f"file://{base}"
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    return f"{_FOLDER.get() or shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, tag: str) -> Iterator[None]:
+    """What operators write while it is open goes when it closes: the result must have been written elsewhere by then."""
+    path = new_path(spark, tag)
+    token = _FOLDER.set(path)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+        _delete(spark, path)
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """The same rows, read back from Parquet in the shared folder: lineage is cut and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = new_path(spark, tag)
+    path = path or new_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete tables that written() made and that nothing reads any more: all that was made of them is written itself."""
+    for df in frames:
+        if path := _PATHS.pop(df, None):
+            _delete(df.sparkSession, path)
 
 
 def text_column(batch: pa.RecordBatch, path: str) -> pa.Array:

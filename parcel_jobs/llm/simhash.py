@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import roots_of
-from .shared import chunks, text_column, written
+from .shared import chunks, forget, text_column, written
 
 WORDS_A_SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Widths of the blocks of a fingerprint. Three bits lie in three blocks at most, so two of the five are equal.
@@ -209,7 +209,7 @@ def near_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text"
     """The carried columns, doc_id, fingerprint (16 hex digits), component_id and first of each row of docs (doc_id, text).
 
     component_id is the least doc_id that links reach, links being fingerprints at three or fewer differing bits; copies
-    share a fingerprint and meet as one member. first is true for one row of a component, one with that doc_id. Texts
+    share a fingerprint and meet as one member. What a bucket of m members over TILE costs grows with m * m / TILE. first is true for one row of a component, one with that doc_id. Texts
     without words have the fingerprint zero, which links like others. Null text is empty. Null doc_ids are rows of their
     component and never name it, unless it has no other. Repeated rows are kept. An empty table gives no rows; other
     columns are ignored. With carried columns, `text` names the text among them.
@@ -217,9 +217,10 @@ def near_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text"
     by_doc = written(fingerprints(docs, carry, text, shingle).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("row").alias("c"))
     by_fp = written(by_doc.groupBy("fp").agg(F.min(order).alias("least")), "distinct-fingerprints")
-    roots = written(roots_of(near_links(by_fp.select("fp"))), "roots").toDF("fp", "root")
-    rooted = by_fp.join(roots.hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    roots = written(roots_of(near_links(by_fp.select("fp"))), "roots")
+    rooted = by_fp.join(roots.toDF("fp", "root").hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = written(rooted.groupBy("root").agg(F.min("least").alias("least")), "components")
     named = written(rooted.select("fp", "root").join(names.hint("merge"), "root").select("fp", F.col("least.b").alias("component_id"), F.col("least.c").alias("first")), "fingerprint-components")
+    forget(by_fp, roots, names)
     out = by_doc.join(named.hint("merge"), "fp")
     return out.select(*carry, "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", (F.col("row") == F.col("first")).alias("first"))

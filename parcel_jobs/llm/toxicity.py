@@ -5,9 +5,11 @@ Fitting works on a bounded sample of documents outside the held-out fold, in one
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,9 @@ from pyspark.sql import functions as F
 from .shared import chunks, text_column
 from .wordcache import TwoGenerations
 
-#: Bounds of the sample: documents labelled toxic, labelled clean, and without a label.
-SAMPLE = (1500, 2000, 1000)
-#: Characters of the sample's texts in all, at most about; beyond, the last documents by hash are left out of fitting.
-SAMPLE_CHARS = 20_000_000
-#: Voters, and features of the classifier, at most.
+#: Bounds of the sample that is fitted on: documents labelled toxic, documents labelled clean, and characters of their texts in all.
+SAMPLE, SAMPLE_CHARS = (2000, 4000), 40_000_000
+#: Voters, and features of the classifier, at most; Fitted.dropped tells how many candidates were left out.
 VOTERS, FEATURES = 128, 600
 #: A voter's word or stem stands in so many different contexts at least, in documents labelled toxic; copies of a text count once.
 LEAST_CONTEXTS = 3
@@ -51,17 +51,14 @@ def held_out(doc_id) -> "F.Column":
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(4)) == 2
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int, int] = SAMPLE) -> DataFrame:
-    """A bounded sample (text, toxic) outside the held-out fold, chosen by hash of doc_id; toxic is null where there's no label."""
-    known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    turn = F.xxhash64("doc_id", F.lit(9))
-    pick = lambda df, n: df.orderBy(turn).limit(n).select("doc_id", "toxic")
-    ids = docs.where("doc_id is not null").where(~held_out(F.col("doc_id"))).select("doc_id")
-    known = known.join(ids.distinct(), "doc_id", "left_semi")
-    unknown = pick(ids.withColumn("toxic", F.lit(None).cast("int")), sizes[2])
-    chosen = pick(known.where("toxic = 1"), sizes[0]).unionAll(pick(known.where("toxic = 0"), sizes[1])).unionAll(unknown)
-    chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+def sample_of(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = SAMPLE) -> DataFrame:
+    """A bounded sample (text, toxic) of labelled documents outside the held-out fold, chosen by hash of doc_id; one row of each doc_id, the least by hash of its text."""
+    known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.join(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    pick = lambda kind, n: known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(n)
+    chosen = pick(1, sizes[0]).unionAll(pick(0, sizes[1]))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")).select(F.col("least.text").alias("text"), "toxic")
 
 
 def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,21 +110,47 @@ def fit_linear(rows: list[np.ndarray], y: np.ndarray, m: int, l1: float = 2e-4,
     return w[:m], float(w[m])
 
 
-def fit(texts: Iterable[str], toxic: list[int | None]) -> tuple[dict[str, float], float, list[str]]:
-    """Weights of features, bias, and the voters. Without voters, no feature has a weight and every score is near 0.
+@dataclass
+class Fitted:
+    """Weights of features, the classifier's bias, the voters, documents and characters fitted on, and candidates left out by a bound."""
 
-    Texts are held as numbers of their words. Only features of words in documents labelled toxic are looked at.
+    weights: dict[str, float] = field(default_factory=dict)
+    bias: float = -6.0
+    voters: list[str] = field(default_factory=list)
+    documents: int = 0
+    chars: int = 0
+    dropped: int = 0
+
+
+class Sample:
+    """Labelled documents as numbers of their words: those of toxic ones in order, of others each word once. Texts are not kept."""
+
+    def __init__(self, most_chars: int = SAMPLE_CHARS):
+        self.most_chars, self.chars, self.vocabulary, self.docs, self.toxic = most_chars, 0, {}, [], []
+
+    def add(self, text: str, toxic: int | None) -> None:
+        if self.chars >= self.most_chars:
+            return
+        self.chars += len(text)
+        numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in _LETTERS.findall(text.lower())], np.int32)
+        self.docs.append(numbers if toxic == 1 else np.unique(numbers))
+        self.toxic.append(np.nan if toxic is None else float(toxic))
+
+
+def fit(sample: Sample, most_voters: int = VOTERS, most_features: int = FEATURES) -> Fitted:
+    """Mine voters, fit the label model and the classifier. Without voters, no feature has a weight and every score is near 0.
+
+    Only features of words in documents labelled toxic are looked at.
     """
-    vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _LETTERS.findall(t.lower())], np.int32) for t in texts]
-    y = np.array([np.nan if v is None else float(v) for v in toxic])
-    n1, n0, names = int((y == 1).sum()), int((y == 0).sum()), list(vocabulary)
+    docs, y, names = sample.docs, np.array(sample.toxic), list(sample.vocabulary)
+    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
+    fitted = Fitted(documents=len(docs), chars=sample.chars)
     ids: dict[str, int] = {}
     for w in sorted({int(w) for d, v in zip(docs, y, strict=True) if v == 1 for w in np.unique(d)}):
         for f in features_of(names[w]):
             ids.setdefault(f, len(ids))
     if not ids or not n0:
-        return {}, -6.0, []
+        return fitted
     table = np.full((len(names), 1 + len(STEMS)), -1, np.int32)
     for w, name in enumerate(names):
         own = [ids.get(f, -1) for f in features_of(name)]
@@ -162,51 +185,53 @@ def fit(texts: Iterable[str], toxic: list[int | None]) -> tuple[dict[str, float]
     show = lambda i: name_of[i] if i < m else name_of[i - m] + "*"
     usable = [i for i, c in contexts.items() if len(c) >= LEAST_CONTEXTS and not (i >= m and name_of[i - m][-1] != "*")]
     usable.sort(key=lambda i: (-min(len(contexts[i]), int(seen1[i])) * np.log(lift[i]), show(i)))
-    kept = np.array(usable[:FEATURES], np.int64)
+    kept = np.array(usable[:most_features], np.int64)
     if not len(kept):
-        return {}, -6.0, []
+        return fitted
     place = np.full(2 * m, -1)
     place[kept] = np.arange(len(kept))
     rows = [(p := place[present(d)])[p >= 0] for d in docs]
-    votes = np.zeros((len(docs), min(VOTERS, len(kept))), bool)
+    votes = np.zeros((len(docs), min(most_voters, len(kept))), bool)
     for i, r in enumerate(rows):
         votes[i, r[r < votes.shape[1]]] = True
     posterior, _, _ = label_model(votes, y)
-    weights, bias = fit_linear(rows, posterior, len(kept))
-    return {show(i): float(x) for i, x in zip(kept, weights, strict=True) if abs(x) > 1e-3}, bias, [show(i) for i in kept[: votes.shape[1]]]
+    weights, fitted.bias = fit_linear(rows, posterior, len(kept))
+    fitted.weights = {show(i): float(x) for i, x in zip(kept, weights, strict=True) if abs(x) > 1e-3}
+    fitted.voters, fitted.dropped = [show(i) for i in kept[: votes.shape[1]]], len(usable) - len(kept)
+    return fitted
 
 
-def train(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int, int] = SAMPLE) -> tuple[dict[str, float], float]:
-    """Fit on the sample in one task; the model, of FEATURES weights at most, comes back to the driver."""
+def train(docs: DataFrame, labels: DataFrame, sizes: tuple[int, int] = SAMPLE, most_chars: int = SAMPLE_CHARS, most_voters: int = VOTERS, most_features: int = FEATURES) -> Fitted:
+    """Fit on the sample in one task; the model, of most_features weights at most, comes back to the driver.
+
+    The sample holds at most `sizes` toxic and clean documents, by hash of doc_id, and ends after the document in which
+    its texts reach most_chars characters, in order of a hash of their texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, toxic, held = [], [], 0
+        sample = Sample(most_chars)
         for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if held < SAMPLE_CHARS:
-                    texts.append(t)
-                    toxic.append(y)
-                    held += len(t)
-        weights, bias, _ = fit(texts, toxic)
-        yield pa.RecordBatch.from_pydict({"feature": [*weights, ""], "weight": [*weights.values(), bias]})
+            for t, y in zip(batch.column(0), batch.column(1), strict=True):
+                sample.add(t.as_py(), y.as_py())
+        yield pa.RecordBatch.from_pydict({"model": [json.dumps(asdict(fit(sample, most_voters, most_features)))]})
 
     sample = sample_of(docs, labels, sizes).orderBy(F.xxhash64("text"))  # the order does not depend on how rows are dealt
-    rows = sample.coalesce(1).mapInArrow(run, "feature string, weight double").collect()
-    model = {r["feature"]: r["weight"] for r in rows}
-    bias = model.pop("", -6.0)
-    return model, bias
+    rows = sample.coalesce(1).mapInArrow(run, "model string").collect()
+    return Fitted(**json.loads(rows[0]["model"])) if rows else Fitted()
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (), text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame | None, carry: tuple[str, ...] = (), text: str = "text", threshold: float = THRESHOLD, fitted: Fitted | None = None) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, the carried columns, held_out, score, predicted.
 
     labels (doc_id, toxic) are read outside the held-out fold alone: crc32 of doc_id as text, mod 4, is not 2. Null
     toxic is no label; repeated labels count as toxic if one is. Null text is empty and scores by the bias; a null
     doc_id is outside the held-out fold and never fitted on. Without labels every score is near 0. Repeated rows are
     scored each; an empty table gives no rows; language, source and ids are not read by the score.
-    With carried columns, `text` names the text among them.
+    With carried columns, `text` names the text among them. The model is fitted on a sample with the bounds SAMPLE and
+    SAMPLE_CHARS, unless one is given that train() fitted with others.
     """
-    model, bias = train(docs.select("doc_id", F.col(text).alias("text")), labels)
+    fitted = fitted or train(docs.select("doc_id", F.col(text).alias("text")), labels)
+    model, bias = fitted.weights, fitted.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, used = TwoGenerations(), {f.replace("**", "*") for f in model}

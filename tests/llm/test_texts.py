@@ -322,6 +322,33 @@ def test_held_out_labels_are_not_read(spark):
     assert a == b
 
 
+def test_scores_are_those_of_the_weights(spark):
+    rows, labels = toxic_table(random.Random(10), 400)
+    table = spark.createDataFrame([(i, t, 0.5, 1, True, 1) for i, t in rows], "doc_id long, text string, score double, predicted int, held_out boolean, toxic int")
+    y = spark.createDataFrame(labels, "doc_id long, toxic int")
+    fitted = toxicity.train(table, y)
+    assert fitted.documents == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows) and fitted.voters and fitted.dropped == 0
+    got = toxicity.score_toxicity(table, None, fitted=fitted).collect()
+    texts = dict(rows)
+    for r in got:
+        words = set(re.findall(r"[a-z]+", texts[r["doc_id"]].lower()))
+        stems = [w[:k] for w in words for k in toxicity.STEMS if len(w) > k]
+        active = {f"={w}" for w in words} | {f"{x}*" for x in stems} | {f"{x}**" for x in stems if stems.count(x) > 1}
+        odds = fitted.bias + sum(x for f, x in fitted.weights.items() if f in active)
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-max(-30, min(30, odds)))))
+
+
+def test_sample_is_bounded(spark):
+    rows, labels = toxic_table(random.Random(11), 200)
+    many = spark.createDataFrame(rows, "doc_id long, text string").unionAll(spark.range(20_000).select(F.lit(8).cast("long"), F.concat(F.lit("copy "), F.col("id").cast("string"))))
+    y = spark.createDataFrame(labels * 2, "doc_id long, toxic int")
+    assert toxicity.train(many, y).documents == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)
+    assert toxicity.train(many, y, sizes=(5, 30)).documents == 35
+    few = toxicity.train(many, y, most_chars=2000)
+    assert 2000 <= few.chars < 4000 and few.documents < 40
+    assert toxicity.train(many, y, most_features=1).dropped > 0
+
+
 def test_no_labels(spark):
     got = toxicity.score_toxicity(docs(spark, [(1, "a b"), (2, None)]), spark.createDataFrame([], "doc_id long, toxic int")).collect()
     assert len(got) == 2 and all(r["predicted"] == 0 for r in got)
