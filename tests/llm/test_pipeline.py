@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from parcel_jobs.llm.exact_dedup import exact_groups
 from parcel_jobs.llm.queries import QUERIES
-from parcel_jobs.llm.simhash import near_groups
+from parcel_jobs.llm.simhash import fingerprint, near_groups
 
 DATA = "/root/testdata/sf0.001"
 
@@ -32,3 +32,53 @@ def test_queries_run(spark):
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
     for name in ("op1_merge_dropout", "op7_html_text", "op9_toxicity"):
         assert QUERIES[name](spark, DATA).count() > 0
+
+
+def test_run_leaves_one_table_and_takes_odd_rows(spark, tmp_path):
+    """The whole pipeline over nulls, repeats and copies against its stages by brute force, and over an empty table."""
+    import os
+
+    from parcel_jobs.llm.quality import quality_verdicts
+    from parcel_jobs.llm.toxicity import score_toxicity
+
+    base = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (900_001, None, "en", "s", 0), (900_002, "", "en", "s", 0), (None, base.where("lang = 'en' and n_chars > 2000").first()["text"] + " more", "en", "s", 1)], base.schema)
+    docs = base.unionAll(odd).unionAll(base.limit(5))
+    for name, table in (("full", docs), ("empty", docs.limit(0))):
+        folder = str(tmp_path / name)
+        table.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        before = set(os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")))
+        pieces = corpus_pipeline.run(spark, folder).collect()
+        left = [x for x in os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")) if x not in before]
+        assert len(left) == 1 and left[0].startswith("near-dedup")
+        if name == "empty":
+            assert pieces == []
+    table = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
+    toxic = {r["doc_id"] for r in score_toxicity(table, labels).where("predicted = 1").collect()}
+    good = [r for r in quality_verdicts(table, carry=("doc_id", "text")).where("kept").collect() if r["doc_id"] not in toxic]
+    best = {}
+    for r in good:
+        plain = r["text"].translate(dict.fromkeys(map(ord, " \t\n\x0b\x0c\r")))
+        order = (-len(r["text"]), r["doc_id"] is None, r["doc_id"] or 0)
+        best[plain] = min(best.get(plain, (order, r)), (order, r), key=lambda x: x[0])
+    rest = [r for _, r in best.values()]
+    fps = [fingerprint(r["text"]) for r in rest]
+    parent = list(range(len(rest)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rest)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
+                parent[find(i)] = find(j)
+    first = {}
+    for i, r in enumerate(rest):
+        key = (r["doc_id"] is None, r["doc_id"] or 0)
+        first[find(i)] = min(first.get(find(i), (key, r["doc_id"])), (key, r["doc_id"]))
+    full = {x["doc_id"] for x in corpus_pipeline.run(spark, f"{tmp_path}/full").collect()}
+    assert full == {i for _, i in first.values()}
