@@ -24,18 +24,26 @@ ROAD_CODES = (
     ("marion", "Paved", "1", "PAVED"),
     ("sarasota", "SurfaceType", "ASPHALTIC CONCRETE", "PAVED"), ("sarasota", "SurfaceType", "DIRT", "UNPAVED"),
 )
-#: Counties whose sources are configured.
-COUNTIES = ("lee", "charlotte", "polk", "highlands", "marion", "sarasota", "osceola")
+#: Counties whose sources are configured, the field that identifies a parcel in each, and the fields of parcels and roads.
+COUNTIES = (
+    ("lee", "STRAP", "OBJECTID,STRAP,FOLIOID,LEGAL,FRONTAGE", "OBJECTID,STREET,SURFACE,MAINTAINBY,ROW_WIDTH"),
+    ("charlotte", "ACCOUNT", "OBJECTID,ACCOUNT,shortlegal,roads,zoningcode,landuse", "OBJECTID,STREET,PAVED,MAINT_BY,MB_DESCRIPTION"),
+    ("marion", "PARCEL", "OBJECTID,PARCEL,ALT_Key", "OBJECTID,Street,Paved,SurfaceType,Jurisdiction"),
+    ("highlands", "STRAP", "OBJECTID,STRAP,PARCELNO", "OBJECTID_1,FULLNAME,MAINT_CAT,MAINT_DESC"),
+    ("polk", "PARCELID", "OBJECTID,PARCELID,PR_STRAP", "OBJECTID,SURFTYPE,UNITDESC,OWN,SERVSTAT"),
+    ("osceola", "PARCELID", "OBJECTID,PARCELID,strap,dsp_strap", "OBJECTID,STREET"),
+    ("sarasota", "ID", "OBJECTID,ID,ACCOUNT", "OBJECTID,STREET_NAME,Maintenance,SurfaceType,PavementClass"),
+)
 
 
 def strip(c: Column) -> Column:
-    """Without white space of any kind at either end."""
-    return F.regexp_replace(c, r"^\s+|\s+\z", "")
+    """Without ASCII white space of any kind at either end."""
+    return F.trim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def int32_text(c: Column) -> Column:
     """ASCII digits that fit a nonnegative 32-bit integer."""
-    return F.coalesce(c.rlike(r"^[0-9]+\z") & (F.length(F.regexp_replace(c, "^0+", "")) <= 10) & (c.try_cast("decimal(38,0)") <= 2147483647), F.lit(False))
+    return F.coalesce(c.rlike(r"^[0-9]+\z") & (F.length(F.ltrim(c, F.lit("0"))) <= 10) & (c.try_cast("decimal(38,0)") <= 2147483647), F.lit(False))
 
 
 def parcel_key(c: Column) -> Column:
@@ -53,7 +61,7 @@ def format_parcel(c: Column) -> Column:
 def reference_alias(c: Column) -> Column:
     """A positive ASCII integer without spaces and leading zeros, else ''."""
     s = strip(F.coalesce(c, F.lit("")))
-    return F.when(s.rlike(r"^[0-9]+\z"), F.regexp_replace(s, "^0+", "")).otherwise("")
+    return F.when(s.rlike(r"^[0-9]+\z"), F.ltrim(s, F.lit("0"))).otherwise("")
 
 
 def sale_date(c: Column) -> Column:
@@ -113,8 +121,8 @@ def amount(c: Column) -> Column:
 
 
 def money(c: Column) -> Column:
-    """The first figure in a text, commas dropped."""
-    return F.nullif(F.replace(F.regexp_extract(c, r"\$?\s*([0-9][0-9,]*(\.[0-9]{2})?)", 1), F.lit(","), F.lit("")), F.lit("")).try_cast("decimal(38,10)")
+    """The first figure in a text, commas dropped, with one or two digits of cents."""
+    return F.nullif(F.replace(F.regexp_extract(c, r"\$?\s*([0-9][0-9,]*(\.[0-9]{1,2})?)", 1), F.lit(","), F.lit("")), F.lit("")).try_cast("decimal(38,10)")
 
 
 def to_num(c: Column) -> Column:
@@ -122,9 +130,14 @@ def to_num(c: Column) -> Column:
     return F.coalesce(F.nullif(strip(F.translate(c, ",$", "")), F.lit("")).try_cast("double"), F.lit(0.0))
 
 
+def sha_shard_bits(c: Column) -> Column:
+    """The first 64 bits of SHA-256, unsigned."""
+    return F.conv(F.substring(F.sha2(c, 256), 1, 16), 16, 10).cast("decimal(20,0)")
+
+
 def sha_shard(c: Column, n: int) -> Column:
     """The first 64 bits of SHA-256, unsigned, mod n."""
-    return F.pmod(F.conv(F.substring(F.sha2(c, 256), 1, 16), 16, 10).cast("decimal(20,0)"), F.lit(n)).cast("int")
+    return F.pmod(sha_shard_bits(c), F.lit(n)).cast("int")
 
 
 def md5_shard(c: Column, n: int) -> Column:
@@ -155,10 +168,10 @@ def road_surface_class(county: Column, field: Column, value: Column) -> Column:
 
 
 def county_config(spark: SparkSession) -> DataFrame:
-    """Configured counties: county, road_field (null where roads have no coded surface)."""
+    """Configured counties: county, identity_field, parcel_fields, road_fields, road_field (null where roads have no coded surface). Endpoints belong to the transfer, which isn't built."""
     fields = {c: f for c, f, _, _ in ROAD_CODES}
-    rows = ", ".join(f"('{c}', {repr(fields[c]) if c in fields else 'null'})" for c in COUNTIES)
-    return spark.sql(f"select county, cast(road_field as string) as road_field from values {rows} as t(county, road_field)")
+    rows = ", ".join(f"('{c}', '{i}', '{p}', '{r}', {repr(fields[c]) if c in fields else 'null'})" for c, i, p, r in COUNTIES)
+    return spark.sql(f"select county, identity_field, split(parcel_fields, ',') as parcel_fields, split(road_fields, ',') as road_fields, cast(road_field as string) as road_field from values {rows} as t(county, identity_field, parcel_fields, road_fields, road_field)")
 
 
 def source_review_flags(code: Column, description: Column) -> Column:

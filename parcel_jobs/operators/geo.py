@@ -30,16 +30,21 @@ def _bounds(shape: Column) -> tuple[Column, Column, Column, Column]:
 
 
 def candidate_pairs(parcels: DataFrame, others: DataFrame, reach: float = 0.0, cell: float = 500.0) -> DataFrame:
-    """(parcel_id, shape, other_id, other_shape) whose bounds come within reach. A pair that shares several cells is taken at the first of them."""
+    """(parcel_id, shape, other_id, other_shape) whose bounds come within reach. A pair that shares several cells is taken at the first of them.
+
+    Ids and bounds alone are listed under cells; shapes, however large, are joined to the pairs by id afterwards. Ids of
+    either side must be unique.
+    """
     px0, py0, px1, py1 = _bounds(F.col("shape"))
-    a = parcels.select("parcel_id", "shape", (px0 - reach).alias("ax0"), (py0 - reach).alias("ay0"), (px1 + reach).alias("ax1"), (py1 + reach).alias("ay1"))
+    a = parcels.select("parcel_id", (px0 - reach).alias("ax0"), (py0 - reach).alias("ay0"), (px1 + reach).alias("ax1"), (py1 + reach).alias("ay1"))
     ox0, oy0, ox1, oy1 = _bounds(F.col("other_shape"))
-    b = others.select("other_id", "other_shape", ox0.alias("bx0"), oy0.alias("by0"), ox1.alias("bx1"), oy1.alias("by1"))
+    b = others.select("other_id", ox0.alias("bx0"), oy0.alias("by0"), ox1.alias("bx1"), oy1.alias("by1"))
     a = a.withColumn("cell", F.explode(_cells(*map(F.col, ("ax0", "ay0", "ax1", "ay1")), cell)))
     b = b.withColumn("cell", F.explode(_cells(*map(F.col, ("bx0", "by0", "bx1", "by1")), cell)))
     touch = (F.col("ax0") <= F.col("bx1")) & (F.col("bx0") <= F.col("ax1")) & (F.col("ay0") <= F.col("by1")) & (F.col("by0") <= F.col("ay1"))
     first = (F.col("cell.i") == F.floor(F.greatest("ax0", "bx0") / cell)) & (F.col("cell.j") == F.floor(F.greatest("ay0", "by0") / cell))
-    return a.join(b, "cell").where(touch & first).select("parcel_id", "shape", "other_id", "other_shape")
+    pairs = a.join(b, "cell").where(touch & first).select("parcel_id", "other_id")
+    return pairs.join(others.select("other_id", "other_shape"), "other_id").join(parcels.select("parcel_id", "shape"), "parcel_id").select("parcel_id", "shape", "other_id", "other_shape")
 
 
 def _arrays(shape: list) -> list[np.ndarray]:
@@ -57,13 +62,13 @@ def overlap_pct(parcels: DataFrame, hazards: DataFrame) -> DataFrame:
 
     def measure(group: pd.DataFrame) -> pd.DataFrame:
         area, covered = kernels.overlap_areas(_arrays(group["shape"].iloc[0]), [_arrays(h) for h in group["other_shape"]])
-        pct = round(min(100.0, max(0.0, 100 * covered / area)), 4) if area > 0 else None
+        pct = min(100.0, max(0.0, 100 * covered / area)) if area > 0 else None
         return pd.DataFrame({"parcel_id": [group["parcel_id"].iloc[0]], "hazards": [len(group)], "pct": [pct]})
 
     found = met.groupBy("parcel_id").applyInPandas(measure, "parcel_id string, hazards long, pct double")
     flat = F.aggregate("shape", F.lit(0.0), lambda s, r: s + F.abs(_ring_area(r))) <= 0
     out = parcels.select("parcel_id", flat.alias("flat")).join(found, "parcel_id", "left")
-    return out.select("parcel_id", F.coalesce("hazards", F.lit(0).cast("long")).alias("hazards"), F.when(F.col("flat"), None).otherwise(F.coalesce("pct", F.lit(0.0))).alias("overlap_pct"), F.when(F.col("flat"), "invalid_parcel").alias("error"))
+    return out.select("parcel_id", F.coalesce("hazards", F.lit(0).cast("long")).alias("hazards"), F.when(F.col("flat"), None).otherwise(F.round(F.coalesce("pct", F.lit(0.0)), 4)).alias("overlap_pct"), F.when(F.col("flat"), "invalid_parcel").alias("error"))
 
 
 def _ring_area(ring: Column) -> Column:
@@ -102,16 +107,18 @@ def frontage_metrics(parcels: DataFrame, lines: DataFrame, reach: float = 0.20,
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, cell: float = 500.0) -> DataFrame:
-    """The polygon (least layer, then id) that holds each point (point_id, x, y), if any."""
+    """The polygon (least layer, then id) that holds each point (point_id, x, y), if any. Ids of polygons must be unique; their shapes are joined to points within their bounds alone."""
     x0, y0, x1, y1 = _bounds(F.col("other_shape"))
-    b = polygons.withColumn("cell", F.explode(_cells(x0, y0, x1, y1, cell)))
+    b = polygons.select("other_id", x0.alias("bx0"), y0.alias("by0"), x1.alias("bx1"), y1.alias("by1"))
+    b = b.withColumn("cell", F.explode(_cells(*map(F.col, ("bx0", "by0", "bx1", "by1")), cell)))
     a = points.withColumn("cell", F.struct(F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j")))
+    near = a.join(b, "cell").where(F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1"))).select("point_id", "x", "y", "other_id")
 
     def edge(p: Column, q: Column) -> Column:
         return ((p[1] > F.col("y")) != (q[1] > F.col("y"))) & (p[0] + (F.col("y") - p[1]) / F.nullif(q[1] - p[1], F.lit(0.0)) * (q[0] - p[0]) > F.col("x"))
 
     crossings = F.aggregate("other_shape", F.lit(0), lambda n, r: n + F.size(F.filter(F.zip_with(r, F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1)), edge), lambda hit: F.coalesce(hit, F.lit(False)))))
-    hits = a.join(b, "cell").where(crossings % 2 == 1).groupBy("point_id").agg(F.min(F.struct("layer", "other_id")).alias("first"))
+    hits = near.join(polygons, "other_id").where(crossings % 2 == 1).groupBy("point_id").agg(F.min(F.struct("layer", "other_id")).alias("first"))
     return points.select("point_id").join(hits, "point_id", "left").select("point_id", F.col("first.layer").alias("layer"), F.col("first.other_id").alias("other_id"))
 
 
@@ -147,9 +154,17 @@ def comps_within_radius(subjects: DataFrame, sales: DataFrame, as_of: str, metre
 
 
 def radius_sales(subjects: DataFrame, sales: DataFrame, miles: float = 5.0, most: int = 30) -> DataFrame:
-    """The nearest priced sales within so many miles of each subject, ties by parcel and instrument."""
-    n = F.row_number().over(Window.partitionBy("subject_id").orderBy("distance_m", "sale_parcel", "instrument"))
-    return _near(subjects, sales.where("price > 0"), miles * 1609.344).withColumn("n", n).where(F.col("n") <= most)
+    """The nearest priced sales within so many miles of each subject, `most` of them at most, ties by parcel and instrument.
+
+    The search begins with a sixteenth of the distance; what finds `most` there has all its nearest, and only subjects
+    in sparse places go on to the whole of it.
+    """
+    n = F.row_number().over(Window.partitionBy("subject_id").orderBy(F.round("distance_m", 6), "sale_parcel", "instrument"))
+    priced = sales.where("price > 0")
+    near = lambda s, m: _near(s, priced, m * 1609.344).withColumn("n", n).where(F.col("n") <= most)
+    dense = near(subjects, miles / 16)
+    full = dense.where(F.col("n") == most).select("subject_id")
+    return dense.join(full, "subject_id", "left_semi").unionByName(near(subjects.join(full, "subject_id", "left_anti"), miles))
 
 
 def one_sale_per_instrument(comps: DataFrame) -> DataFrame:

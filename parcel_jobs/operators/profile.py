@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import parse_year, reference_alias, residential_split, sha_shard, strip
+from ..functions.scalars import parse_year, reference_alias, residential_split, sha_shard_bits, strip
 
 SEPARATOR = "\x1f"
 
@@ -81,19 +81,25 @@ def id_fanout(df: DataFrame, key: str, other: str) -> DataFrame:
 def line_gaps(df: DataFrame, key: str, line: Column, first_missing: int = 5) -> DataFrame:
     """Keys with several rows: contiguous, gapped or duplicated line numbers, and the first missing ones.
 
-    Missing numbers are expanded for gapped keys alone, between the least and the greatest.
+    Each line is compared with the next of its key; of a gap, however wide, at most first_missing numbers are written out,
+    and only the first gaps of a key are kept.
     """
-    per = df.select(key, line.cast("long").alias("ln")).groupBy(key).agg(F.min("ln").alias("lo"), F.max("ln").alias("hi"), F.count("*").alias("n"), F.array_sort(F.collect_set("ln")).alias("seen")).where("n > 1")
-    distinct = F.size("seen")
-    kind = F.when(F.col("n") > distinct, "duplicate").when(F.col("hi") - F.col("lo") + 1 > distinct, "gapped").otherwise("contiguous")
-    gaps = F.when(F.col("hi") - F.col("lo") + 1 > distinct, F.array_join(F.slice(F.array_except(F.sequence("lo", "hi"), "seen"), 1, first_missing), ",")).otherwise("")
-    return per.select(key, "n", kind.alias("kind"), gaps.alias("first_missing"))
+    lines = df.select(key, line.cast("long").alias("ln")).groupBy(key, "ln").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(key).orderBy("ln")
+    after = F.lead("ln").over(order)
+    lines = lines.withColumn("gap", F.coalesce(after - F.col("ln") - 1, F.lit(0))).withColumn("before", F.coalesce(F.sum("gap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    kept = F.when((F.col("gap") > 0) & (F.col("before") < first_missing), F.struct("ln", F.least(F.col("gap"), F.lit(first_missing)).alias("wide")))
+    per = lines.groupBy(key).agg(F.sum("n").alias("n"), F.count("*").alias("lines"), F.sum("gap").alias("missing"), F.array_sort(F.collect_list(kept)).alias("gaps")).where("n > 1")
+    kind = F.when(F.col("n") > F.col("lines"), "duplicate").when(F.col("missing") > 0, "gapped").otherwise("contiguous")
+    numbers = F.flatten(F.transform("gaps", lambda g: F.transform(F.sequence(F.lit(1).cast("long"), g["wide"]), lambda i: g["ln"] + i)))
+    return per.select(key, "n", kind.alias("kind"), F.array_join(F.slice(numbers, 1, first_missing), ",").alias("first_missing"))
 
 
 def shard_balance(df: DataFrame, key: str, counts: Sequence[int] = (32, 64, 96, 128)) -> DataFrame:
     """Least, greatest and mean rows of a shard for each number of shards, and greatest over mean."""
-    every = F.explode(F.array(*[F.struct(F.lit(n).alias("shards"), sha_shard(F.col(key), n).alias("shard")) for n in counts]))
-    per = df.select(every.alias("x")).groupBy("x.shards", "x.shard").agg(F.count("*").alias("n"))
+    by_key = df.groupBy(key).agg(F.count("*").alias("n")).select("n", sha_shard_bits(F.col(key)).alias("h"))  # one hash for each key
+    every = F.explode(F.array(*[F.struct(F.lit(n).alias("shards"), F.pmod(F.col("h"), F.lit(n)).cast("int").alias("shard")) for n in counts]))
+    per = by_key.select("n", every.alias("x")).groupBy("x.shards", "x.shard").agg(F.sum("n").alias("n"))
     out = per.groupBy("shards").agg(F.min("n").alias("min_rows"), F.max("n").alias("max_rows"), F.sum("n").alias("rows"))
     return out.select("shards", "min_rows", "max_rows", F.round(F.col("rows") / F.col("shards"), 6).alias("avg_rows"), F.round(F.col("max_rows") * F.col("shards") / F.col("rows"), 6).alias("max_over_avg"))
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 PENDING, QUALIFIED, HOLD = "PENDING_FLOOD_WETLAND_ROAD_DISTRESS", "QUALIFIED_FOR_CONTACT_ENRICHMENT", "HOLD"
 FLOODED, WET = "REJECTED_FLOOD_ZONE", "REJECTED_MAPPED_WETLANDS"
+#: Fixed value: the status of a review that screening holds.
+HELD = "qualification_hold"
 LEHIGH_ACRES, OTHER_ACRES = 0.25, 10000.0 / 43560.0
 
 
@@ -269,8 +271,17 @@ def sequence_verified(status: DataFrame, feeds: tuple[str, ...]) -> DataFrame:
 
 
 def sync_dd_holds(results: DataFrame, evidence: DataFrame, reviews: DataFrame) -> DataFrame:
-    """The next reviews: results with geometry evidence become held ones; of those that exist only held ones change."""
-    held = results.where("property_id is not null").join(evidence.where((F.col("source") == "LEE_PARCEL_GEOMETRY") & (F.col("result") == "FOUND")).select("parcel_id"), "parcel_id", "left_semi").select("property_id", F.col("status").alias("gate"))
-    both = reviews.join(held, "property_id", "full_outer")
-    change = F.col("gate").isNotNull() & F.coalesce(F.col("status") == "held", F.lit(True))
-    return both.select("property_id", F.when(change, "held").otherwise(F.col("status")).alias("status"), F.when(change, F.col("gate")).otherwise(F.col("note")).alias("note"))
+    """The next reviews (property_id, status, flood_status, wetlands_status, access_status, fatal_flags): results whose identity was verified become held ones.
+
+    Evidence (parcel_id, source, identity_verified) must be of the geometry of the row's own county. A rejection fails
+    its field and is a fatal flag; all else is up for review. Of reviews that exist only held ones change.
+    """
+    source = F.concat(F.upper(F.trim("county")), F.lit("_PARCEL_GEOMETRY"))
+    proof = evidence.where(_no(F.col("identity_verified"))).select("parcel_id", "source").distinct()
+    held = results.where("property_id is not null").withColumn("source", source).join(proof, ["parcel_id", "source"], "left_semi").select("property_id", F.col("status").alias("gate"))
+    both = reviews.alias("r").join(held, "property_id", "full_outer")
+    change = F.col("gate").isNotNull() & F.coalesce(F.col("status") == HELD, F.lit(True))
+    failed = lambda gate: F.when(F.col("gate") == gate, "failed").otherwise("review_required")
+    flags = F.when(F.col("gate").isin(FLOODED, WET), F.array("gate")).otherwise(F.array().cast("array<string>"))
+    new = {"status": F.lit(HELD), "flood_status": failed(FLOODED), "wetlands_status": failed(WET), "access_status": F.lit("review_required"), "fatal_flags": flags}
+    return both.select("property_id", *[F.when(change, c).otherwise(F.col(f"r.{n}")).alias(n) for n, c in new.items()])

@@ -10,32 +10,38 @@ from pyspark.sql import functions as F
 from ..functions.scalars import format_parcel, money, strip
 
 LEGAL = "parcel_id num section township range sub parcel dscr".split()
-_LEGAL_ROW = r'^"([0-9]{18})",' + ",".join([r'"([^"]*)"'] * 6) + r',"(.*)"$'
+_LEGAL_ROW = "(?s)^" + ",".join([r'"([0-9]+)"'] * 7) + r',"(.*)"\z'
 _LEGAL_START = r'^"[0-9]{18}","'
+#: Labels of auction pages, and words that a reviewer looks for.
 LABELS = ("Case Number", "Case Type", "Final Judgment Amount", "Parcel ID", "Certificate Number", "Property Address", "Assessed Value", "Legal Description", "Auction Starts", "Name On Title")
 KEYWORDS = ("easement", "right of way", "right-of-way", "ingress", "egress", "access", "frontage", "road", "plat", "dedicat")
 
 
 def parse_legal_strict(lines: DataFrame) -> DataFrame:
-    """One record for each physical line: eight fields, the raw line, and error where the wrapper is not balanced."""
-    good = F.col("value").rlike(_LEGAL_ROW)
-    return lines.select("*", *[F.when(good, F.regexp_extract("value", _LEGAL_ROW, i + 1)).alias(c) for i, c in enumerate(LEGAL)], F.col("value").alias("raw_record"), F.when(~good, "unbalanced_or_unknown").alias("error"))
+    """One record for each physical line: seven fields of digits, then free text in quotes; the raw line, and error: nul_byte, or unbalanced_or_unknown."""
+    nul = F.contains("value", F.lit("\0"))
+    good = F.coalesce(F.col("value").rlike(_LEGAL_ROW) & ~nul, F.lit(False))
+    error = F.when(nul, "nul_byte").when(~good, "unbalanced_or_unknown")
+    return lines.select("*", *[F.when(good, F.regexp_extract("value", _LEGAL_ROW, i + 1)).alias(c) for i, c in enumerate(LEGAL)], F.col("value").alias("raw_record"), error.alias("error"))
 
 
 def reassemble_legal(lines: DataFrame, file: str = "file", line_no: str = "line_no") -> DataFrame:
-    """Records of the lenient dialect: a line that begins none goes on with the description before it; record 0 of a file is quarantine.
+    """Records of the lenient dialect: a line that begins none goes on with the description before it.
 
-    Two levels, so that a file need not fit one task: starts are counted by blocks of lines, blocks are summed up in
-    order (one row for each), and lines are then numbered within their block.
+    Lines before any record are quarantined: each is a row of record 0, so a file without a record is no one value. Two
+    levels, so that a file need not fit one task: starts are counted by blocks of lines, blocks are summed up in order
+    (one row for each), and lines are then numbered within their block. first_line is a record's first line.
     """
     block = F.floor(F.col(line_no) / 100_000).cast("long")
-    rows = lines.withColumns({"block": block, "starts": F.col("value").rlike(_LEGAL_START).cast("long")})
+    rows = lines.withColumns({"block": block, "starts": F.coalesce(F.col("value").rlike(_LEGAL_START), F.lit(False)).cast("long")})
     before = Window.partitionBy(file).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = rows.groupBy(file, "block").agg(F.sum("starts").alias("n")).select(file, "block", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("base"))
     inside = Window.partitionBy(file, "block").orderBy(line_no)
     numbered = rows.join(blocks, [file, "block"]).withColumn("record", F.col("base") + F.sum("starts").over(inside))
-    parts = F.array_sort(F.collect_list(F.struct(F.col(line_no), "value")))
-    return numbered.groupBy(file, "record").agg(F.count("*").alias("n_lines"), F.array_join(F.transform(parts, lambda p: p["value"]), " ").alias("value"))
+    parts = F.array_sort(F.collect_list(F.struct(F.col(line_no).alias("line_no"), "value")))
+    alone = F.when(F.col("record") == 0, F.col(line_no))
+    out = numbered.groupBy(file, "record", alone.alias("alone")).agg(F.count("*").alias("n_lines"), F.min(line_no).alias("first_line"), F.array_join(F.transform(parts, lambda p: p["value"]), " ").alias("value"))
+    return out.drop("alone")
 
 
 def read_fixed_width(lines: DataFrame, spec: Sequence[tuple[str, int, int]]) -> DataFrame:
@@ -73,17 +79,27 @@ def parse_party_rows(pages: DataFrame) -> DataFrame:
 
 
 def parse_auction_details(pages: DataFrame) -> DataFrame:
-    """Fields of auction pages (auction_id, body): the text after each label up to the next one."""
+    """Fields of auction pages (auction_id, body): the text after each label and its colon up to the next one.
+
+    The page is cut once, before each label that has a colon, and a field is the first piece of its label. A case
+    number or parcel whose label has no colon is still found by its form.
+    """
     text = clean(F.col("body"))
+    cut = F.regexp_replace(text, r"(?i)(?:^|\s)(" + "|".join(LABELS) + r")\s*:", "\x1e$1\x1f")
+    rows = pages.select("auction_id", text.alias("text"), F.slice(F.split(cut, "\x1e"), 2, 1_000_000).alias("pieces"))
 
     def value(label: str) -> Column:
-        others = "|".join(x for x in LABELS if x != label)
-        return F.nullif(strip(F.regexp_extract(text, rf"(?i){label}\s*:?\s*(.+?)(?=\s+(?:{others})\s*:|$)", 1)), F.lit(""))
+        own = F.get(F.filter("pieces", lambda p: F.lower(F.substring_index(p, "\x1f", 1)) == label.lower()), F.lit(0))
+        return F.nullif(strip(F.substring_index(own, "\x1f", -1)), F.lit(""))
 
-    starts = value("Auction Starts")
-    return pages.select(
-        "auction_id", value("Case Number").alias("case_number"), format_parcel(value("Parcel ID")).alias("parcel_id"), F.try_to_date(F.regexp_extract(starts, r"(\d{2}/\d{2}/\d{4})", 1), "MM/dd/yyyy").alias("auction_date"),
-        F.nullif(F.regexp_extract(starts, r"(?i)(\d{1,2}:\d{2}\s*[AP]M(?:\s*ET)?)", 1), F.lit("")).alias("auction_time"), money(value("Final Judgment Amount")).alias("final_judgment"), money(value("Assessed Value")).alias("assessed_value"), value("Property Address").alias("property_address"),
+    by_form = lambda label, form: F.nullif(F.regexp_extract("text", rf"(?i){label}\s*:?\s*({form})", 1), F.lit(""))
+    starts, parcel = value("Auction Starts"), F.coalesce(value("Parcel ID"), by_form("Parcel ID", "[0-9]{18}"))
+    clock = F.regexp_extract(starts, r"(?i)\b([01]?[0-9]:[0-5][0-9] ?[AP]M( ?ET)?)", 1)
+    return rows.select(
+        "auction_id", F.coalesce(value("Case Number"), by_form("Case Number", "[A-Za-z0-9-]+")).alias("case_number"), value("Case Type").alias("case_type"), parcel.alias("parcel_id_raw"), format_parcel(parcel).alias("parcel_id"),
+        F.try_to_date(F.regexp_extract(starts, "[0-9]{2}/[0-9]{2}/[0-9]{4}", 0), "MM/dd/yyyy").alias("auction_date"), F.nullif(clock, F.lit("")).alias("auction_time"),
+        money(value("Final Judgment Amount")).alias("final_judgment"), money(value("Assessed Value")).alias("assessed_value"), value("Property Address").alias("property_address"),
+        value("Certificate Number").alias("certificate_number"), value("Legal Description").alias("legal_description"), value("Name On Title").alias("name_on_title"),
     )
 
 
@@ -105,9 +121,11 @@ def tax_certificate_candidates(rows: DataFrame, today: str) -> DataFrame:
     c = lambda i: F.get("c", F.lit(i))
     year, due = c(0).try_cast("int"), F.replace(c(19), F.lit(","), F.lit("")).try_cast("decimal(38,10)")
     rows = rows.withColumns({"parcel": F.regexp_replace(F.upper(c(1)), "[^A-Z0-9]", ""), "since": F.make_date(year + 1, F.lit(4), F.lit(1)), "due": due})
-    copies = F.count("*").over(Window.partitionBy("parcel", c(0), c(4)))
+    rows = rows.withColumns({"id_year": c(0), "id_number": c(4)})
+    copied = rows.groupBy("parcel", "id_year", "id_number").agg(F.count("*").alias("copies")).where("copies > 1")  # in partial sums: no identity is hot
+    rows = _marked(rows, copied, ["parcel", "id_year", "id_number"], "copied")
     reason = (
-        F.when(year.isNull() | due.isNull() | (F.size("c") != 20), "INVALID_REPORT").when(copies > 1, "DUPLICATE_CERTIFICATE_REVIEW").when(~F.col("parcel").rlike(r"^\d{6}[A-Z0-9]{11}\z"), "INVALID_PARCEL")
+        F.when(year.isNull() | due.isNull() | (F.size("c") != 20), "INVALID_REPORT").when(F.col("copied"), "DUPLICATE_CERTIFICATE_REVIEW").when(~F.col("parcel").rlike(r"^\d{6}[A-Z0-9]{11}\z"), "INVALID_PARCEL")
         .when(c(3) != "Issued", "CERTIFICATE_NOT_ISSUED").when(c(2) != "-- None --", "DEED_STATUS_REVIEW").when((c(16) != "Unpaid") | (F.col("due") <= 0), "NO_UNPAID_BALANCE")
         .when(F.col("since") >= F.add_months(F.lit(today).cast("date"), -12), "DELINQUENCY_NOT_OVER_12_MONTHS").when(~c(4).rlike(r"^0*[1-9][0-9]*\z"), "MISSING_CERTIFICATE")
     )
@@ -125,21 +143,30 @@ def normalize_provider(replies: DataFrame, parcel: str = "parcel_id", fips: str
     return replies.select(parcel, fips, state.alias("outcome"), F.when(state == "records", held).otherwise(0).alias("records"))
 
 
-def document_rollup(parties: DataFrame) -> DataFrame:
-    """One row for each file_no: the first row's fields, parcel and legal text from the first row that has them, and the parties."""
-    first = lambda c: F.min_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", F.col("ordinal")))
-    return parties.groupBy("file_no").agg(F.min_by("name", "ordinal").alias("first_name"), F.min_by("date", "ordinal").alias("date"), first("parcel_id").alias("parcel_id"), first("legal").alias("legal"), F.count("*").alias("parties"))
+def _marked(rows: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+    """rows with name: whether their key, nulls being equal, is among keys."""
+    right = keys.select(*[F.col(k).alias(f"_{k}") for k in on], F.lit(True).alias(name))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on]
+    return rows.join(right, same, "left").drop(*[f"_{k}" for k in on]).withColumn(name, F.coalesce(name, F.lit(False)))
+
+
+def document_rollup(parties: DataFrame, order: Sequence[str] = ("page_id", "ordinal")) -> DataFrame:
+    """One row for each file_no: the first row's fields, parcel and legal text from the first row that has them, and the parties. Rows are in order of page, then place in it."""
+    at = F.struct(*order)
+    first = lambda c: F.min_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", at))
+    return parties.groupBy("file_no").agg(F.min_by("name", at).alias("first_name"), F.min_by("date", at).alias("date"), first("parcel_id").alias("parcel_id"), first("legal").alias("legal"), F.count("*").alias("parties"))
 
 
 def duplicate_certificates(rows: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """All rows, with quarantined: whether their identity occurs again anywhere."""
-    return rows.withColumn("quarantined", F.count("*").over(Window.partitionBy(*identity)) > 1)
+    """All rows, with quarantined: whether their identity occurs again anywhere. Counts are partial sums and the few repeated ones are joined back, so no identity is hot."""
+    repeated = rows.groupBy(*identity).agg(F.count("*").alias("copies")).where("copies > 1")
+    return _marked(rows, repeated, identity, "quarantined")
 
 
-def party_dedupe(parties: DataFrame) -> DataFrame:
-    """The last row seen of each name and file_no."""
-    n = F.row_number().over(Window.partitionBy("name", "file_no").orderBy(F.desc("ordinal")))
-    return parties.withColumn("n", n).where("n = 1").drop("n")
+def party_dedupe(parties: DataFrame, order: Sequence[str] = ("page_id", "ordinal")) -> DataFrame:
+    """The last row seen of each name and file_no, in order of page, then place in it."""
+    last = parties.groupBy("name", "file_no").agg(F.max_by(F.struct(*parties.columns), F.struct(*order)).alias("row"))
+    return last.select("row.*")
 
 
 def match_by_parcel(events: DataFrame, properties: DataFrame) -> DataFrame:

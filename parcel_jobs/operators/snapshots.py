@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parcel_key, sha_shard, source_review_flags
-from .gates import GateClosed
+from .gates import GateClosed, require_no_errors, require_unique
 
 
 def _same(columns: Sequence[str], left: str = "l", right: str = "r") -> Column:
@@ -65,8 +65,14 @@ def registry_drift(properties: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def refresh_registry(properties: DataFrame, registry: DataFrame, as_of: str) -> DataFrame:
-    """The next registry: stale rows gone, new ones in, changed ones rewritten; unchanged rows keep refreshed_at."""
-    both = keyed_properties(properties).alias("l").join(registry.alias("r"), "property_id", "left")
+    """The next registry: stale rows gone, new ones in, changed ones rewritten; unchanged rows keep refreshed_at.
+
+    GateClosed if a property's parcel_id, blank ones apart, has no valid key, or two properties have the same one.
+    """
+    named = properties.where(F.trim(F.coalesce("parcel_id", F.lit(""))) != "").select(F.col("id").alias("property_id"), "parcel_id", parcel_key(F.col("parcel_id")).alias("parcel_key"))
+    require_no_errors(named.withColumn("error", F.when(F.col("parcel_key").isNull(), "parcel_id")))
+    require_unique(named, ["parcel_key"])
+    both = named.alias("l").join(registry.alias("r"), "property_id", "left")
     same = F.col("l.parcel_key").eqNullSafe(F.col("r.parcel_key"))
     return both.select("property_id", F.col("l.parcel_key"), F.when(same, F.col("r.refreshed_at")).otherwise(F.lit(as_of).cast("timestamp")).alias("refreshed_at"))
 
@@ -114,9 +120,16 @@ def row_digest(df: DataFrame, columns: Sequence[str], line: str | None = None, p
 
 
 def feed_digest(df: DataFrame, *order: str) -> DataFrame:
-    """MD5 of all row digests in the order of the key. One ordered list: for target snapshots, not whole counties, which have table_fingerprint."""
-    listed = F.array_sort(F.collect_list(F.struct(*order, "digest")))
-    return df.agg(F.count("*").alias("rows"), F.md5(F.array_join(F.transform(listed, lambda r: r["digest"]), "")).alias("feed_digest"))
+    """One digest of all row digests in the order of the key, in two levels, so that no task holds them all.
+
+    A group is the rows of one first key column; its digest is the MD5 of its row digests in order. Groups are gathered
+    by the first four hex digits of the MD5 of their key, 65536 blocks at most, and the feed's digest is the MD5 of the
+    blocks' digests in order. A block's list grows with the number of keys over 65536, a group's with its own rows.
+    """
+    joined = lambda parts: F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(parts)), lambda r: r["digest"]), ""))
+    groups = df.groupBy(order[0]).agg(F.count("*").alias("rows"), joined(F.struct(*order, "digest")).alias("digest"))
+    blocks = groups.groupBy(F.substring(F.md5(order[0]), 1, 4).alias("block")).agg(F.sum("rows").alias("rows"), joined(F.struct(order[0], "digest")).alias("digest"))
+    return blocks.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("rows"), joined(F.struct("block", "digest")).alias("feed_digest"))
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str, line: str, columns: Sequence[str]) -> DataFrame:

@@ -19,14 +19,15 @@ CP1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–
 CORRUPT = "_corrupt"
 
 
-def read_strict_csv(spark: SparkSession, path: str, header: Sequence[str], sep: str = ",") -> DataFrame:
+def read_strict_csv(spark: SparkSession, path: str, header: Sequence[str], sep: str = ",", multi_line: bool = True) -> DataFrame:
     """All-text rows under an exact header, quoted line breaks allowed, with error: width for rows of another width, or nul. Blank is '', not null.
 
-    Another header raises when the rows are read.
+    Another header raises when the rows are read. With quoted line breaks a file is one task; a feed that has none may be
+    read with multi_line=False, which splits large files.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
     rows = spark.read.schema(schema).options(
-        header=True, enforceSchema=False, sep=sep, quote='"', escape='"', multiLine=True, unescapedQuoteHandling="RAISE_ERROR", columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE",
+        header=True, enforceSchema=False, sep=sep, quote='"', escape='"', multiLine=multi_line, unescapedQuoteHandling="RAISE_ERROR", columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", nullValue="\x00null", encoding="UTF-8",
     ).csv(path)
     nul = F.lit(False)
@@ -90,10 +91,23 @@ def read_json_snapshot(spark: SparkSession, path: str, schema: str | T.StructTyp
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
+def source_digests(spark: SparkSession, path: str) -> DataFrame:
+    """path, bytes and sha256 of each file. A file is one row, and so at most 2 GB."""
+    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def require_digests(found: DataFrame, accepted: DataFrame, key: str) -> DataFrame:
+    """found (key, sha256), or GateClosed if a file is not the accepted one of its key, is missing or is one too many."""
+    both = found.select(key, F.col("sha256").alias("is")).join(accepted.select(key, F.col("sha256").alias("should")), key, "full_outer")
+    if bad := both.where(~F.col("is").eqNullSafe(F.col("should"))).limit(20).collect():
+        raise GateClosed(f"not the accepted files: {[r.asDict() for r in bad]}")
+    return found
+
+
 def require_source(spark: SparkSession, path: str, sha256: str, rows: int | None = None, lines: DataFrame | None = None) -> None:
     """GateClosed unless the file has this SHA-256 and, if lines are given, so many rows."""
-    found = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).collect()
-    if [r[0] for r in found] != [sha256]:
+    found = source_digests(spark, path).limit(2).collect()
+    if [r["sha256"] for r in found] != [sha256]:
         raise GateClosed(f"{path} is not the accepted file")
     if rows is not None and lines is not None and (n := lines.count()) != rows:
         raise GateClosed(f"{path} has {n} rows, not {rows}")
