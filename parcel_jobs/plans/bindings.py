@@ -72,15 +72,15 @@ select lpad(cast(l_partkey + 1 as string), 18, '0') as parcel_id,
 from (select distinct l_partkey, l_suppkey from lineitem where l_partkey % 4 <> 0) t
 """
 
-#: part x six nations as tax districts.
+#: parts and line numbers of lineitem as parcels and lines of tax districts.
 BINDINGS["tax_raw"] = """
-select lpad(cast(p_partkey + 1 as string), 18, '0') as parcel_id, cast(n_nationkey as string) as lnnum, n_name as taxdist,
-  cast(cast(p_retailprice as decimal(12,2)) as string) as asdval, '0' as exmptval, cast(cast(p_retailprice as decimal(12,2)) as string) as taxval,
-  '.22' as asdtaxes, '0' as exmpttaxes, case when n_nationkey % 2 = 0 then '.00' else cast(cast(p_size as decimal(12,2)) as string) end as taxesdue
-from part, nation where n_nationkey < 6
+select lpad(cast(l_partkey + 1 as string), 18, '0') as parcel_id, cast(l_linenumber as string) as lnnum, 'DISTRICT ' || cast(l_linenumber as string) as taxdist,
+  cast(cast(max(l_extendedprice) as decimal(12,2)) as string) as asdval, '0' as exmptval, cast(cast(max(l_extendedprice) as decimal(12,2)) as string) as taxval,
+  '.22' as asdtaxes, '0' as exmpttaxes, case when l_linenumber % 2 = 0 then '.00' else cast(cast(max(l_quantity) as decimal(12,2)) as string) end as taxesdue
+from lineitem group by l_partkey, l_linenumber
 """
 
-#: events -> append-only evidence log (150 parcels).
+#: events -> append-only evidence log.
 BINDINGS["evidence"] = """
 select event_id as id, lpad(cast(user_id + 1 as string), 18, '0') as parcel_id,
   case event_type when 'error' then 'FEMA_FLOOD' when 'click' then 'USFWS_WETLANDS' when 'purchase' then 'LEE_ROAD' when 'view' then 'LEE_PARCEL_GEOMETRY' else 'FRONTAGE_ACCESS' end as source,
@@ -91,13 +91,13 @@ select event_id as id, lpad(cast(user_id + 1 as string), 18, '0') as parcel_id,
 from events
 """
 
-#: one row per evidence parcel.
+#: one row per customer.
 BINDINGS["screening"] = """
 select lpad(cast(c_custkey + 1 as string), 18, '0') as parcel_id, case when c_custkey % 2 = 0 then 'Lee' else 'LEE' end as county,
   case when c_custkey % 3 = 0 then 'Lehigh Acres' else 'Fort Myers' end as city, c_name as owner_name,
   cast(c_acctbal as decimal(12,2)) / 10000 as gis_acres, cast(c_nationkey % 2 as int) as building_count,
   case when c_custkey % 10 = 9 then 'REJECTED_FLOOD_ZONE' else 'PENDING_FLOOD_WETLAND_ROAD_DISTRESS' end as screening_status
-from customer where c_custkey < 150
+from customer
 """
 
 #: axis-aligned parcel rectangles in degrees; hazards from suppliers. Box overlap has a closed form for the oracle.
@@ -107,10 +107,10 @@ select lpad(cast(p_partkey + 1 as string), 18, '0') as parcel_id, -82.0 + (p_par
 from part
 """
 
-#: documents -> physical lines of the legal dialect; every 9th is a continuation, every 50th unbalanced.
+#: documents, whole -> physical lines of the legal dialect; every 9th is a continuation, every 50th unbalanced, every 40th has letters where digits belong.
 BINDINGS["legal_lines"] = """
-select doc_id as line_no, case when doc_id % 9 = 8 then 'CONT ' || substr(translate(text, chr(10), ' '), 1, 40)
-  else '"' || lpad(cast(doc_id + 1 as string), 18, '0') || '","' || cast(doc_id % 5 as string) || '","12","34","56","000001","000001","RUN 12" E, ' || cast(n_chars as string) || case when doc_id % 50 = 7 then '' else '"' end end as value
+select doc_id as line_no, case when doc_id % 9 = 8 then 'CONT ' || translate(coalesce(text, ''), chr(10), ' ')
+  else '"' || lpad(cast(doc_id + 1 as string), 18, '0') || '","' || cast(doc_id % 5 as string) || '","' || case when doc_id % 40 = 3 then 'S1' else '12' end || '","34","56","000001","000001","RUN 12" E, ' || translate(coalesce(text, ''), chr(10), ' ') || case when doc_id % 50 = 7 then '' else '"' end end as value
 from documents
 """
 

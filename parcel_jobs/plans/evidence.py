@@ -56,7 +56,7 @@ def _(t: Tables) -> DataFrame:
     return screening.screen_report(screened(t))
 
 
-_LEGAL = r"""^"([0-9]{18})","([^"]*)","([^"]*)","([^"]*)","([^"]*)","([^"]*)","([^"]*)","(.*)"$"""
+_LEGAL = "^" + ",".join(['"([0-9]+)"'] * 7) + ',"(.*)"$'
 
 
 @query("a4_parse_legal_strict", f"select line_no, nullif(regexp_extract(value, '{_LEGAL}', 1, 's'), '') as parcel_id, case when regexp_full_match(value, '{_LEGAL}', 's') then regexp_extract(value, '{_LEGAL}', 8, 's') end as dscr, case when not regexp_full_match(value, '{_LEGAL}', 's') then 'unbalanced_or_unknown' end as error from legal_lines")
@@ -64,9 +64,12 @@ def _(t: Tables) -> DataFrame:
     return R.parse_legal_strict(t("legal_lines")).select("line_no", "parcel_id", "dscr", "error")
 
 
-@query("a5_reassemble_legal", r""", s as (select 'f' || cast(line_no % 3 as string) as file, line_no, value, sum(case when regexp_matches(value, '^"[0-9]{18}","') then 1 else 0 end) over (partition by line_no % 3 order by line_no) as record from legal_lines) select file, cast(record as bigint) as record, count(*) as n_lines, string_agg(value, ' ' order by line_no) as value from s group by file, record""")
+_FILES = "case when line_no % 18 = 8 then 'orphans' else 'f' || cast(line_no % 3 as string) end"
+
+
+@query("a5_reassemble_legal", rf""", l as (select {_FILES} as file, * from legal_lines), s as (select *, sum(case when regexp_matches(value, '^"[0-9]{{18}}","') then 1 else 0 end) over (partition by file order by line_no) as record from l) select file, cast(record as bigint) as record, count(*) as n_lines, min(line_no) as first_line, string_agg(value, ' ' order by line_no) as value from s group by file, record, case when record = 0 then line_no end""")
 def _(t: Tables) -> DataFrame:
-    return R.reassemble_legal(t("legal_lines").withColumn("file", F.concat(F.lit("f"), (F.col("line_no") % 3).cast("string"))))
+    return R.reassemble_legal(t("legal_lines").withColumn("file", F.expr(_FILES)))
 
 
 @query("a6_read_fixed_width", "select line_no, trim(substr(value, 2, 18)) as parcel, trim(substr(value, 20, 5)) as num, trim(substr(value, 31, 20)) as rest from legal_lines")
@@ -99,19 +102,15 @@ def _(t: Tables) -> DataFrame:
     return party_rows(t)
 
 
-def ordered_parties(t: Tables) -> DataFrame:
-    return party_rows(t).withColumn("ordinal", F.col("page").cast("bigint"))
-
-
-@query("w4_document_rollup", _PARTIES + " select file_no, arg_min(ltrim(name, '*'), k) as first_name, arg_min(date, k) as date, arg_min(case when k % 2 = 0 then legal end, k) as parcel_id, arg_min(legal, k) as legal, count(*) as parties from q group by file_no")
+@query("w4_document_rollup", _PARTIES + " select file_no, first(ltrim(name, '*') order by page_id, k) as first_name, first(date order by page_id, k) as date, first(legal order by page_id, k) filter (k % 2 = 0) as parcel_id, first(legal order by page_id, k) as legal, count(*) as parties from q group by file_no")
 def _(t: Tables) -> DataFrame:
-    return R.document_rollup(ordered_parties(t))
+    return R.document_rollup(party_rows(t))
 
 
-@query("w6_party_dedupe", _PARTIES + " select 'P' || cast(k % 3 as string) as name, file_no, k as ordinal from q qualify row_number() over (partition by k % 3, file_no order by k desc) = 1")
+@query("w6_party_dedupe", _PARTIES + " select 'P' || cast(k % 3 as string) as name, file_no, k from q qualify row_number() over (partition by k % 3, file_no order by page_id desc, k desc) = 1")
 def _(t: Tables) -> DataFrame:
-    p = ordered_parties(t).withColumn("ordinal", F.col("ordinal") - 1)
-    return R.party_dedupe(p.withColumn("name", F.concat(F.lit("P"), (F.col("ordinal") % 3).cast("string")))).select("name", "file_no", "ordinal")
+    k = F.col("page").cast("bigint") - 1
+    return R.party_dedupe(party_rows(t).withColumn("name", F.concat(F.lit("P"), (k % 3).cast("string")))).select("name", "file_no", k.alias("k"))
 
 
 @query("j8_match_by_parcel", "select p_partkey as event_id, p.parcel_id, p.id as property_id, 'exact_parcel' as match_method, 1.0::double as match_confidence from part join properties p on p.id = p_partkey where p_partkey % 3 <> 0 and p.parcel_id <> ''")
@@ -123,7 +122,7 @@ def _(t: Tables) -> DataFrame:
 
 def matched_documents(t: Tables) -> DataFrame:
     """Documents of the records run; those of even orders match."""
-    return R.document_rollup(ordered_parties(t)).withColumn("property_id", F.when(F.col("file_no").cast("bigint") % 4 == 0, F.col("file_no").cast("bigint")))
+    return R.document_rollup(party_rows(t)).withColumn("property_id", F.when(F.col("file_no").cast("bigint") % 4 == 0, F.col("file_no").cast("bigint")))
 
 
 @query("m8_upsert_signals", ", d as (select distinct lpad(cast(o_orderkey - o_orderkey % 2 as string), 10, '0') as f from orders) select 'lis_pendens' as signal_type, 'official_records' as source_name, f as source_record_id, cast(f as bigint) as property_id from d where cast(f as bigint) % 4 = 0 union all select 'lis_pendens', 'official_records', 'old', -1::bigint")
@@ -144,13 +143,13 @@ _AUCTION = "select o_orderkey as auction_id, o_orderkey % 50 as c, o_orderdate a
 def auctions(t: Tables) -> DataFrame:
     a = t.sql(_AUCTION, orders=t("orders"))
     parts = [
-        F.lit("Auction Details Case Number : 2024CA"), F.col("c").cast("string"), F.lit("\nCase Type: FORECLOSURE\n Final Judgment Amount: $"), F.format_number("price", 2), F.lit("  Parcel ID: "), F.lpad(F.col("auction_id").cast("string"), 18, "0"),
-        F.lit(" Property Address: "), F.col("auction_id").cast("string"), F.lit(" MAIN ST\n Assessed Value: "), F.when(F.col("c") == 7, "unknown").otherwise("$1,000.50"), F.lit(" Auction Starts: "), F.date_format("d", "MM/dd/yyyy"), F.lit(" 10:00 AM ET Name On Title: X"),
+        F.lit("Auction Details Case Number"), F.when(F.col("c") == 9, " ").otherwise(" : "), F.lit("2024CA"), F.col("c").cast("string"), F.lit("\nCase Type: FORECLOSURE\n Final Judgment Amount: $"), F.format_number("price", 2), F.when(F.col("c") == 8, "  Parcel ID ").otherwise("  Parcel ID: "), F.lpad(F.col("auction_id").cast("string"), 18, "0"),
+        F.lit(" Property Address: "), F.col("auction_id").cast("string"), F.lit(" MAIN ST\n Assessed Value: "), F.when(F.col("c") == 7, "unknown").when(F.col("c") == 6, "$1,000.5").otherwise("$1,000.50"), F.lit(" Auction Starts: "), F.date_format("d", "MM/dd/yyyy"), F.lit(" 10:00 AM ET Name On Title: X"), F.lit(" Certificate Number: C-"), F.col("c").cast("string"), F.lit(" Legal Description: LOT 1 Case of wine"),
     ]
     return R.parse_auction_details(a.select("auction_id", F.concat(*parts).alias("body")))
 
 
-@query("x2_parse_auction_details", ", a as (" + _AUCTION.format(orders="orders") + "), k as (select *, lpad(cast(auction_id as string), 18, '0') as p from a) select auction_id, '2024CA' || cast(c as string) as case_number, substr(p, 1, 2) || '-' || substr(p, 3, 2) || '-' || substr(p, 5, 2) || '-' || substr(p, 7, 6) || '-' || substr(p, 13, 6) as parcel_id, cast(d as date) as auction_date, '10:00 AM ET' as auction_time, cast(cast(price as decimal(18,2)) as decimal(38,10)) as final_judgment, case when c <> 7 then cast(1000.50 as decimal(38,10)) end as assessed_value, cast(auction_id as string) || ' MAIN ST' as property_address from k")
+@query("x2_parse_auction_details", ", a as (" + _AUCTION.format(orders="orders") + "), k as (select *, lpad(cast(auction_id as string), 18, '0') as p from a) select auction_id, '2024CA' || cast(c as string) as case_number, substr(p, 1, 2) || '-' || substr(p, 3, 2) || '-' || substr(p, 5, 2) || '-' || substr(p, 7, 6) || '-' || substr(p, 13, 6) as parcel_id, cast(d as date) as auction_date, '10:00 AM ET' as auction_time, cast(cast(price as decimal(18,2)) as decimal(38,10)) as final_judgment, case when c <> 7 then cast(1000.50 as decimal(38,10)) end as assessed_value, cast(auction_id as string) || ' MAIN ST' as property_address, 'FORECLOSURE' as case_type, p as parcel_id_raw, 'C-' || cast(c as string) as certificate_number, 'LOT 1 Case of wine' as legal_description, 'X' as name_on_title from k")
 def _(t: Tables) -> DataFrame:
     return auctions(t)
 
@@ -213,9 +212,9 @@ def _(t: Tables) -> DataFrame:
     return Q.latest_evidence(t("evidence"), AS_OF).select("id", "parcel_id", "source", "result")
 
 
-@query("w3_work_queue", f", l as (select parcel_id, max(checked_at) as last_check from evidence where id % 3 = 0 group by parcel_id) select s.parcel_id, cast(floor(epoch(last_check)) as bigint) as last_check from screening s left join l using (parcel_id) where last_check is null or last_check <= {_NOW} - interval 20 hours order by l.last_check nulls first, s.parcel_id limit 5")
+@query("w3_work_queue", f", l as (select parcel_id, max(checked_at) as last_check from evidence group by parcel_id) select s.parcel_id, cast(floor(epoch(last_check)) as bigint) as last_check from screening s left join l using (parcel_id) where last_check is null or last_check <= {_NOW} - interval 20 hours order by l.last_check nulls first, s.parcel_id limit 5")
 def _(t: Tables) -> DataFrame:
-    due = Q.work_queue(t("screening"), t("evidence").where("id % 3 = 0"), AS_OF, limit=9)
+    due = Q.work_queue(t("screening"), t("evidence"), AS_OF, limit=9)
     return due.withColumn("last_check", F.unix_timestamp(F.col("last_check").cast("timestamp")))
 
 
@@ -280,10 +279,15 @@ def _(t: Tables) -> DataFrame:
     return refreshed(t).select("parcel_id", "property_id", "status", "missing", "flood_status")
 
 
-@query("m7_sync_dd_holds", _R3 + ", h as (select property_id, status as gate from r3 where property_id is not null and parcel_id in (select parcel_id from evidence where source = 'LEE_PARCEL_GEOMETRY' and result = 'FOUND')), rv as (select c_custkey as property_id, case when c_custkey % 3 = 0 then 'held' else 'approved' end as status, 'old' as note from customer where c_custkey % 2 = 0) select coalesce(h.property_id, rv.property_id) as property_id, case when gate is not null and coalesce(status = 'held', true) then 'held' else status end as status, case when gate is not null and coalesce(status = 'held', true) then gate else note end as note from h full join rv on rv.property_id = h.property_id")
+@query("m7_sync_dd_holds", _R3 + ", h as (select property_id, status as gate from r3 where property_id is not null and parcel_id in (select parcel_id from evidence where source = 'LEE_PARCEL_GEOMETRY' and id % 4 > 0)), rv as (select c_custkey as property_id, case when c_custkey % 3 = 0 then 'qualification_hold' else 'approved' end as status from customer where c_custkey % 2 = 0), b as (select coalesce(h.property_id, rv.property_id) as property_id, gate, status, gate is not null and coalesce(status = 'qualification_hold', true) as change from h full join rv on rv.property_id = h.property_id) select property_id, case when change then 'qualification_hold' else status end as status, case when not change then 'old' when gate = 'REJECTED_FLOOD_ZONE' then 'failed' else 'review_required' end as flood_status, case when not change then 'old' when gate = 'REJECTED_MAPPED_WETLANDS' then 'failed' else 'review_required' end as wetlands_status, case when change then 'review_required' else 'old' end as access_status, case when change and gate like 'REJECTED%' then gate else '' end as fatal_flags from b")
 def _(t: Tables) -> DataFrame:
-    reviews = t("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("property_id"), F.when(F.col("c_custkey") % 3 == 0, "held").otherwise("approved").alias("status"), F.lit("old").alias("note"))
-    return Q.sync_dd_holds(refreshed(t), t("evidence"), reviews)
+    old = F.lit("old")
+    reviews = t("customer").where("c_custkey % 2 = 0").select(
+        F.col("c_custkey").alias("property_id"), F.when(F.col("c_custkey") % 3 == 0, Q.HELD).otherwise("approved").alias("status"),
+        old.alias("flood_status"), old.alias("wetlands_status"), old.alias("access_status"), F.array().cast("array<string>").alias("fatal_flags"),
+    )
+    evidence = t("evidence").select("parcel_id", "source", (F.col("id") % 4 > 0).alias("identity_verified"))
+    return Q.sync_dd_holds(refreshed(t), evidence, reviews).withColumn("fatal_flags", F.array_join("fatal_flags", ","))
 
 
 @query("j9_materialize_leads", _INPUTS + f", ok as (select * from j7 where cast(parcel_id as bigint) % 4 > 0 and access_status = 'VERIFIED' and access_expires > {_NOW} and property_id is not null and property_id % 7 <> 1) select property_id, parcel_id, 'held' as status from ok")
@@ -294,10 +298,12 @@ def _(t: Tables) -> DataFrame:
     return Q.materialize_leads(s, results, plain_properties(t), access(t), leads, AS_OF)
 
 
-@query("j13_resolve_identity", ", f as (select lpad(cast(user_id + 1 as string), 18, '0') as parcel_id, lpad(cast(user_id + 1 as string), 18, '0') as feature_id, event_id % 4 > 0 as ok from events where event_id % 60 = 0) select parcel_id, case when count(*) = 1 and bool_and(ok) then max(feature_id) end as feature_id, count(*) = 1 and bool_and(ok) as resolved from f group by parcel_id")
+@query("j13_resolve_identity", ", f as (select lpad(cast(c_custkey + 1 as string), 18, '0') as parcel_id, lpad(cast(c_custkey + 1 as string), 18, '0') as feature_id, c_nationkey % 4 > 0 as ok from customer union all select lpad(cast(c_custkey + 1 as string), 18, '0'), 'other', true from customer where c_mktsegment = 'BUILDING') select parcel_id, case when count(*) = 1 and bool_and(ok) then max(feature_id) end as feature_id, count(*) = 1 and bool_and(ok) as resolved from f group by parcel_id")
 def _(t: Tables) -> DataFrame:
-    key = F.lpad((F.col("user_id") + 1).cast("string"), 18, "0")
-    return Q.resolve_parcel_identity(t("events").where("event_id % 60 = 0").select(key.alias("parcel_id"), key.alias("feature_id"), (F.col("event_id") % 4 > 0).alias("polygon_ok")))
+    """Each customer's parcel has a feature, those of one segment a second one."""
+    key = F.lpad((F.col("c_custkey") + 1).cast("string"), 18, "0")
+    one = t("customer").select(key.alias("parcel_id"), key.alias("feature_id"), (F.col("c_nationkey") % 4 > 0).alias("polygon_ok"))
+    return Q.resolve_parcel_identity(one.unionAll(t("customer").where("c_mktsegment = 'BUILDING'").select(key, F.lit("other"), F.lit(True))))
 
 
 @query("j14_cas_update", "select c_custkey as id, case when c_custkey % 3 = 0 then 'open' else 'done' end as status, case when c_custkey % 3 = 0 then 'conflict' else 'applied' end as outcome from customer where c_custkey % 2 = 0")

@@ -92,9 +92,9 @@ def _(t: Tables) -> DataFrame:
     return t.sql(_ROADS, supplier=t("supplier")).select("id", S.road_surface_class(F.col("county"), F.col("field"), F.col("value")).alias("surface"))
 
 
-@query("s14_county_config", "select id, lower(trim(county)) as county, case lower(trim(county)) when 'lee' then 'SURFACE' when 'charlotte' then 'PAVED' when 'polk' then 'SURFTYPE' end as road_field from properties")
+@query("s14_county_config", "select id, lower(trim(county)) as county, case lower(trim(county)) when 'lee' then 'SURFACE' when 'charlotte' then 'PAVED' when 'polk' then 'SURFTYPE' end as road_field, case lower(trim(county)) when 'lee' then 'STRAP' when 'charlotte' then 'ACCOUNT' when 'polk' then 'PARCELID' end as identity_field, case lower(trim(county)) when 'charlotte' then 6 when 'lee' then 5 else 3 end as parcel_fields, 5 as road_fields from properties")
 def _(t: Tables) -> DataFrame:
-    return t("properties").select("id", F.lower(F.trim("county")).alias("county")).join(F.broadcast(S.county_config(t.spark)), "county", "left")
+    return t("properties").select("id", F.lower(F.trim("county")).alias("county")).join(F.broadcast(S.county_config(t.spark)), "county", "left").withColumns({"parcel_fields": F.size("parcel_fields"), "road_fields": F.size("road_fields")})
 
 
 _FLAGS = """
@@ -274,7 +274,7 @@ def _(t: Tables) -> DataFrame:
     return snapshots.row_digest(t("owner_raw"), ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown").select("parcel_id", "ln_num", "digest")
 
 
-@query("c17_feed_digest", f"select count(*) as rows, md5(string_agg({_NORM_OWNER}, '' order by parcel_id, ln_num)) as feed_digest from owner_raw")
+@query("c17_feed_digest", f", g as (select parcel_id, count(*) as n, md5(string_agg({_NORM_OWNER}, '' order by ln_num)) as digest from owner_raw group by parcel_id), b as (select substr(md5(parcel_id), 1, 4) as block, sum(n) as n, md5(string_agg(digest, '' order by parcel_id)) as digest from g group by 1) select cast(sum(n) as bigint) as rows, md5(string_agg(digest, '' order by block)) as feed_digest from b")
 def _(t: Tables) -> DataFrame:
     return snapshots.feed_digest(snapshots.row_digest(t("owner_raw"), ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown"), "parcel_id", "ln_num")
 
@@ -383,9 +383,9 @@ def _(t: Tables) -> DataFrame:
     return out.select("parcel_id", F.coalesce(F.when(F.col("owner_rows").isNotNull(), F.size("owner_rows")), F.lit(-1)).cast("long").alias("owners"), F.coalesce(F.array_join("owner_rows.name", "|"), F.lit("")).alias("names"), F.array_join("missing_feeds", ",").alias("missing_feeds"), "review_required")
 
 
-_REVIEWS = "select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' else 'review_required' end as status, cast(c_nationkey as int) as dd_score, 'complete' as underwriting_status from {customer}"
+_REVIEWS = "select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' else 'review_required' end as status, cast(c_nationkey as int) as dd_score, 'complete' as underwriting_status, c_mktsegment as segment from {customer}"
 
 
-@query("m5_quarantine_reviews", "select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' else 'review_required' end as status, cast(case when c_custkey < 90 and c_custkey % 4 <> 0 then 0 else c_nationkey end as int) as dd_score, case when c_custkey < 90 and c_custkey % 4 <> 0 then 'review_required' else 'complete' end as underwriting_status from customer")
+@query("m5_quarantine_reviews", "select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' else 'review_required' end as status, cast(case when c_mktsegment = 'BUILDING' and c_custkey % 4 <> 0 then 0 else c_nationkey end as int) as dd_score, case when c_mktsegment = 'BUILDING' and c_custkey % 4 <> 0 then 'review_required' else 'complete' end as underwriting_status, c_mktsegment as segment from customer")
 def _(t: Tables) -> DataFrame:
-    return snapshots.quarantine_reviews(t.sql(_REVIEWS, customer=t("customer")), F.col("id") < 90)[1]
+    return snapshots.quarantine_reviews(t.sql(_REVIEWS, customer=t("customer")), F.col("segment") == "BUILDING", max_rows=10**9)[1]

@@ -40,7 +40,17 @@ def _(t: Tables) -> DataFrame:
     return geo.overlap_pct(parcels(t), h)
 
 
-@query("p2_overlap_union")
+#: The cuts of hazards within a parcel make a grid; a cell of it counts once if any hazard covers its middle.
+_UNION = """
+, met as (select parcel_id, ax0, ay0, ax1, ay1, bx0, by0, bx1, by1 from pb join hz on ax0 <= bx1 and bx0 <= ax1 and ay0 <= by1 and by0 <= ay1)
+, xs as (select distinct parcel_id, least(greatest(unnest([ax0, ax1, bx0, bx1]), ax0), ax1) as x from met), xc as (select parcel_id, x as x0, lead(x) over (partition by parcel_id order by x) as x1 from xs)
+, ys as (select distinct parcel_id, least(greatest(unnest([ay0, ay1, by0, by1]), ay0), ay1) as y from met), yc as (select parcel_id, y as y0, lead(y) over (partition by parcel_id order by y) as y1 from ys)
+, hit as (select distinct parcel_id, x0, x1, y0, y1 from xc join yc using (parcel_id) join met using (parcel_id) where x1 is not null and y1 is not null and bx0 <= x0 and x1 <= bx1 and by0 <= y0 and y1 <= by1)
+, ar as (select parcel_id, sum((x1 - x0) * (y1 - y0)) as area from hit group by parcel_id), ct as (select parcel_id, count(*) as n from met group by parcel_id)
+select pb.parcel_id, coalesce(n, 0) as hazards, round(coalesce(area, 0) / 64.0, 4) as overlap_pct, cast(null as varchar) as error from pb left join ct using (parcel_id) left join ar using (parcel_id)"""
+
+
+@query("p2_overlap_union", _PLANE + _UNION)
 def _(t: Tables) -> DataFrame:
     """All hazards, which overlap each other: their union counts once."""
     return geo.overlap_pct(parcels(t), hazards(t))
@@ -89,15 +99,23 @@ def _(t: Tables) -> DataFrame:
     return t("boxes").select("parcel_id", F.round(geodesic_m(*[F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")]), 3).alias("metres"))
 
 
-# Projected distances of short steps are those on the ellipsoid times the scale of the place, near 0.9996 in mid zone.
-@query("p1_to_utm17", f"select parcel_id, true as agrees from boxes where {geodesic_sql('x0', 'y0', 'x1', 'y1')} > 0")
+def _utm17_sql(lon: str, lat: str) -> tuple[str, str]:
+    """Easting and northing in SQL by another series than the operator's: the meridian's arc and powers of the distance from it (Snyder 1987), good to a millimetre in mid zone."""
+    e2 = (2 - 1 / 298.257222101) / 298.257222101
+    p = e2 / (1 - e2)
+    phi, d = f"radians({lat})", f"radians({lon} + 81.0)"
+    n, t, c, a = f"(6378137.0 / sqrt(1 - {e2!r} * pow(sin({phi}), 2)))", f"pow(tan({phi}), 2)", f"({p!r} * pow(cos({phi}), 2))", f"(cos({phi}) * {d})"
+    arc = f"(6378137.0 * ({1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256!r} * {phi} - {3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024!r} * sin(2 * {phi}) + {15 * e2**2 / 256 + 45 * e2**3 / 1024!r} * sin(4 * {phi}) - {35 * e2**3 / 3072!r} * sin(6 * {phi})))"
+    east = f"500000 + 0.9996 * {n} * ({a} + (1 - {t} + {c}) * pow({a}, 3) / 6 + (5 - 18 * {t} + pow({t}, 2) + 72 * {c} - 58 * {p!r}) * pow({a}, 5) / 120)"
+    north = f"0.9996 * ({arc} + {n} * tan({phi}) * (pow({a}, 2) / 2 + (5 - {t} + 9 * {c} + 4 * pow({c}, 2)) * pow({a}, 4) / 24 + (61 - 58 * {t} + pow({t}, 2) + 600 * {c} - 330 * {p!r}) * pow({a}, 6) / 720))"
+    return east, north
+
+
+# The two series agree to a millimetre, so a coordinate seldom lies between their roundings to ten metres; tests compare them to the millimetre.
+@query("p1_to_utm17", f", u as (select parcel_id, {_utm17_sql('x0', 'y0')[0]} as e, {_utm17_sql('x0', 'y0')[1]} as n from boxes) select parcel_id, cast(floor(e / 10 + 0.5) as bigint) as easting_10m, cast(floor(n / 10 + 0.5) as bigint) as northing_10m from u")
 def _(t: Tables) -> DataFrame:
-    b = t("boxes").select("parcel_id", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")])
-    (e0, n0), (e1, n1) = to_utm17(F.col("x0"), F.col("y0")), to_utm17(F.col("x1"), F.col("y1"))
-    east = (e0 + e1) / 2 - 500000
-    scale = 0.9996 * (1 + east * east / (2 * 6372000.0**2))
-    plane = F.sqrt((e1 - e0) * (e1 - e0) + (n1 - n0) * (n1 - n0))
-    return b.select("parcel_id", (F.abs(plane / scale / geodesic_m(*map(F.col, ("x0", "y0", "x1", "y1"))) - 1) < 1e-5).alias("agrees"))
+    east, north = to_utm17(F.col("x0").cast("double"), F.col("y0").cast("double"))
+    return t("boxes").select("parcel_id", F.floor(east / 10 + 0.5).alias("easting_10m"), F.floor(north / 10 + 0.5).alias("northing_10m"))
 
 
 _SUBJECT = "select lpad(cast(s_suppkey + 1 as string), 18, '0') as subject_id, -82.0 + (s_suppkey % 50) * 0.001 as lon, 26.5 + floor(s_suppkey / 50) * 0.001 as lat, case when s_suppkey % 3 = 0 then 'R1' else 'R2' end as zoning, 1.0 + s_suppkey % 4 as acres, case when s_suppkey % 2 = 0 then 'land' else 'home' end as property_type from {supplier}"
@@ -132,9 +150,9 @@ def _(t: Tables) -> DataFrame:
     return geo.comp_median(subjects(t), comps(t))
 
 
-@query("j12_radius_sales", ", sb as (" + _SUBJECT.format(supplier="supplier") + "), sl as (" + _SOLD.format(lineitem="lineitem") + f"), nr as (select subject_id, sale_parcel, instrument, {geodesic_sql('sb.lon', 'sb.lat', 'sl.lon', 'sl.lat')} as d from sb join sl on sale_parcel <> subject_id and price > 0), rk as (select *, row_number() over (partition by subject_id order by round(d, 6), sale_parcel, instrument) as n from nr where d <= {0.4 * 1609.344!r}) select subject_id, count(*) as n, round(max(d), 2) as farthest_m from rk where n <= 30 group by subject_id")
+@query("j12_radius_sales", ", sb as (" + _SUBJECT.format(supplier="supplier") + "), sl as (" + _SOLD.format(lineitem="lineitem") + f"), nr as (select subject_id, sale_parcel, instrument, {geodesic_sql('sb.lon', 'sb.lat', 'sl.lon', 'sl.lat')} as d from sb join sl on sale_parcel <> subject_id and price > 0), rk as (select *, row_number() over (partition by subject_id order by round(d, 6), sale_parcel, instrument) as n from nr where d <= {5 * 1609.344!r}) select subject_id, count(*) as n, round(max(d), 2) as farthest_m from rk where n <= 30 group by subject_id")
 def _(t: Tables) -> DataFrame:
-    near = geo.radius_sales(subjects(t), sold(t), miles=0.4)
+    near = geo.radius_sales(subjects(t), sold(t))
     return near.groupBy("subject_id").agg(F.count("*").alias("n"), F.round(F.max("distance_m"), 2).alias("farthest_m"))
 
 
