@@ -113,34 +113,43 @@ def quality_verdicts(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), text
     rows are judged each; an empty table gives no rows; other columns are ignored. Nothing is shuffled. `text` and
     `lang` name the columns, or fields of a carried struct.
     """
-    whole, kind = F.coalesce(F.col(text), F.lit("")), F.lower(F.coalesce(F.col(lang), F.lit("")))
-    kind = F.when(kind.isin(*COMMON), kind).otherwise(F.lit(""))
-    own = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), kind.alias("kind"), _features(whole, kind).alias("q"))
-    n, c, w = F.col("q.n_chars"), F.col("q.c"), F.col("q.w")
+    kind = F.lower(F.coalesce(F.col(lang), F.lit("")))
+    own = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("whole"), F.when(kind.isin(*COMMON), kind).otherwise(F.lit("")).alias("kind"))
+    # one expression: a filter on the verdict, which Spark moves below, then computes the counts once as well
+    judged = own.select("row", let(_features(F.col("whole"), F.col("kind")), lambda q: _verdict(q, F.col("kind"))).alias("v"))
+    return judged.select("row.*", "v.*")
+
+
+def _verdict(q: Column, kind: Column) -> Column:
+    """What the counts of a text say of it, as a struct."""
+    n, c, w = q["n_chars"], q["c"], q["w"]
     base_failed = (w["n_words"] < 10) | (100 * w["n_repeat_words"] > 20 * w["n_words"])
     space = n - w["word_chars"]
     lower, other = n - space - c["n"], c["n"] - c["upper"] - c["digits"] - c["marks"] - c["symbols"]
-    known = F.col("kind") != ""
+    known = kind != ""
     letters = F.when(known, lower).otherwise(lower + c["upper"] + other)
     none = F.lit(0).cast("long")
     counts = F.array(letters, F.when(known, c["upper"]).otherwise(none), c["digits"], space, c["marks"], c["symbols"], F.when(known, other).otherwise(none))
     classes = F.transform(counts, lambda x: x / F.greatest(n, F.lit(1)))
-    total = F.greatest(F.col("q.f.n"), F.lit(1))
-    shares = F.transform(F.col("q.f.counts"), lambda x: x / total)
+    shares = F.transform(q["f"]["counts"], lambda x: x / F.greatest(q["f"]["n"], F.lit(1)))
     words = let(shares, lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, x: a + x)))))
 
     def reference(at: int) -> Column:
         out = F.when(F.lit(False), F.array(F.lit(0.0)))
         for k, held in references().items():
             if at == 0 or k:
-                out = out.when(F.col("kind") == k, F.array(*[F.lit(float(x)) for x in held[at]]))
+                out = out.when(kind == k, F.array(*[F.lit(float(x)) for x in held[at]]))
         return out
 
-    judged = own.withColumns({"js_class": F.when(~base_failed, _js(classes, reference(0))), "js_word": F.when(~base_failed & known, _js(words, reference(1)))})
-    class_far = F.col("js_class") > MOST_CLASS + _allowance(n, FULL_CHARS, FOR_CHARS)
-    both_far = (F.col("js_class") > MOST_BOTH[0]) & (F.col("js_word") > MOST_BOTH[1] + _allowance(w["n_words"], FULL_WORDS, FOR_WORDS))
-    far = F.coalesce(class_far, F.lit(False)) | F.coalesce(both_far, F.lit(False))
-    return judged.select(
-        "row.*", w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"), c["symbols"].alias("n_symbols"), "q.n_dup_lines", w["n_repeat_words"].alias("n_repeat_words"),
-        base_failed.alias("base_failed"), (~base_failed & ~far).alias("kept"), "js_class", "js_word",
-    )
+    distances = F.struct(F.when(~base_failed, _js(classes, reference(0))).alias("js_class"), F.when(~base_failed & known, _js(words, reference(1))).alias("js_word"))
+
+    def judge(d: Column) -> Column:
+        class_far = d["js_class"] > MOST_CLASS + _allowance(n, FULL_CHARS, FOR_CHARS)
+        both_far = (d["js_class"] > MOST_BOTH[0]) & (d["js_word"] > MOST_BOTH[1] + _allowance(w["n_words"], FULL_WORDS, FOR_WORDS))
+        far = F.coalesce(class_far, F.lit(False)) | F.coalesce(both_far, F.lit(False))
+        return F.struct(
+            w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"), c["symbols"].alias("n_symbols"), q["n_dup_lines"].alias("n_dup_lines"), w["n_repeat_words"].alias("n_repeat_words"),
+            base_failed.alias("base_failed"), (~base_failed & ~far).alias("kept"), d["js_class"].alias("js_class"), d["js_word"].alias("js_word"),
+        )
+
+    return let(distances, judge)

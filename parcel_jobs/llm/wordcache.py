@@ -57,37 +57,37 @@ _SINGLE = re.compile(r"[a-zß-öø-ÿ]+|[!-/:-@\[-`{-~]+|[0-9]").fullmatch
 class WordBpe:
     """encode(texts): ids of all texts, of self.dtype, and where each text's begin."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.specials = [t["content"] for t in spec.get("added_tokens") or []]
-        self.by_word = self._is_by_word(spec)
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.specials = [t.content for t in added]
+        self.by_word = self._is_by_word(self.tokenizer, added)
         if self.by_word:
             # for words that are one pre-token each: white space alone parts them, and their bytes are shown as the byte level does
-            self.singles = Tokenizer.from_file(path)
-            self.singles.normalizer, self.singles.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+            self.singles = Tokenizer(self.tokenizer.model)
+            self.singles.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.bytes_shown = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x100)}
-            self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(WORD_BY_WORD["suffix"])]] = True
+            self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith(WORD_BY_WORD["suffix"]) for i in range(size)], bool)
         self.words = TwoGenerations(cache_words)
 
     @staticmethod
-    def _is_by_word(spec: dict) -> bool:
-        parts = lambda x, name: (x or {}).get(name) or []
-        normal = [x["type"] if x["type"] != "Replace" else x["pattern"].get("Regex") if x["content"] == " " else None for x in parts(spec["normalizer"], "normalizers")]
-        pre = parts(spec["pre_tokenizer"], "pretokenizers")
+    def _is_by_word(tokenizer, added) -> bool:
+        shown = lambda part: json.loads(part.__getstate__()) if part is not None else {}
+        normal = [x["type"] if x["type"] != "Replace" else x["pattern"].get("Regex") if x["content"] == " " else None for x in shown(tokenizer.normalizer).get("normalizers") or []]
+        pre = shown(tokenizer.pre_tokenizer).get("pretokenizers") or []
         split = [x["pattern"].get("Regex") for x in pre if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]]
         byte = [x for x in pre if x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"]]
-        model, marked = spec["model"], any(t["single_word"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in spec.get("added_tokens") or [])
+        marked = any(t.single_word or t.lstrip or t.rstrip or " " in t.content for t in added)
+        model = tokenizer.model
         return (
             normal == WORD_BY_WORD["normalizer"] and split == [WORD_BY_WORD["pre_tokens"]] and len(byte) == 1 and len(pre) == 2 and not marked
-            and model["type"] == "BPE" and model["end_of_word_suffix"] == WORD_BY_WORD["suffix"] and not model.get("dropout") and not spec.get("post_processor")
+            and type(model).__name__ == "BPE" and model.end_of_word_suffix == WORD_BY_WORD["suffix"] and not model.dropout and tokenizer.post_processor is None
         )
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +155,14 @@ class WordBpe:
         return out
 
 
-def runs_of(texts: pa.Array, most_bytes: int = 4_000_000) -> Iterable[tuple[int, pa.Array]]:
-    """(first row, texts) of runs of rows with a bounded number of bytes; one longer text is a run alone."""
+def runs_of(texts: pa.Array, most_bytes: int = 2_000_000) -> Iterable[tuple[int, pa.Array]]:
+    """(first row, texts) of runs of rows with a bounded number of bytes; one longer text is a run alone. What Arrow holds for the runs is given back after each."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start, done = 0, 0
     while start < len(texts):
         stop = max(start + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
         yield start, texts.slice(start, stop - start)
+        pa.default_memory_pool().release_unused()
         start, done = stop, int(ends[stop - 1])
 
 
