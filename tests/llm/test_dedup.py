@@ -139,3 +139,44 @@ def test_a_radius_that_blocks_do_not_cover_is_an_error(spark):
     df = spark.createDataFrame([(0,), (0b1000000000000100000000000010000000000001,)], "fp long")
     with pytest.raises(ValueError):
         simhash.near_links(df, radius=4)
+
+
+@pytest.mark.parametrize("radius", [0, 3, 7, 8, 14, 15])
+def test_distances_up_to_fifteen(radius):
+    rng = np.random.default_rng(radius)
+    fps = np.unique(np.concatenate([[np.uint64(0xABCDEF)], np.array([0xABCDEF ^ int(np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, replace=False).astype(np.uint64))) for k in rng.integers(1, 24, 90)], np.uint64)]))
+    planes = simhash._planes(fps, -(-len(fps) // 64) * 64)
+    found = simhash._within(planes, simhash._all_ones(simhash._bits(fps)), radius)
+    near = np.unpackbits(found.astype("<u8").view(np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")[:, : len(fps)]
+    assert near.tolist() == [[int(bin(int(a ^ b)).count("1") <= radius) for b in fps] for a in fps]
+
+
+def test_similar_groups_are_verified(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for base in range(12):  # copies with two of 300 words changed share nine tenths of their shingles, those with 30 changed a third
+        b = [rng.choice(words) for _ in range(300)]
+        for changed in (0, 0, 2, 2, 30):
+            w = b.copy()
+            for k in rng.sample(range(300), changed):
+                w[k] = "other"
+            texts.append(" ".join(w))
+    texts += [None, "", "one two", "one two", "x " * 9000]
+    rows = [*enumerate(texts), (None, texts[0])]
+    got = simhash.similar_groups(table(spark, rows)).collect()
+    sets = [set(simhash.shingles(t or "", 5).tolist()) for _, t in rows]
+    group = {}
+    for r in got:
+        if r["doc_id"] is not None:
+            group[r["doc_id"]] = r["component_id"]
+    assert len(got) == len(rows)
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(alike) >= 12 * 6 and sum(group[i] == group[j] for i, j in alike) >= 0.95 * len(alike)
+    parts = {}
+    for i, j in alike:
+        parts.setdefault(i, {i}).add(j)
+    for i in range(len(texts)):  # nothing is linked to what no chain of alike texts reaches
+        assert group[i] == i or any(i in (a, b) for a, b in alike)
+    assert sum(r["first"] for r in got) == len({r["component_id"] for r in got})
+    assert simhash.similar_groups(table(spark, [])).collect() == []

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from parcel_jobs.llm.exact_dedup import exact_groups
 from parcel_jobs.llm.queries import QUERIES
-from parcel_jobs.llm.simhash import fingerprint, near_groups
+from parcel_jobs.llm.simhash import shingles, similar_groups
 
 DATA = "/root/testdata/sf0.001"
 
@@ -22,7 +22,7 @@ def test_stages(spark, tmp_path):
         if name == "exact dedup":
             assert out.count() == exact_groups(docs).where("kept").count() < docs.count()
         if name == "near dedup":
-            assert near_groups(out).where("component_id <> doc_id").count() == 0
+            assert out.count() == similar_groups(docs).where("first").count()
         docs = out
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
     assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
@@ -64,7 +64,7 @@ def test_run_leaves_one_table_and_takes_odd_rows(spark, tmp_path):
         order = (-len(r["text"]), r["doc_id"] is None, r["doc_id"] or 0)
         best[plain] = min(best.get(plain, (order, r)), (order, r), key=lambda x: x[0])
     rest = [r for _, r in best.values()]
-    fps = [fingerprint(r["text"]) for r in rest]
+    sets = [set(shingles(r["text"], 5).tolist()) for r in rest]
     parent = list(range(len(rest)))
 
     def find(x):
@@ -74,11 +74,13 @@ def test_run_leaves_one_table_and_takes_odd_rows(spark, tmp_path):
 
     for i in range(len(rest)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= 3:
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 parent[find(i)] = find(j)
-    first = {}
+    first, alike = {}, set()
     for i, r in enumerate(rest):
         key = (r["doc_id"] is None, r["doc_id"] or 0)
         first[find(i)] = min(first.get(find(i), (key, r["doc_id"])), (key, r["doc_id"]))
+        alike |= {r["doc_id"]} if sum(find(k) == find(i) for k in range(len(rest))) > 1 else set()
     full = {x["doc_id"] for x in corpus_pipeline.run(spark, f"{tmp_path}/full").collect()}
-    assert full == {i for _, i in first.values()}
+    kept = {i for _, i in first.values()}
+    assert kept <= full and full - kept <= alike and len(full - kept) <= 0.2 * len(alike)  # some links may be missed, none is invented
