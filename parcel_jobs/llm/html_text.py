@@ -32,7 +32,7 @@ DEEPEST = 512
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _PLAIN = re.compile(r"[^>\"']*")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
-_LONG_NUMBER, _ZEROS = re.compile(r"&#[1-9][0-9]{7,};?"), re.compile(r"&#0{2,}")
+_LONG_NUMBER, _ZEROS = re.compile(r"&#[1-9][0-9]{7,};?"), re.compile(r"&#0+(?=[0-9])")
 _NAMED = re.compile(r"\b(class|id|role|aria-label|hidden|style)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"\shidden(\s|$|=)")
 _WORD = re.compile(r"[a-z]+")
@@ -57,7 +57,7 @@ def decoded(text: str) -> str:
     if "&" not in text:
         return text
     if "&#" in text:
-        text = _LONG_NUMBER.sub("\ufffd", _ZEROS.sub("&#0", text).replace("&#0", "&#") if _ZEROS.search(text) else text)
+        text = _LONG_NUMBER.sub("\ufffd", _ZEROS.sub("&#", text))
     return html.unescape(text)
 
 

@@ -284,6 +284,14 @@ def test_main_text_of_layouts(page, text):
     assert html_text.main_text(page, html_text.trained()) == text
 
 
+def test_references_of_numbers():
+    for text in ("&#0;&#0065;", "&#00;", "&#000000000000065", "&#x41;&#65", "&#", "&#0", "&#99999999;&#1114112;", "&amp;#65;"):
+        import html as reference
+
+        assert html_text.decoded(text) == reference.unescape(text)
+    assert html_text.decoded("&#" + "9" * 5000 + ";&#" + "0" * 5000 + "65;") == "\ufffdA"
+
+
 def test_no_pages(spark):
     assert html_text.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars int")).collect() == []
 
