@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -253,7 +254,7 @@ def shingles(text: str, size: int) -> np.ndarray:
 
 
 def similar_groups(
-    docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text", shingle: int = 5, least: float = 0.8, tables: int = 64, radius: int = 15, tile: int = TILE
+    docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text", shingle: int = 5, least: float = 0.8, tables: int = 16, radius: int = 15, tile: int = TILE
 ) -> DataFrame:
     """near_groups whose links are texts that share `least` of their different shingles (Jaccard), found by wider buckets and then verified.
 
@@ -272,7 +273,8 @@ def similar_groups(
     choices = list(combinations(range(64 // width), 4))
     chosen = random.Random(SEED).sample(choices, min(tables, len(choices)))
     block = lambda i: F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1))
-    keys = [F.xxhash64(F.lit(n), *[block(i) for i in four]) for n, four in enumerate(chosen)]
+    packed = lambda n, four: reduce(lambda key, i: F.shiftleft(key, width).bitwiseOR(block(i)), four, F.lit(n).cast("long"))  # noqa: E731  small numbers, which shuffle in few bytes
+    keys = [packed(n, four) for n, four in enumerate(chosen)]
     candidates = written(_bucket_links(by_fp.select("fp"), keys, radius, tile).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
