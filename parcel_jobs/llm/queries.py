@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses
+from . import fill_in_middle, licenses
 from .chat import conversation_digests
 from .exact_dedup import exact_groups
 from .html_text import extract_main_text
@@ -67,7 +67,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents")).drop("first")
 
 
-_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), digests=True)
+
+
+_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash, op11_fill_in_middle)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Turns in order, their texts, the lengths of the template's marks and escapes, and references that became placeholders.
@@ -99,4 +103,4 @@ select doc_id,
 from (select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as t from documents)
 """
 
-ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2, "op3_license_scan": licenses.oracle(), "op5_exact_dedup": _OP5}
+ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2, "op3_license_scan": licenses.oracle(), "op5_exact_dedup": _OP5, "op11_fill_in_middle": fill_in_middle.ORACLE}
