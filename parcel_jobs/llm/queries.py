@@ -17,6 +17,7 @@ from .packing import pack_documents
 from .quality import quality_verdicts
 from .simhash import near_groups
 from .token_files import token_file_digests
+from .token_alignment import align_tokens
 from .toxicity import score_toxicity
 
 
@@ -71,7 +72,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), digests=True)
 
 
-_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash, op11_fill_in_middle)
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash, op11_fill_in_middle, op12_token_alignment)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Turns in order, their texts, the lengths of the template's marks and escapes, and references that became placeholders.
