@@ -14,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -47,34 +46,21 @@ def byte_of() -> dict[str, int]:
 
 
 class Aligned(NamedTuple):
-    """Tokens, groups and links of a unit: n_a = 0 if it has none; pairs are a << 32 | b, one for each link."""
+    """Of a unit: n_a, n_b, n_groups and its links as a << 32 | b, all in 64 bits, and its groups as text. Both are empty if it has no tokens."""
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: bytes
+    numbers: bytes
     groups: bytes
 
 
-NONE = Aligned(0, 0, 0, b"", b"")
+NONE = Aligned(b"", b"")
 
 
-def slices(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
-    """(first a, last a + 1, first b, last b + 1, end) of each group."""
-    index_a = {end: i for i, end in enumerate(ends_a, 1)}
-    index_b = {end: i for i, end in enumerate(ends_b, 1)}
-    a = b = 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        yield a, (a := index_a[end]), b, (b := index_b[end]), end
-
-
-def links(ends_a: list[int], ends_b: list[int], a: int, last_a: int, b: int, last_b: int) -> Iterator[tuple[int, int]]:
-    """Indices of tokens of one group whose bytes overlap; of tokens side by side, the one that ends first has no more."""
-    while a < last_a and b < last_b:
-        yield a, b
-        x, y = ends_a[a], ends_b[b]
-        a += x <= y
-        b += y <= x
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
+    """Rows (index of A's token, index of B's token, end) of the ends that both hold, in order; indices count from 1."""
+    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
+    index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
+    common = sorted(index_a.keys() & index_b.keys())
+    return np.array([[index_a[e] for e in common], [index_b[e] for e in common], common], np.int64).T
 
 
 class TwoTokenizers:
@@ -93,6 +79,9 @@ class TwoTokenizers:
         self.bytes_a = [bytes(alphabet[c] for c in t) if set(t) <= alphabet.keys() else t.encode() for t in shown]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SIGN, " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(x) for x in of], np.int64) for of in (self.bytes_a, self.bytes_b))
+        every = [f"{i}{mark}" for n, marks in ((len(shown), ",|"), (len(pieces), ",;")) for i in range(n) for mark in marks]
+        self.shown = pa.array(every, pa.large_string())
         self.by_unit = self._by_unit()
         #: White space that pieces hold behind other characters (a carriage return after a brace, say): no unit begins with it.
         self.inner = "".join(sorted({c for p in pieces for c in regex.findall(r"(?<=.)\s", p, regex.DOTALL)}))
@@ -123,27 +112,37 @@ class TwoTokenizers:
 
     def _parts(self, text: str, sizes: list[int], skip: int, split: list[str] | None) -> list[Aligned]:
         """Of parts of a text, given their sizes in bytes. If tokens don't give back the text or end where parts end, each part for itself."""
-        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        b = self.b.encode(text[1:], num_threads=1)
+        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(self.b.encode(text[1:], num_threads=1), np.int64)
         data = text.encode()
-        stops = [skip + x for x in accumulate(sizes)]
-        right = b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b))
-        ends_a, ends_b = (list(accumulate(len(of[i]) for i in ids)) for of, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-        if not right or not {*stops, *([skip] if skip else [])} <= set(ends_a) & set(ends_b):
+        right = b"".join(map(self.bytes_a.__getitem__, a.tolist())) == data == b"".join(map(self.bytes_b.__getitem__, b.tolist()))
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        groups = common_ends(ends_a, ends_b)
+        stops = skip + np.cumsum([0, *sizes])  # of the lead, then of parts
+        at = np.searchsorted(groups[:, 2], stops)
+        if not right or not np.array_equal(groups[np.minimum(at, len(groups) - 1), 2][not skip :], stops[not skip :]):
             return [NONE] if split is None else [self.whole(_LEAD + u, _LEAD) for u in split]
-        out: list[Aligned] = []
-        stop = iter(stops)
-        until, n_a, n_b, groups, pairs = next(stop), 0, 0, [], []
-        for i, j, k, m, end in slices(ends_a, ends_b):
-            if end <= skip:
-                continue
-            n_a, n_b = n_a + j - i, n_b + m - k
-            groups.append(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))};")
-            pairs += [a[x] << 32 | b[y] for x, y in links(ends_a, ends_b, i, j, k, m)]
-            if end == until:
-                out.append(Aligned(n_a, n_b, len(groups), np.array(pairs, np.int64).tobytes(), "".join(groups).encode()))
-                until, n_a, n_b, groups, pairs = next(stop, -1), 0, 0, [], []
-        return out
+        of_parts = np.zeros((len(stops), 3), np.int64)  # tokens of A and B and groups before each stop
+        of_parts[not skip :] = np.column_stack([groups[:, :2], np.arange(1, len(groups) + 1)])[at[not skip :]]
+        # links: between two ends of either that follow one another, one token of each covers the bytes
+        ends = np.union1d(ends_a, ends_b)
+        links = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
+        link_at = np.searchsorted(ends, stops, side="right")
+        counts = np.diff(of_parts, axis=0)
+        numbers = np.insert(links[link_at[0] :], np.repeat(link_at[:-1] - link_at[0], 3), counts.ravel()).tobytes()
+        number_at = ((link_at - link_at[0] + 3 * np.arange(len(stops))) * 8).tolist()
+        # text: a group's tokens of A come before its tokens of B, and each is shown with the mark that follows it
+        where_a = np.arange(len(a)) + np.concatenate([[0], groups[:, 1]])[np.searchsorted(groups[:, 0], np.arange(1, len(a) + 1))]
+        where_b = np.arange(len(b)) + groups[:, 0][np.searchsorted(groups[:, 1], np.arange(1, len(b) + 1))]
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[groups[:, 0] - 1], last_b[groups[:, 1] - 1] = True, True
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[where_a], shown[where_b] = 2 * a + last_a, 2 * (len(self.size_a) + b) + last_b
+        text_of = self.shown.take(pa.array(shown))
+        _, offsets, chars = text_of.buffers()
+        text_at = np.frombuffer(offsets, np.int64)[: len(shown) + 1][of_parts[:, 0] + of_parts[:, 1]].tolist()
+        chars = chars.to_pybytes()
+        return [Aligned(numbers[i:j], chars[k:m]) for i, j, k, m in zip(number_at, number_at[1:], text_at, text_at[1:], strict=False)]
 
     def units(self, units: list[str]) -> list[Aligned]:
         """Of units that begin with white space, or of whole texts if they can't be encoded apart."""
@@ -196,7 +195,7 @@ class TwoTokenizers:
         long = [u for u in distinct if len(u) > LONG]  # those aren't kept
         known_long = dict(zip(long, self.units(long), strict=True))
         aligned = [known[u] if len(u) <= LONG else known_long[u] for u in distinct]
-        return at, coded.indices.to_numpy(), aligned, np.array([u != "" and not x.n_a for u, x in zip(distinct, aligned, strict=True)], bool)
+        return at, coded.indices.to_numpy(), aligned, np.array([u != "" and not x.groups for u, x in zip(distinct, aligned, strict=True)], bool)
 
 
 _OPEN: dict[tuple, TwoTokenizers] = {}
@@ -232,8 +231,12 @@ def run_of(two: TwoTokenizers, texts: pa.Array) -> dict[str, np.ndarray | list]:
     used, index = np.unique(index, return_inverse=True)
     distinct = [distinct[i] for i in used]
     out: dict[str, np.ndarray | list] = {}
-    of_unit = np.array([x[:3] for x in distinct], np.int64).reshape(-1, 3)
-    n_links = np.array([len(x.pairs) // 8 for x in distinct], np.int64)
+    numbers = np.frombuffer(b"".join([x.numbers for x in distinct]), np.int64)
+    size = np.array([len(x.numbers) // 8 for x in distinct], np.int64)
+    heads = (np.cumsum(size) - size)[size > 0][:, None] + np.arange(3)  # an empty unit has no numbers
+    of_unit = np.zeros((len(distinct), 3), np.int64)
+    of_unit[size > 0] = numbers[heads]
+    n_links = np.maximum(size - 3, 0)
     for name, values in zip(_COUNTS, [*of_unit.T, n_links], strict=True):
         out[name] = sums(values, index, at)
     shown = pa.array([x.groups for x in distinct], pa.large_binary()).take(pa.array(index))  # the groups of all documents, one after the other
@@ -241,7 +244,9 @@ def run_of(two: TwoTokenizers, texts: pa.Array) -> dict[str, np.ndarray | list]:
     ends = np.frombuffer(ends, np.int64)[shown.offset : shown.offset + len(shown) + 1][at] if len(shown) else np.zeros(len(at), np.int64)
     view = memoryview(data) if data is not None else memoryview(b"")
     out["sha"] = [hashlib.sha256(view[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(ends.tolist(), ends.tolist()[1:], strict=False)]
-    pairs, links = np.unique(np.frombuffer(b"".join(x.pairs for x in distinct), np.int64), return_inverse=True)
+    is_link = np.ones(len(numbers), bool)
+    is_link[heads] = False
+    pairs, links = np.unique(numbers[is_link], return_inverse=True)
     n = np.zeros(len(pairs), np.int64)
     np.add.at(n, links, np.repeat(np.bincount(index, minlength=len(used)), n_links))
     out |= {"unit_at": at, "units": index, "link_at": np.concatenate([[0], np.cumsum(n_links)]), "links": links, "a": pairs >> 32, "b": pairs & 0xFFFFFFFF, "n": n}
