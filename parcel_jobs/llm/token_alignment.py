@@ -3,8 +3,8 @@
 Cumulative ends of A's and of B's tokens go into two dictionaries, end to index. The ends that both key sets hold, in
 order, cut the two id lists into groups, and the links of a group are its pairs of tokens whose bytes overlap.
 
-Neither tokenizer joins characters across the start of a run of white space (`TwoTokenizers.by_unit` checks that of the
-files given), so a text is a row of units, white space and what follows it, whose tokens don't depend on their neighbours. The
+Neither tokenizer joins characters across the start of a run of white space, or a letter and a mark after it
+(`TwoTokenizers.by_unit` checks that of the files given), so a text is a row of units, cut there, whose tokens don't depend on their neighbours. The
 distinct units of a run of texts are aligned once. Their links are counted for the run, added up over the corpus by
 pair, and joined back to the run, so no document's links are ever shuffled one by one and no pair is ever broadcast.
 """
@@ -12,9 +12,9 @@ pair, and joined back to the run, so no document's links are ever shuffled one b
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections.abc import Iterator
-from typing import NamedTuple
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +26,19 @@ from pyspark.sql import functions as F
 from .shared import written
 from .wordcache import TwoGenerations, runs_of
 
-#: Unicode white space, as the byte-level tokenizer's pattern has it; B's sign for a space.
+#: Unicode white space, as the byte-level tokenizer's pattern has it; that pattern; marks; B's sign for a space.
 WHITE = r"\x{09}-\x{0D} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MARKS = r"!-/:-@\[-`{-~"
 SIGN = "\u2581"
-#: Stands between units while Arrow splits a text; a text that holds it is split by _UNIT.
+LETTERS = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
+#: Stands between units while Arrow splits a text; a text that holds it is split by _CUT.
 _BETWEEN = "\x01"
-_UNIT = regex.compile("[{0}]+[^{0}]*".format(regex.sub(r"\\x\{(\w+)\}", lambda m: regex.escape(chr(int(m[1], 16))), WHITE)))
+_BRACED = regex.compile(r"\\x\{(\w+)\}")
+_WHITE, _LETTERS = (_BRACED.sub(lambda m: regex.escape(chr(int(m[1], 16))), x) for x in (WHITE, LETTERS))
+_CUT = regex.compile(rf"(?<=[{_LETTERS}])(?=[{MARKS}])|(?<![{_WHITE}])(?=[{_WHITE}])", regex.V1)
+#: Texts whose characters all libraries class alike.
+_LATIN = regex.compile(r"[\x00-\u024F]*").fullmatch
 #: Units of more characters are aligned each time they come.
 LONG = 200
 #: Before units that are encoded together or alone, so that none of them begins the text.
@@ -45,14 +52,9 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Aligned(NamedTuple):
-    """Of a unit: n_a, n_b, n_groups and its links as a << 32 | b, all in 64 bits, and its groups as text. Both are empty if it has no tokens."""
-
-    numbers: bytes
-    groups: bytes
-
-
-NONE = Aligned(b"", b"")
+#: Of a unit: n_a, n_b, n_groups and its links as a << 32 | b, all in 64 bits, and its groups as text. Both are empty if it has no tokens.
+Aligned = tuple[bytes, bytes]
+NONE: Aligned = (b"", b"")
 
 
 def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
@@ -79,6 +81,7 @@ class TwoTokenizers:
         self.bytes_a = [bytes(alphabet[c] for c in t) if set(t) <= alphabet.keys() else t.encode() for t in shown]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SIGN, " ").encode() for i, p in enumerate(pieces)]
+        self.fast_a = self._fast_a(json.loads(self.a.to_str())["model"], set(alphabet))
         self.size_a, self.size_b = (np.array([len(x) for x in of], np.int64) for of in (self.bytes_a, self.bytes_b))
         every = [f"{i}{mark}" for n, marks in ((len(shown), ",|"), (len(pieces), ",;")) for i in range(n) for mark in marks]
         self.shown = pa.array(every, pa.large_string())
@@ -87,17 +90,26 @@ class TwoTokenizers:
         self.inner = "".join(sorted({c for p in pieces for c in regex.findall(r"(?<=.)\s", p, regex.DOTALL)}))
         self.known = TwoGenerations(cache_units)
 
+    def _fast_a(self, model: dict, alphabet: set[str]) -> Callable[[str], list[int]] | None:
+        """A by the tiktoken library, whose ranks are A's ids if these follow the order of A's merges; for Latin texts."""
+        import tiktoken
+
+        vocab, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        plain = {t: i for t, i in vocab.items() if set(t) <= alphabet}
+        if sorted(plain.values()) != list(range(256 + len(merges))) or any(vocab.get(x + y) != i for i, (x, y) in enumerate(merges, 256)):
+            return None
+        ranks = {self.bytes_a[i]: i for i in plain.values()}
+        return tiktoken.Encoding("A", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def _by_unit(self) -> bool:
         """Whether units can be encoded apart: what makes it so is checked, and else whole texts are units."""
-        import json
-
         from sentencepiece import sentencepiece_model_pb2 as pb2
 
         shown = lambda part: json.loads(part.__getstate__()) if part is not None else None
         pre = shown(self.a.pre_tokenizer) or {}
         model = pb2.ModelProto.FromString(self.b.serialized_model_proto())
         spec = model.normalizer_spec
-        within = regex.compile(f" |[^{SIGN}]{SIGN}").search
+        within = regex.compile(rf" |[^{SIGN}]{SIGN}|[{_LETTERS}][{MARKS}]").search
         return (
             self.a.normalizer is None and self.a.post_processor is None and type(self.a.model).__name__ == "BPE" and not self.a.model.dropout
             and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and all(t.special for t in self.a.get_added_tokens_decoder().values())
@@ -110,9 +122,12 @@ class TwoTokenizers:
         """Of a text that begins with a space, encoded as a whole; of what follows lead, if the text begins with that."""
         return self._parts(text, [len(text[len(lead) :].encode())], len(lead.encode()), None)[0]
 
-    def _parts(self, text: str, sizes: list[int], skip: int, split: list[str] | None) -> list[Aligned]:
+    def _parts(self, text: str, sizes: np.ndarray | list[int], skip: int, split: list[str] | None) -> list[Aligned]:
         """Of parts of a text, given their sizes in bytes. If tokens don't give back the text or end where parts end, each part for itself."""
-        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        if self.fast_a and self.by_unit and _LATIN(text):
+            a = np.array(self.fast_a(text), np.int64)
+        else:
+            a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
         b = np.array(self.b.encode(text[1:], num_threads=1), np.int64)
         data = text.encode()
         right = b"".join(map(self.bytes_a.__getitem__, a.tolist())) == data == b"".join(map(self.bytes_b.__getitem__, b.tolist()))
@@ -142,24 +157,32 @@ class TwoTokenizers:
         _, offsets, chars = text_of.buffers()
         text_at = np.frombuffer(offsets, np.int64)[: len(shown) + 1][of_parts[:, 0] + of_parts[:, 1]].tolist()
         chars = chars.to_pybytes()
-        return [Aligned(numbers[i:j], chars[k:m]) for i, j, k, m in zip(number_at, number_at[1:], text_at, text_at[1:], strict=False)]
+        return [(numbers[i:j], chars[k:m]) for i, j, k, m in zip(number_at, number_at[1:], text_at, text_at[1:], strict=False)]
 
     def units(self, units: list[str]) -> list[Aligned]:
-        """Of units that begin with white space, or of whole texts if they can't be encoded apart."""
+        """Of units, or of whole texts if units can't be encoded apart."""
         if not self.by_unit:
             return [self.whole(u) if u else NONE for u in units]
         out = [NONE] * len(units)
-        joined: list[int] = []
-        for i, u in enumerate(units):
-            if u and not u[-1].isspace() and len(u) <= LONG:
-                joined.append(i)
-            elif u:
-                out[i] = self.whole(_LEAD + u, _LEAD)
-        for start in range(0, len(joined), 2000):
-            some = joined[start : start + 2000]
-            split = [units[i] for i in some]
-            for i, x in zip(some, self._parts(_LEAD + "".join(split), [len(u.encode()) for u in split], len(_LEAD), split), strict=True):
-                out[i] = x
+        held = pa.array(units, pa.string())
+        alone, marked, latin = (
+            pc.match_substring_regex(held, x).to_numpy(zero_copy_only=False) for x in (rf"\A[^{WHITE}{MARKS}]|\s\z|[{WHITE}]\z", f"\\A[{MARKS}]", r"\A[\x00-\x{24F}]*\z")
+        )
+        size = pc.utf8_length(held).to_numpy()
+        alone = (alone | (size > LONG)) & (size > 0)
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = self.whole(_LEAD + units[i], _LEAD)
+        for of_kind in (latin, ~latin):
+            for behind in (marked, ~marked):
+                every = np.flatnonzero(of_kind & behind & ~alone & (size > 0)).tolist()
+                for start in range(0, len(every), 2000):
+                    some = every[start : start + 2000]
+                    split = [units[i] for i in some]
+                    if behind is marked:  # a mark stands behind a letter
+                        split = [x for u in split for x in (_LEAD, u)]
+                    parts = self._parts(_LEAD + "".join(split), pc.binary_length(pa.array(split)).to_numpy(), len(_LEAD), split)
+                    for i, x in zip(some, parts[1::2] if behind is marked else parts, strict=True):
+                        out[i] = x
         return out
 
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -173,14 +196,15 @@ class TwoTokenizers:
         cut = pc.replace_substring_regex(led, f"([{WHITE}]+)", _BETWEEN + r"\1")
         for c in self.inner:
             cut = pc.replace_substring(cut, _BETWEEN + c, c)
+        cut = pc.replace_substring_regex(cut, f"([{LETTERS}])([{MARKS}])", rf"\1{_BETWEEN}\2")
         lists = pc.split_pattern(cut, _BETWEEN)
         at = lists.offsets.to_numpy()
         return at - at[0], lists.flatten()  # the first unit of each text is empty and counts for nothing
 
     def _split(self, text: str) -> list[str]:
         out: list[str] = []
-        for u in _UNIT.findall(text):
-            if u[0] in self.inner:
+        for u in _CUT.split(text):
+            if u and u[0] in self.inner:
                 out[-1] += u
             else:
                 out.append(u)
@@ -190,12 +214,12 @@ class TwoTokenizers:
         """(n + 1 offsets, index of each unit, Aligned of each distinct unit, whether it has no tokens though it should)."""
         at, units = self.split(texts)
         coded = units.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        known = self.known.hold({u for u in distinct if len(u) <= LONG}, self.units)
-        long = [u for u in distinct if len(u) > LONG]  # those aren't kept
-        known_long = dict(zip(long, self.units(long), strict=True))
-        aligned = [known[u] if len(u) <= LONG else known_long[u] for u in distinct]
-        return at, coded.indices.to_numpy(), aligned, np.array([u != "" and not x.groups for u, x in zip(distinct, aligned, strict=True)], bool)
+        distinct, sizes = coded.dictionary.to_pylist(), pc.utf8_length(coded.dictionary).to_numpy()
+        is_long = np.flatnonzero(sizes > LONG).tolist()
+        known = self.known.hold(set(distinct) - {distinct[i] for i in is_long}, self.units)
+        long = dict(zip(is_long, self.units([distinct[i] for i in is_long]), strict=True))  # those aren't kept
+        aligned = [long.get(i) or known[u] for i, u in enumerate(distinct)] if long else list(map(known.__getitem__, distinct))
+        return at, coded.indices.to_numpy(), aligned, (sizes > 0) & np.array([not x[1] for x in aligned], bool)
 
 
 _OPEN: dict[tuple, TwoTokenizers] = {}
@@ -229,17 +253,17 @@ def run_of(two: TwoTokenizers, texts: pa.Array) -> dict[str, np.ndarray | list]:
     index = index[held]
     at = np.concatenate([[0], np.cumsum(np.diff(at) * good)])
     used, index = np.unique(index, return_inverse=True)
-    distinct = [distinct[i] for i in used]
+    distinct = [distinct[i] for i in used.tolist()]
     out: dict[str, np.ndarray | list] = {}
-    numbers = np.frombuffer(b"".join([x.numbers for x in distinct]), np.int64)
-    size = np.array([len(x.numbers) // 8 for x in distinct], np.int64)
+    numbers = np.frombuffer(b"".join([x for x, _ in distinct]), np.int64)
+    size = np.array([len(x) for x, _ in distinct], np.int64) // 8
     heads = (np.cumsum(size) - size)[size > 0][:, None] + np.arange(3)  # an empty unit has no numbers
     of_unit = np.zeros((len(distinct), 3), np.int64)
     of_unit[size > 0] = numbers[heads]
     n_links = np.maximum(size - 3, 0)
     for name, values in zip(_COUNTS, [*of_unit.T, n_links], strict=True):
         out[name] = sums(values, index, at)
-    shown = pa.array([x.groups for x in distinct], pa.large_binary()).take(pa.array(index))  # the groups of all documents, one after the other
+    shown = pa.array([x for _, x in distinct], pa.large_binary()).take(pa.array(index))  # the groups of all documents, one after the other
     _, ends, data = shown.buffers()
     ends = np.frombuffer(ends, np.int64)[shown.offset : shown.offset + len(shown) + 1][at] if len(shown) else np.zeros(len(at), np.int64)
     view = memoryview(data) if data is not None else memoryview(b"")
