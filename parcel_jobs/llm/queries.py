@@ -19,6 +19,7 @@ from .simhash import near_groups
 from .token_files import token_file_digests
 from .token_alignment import align_tokens
 from .toxicity import score_toxicity
+from .url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +77,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash, op11_fill_in_middle, op12_token_alignment)
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
+_ALL = (op1_merge_dropout, op2_chat_formatting, op3_license_scan, op4_token_files, op5_exact_dedup, op6_quality_rules, op7_html_text, op8_packing, op9_toxicity, op10_simhash, op11_fill_in_middle, op12_token_alignment, op13_url_filter)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: Turns in order, their texts, the lengths of the template's marks and escapes, and references that became placeholders.
