@@ -13,28 +13,18 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import SALES, md5_shard, sha_shard
 from ..operators.gates import GateClosed
+from .ranges import read_ranges
 
 #: Windows-1252 at 0x80 to 0x9F; the five codes that it leaves open stay as they are.
 CP1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
-CORRUPT = "_corrupt"
 
 
-def read_strict_csv(spark: SparkSession, path: str, header: Sequence[str], sep: str = ",", multi_line: bool = True) -> DataFrame:
-    """All-text rows under an exact header, quoted line breaks allowed, with error: width for rows of another width, or nul. Blank is '', not null.
+def read_strict_csv(spark: SparkSession, path: str, header: Sequence[str], sep: str = ",", range_bytes: int = 32 << 20) -> DataFrame:
+    """All-text rows under an exact header, quoted line breaks allowed, with error: width, nul or quote. Blank is '', not null.
 
-    Another header raises when the rows are read. With quoted line breaks a file is one task; a feed that has none may be
-    read with multi_line=False, which splits large files.
+    Files are split into ranges of bytes, each a task, wherever quotes stand. Another header or bytes that aren't UTF-8 fail the job.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
-    rows = spark.read.schema(schema).options(
-        header=True, enforceSchema=False, sep=sep, quote='"', escape='"', multiLine=multi_line, unescapedQuoteHandling="RAISE_ERROR", columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", nullValue="\x00null", encoding="UTF-8",
-    ).csv(path)
-    nul = F.lit(False)
-    for c in header:
-        nul = nul | F.contains(F.coalesce(c, F.lit("")), F.lit("\0"))
-    error = F.when(F.col(CORRUPT).isNotNull(), "width").when(nul, "nul")
-    return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in header], error.alias("error"))
+    return read_ranges(spark, path, header, sep, range_bytes)
 
 
 def read_sales_feed(spark: SparkSession, path: str) -> DataFrame:
