@@ -68,7 +68,7 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
 class TwoTokenizers:
     """align(texts): what TwoTokenizers.units gives for the distinct units of a run, and where each text has which."""
 
-    def __init__(self, byte_path: str, piece_path: str, cache_units: int = 100_000):
+    def __init__(self, byte_path: str, piece_path: str, cache_units: int = 60_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -238,10 +238,22 @@ def sums(values: np.ndarray, index: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(values[index], dtype=np.int64)])[at])
 
 
+def packed(values: np.ndarray) -> bytes:
+    """32-bit numbers as their count and a Zstandard frame of their bytes, those of the lowest order first."""
+    planes = values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
 #: A run of documents: what is known of each, and the units of those with tokens in a row; of each unit, its links by the index of their
 #: pair; of each pair, ids and number of links in the run.
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
-_RUN = "run string, doc_id array<{}>, " + ", ".join(f"{c} array<long>" for c in _COUNTS) + ", sha array<string>, unit_at array<int>, units array<int>, link_at array<int>, links array<int>, a array<int>, b array<int>, n array<long>"
+_RUN = "run string, doc_id array<{}>, " + ", ".join(f"{c} array<long>" for c in _COUNTS) + ", sha array<string>, unit_at binary, units binary, link_at binary, links binary, a array<int>, b array<int>, n array<long>"
 
 
 def run_of(two: TwoTokenizers, texts: pa.Array) -> dict[str, np.ndarray | list]:
@@ -292,7 +304,8 @@ def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, text: str = "
     """
     docs = docs.selectExpr("doc_id", f"{text} as text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    as_list = {"run": pa.string(), **dict.fromkeys(_COUNTS, pa.list_(pa.int64())), "n": pa.list_(pa.int64()), "sha": pa.list_(pa.string())}
+    inner = ("unit_at", "units", "link_at", "links")
+    as_list = {**dict.fromkeys(_COUNTS, pa.list_(pa.int64())), "n": pa.list_(pa.int64()), "sha": pa.list_(pa.string())}
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -303,7 +316,7 @@ def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, text: str = "
                 out = run_of(two, texts)
                 ids = batch.column(0).slice(start, len(texts))
                 columns = {"run": pa.array([f"{part}-{seen}"]), "doc_id": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays([ids]))}
-                columns |= {k: pa.array([v], as_list.get(k, pa.list_(pa.int32()))) for k, v in out.items()}
+                columns |= {k: pa.array([packed(v)], pa.binary()) if k in inner else pa.array([v], as_list.get(k, pa.list_(pa.int32()))) for k, v in out.items()}
                 yield pa.RecordBatch.from_pydict(columns)
                 seen += 1
 
@@ -314,14 +327,14 @@ def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, text: str = "
     judged = counts.join(top, "b").select("a", "b", "count", (F.col("count") == F.col("top")).alias("best"))
     of_run = pairs.join(judged.hint("merge"), ["a", "b"]).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("at", "count", "best"))).alias("judged"))
     both = table.drop("a", "b", "n").join(of_run.hint("merge"), "run", "left")
-    both = both.select("doc_id", *_COUNTS, "sha", "unit_at", "units", "link_at", "links", F.col("judged.count").alias("count"), F.col("judged.best").alias("best"))
+    both = both.select("doc_id", *_COUNTS, "sha", *inner, F.col("judged.count").alias("count"), F.col("judged.best").alias("best"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: column[i].values for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+                row = {name: column[i].as_py() if name in inner else column[i].values for name, column in zip(batch.schema.names, batch.columns, strict=True)}
                 ids = row["doc_id"]
-                at, units, link_at, link = (row[c].to_numpy() for c in ("unit_at", "units", "link_at", "links"))
+                at, units, link_at, link = (unpacked(row[c]) for c in inner)
                 count, best = (np.zeros(0, np.int64) if row[c] is None else row[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("count", "best"))
                 whole = [sums(sums(values, link, link_at), units, at) for values in (best, count)]
                 columns = [ids, *(row[c] for c in _COUNTS), *(pa.array(x, pa.int64()) for x in whole), row["sha"]]
