@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.geodesy import geodesic_m
+from .nearest import nearest
 
 Shape = "array<array<array<double>>>"
 
@@ -129,42 +130,29 @@ def ring_centroid(shape: Column, given_x: Column, given_y: Column) -> Column:
     return F.struct(F.coalesce(given_x, mean(0)).alias("x"), F.coalesce(given_y, mean(1)).alias("y"))
 
 
-def _near(subjects: DataFrame, sales: DataFrame, metres: float) -> DataFrame:
-    """Pairs of subjects and sales within so many metres: cells at least that wide, the sales' and its eight neighbours.
+def comps_within_radius(subjects: DataFrame, sales: DataFrame, as_of: str, metres: float = 2000.0) -> DataFrame:
+    """Comparable land sales of each subject (subject_id, lon, lat, zoning, acres): near, of its zoning, half to twice its size, vacant, qualified by both codes, with an instrument, priced, at most two years old.
 
-    Cells are of degrees, wide enough up to 60 degrees of latitude.
+    sales: sale_parcel, lon, lat, sale_zoning, sale_acres, vacant, code, second_code, price, sale_date, instrument. What a sale
+    must be by itself is tested first; then sales meet subjects of the same zoning in cells at least as wide as the radius,
+    the sales' and its eight neighbours. Cells are of degrees, wide enough up to 60 degrees of latitude.
     """
+    day = F.lit(as_of).cast("date")
+    sound = (F.col("vacant") == "V") & F.col("code").isin("01", "02") & F.col("second_code").isin("01", "02") & (F.length("instrument") > 0) & (F.col("price") > 100)
+    sound &= F.col("sale_date").between(F.add_months(day, -24), day) & F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90)
     size = metres / 55_000.0
     i, j = F.floor(F.col("lon") / size), F.floor(F.col("lat") / size)
     around = F.explode(F.array(*[F.struct((i + a).alias("i"), (j + b).alias("j")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
     s = subjects.withColumn("cell", around).withColumnsRenamed({"lon": "s_lon", "lat": "s_lat"})
-    c = sales.withColumn("cell", F.struct(i.alias("i"), j.alias("j")))
-    out = s.join(c, "cell").drop("cell").withColumn("distance_m", geodesic_m(F.col("s_lon"), F.col("s_lat"), F.col("lon"), F.col("lat")))
-    return out.where((F.col("distance_m") <= metres) & (F.col("sale_parcel") != F.col("subject_id")))
-
-
-def comps_within_radius(subjects: DataFrame, sales: DataFrame, as_of: str, metres: float = 2000.0) -> DataFrame:
-    """Comparable land sales of each subject (subject_id, lon, lat, zoning, acres): near, of its zoning, half to twice its size, qualified, priced, at most two years old.
-
-    sales: sale_parcel, lon, lat, sale_zoning, sale_acres, code, price, sale_date, instrument.
-    """
-    day = F.lit(as_of).cast("date")
-    ok = (F.col("zoning") == F.col("sale_zoning")) & F.col("sale_acres").between(F.col("acres") * 0.5, F.col("acres") * 2) & F.col("code").isin("01", "02") & (F.col("price") > 100)
-    return _near(subjects, sales, metres).where(ok & F.col("sale_date").between(F.add_months(day, -24), day))
+    c = sales.where(sound).withColumn("cell", F.struct(i.alias("i"), j.alias("j")))
+    alike = (s["cell"] == c["cell"]) & (F.col("zoning") == F.col("sale_zoning")) & (F.col("sale_parcel") != F.col("subject_id")) & F.col("sale_acres").between(F.col("acres") * 0.5, F.col("acres") * 2)
+    out = s.join(c, alike).drop("cell").withColumn("distance_m", geodesic_m(F.col("s_lon"), F.col("s_lat"), F.col("lon"), F.col("lat")))
+    return out.where(F.col("distance_m") <= metres)
 
 
 def radius_sales(subjects: DataFrame, sales: DataFrame, miles: float = 5.0, most: int = 30) -> DataFrame:
-    """The nearest priced sales within so many miles of each subject, `most` of them at most, ties by parcel and instrument.
-
-    The search begins with a sixteenth of the distance; what finds `most` there has all its nearest, and only subjects
-    in sparse places go on to the whole of it.
-    """
-    n = F.row_number().over(Window.partitionBy("subject_id").orderBy(F.round("distance_m", 6), "sale_parcel", "instrument"))
-    priced = sales.where("price > 0")
-    near = lambda s, m: _near(s, priced, m * 1609.344).withColumn("n", n).where(F.col("n") <= most)
-    dense = near(subjects, miles / 16)
-    full = dense.where(F.col("n") == most).select("subject_id")
-    return dense.join(full, "subject_id", "left_semi").unionByName(near(subjects.join(full, "subject_id", "left_anti"), miles))
+    """The nearest priced sales within so many miles of each subject, `most` of them at most, ties by parcel and instrument."""
+    return nearest(subjects, sales.where("price > 0"), "sale_parcel", ("instrument",), miles * 1609.344, most)
 
 
 def one_sale_per_instrument(comps: DataFrame) -> DataFrame:

@@ -119,8 +119,8 @@ def _(t: Tables) -> DataFrame:
 
 
 _SUBJECT = "select lpad(cast(s_suppkey + 1 as string), 18, '0') as subject_id, -82.0 + (s_suppkey % 50) * 0.001 as lon, 26.5 + floor(s_suppkey / 50) * 0.001 as lat, case when s_suppkey % 3 = 0 then 'R1' else 'R2' end as zoning, 1.0 + s_suppkey % 4 as acres, case when s_suppkey % 2 = 0 then 'land' else 'home' end as property_type from {supplier}"
-_SOLD = "select lpad(cast(l_partkey + 1 as string), 18, '0') as sale_parcel, -82.0 + (l_partkey % 50) * 0.001 as lon, 26.5 + floor(l_partkey / 50) * 0.001 as lat, case when l_partkey % 3 = 0 then 'R1' else 'R2' end as sale_zoning, 0.5 + l_linenumber as sale_acres, case when l_linenumber <= 2 then '01' when l_linenumber <= 4 then '02' else '05' end as code, l_extendedprice as price, cast(l_shipdate as date) as sale_date, cast(l_orderkey as string) as instrument from {lineitem}"
-_PAIRS = ", sb as (" + _SUBJECT.format(supplier="supplier") + "), sl as (" + _SOLD.format(lineitem="lineitem") + f"), nr as (select sb.subject_id, sb.zoning, sb.acres, sl.*, {geodesic_sql('sb.lon', 'sb.lat', 'sl.lon', 'sl.lat')} as d from sb join sl on sl.sale_parcel <> sb.subject_id and abs(sb.lat - sl.lat) < 0.02 and abs(sb.lon - sl.lon) < 0.021), cp as (select * from nr where d <= 2000 and zoning = sale_zoning and sale_acres between acres * 0.5 and acres * 2 and code in ('01', '02') and price > 100 and sale_date between date '1998-12-31' and date '{END}')"
+_SOLD = "select lpad(cast(l_partkey + 1 as string), 18, '0') as sale_parcel, -82.0 + (l_partkey % 50) * 0.001 as lon, 26.5 + floor(l_partkey / 50) * 0.001 as lat, case when l_partkey % 3 = 0 then 'R1' else 'R2' end as sale_zoning, 0.5 + l_linenumber as sale_acres, case when l_linenumber <= 2 then '01' when l_linenumber <= 4 then '02' else '05' end as code, l_extendedprice as price, cast(l_shipdate as date) as sale_date, case when l_orderkey % 40 = 0 then '' else cast(l_orderkey as string) end as instrument, case when l_orderkey % 9 = 0 then 'I' when l_orderkey % 31 > 0 then 'V' end as vacant, case when l_linenumber % 7 = 5 then '11' else '01' end as second_code from {lineitem}"
+_PAIRS = ", sb as (" + _SUBJECT.format(supplier="supplier") + "), sl as (" + _SOLD.format(lineitem="lineitem") + f"), nr as (select sb.subject_id, sb.zoning, sb.acres, sl.*, {geodesic_sql('sb.lon', 'sb.lat', 'sl.lon', 'sl.lat')} as d from sb join sl on sl.sale_parcel <> sb.subject_id and abs(sb.lat - sl.lat) < 0.02 and abs(sb.lon - sl.lon) < 0.021), cp as (select * from nr where d <= 2000 and zoning = sale_zoning and sale_acres between acres * 0.5 and acres * 2 and vacant = 'V' and code in ('01', '02') and second_code in ('01', '02') and length(instrument) > 0 and price > 100 and sale_date between date '1998-12-31' and date '{END}')"
 
 
 def subjects(t: Tables) -> DataFrame:
