@@ -200,7 +200,7 @@ def access_review_valid() -> Column:
     """A VERIFIED access review must hold all its evidence; a null never passes."""
     confirmed: Sequence[str] = ("frontage_confirmed", "access_confirmed", "instrument_confirmed", "plat_confirmed")
     held = F.coalesce(F.col("source_url").rlike(r"^https://"), F.lit(False)) & F.coalesce(F.col("record_sha256").rlike(r"^[a-f0-9]{64}\z"), F.lit(False))
-    held = held & F.coalesce(F.col("instrument") != "", F.lit(False)) & F.coalesce(F.col("frontage_ft") > 0, F.lit(False)) & F.coalesce(F.col("reviewer") != "", F.lit(False))
+    held = held & F.coalesce(F.trim("instrument") != "", F.lit(False)) & F.coalesce(F.col("frontage_ft") > 0, F.lit(False)) & F.coalesce(F.col("reviewer") != "", F.lit(False))
     for c in confirmed:
         held = held & F.coalesce(F.col(c), F.lit(False))
     return F.when(F.col("status") == "VERIFIED", held & F.coalesce(F.col("expires_at") > F.col("reviewed_at"), F.lit(False))).otherwise(True)

@@ -112,18 +112,21 @@ def cas_update(base: DataFrame, updates: DataFrame) -> DataFrame:
     return both.select("id", F.when(same, F.col("new_status")).otherwise(F.col("now_status")).alias("status"), F.when(same, "applied").otherwise("conflict").alias("outcome"))
 
 
-def verified_comp_gate(samples: DataFrame, subjects: DataFrame, as_of: str) -> DataFrame:
-    """Subjects (subject_id, county, acres) with whether three distinct verified land sales, not the subject, of its county, half to twice its size and at most two years old, stand beside them.
+def verified_comp_gate(findings: DataFrame, samples: DataFrame, as_of: str) -> DataFrame:
+    """Subjects with whether verified zoning and sources, fresh, and three distinct verified land sales stand beside them.
 
-    samples: subject_id, parcel_id, county, asset_type, acreage, price, sale_date, verified, one row for each sale.
+    findings: subject_id, county and acres of the subject, found_county, zoning_verified, source_verified, checked_at. A null of them is no.
+    samples: subject_id, parcel_id, county, asset_type, verified, price and acreage (numbers, null for what was none), sale_date; a sale counts if it isn't
+    the subject's, is of its county, priced, half to twice its size and at most two years old. Fresh is at most seven days old.
     """
-    day = F.lit(as_of).cast("date")
-    s = samples.join(subjects.select("subject_id", F.lower("county").alias("own_county"), "acres"), "subject_id")
+    day, now = F.lit(as_of).cast("date"), F.lit(as_of).cast("timestamp")
+    s = samples.join(findings.select("subject_id", F.lower("county").alias("own_county"), "acres"), "subject_id")
     ok = (F.col("parcel_id") != F.col("subject_id")) & (F.length("parcel_id") > 0) & (F.lower("county") == F.col("own_county")) & (F.col("asset_type") == "land") & F.col("verified")
     ok = ok & (F.col("price") > 0) & F.col("acreage").between(F.col("acres") * 0.5, F.col("acres") * 2) & F.col("sale_date").between(F.add_months(day, -24), day)
     counts = s.where(ok).groupBy("subject_id").agg(F.count_distinct("parcel_id").alias("comps"))
-    out = subjects.join(counts, "subject_id", "left").withColumn("comps", F.coalesce("comps", F.lit(0).cast("long")))
-    return out.select("subject_id", "comps", _no((F.col("comps") >= 3) & (F.col("acres") > 0)).alias("passes"))
+    out = findings.join(counts, "subject_id", "left").withColumn("comps", F.coalesce("comps", F.lit(0).cast("long")))
+    sound = (F.lower("found_county") == F.lower("county")) & F.col("zoning_verified") & F.col("source_verified") & F.col("checked_at").between(now - F.expr("interval 7 days"), now) & (F.col("acres") > 0)
+    return out.select("subject_id", "comps", _no(sound & (F.col("comps") >= 3)).alias("passes"))
 
 
 def distress_qualifies(as_of: str) -> Column:
@@ -144,24 +147,78 @@ def county_distress_verified(evidence: DataFrame, as_of: str) -> DataFrame:
     return evidence.groupBy("parcel_id").agg(F.bool_or(distress_qualifies(as_of)).alias("distress_verified"))
 
 
-def older_distress_rule(signals: DataFrame, as_of: str) -> DataFrame:
-    """The older rule: an unreleased lis pendens, a tax amount above zero, or an owner absent for ten years or more."""
-    hit = ((F.col("signal_type") == "lis_pendens") & ~_no(F.col("released"))) | ((F.col("signal_type") == "tax") & (F.col("amount") > 0)) | ((F.col("signal_type") == "absentee") & (F.col("years") >= 10))
-    return signals.groupBy("parcel_id").agg(F.bool_or(_no(hit)).alias("distress_verified"))
+def _json_type(json: Column, path: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
 
 
-def stage_distress(candidates: DataFrame, sources: tuple[str, ...] = ("official_tax_collector", "official_records")) -> DataFrame:
-    """Candidates with accepted; whatever state was submitted becomes REVIEW_REQUIRED."""
-    ok = F.col("source_name").isin(*sources) & F.startswith("source_url", F.lit("https://")) & F.col("record_sha256").rlike(r"^[a-f0-9]{64}\z")
+def _json_is(json: Column, path: str, value: bool) -> Column:
+    """Whether JSON holds this boolean itself, no text of it."""
+    return (_json_type(json, path) == "BOOLEAN") & (F.try_variant_get(F.try_parse_json(json), path, "boolean") == F.lit(value))
+
+
+def older_distress_rule(properties: DataFrame, signals: DataFrame, as_of: str) -> DataFrame:
+    """Properties (id, parcel_id, owner_name) with whether a signal of theirs verifies distress, by the older rule.
+
+    signals: property_id, parcel_id, signal_type, signal_status, verified_at, source_record_id, source_url, amount, raw_data (JSON). One must be
+    verified within seven days, name its record and an https source, and hold the present parcel and owner and a document's hash. A lis pendens counts if its
+    release was sought and not found, which is an explicit false; a delinquent tax above zero; an owner absent from vacant land for ten years.
+    """
+    now, raw = F.lit(as_of).cast("timestamp"), F.col("raw_data")
+    at = lambda name: F.get_json_object(raw, f"$.{name}")
+    years = F.when(_json_type(raw, "$.held_years").rlike(r"^(BIGINT|DOUBLE|DECIMAL\(.*\))$"), at("held_years").try_cast("decimal(38,10)"))
+    kind = F.col("signal_type")
+    ok = (F.col("signal_status") == "verified") & F.col("verified_at").between(now - F.expr("interval 7 days"), now) & (F.length("source_record_id") > 0) & F.startswith("source_url", F.lit("https://"))
+    ok &= (at("current_pa_parcel_id") == F.col("parcel_id")) & (at("current_pa_owner") == F.col("owner_name")) & at("source_document_sha256").rlike(r"^[a-f0-9]{64}\z")
+    ok &= (
+        ((kind == "lis_pendens_recorded") & _no(_json_is(raw, "$.subsequent_release_found", False))) | ((kind == "tax_delinquent") & _no(F.col("amount") > 0))
+        | ((kind == "absentee_longheld_vacant") & _no(_json_is(raw, "$.absentee", True)) & _no(_json_is(raw, "$.vacant", True)) & _no(years >= 10))
+    )
+    own = signals.withColumnRenamed("property_id", "id").join(properties.select("id", "parcel_id", "owner_name"), ["id", "parcel_id"])
+    found = own.groupBy("id").agg(F.bool_or(_no(ok)).alias("found"))
+    return properties.select("id", "parcel_id").join(found, "id", "left").select("id", "parcel_id", _no(F.col("found")).alias("distress_verified"))
+
+
+#: Sources that may stage a candidate of distress.
+DISTRESS_SOURCES = ("ATTOM", "official_clerk", "official_tax_collector")
+
+
+def stage_distress(candidates: DataFrame) -> DataFrame:
+    """Candidates (source_name, source_url, record_sha256, ...) with accepted; whatever state was submitted becomes REVIEW_REQUIRED."""
+    ok = F.col("source_name").isin(*DISTRESS_SOURCES) & F.startswith("source_url", F.lit("https://")) & F.col("record_sha256").rlike(r"^[a-f0-9]{64}\z")
     return candidates.withColumns({"accepted": _no(ok), "verification_status": F.lit("REVIEW_REQUIRED"), "qualifying_distress": F.lit(False)})
 
 
+def upsert_distress(evidence: DataFrame, candidates: DataFrame, as_of: str, order: str) -> DataFrame:
+    """evidence (parcel_id, source_name, evidence JSON, checked_at) after the accepted of candidates are staged, the last by order of each parcel and source."""
+    from .snapshots import upsert
+
+    staged = stage_distress(candidates).where("accepted").withColumn("checked_at", F.lit(as_of).cast("timestamp"))
+    text = F.to_json(F.struct(*[c for c in staged.columns if c not in ("accepted", order)]))
+    last = staged.groupBy("parcel_id", "source_name").agg(F.max_by(text, F.col(order)).alias("evidence"), F.max("checked_at").alias("checked_at"))
+    return upsert(evidence.select("parcel_id", "source_name", "evidence", "checked_at"), last, ["parcel_id", "source_name"])
+
+
 def stage_documents(docs: DataFrame) -> DataFrame:
-    """Recorded documents with accepted: not approved in advance, hashed, and from https."""
-    ok = ~_no(F.col("approved")) & F.col("record_sha256").rlike(r"^[a-f0-9]{64}\z") & F.startswith("source_url", F.lit("https://"))
+    """Recorded documents with accepted: up for review, hashed, from https, with an instrument, a JSON array of candidates and both flags false. A null is no false.
+
+    docs: parcel_id, status, document_url, document_sha256, instrument_reference, evidence_candidates (JSON), exact_frontage_verified, legal_access_verified.
+    """
+    ok = (F.col("status") == "REVIEW_REQUIRED") & F.startswith("document_url", F.lit("https://")) & F.col("document_sha256").rlike(r"^[a-f0-9]{64}\z") & (F.trim("instrument_reference") != "")
+    ok &= F.startswith(F.schema_of_variant(F.try_parse_json("evidence_candidates")), F.lit("ARRAY")) & (F.col("exact_frontage_verified") == F.lit(False)) & (F.col("legal_access_verified") == F.lit(False))
     return docs.withColumn("accepted", _no(ok))
 
 
+def merge_documents(reviews: DataFrame, docs: DataFrame, as_of: str, order: str) -> DataFrame:
+    """reviews (parcel_id, research JSON) after the accepted of docs are staged, the last by order of each parcel: recorded_document and document_staged_at in their research replace what was there."""
+    from .snapshots import upsert_json
+
+    staged = stage_documents(docs).where("accepted")
+    text = F.to_json(F.struct(*[c for c in docs.columns if c != order]))
+    last = staged.groupBy("parcel_id").agg(F.max_by(text, F.col(order)).alias("document"))
+    entry = F.to_json(F.struct(F.col("document").alias("recorded_document"), F.lit(as_of).alias("document_staged_at")))
+    return upsert_json(reviews.select("parcel_id", "research"), last.select("parcel_id", entry.alias("research")), ["parcel_id"], "research")
+
+
 def gis_response_complete(reply: Column) -> Column:
     """An object without error, not cut off, whose features are an array."""
     v = F.try_parse_json(reply)

@@ -14,6 +14,8 @@ _LEGAL_ROW = "(?s)^" + ",".join([r'"([0-9]+)"'] * 7) + r',"(.*)"\z'
 _LEGAL_START = r'^"[0-9]{18}","'
 #: Labels of auction pages, and words that a reviewer looks for.
 LABELS = ("Case Number", "Case Type", "Final Judgment Amount", "Parcel ID", "Certificate Number", "Property Address", "Assessed Value", "Legal Description", "Auction Starts", "Name On Title")
+#: County codes of provider replies.
+FIPS = {"lee": "12071", "charlotte": "12015", "osceola": "12097"}
 KEYWORDS = ("easement", "right of way", "right-of-way", "ingress", "egress", "access", "frontage", "road", "plat", "dedicat")
 
 
@@ -133,14 +135,35 @@ def tax_certificate_candidates(rows: DataFrame, today: str) -> DataFrame:
     return rows.select(F.col("parcel").alias("parcel_id"), c(4).alias("certificate"), reason.alias("reason"), F.col("since").alias("delinquent_since"), F.col("due").alias("amount_due"), F.sha2(text, 256).alias("record_sha256"))
 
 
-def normalize_provider(replies: DataFrame, parcel: str = "parcel_id", fips: str = "fips") -> DataFrame:
-    """Outcome of provider replies (parcel_id, fips, reply JSON): records, no_match or error; all records must be of the parcel and county asked for."""
-    shape = "struct<status:struct<code:int,msg:string>,property:array<struct<identifier:struct<apn:string,fips:string>,foreclosure:array<string>>>>"
+def normalize_provider(replies: DataFrame) -> DataFrame:
+    """Outcome of provider replies (parcel_id, county, reply JSON): all properties must be of the parcel and county asked for.
+
+    REVIEW_REQUIRED where a property has a foreclosure record, an object with a document number, a date or a type;
+    NO_ADVERSE_RECORD_RETURNED where none has; NO_PROPERTY_MATCH where there is no property, and the status says so by message and code;
+    error for all else, so a reply cut short is never clear. A field that is a number counts as given, even zero. None of them is a
+    certificate of absence: qualifying_distress and release_search_complete are always false.
+    """
+    shape = "struct<status:struct<code:int,msg:string>,property:array<struct<identifier:struct<apn:string,fips:string>,foreclosure:string>>>"
+    plain = lambda c: F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), "[^A-Z0-9]", "")
+    fips = F.lit(None).cast("string")
+    for name, code in FIPS.items():
+        fips = F.when(F.lower("county") == name, code).otherwise(fips)
+
+    def record(found: Column) -> Column:
+        field = lambda name: ~F.coalesce(F.get_json_object(found, f"$.{name}"), F.lit("")).isin("", "false", "[]", "{}")
+        return F.coalesce(F.startswith(F.ltrim(found), F.lit("{")), F.lit(False)) & (field("documentNumber") | field("recordingDate") | field("distressType"))
+
     r = F.from_json("reply", shape)
-    right = F.forall(r["property"], lambda p: F.coalesce((p["identifier"]["apn"] == F.col(parcel)) & (p["identifier"]["fips"] == F.col(fips)), F.lit(False)))
-    held = F.aggregate(r["property"], F.lit(0), lambda n, p: n + F.coalesce(F.size(p["foreclosure"]), F.lit(0)))
-    state = F.when(r["status"]["code"].isNull() | (r["status"]["code"] < 0), "error").when((r["status"]["code"] == 1) | (F.coalesce(F.size(r["property"]), F.lit(0)) == 0), "no_match").when(~F.coalesce(right, F.lit(False)), "error").when(held > 0, "records").otherwise("error")
-    return replies.select(parcel, fips, state.alias("outcome"), F.when(state == "records", held).otherwise(0).alias("records"))
+    found = F.coalesce(r["property"], F.array().cast("array<struct<identifier:struct<apn:string,fips:string>,foreclosure:string>>"))
+    right = F.forall(found, lambda p: F.coalesce((plain(p["identifier"]["apn"]) == plain(F.col("parcel_id"))) & (p["identifier"]["fips"] == fips), F.lit(False)))
+    records = F.transform(F.filter(found, lambda p: record(p["foreclosure"])), lambda p: p["foreclosure"])
+    none = F.coalesce((r["status"]["msg"] == "SuccessWithoutResult") & r["status"]["code"].isin(400, 1), F.lit(False))
+    state = (
+        F.when(F.size(found) == 0, F.when(none, "NO_PROPERTY_MATCH").otherwise("error")).when(~right, "error")
+        .when(F.size(records) > 0, "REVIEW_REQUIRED").otherwise("NO_ADVERSE_RECORD_RETURNED")
+    )
+    kept = F.when(state == "REVIEW_REQUIRED", records).otherwise(F.array().cast("array<string>"))
+    return replies.select("parcel_id", "county", state.alias("verification_status"), kept.alias("foreclosure_records"), F.lit(False).alias("qualifying_distress"), F.lit(False).alias("release_search_complete"))
 
 
 def _marked(rows: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFrame:

@@ -195,13 +195,19 @@ def _(t: Tables) -> DataFrame:
     return R.duplicate_certificates(rows, ["p", "y", "c"]).select("k", "quarantined")
 
 
-_REPLY = """select c_custkey as k, 'P' || cast(c_custkey as string) as parcel_id, '12071' as fips, case when c_custkey % 5 = 0 then '{{"status":{{"code":1,"msg":"SuccessWithoutResult"}}}}' when c_custkey % 5 = 1 then '{{"status":{{"code":-2,"msg":"x"}}}}' when c_custkey % 5 = 2 then 'junk'
-  else '{{"status":{{"code":0,"msg":"ok"}},"property":[{{"identifier":{{"apn":"P' || cast(case when c_custkey % 15 = 3 then c_custkey + 1 else c_custkey end as string) || '","fips":"12071"}},"foreclosure":["a","b"]}}]}}' end as reply from {customer}"""
+_REPLY = """select c_custkey as k, 'p-' || cast(c_custkey as string) as parcel_id, case when c_custkey % 17 = 0 then 'dade' else 'Lee' end as county, case c_custkey % 8
+  when 0 then '{{"status":{{"code":400,"msg":"SuccessWithoutResult"}},"property":[]}}' when 1 then '{{"status":{{"code":401,"msg":"InvalidApiKey"}},"property":[]}}' when 2 then '{{"status":{{"code":0,"msg":"SuccessWithoutResult"}}}}' when 3 then 'junk'
+  else '{{"status":{{"code":0,"msg":"ok"}},"property":[{{"identifier":{{"apn":"P' || cast(case when c_custkey % 24 = 5 then c_custkey + 1 else c_custkey end as string) || '","fips":"12071"}},"foreclosure":' ||
+    case c_custkey % 8 when 4 then '{{"documentNumber":"123"}}' when 5 then '{{"recordingDate":"2025-01-01","distressType":null}}' when 6 then '{{"documentNumber":null,"recordingDate":"","distressType":null}}' else '["a"]' end || '}}]}}' end as reply from {customer}"""
 
 
-@query("x5_normalize_provider", "select 'P' || cast(c_custkey as string) as parcel_id, '12071' as fips, case when c_custkey % 5 = 0 then 'no_match' when c_custkey % 5 <= 2 or c_custkey % 15 = 3 then 'error' else 'records' end as outcome, case when c_custkey % 5 > 2 and c_custkey % 15 <> 3 then 2 else 0 end as records from customer")
+@query("x5_normalize_provider", ", q as (" + _REPLY.format(customer="customer").replace("{{", "{").replace("}}", "}") + """), v as (select k, parcel_id, county, case when json_valid(reply) then reply::json end as j from q),
+p as (select *, coalesce(json_array_length(j, '$.property'), 0) as n, upper(regexp_replace(coalesce(j->>'$.property[0].identifier.apn', ''), '[^A-Za-z0-9]', '', 'g')) as apn, j->'$.property[0].foreclosure' as f from v)
+select parcel_id, county, case when n = 0 then case when j->>'$.status.msg' = 'SuccessWithoutResult' and j->>'$.status.code' in ('400', '1') then 'NO_PROPERTY_MATCH' else 'error' end
+  when apn <> upper(regexp_replace(parcel_id, '[^A-Za-z0-9]', '', 'g')) or lower(county) <> 'lee' or j->>'$.property[0].identifier.fips' <> '12071' then 'error'
+  when json_type(f) = 'OBJECT' and coalesce(nullif(f->>'documentNumber', ''), nullif(f->>'recordingDate', ''), nullif(f->>'distressType', '')) is not null then 'REVIEW_REQUIRED' else 'NO_ADVERSE_RECORD_RETURNED' end as verification_status, false as qualifying_distress, false as release_search_complete from p""")
 def _(t: Tables) -> DataFrame:
-    return R.normalize_provider(t.sql(_REPLY, customer=t("customer")))
+    return R.normalize_provider(t.sql(_REPLY, customer=t("customer"))).drop("foreclosure_records")
 
 
 _LATEST = f", w1 as (select id, parcel_id, source, case when checked_at between {_NOW} - interval 7 days and {_NOW} then result else 'STALE' end as result, fld_zone, sfha_tf, zone_subty, paved_candidate_count, checked_at from evidence qualify row_number() over (partition by parcel_id, source order by checked_at desc, id desc) = 1)"
@@ -316,10 +322,12 @@ def _(t: Tables) -> DataFrame:
 _COMPS = "select lpad(cast(l_suppkey + 1 as string), 18, '0') as subject_id, lpad(cast(l_partkey % 300 + 1 as string), 18, '0') as parcel_id, case when l_orderkey % 5 = 0 then 'Polk' else 'LEE' end as county, case when l_linenumber = 7 then 'improved' else 'land' end as asset_type, l_quantity / 10 as acreage, case when l_orderkey % 9 = 0 then 0.0 else l_extendedprice end as price, cast(l_shipdate as date) as sale_date, l_returnflag <> 'R' as verified from {lineitem}"
 
 
-@query("c22_verified_comp_gate", ", s as (" + _COMPS.format(lineitem="lineitem") + "), k as (select s_suppkey, lpad(cast(s_suppkey + 1 as string), 18, '0') as subject_id, cast(s_suppkey % 4 as double) as acres from supplier), c as (select s.subject_id, count(distinct parcel_id) as comps from s join k using (subject_id) where parcel_id <> s.subject_id and lower(county) = 'lee' and asset_type = 'land' and verified and price > 0 and acreage between acres * 0.5 and acres * 2 and sale_date between date '1998-12-31' and date '2000-12-31' group by s.subject_id) select subject_id, coalesce(comps, 0) as comps, coalesce(comps, 0) >= 3 and acres > 0 as passes from k left join c using (subject_id)")
+_FOUND = "select lpad(cast(s_suppkey + 1 as string), 18, '0') as subject_id, 'Lee' as county, cast(s_suppkey % 4 as double) as acres, case when s_suppkey % 13 = 0 then 'polk' else 'LEE' end as found_county, case when s_suppkey % 5 > 0 then true end as zoning_verified, s_suppkey % 7 > 0 as source_verified, timestamp '2000-12-30 00:00:00' - make_interval(0, 0, 0, s_suppkey % 11 - 1, 0, 0, 0) as checked_at from {supplier}"
+
+
+@query("c22_verified_comp_gate", ", s as (" + _COMPS.format(lineitem="lineitem") + "), k as (select s_suppkey as x, lpad(cast(s_suppkey + 1 as string), 18, '0') as subject_id, cast(s_suppkey % 4 as double) as acres from supplier), c as (select s.subject_id, count(distinct parcel_id) as comps from s join k using (subject_id) where parcel_id <> s.subject_id and length(parcel_id) > 0 and lower(county) = 'lee' and asset_type = 'land' and verified and price > 0 and acreage between acres * 0.5 and acres * 2 and sale_date between date '1998-12-31' and date '2000-12-31' group by s.subject_id) select subject_id, coalesce(comps, 0) as comps, x % 13 > 0 and x % 5 > 0 and x % 7 > 0 and x % 11 < 8 and acres > 0 and coalesce(comps, 0) >= 3 as passes from k left join c using (subject_id)")
 def _(t: Tables) -> DataFrame:
-    subjects = t("supplier").select(F.lpad((F.col("s_suppkey") + 1).cast("string"), 18, "0").alias("subject_id"), F.lit("Lee").alias("county"), (F.col("s_suppkey") % 4).cast("double").alias("acres"))
-    return Q.verified_comp_gate(t.sql(_COMPS, lineitem=t("lineitem")), subjects, END)
+    return Q.verified_comp_gate(t.sql(_FOUND, supplier=t("supplier")), t.sql(_COMPS, lineitem=t("lineitem")), END)
 
 
 _DISTRESS = """select event_id, lpad(cast(user_id + 1 as string), 18, '0') as parcel_id, 'Lee' as county, 'Owner' as owner_name, lpad(cast(user_id + 1 as string), 18, '0') as ev_parcel_id, 'LEE' as ev_county, case when event_id % 11 = 0 then 'Other' else 'Owner' end as ev_current_owner,
@@ -339,24 +347,53 @@ def _(t: Tables) -> DataFrame:
     return Q.county_distress_verified(t.sql(_DISTRESS, events=t("events")), AS_OF)
 
 
-@query("r5_older_distress_rule", "select lpad(cast(user_id + 1 as string), 18, '0') as parcel_id, bool_or(coalesce((event_type = 'click' and event_id % 2 = 1) or (event_type = 'view' and value > 50) or (event_type = 'error' and event_id % 20 >= 10), false)) as distress_verified from events group by user_id")
+_SIGNALS = """select event_id as k, user_id + 1 as property_id, lpad(cast(user_id + 1 as string), 18, '0') as parcel_id, case event_type when 'click' then 'lis_pendens_recorded' when 'view' then 'tax_delinquent' else 'absentee_longheld_vacant' end as signal_type,
+  case when event_id % 7 = 0 then 'observed' else 'verified' end as signal_status, cast(ts as timestamp) as verified_at, case when event_id % 11 > 0 then 'r' else '' end as source_record_id, case when event_id % 13 > 0 then 'https://x' else 'http://x' end as source_url, value - 50 as amount,
+  '{{"current_pa_parcel_id":"' || lpad(cast(user_id + 1 as string), 18, '0') || '","current_pa_owner":"' || case when event_id % 17 > 0 then 'Owner' else 'Other' end || '","source_document_sha256":"' || repeat('a', 64) || '","subsequent_release_found":' || case event_id % 4 when 0 then 'null' when 1 then '"false"' when 2 then 'true' else 'false' end
+  || ',"absentee":' || case when event_id % 5 > 0 then 'true' else '"true"' end || ',"vacant":true,"held_years":' || case when event_id % 6 = 0 then '"30"' else cast(event_id % 20 as string) end || '}}' as raw_data from {events}"""
+
+
+@query("r5_older_distress_rule", ", g as (" + _SIGNALS.format(events="events").replace("{{", "{").replace("}}", "}") + f"), o as (select distinct user_id + 1 as id from events), h as (select property_id as id, bool_or(signal_status = 'verified' and verified_at between {_NOW} - interval 7 days and {_NOW} and length(source_record_id) > 0 and source_url like 'https://%' and k % 17 > 0 and ((signal_type = 'lis_pendens_recorded' and k % 4 = 3) or (signal_type = 'tax_delinquent' and amount > 0) or (signal_type = 'absentee_longheld_vacant' and k % 5 > 0 and k % 6 > 0 and k % 20 >= 10))) as hit from g group by 1) select id, lpad(cast(id as varchar), 18, '0') as parcel_id, coalesce(hit, false) as distress_verified from o left join h using (id)")
 def _(t: Tables) -> DataFrame:
-    kind = F.when(F.col("event_type") == "click", "lis_pendens").when(F.col("event_type") == "view", "tax").when(F.col("event_type") == "error", "absentee")
-    rows = t("events").select(F.lpad((F.col("user_id") + 1).cast("string"), 18, "0").alias("parcel_id"), kind.alias("signal_type"), F.when(F.col("event_id") % 2 == 0, True).alias("released"), F.greatest(F.col("value") - 50, F.lit(0.0)).alias("amount"), (F.col("event_id") % 20).alias("years"))
-    return Q.older_distress_rule(rows, AS_OF)
+    owners = t("events").select((F.col("user_id") + 1).alias("id")).distinct().select("id", F.lpad(F.col("id").cast("string"), 18, "0").alias("parcel_id"), F.lit("Owner").alias("owner_name"))
+    return Q.older_distress_rule(owners, t.sql(_SIGNALS, events=t("events")), AS_OF)
 
 
-_STAGED = "select event_id as id, case when event_id % 3 = 0 then 'blog' else 'official_records' end as source_name, case when event_id % 5 = 0 then 'http://x' else 'https://x' end as source_url, case when event_id % 7 = 0 then 'zz' else repeat('a', 64) end as record_sha256, event_id % 4 = 0 as approved, 'VERIFIED' as verification_status from {events}"
+_STAGED = """select event_id as id, cast(user_id as string) as parcel_id, case event_id % 4 when 0 then 'official_records' when 1 then 'ATTOM' when 2 then 'official_clerk' else 'official_tax_collector' end as source_name, case when event_id % 5 = 0 then 'http://x' else 'https://x' end as source_url,
+  case when event_id % 7 = 0 then 'zz' else repeat('a', 64) end as record_sha256, 'VERIFIED' as verification_status from {events}"""
+_TAKEN = "event_id % 4 > 0 and event_id % 5 > 0 and event_id % 7 > 0"
 
 
-@query("r6_stage_distress", "select event_id as id, event_id % 3 <> 0 and event_id % 5 <> 0 and event_id % 7 <> 0 as accepted, 'REVIEW_REQUIRED' as verification_status, false as qualifying_distress from events")
+@query("r6_stage_distress", f"select event_id as id, {_TAKEN} as accepted, 'REVIEW_REQUIRED' as verification_status, false as qualifying_distress from events")
 def _(t: Tables) -> DataFrame:
     return Q.stage_distress(t.sql(_STAGED, events=t("events"))).select("id", "accepted", "verification_status", "qualifying_distress")
 
 
-@query("r7_stage_documents", "select event_id as id, event_id % 4 <> 0 and event_id % 5 <> 0 and event_id % 7 <> 0 as accepted from events")
+@query("r6_upsert_distress", f", n as (select cast(user_id as string) as parcel_id, case event_id % 4 when 1 then 'ATTOM' when 2 then 'official_clerk' else 'official_tax_collector' end as source_name from events where {_TAKEN} group by 1, 2), o as (select distinct cast(user_id as string) as parcel_id, 'ATTOM' as source_name from events where user_id % 3 = 0) select coalesce(n.parcel_id, o.parcel_id) as parcel_id, coalesce(n.source_name, o.source_name) as source_name, case when n.parcel_id is not null then 'REVIEW_REQUIRED' else 'old' end as verification_status, cast(floor(epoch(case when n.parcel_id is not null then {_NOW} else timestamp '2024-01-01' end)) as bigint) as checked_at from n full join o on n.parcel_id = o.parcel_id and n.source_name = o.source_name")
+def _(t: Tables) -> DataFrame:
+    """What is staged replaces what was held of its parcel and source."""
+    old = t("events").where("user_id % 3 = 0").select(F.col("user_id").cast("string").alias("parcel_id"), F.lit("ATTOM").alias("source_name")).distinct()
+    old = old.withColumns({"evidence": F.lit('{"verification_status":"old"}'), "checked_at": F.lit("2024-01-01").cast("timestamp")})
+    out = Q.upsert_distress(old, t.sql(_STAGED, events=t("events")), AS_OF, "id")
+    return out.select("parcel_id", "source_name", F.get_json_object("evidence", "$.verification_status").alias("verification_status"), F.unix_timestamp("checked_at").alias("checked_at"))
+
+
+_DOCS = """select event_id as id, cast(user_id as string) as parcel_id, case when event_id % 3 = 0 then 'VERIFIED' when event_id % 31 > 0 then 'REVIEW_REQUIRED' end as status, case when event_id % 5 = 0 then 'http://x' else 'https://x' end as document_url, case when event_id % 7 = 0 then 'zz' else repeat('a', 64) end as document_sha256,
+  case when event_id % 11 = 0 then ' ' else 'PB 1' end as instrument_reference, case when event_id % 13 = 0 then '{{}}' else '[]' end as evidence_candidates, case event_id % 17 when 0 then true when 1 then null else false end as exact_frontage_verified, event_id % 19 = 0 as legal_access_verified from {events}"""
+_SOUND = "event_id % 3 > 0 and event_id % 31 > 0 and event_id % 5 > 0 and event_id % 7 > 0 and event_id % 11 > 0 and event_id % 13 > 0 and event_id % 17 > 1 and event_id % 19 > 0"
+
+
+@query("r7_stage_documents", f"select event_id as id, {_SOUND} as accepted from events")
+def _(t: Tables) -> DataFrame:
+    return Q.stage_documents(t.sql(_DOCS, events=t("events"))).select("id", "accepted")
+
+
+@query("r7_merge_documents", f", n as (select cast(user_id as string) as parcel_id, max(event_id) as last from events where {_SOUND} group by 1), o as (select distinct cast(user_id as string) as parcel_id from events where user_id % 2 = 0) select coalesce(n.parcel_id, o.parcel_id) as parcel_id, case when o.parcel_id is not null then 'kept' end as note, case when last is not null then 'https://x' end as url, case when last is not null then '{AS_OF}' end as staged_at from n full join o on o.parcel_id = n.parcel_id")
 def _(t: Tables) -> DataFrame:
-    return Q.stage_documents(t.sql(_STAGED, events=t("events"))).select("id", "accepted")
+    """Research of parcels, some of it there before, with the last document that was accepted."""
+    old = t("events").where("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("parcel_id")).distinct().withColumn("research", F.lit('{"note":"kept"}'))
+    out = Q.merge_documents(old, t.sql(_DOCS, events=t("events")), AS_OF, "id")
+    return out.select("parcel_id", F.get_json_object("research", "$.note").alias("note"), F.get_json_object(F.get_json_object("research", "$.recorded_document"), "$.document_url").alias("url"), F.get_json_object("research", "$.document_staged_at").alias("staged_at"))
 
 
 _DD = "select c_custkey as id, c_name as owner_now, case when c_custkey % 3 = 0 then lower(c_name) else 'else' end as owner_stored, case when c_custkey % 4 = 0 then '0' when c_custkey % 4 = 1 then '12.5' when c_custkey % 4 = 2 then '' end as amount_due, c_custkey % 2 = 0 as flood_hit, c_custkey % 5 = 0 as wet_hit, c_custkey % 7 = 0 as zoning_hit, case when c_custkey % 8 = 0 then true end as street_hit, c_custkey % 2 = 1 as water_hit, case when c_custkey % 9 <> 0 then false end as sewer_hit, c_custkey % 10 <> 0 as required_ok from {customer}"

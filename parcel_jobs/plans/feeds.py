@@ -123,11 +123,11 @@ def _(t: Tables) -> DataFrame:
 #: Access reviews of customers, some short of one piece of evidence.
 ACCESS = """select c_custkey as id, lpad(cast(c_custkey + 1 as string), 18, '0') as parcel_id, case when c_custkey % 7 = 6 then 'PENDING' else 'VERIFIED' end as status,
   case when c_custkey % 11 = 0 then 'http://a' else 'https://a' end as source_url, case when c_custkey % 13 = 0 then 'ab' else repeat('a', 64) end as record_sha256,
-  case when c_custkey % 5 = 4 then null else 'OR 1' end as instrument, cast(c_custkey % 17 as double) as frontage_ft, 'rev' as reviewer, true as frontage_confirmed, true as access_confirmed, true as instrument_confirmed,
+  case when c_custkey % 5 = 4 then null when c_custkey % 29 = 3 then '  ' else 'OR 1' end as instrument, cast(c_custkey % 17 as double) as frontage_ft, 'rev' as reviewer, true as frontage_confirmed, true as access_confirmed, true as instrument_confirmed,
   c_custkey % 19 <> 1 as plat_confirmed, timestamp '2024-01-01 00:00:00' as reviewed_at, case when c_custkey % 23 = 2 then timestamp '2023-12-01 00:00:00' else timestamp '2024-06-01 00:00:00' end as expires_at from {customer}"""
 
 
-@query("s18_access_review_valid", ", a as (" + ACCESS.format(customer="customer") + ") select id, status <> 'VERIFIED' or (id % 11 <> 0 and id % 13 <> 0 and id % 5 <> 4 and id % 17 > 0 and id % 19 <> 1 and id % 23 <> 2) as valid from a")
+@query("s18_access_review_valid", ", a as (" + ACCESS.format(customer="customer") + ") select id, status <> 'VERIFIED' or (id % 11 <> 0 and id % 13 <> 0 and coalesce(length(trim(instrument)), 0) > 0 and id % 17 > 0 and id % 19 <> 1 and id % 23 <> 2) as valid from a")
 def _(t: Tables) -> DataFrame:
     return t.sql(ACCESS, customer=t("customer")).select("id", S.access_review_valid().alias("valid"))
 
