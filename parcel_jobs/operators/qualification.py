@@ -9,6 +9,8 @@ PENDING, QUALIFIED, HOLD = "PENDING_FLOOD_WETLAND_ROAD_DISTRESS", "QUALIFIED_FOR
 FLOODED, WET = "REJECTED_FLOOD_ZONE", "REJECTED_MAPPED_WETLANDS"
 #: Fixed value: the status of a review that screening holds.
 HELD = "qualification_hold"
+#: What a new lead says.
+LEAD = {"status": "qualified_for_contact_enrichment", "priority": "normal", "outreach_status": "held", "notes": "County qualification gates verified. Contact enrichment pending; no outreach sent."}
 LEHIGH_ACRES, OTHER_ACRES = 0.25, 10000.0 / 43560.0
 
 
@@ -89,13 +91,16 @@ def refresh_qualification(screening: DataFrame, access: DataFrame, properties: D
 
 
 def materialize_leads(screening: DataFrame, results: DataFrame, properties: DataFrame, access: DataFrame, leads: DataFrame, as_of: str) -> DataFrame:
-    """New held leads: qualified, evaluated within the hour, access verified and unexpired, a property, and no lead yet."""
+    """New leads: qualified and eligible for contact, evaluated within the hour, access verified and unexpired, a property, and no lead yet. Their outreach is held.
+
+    eligible_for_contact of results is a boolean; null is no.
+    """
     now = F.lit(as_of).cast("timestamp")
-    ok = results.where((F.col("status") == QUALIFIED) & F.col("evaluated_at").between(now - F.expr("interval 1 hour"), now)).select("parcel_id")
+    ok = results.where((F.col("status") == QUALIFIED) & F.col("eligible_for_contact") & F.col("evaluated_at").between(now - F.expr("interval 1 hour"), now)).select("parcel_id")
     valid = access.where((F.col("status") == "VERIFIED") & (F.col("expires_at") > now)).select("parcel_id")
     rows = screening.where(F.col("screening_status") == QUALIFIED).select("parcel_id", F.lower("county").alias("c")).join(ok, "parcel_id", "left_semi").join(valid, "parcel_id", "left_semi")
     out = rows.join(properties.select(F.col("id").alias("property_id"), "parcel_id", F.lower("county").alias("c")), ["parcel_id", "c"])
-    return out.join(leads, "property_id", "left_anti").select("property_id", "parcel_id", F.lit("held").alias("status"))
+    return out.join(leads, "property_id", "left_anti").select("property_id", *[F.lit(v).alias(c) for c, v in LEAD.items()])
 
 
 def resolve_parcel_identity(features: DataFrame) -> DataFrame:
@@ -279,11 +284,24 @@ def derive_dd_fields(reviews: DataFrame) -> DataFrame:
     return reviews.select("id", *[F.when(_no(F.col("required_ok")), F.coalesce(c, review)).otherwise(review).alias(name) for name, c in fields.items()])
 
 
+#: Attributes that name a land use, in order.
+LAND_USE = ("FLUNAME", "FLU_NAME", "DESCRIPTION", "FLU")
+
+
 def finalize_dd(reviews: DataFrame) -> DataFrame:
-    """Land-use name from the first of four fields, road proximity, assessed value as a reference only; no offer value."""
-    name = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in ("flu_name", "flu_desc", "landuse", "lu_code")])
-    near = F.when(F.coalesce(F.col("road_m") <= 150, F.lit(False)), "near_mapped_road").otherwise("review_required")
-    return reviews.select("id", name.alias("land_use"), near.alias("road_status"), F.col("assessed").alias("reference_value"), F.lit(None).cast("double").alias("offer_value"))
+    """The last statuses of reviews (id, land_use: attributes of the feature at the point as a map, null without one; road_hit; assessed_value as text).
+
+    A land use or a mapped road is a screen, no proof of zoning or access; the assessed value is a reference only. Nothing is approved, valued or scored here.
+    """
+    name = F.coalesce(*[F.try_element_at("land_use", F.lit(c)) for c in LAND_USE])
+    plain = F.nullif(F.trim("assessed_value"), F.lit("")).try_cast("double")
+    review = F.lit("review_required")
+    return reviews.select(
+        "id", name.alias("classification"), F.when(F.col("land_use").isNotNull(), "future_land_use_verified").otherwise(review).alias("zoning_status"),
+        F.when(_no(F.col("road_hit")), "mapped_road_proximity_verified").otherwise(review).alias("access_status"), review.alias("comps_status"), review.alias("underwriting_status"),
+        review.alias("status"), F.lit(0).alias("dd_score"), plain.alias("assessed_reference_value"), F.lit(False).alias("eligible_for_automated_acquisition"),
+        F.lit(None).cast("double").alias("estimated_value"), F.nullif(name, F.lit("")).alias("future_land_use"), F.when(_no(F.col("road_hit")), True).alias("road_access_signal"),
+    )
 
 
 def title_access_stamp(reviews: DataFrame) -> DataFrame:
@@ -292,17 +310,22 @@ def title_access_stamp(reviews: DataFrame) -> DataFrame:
     return reviews.select("id", near.alias("near_road"), F.lit(False).alias("legal_access_verified"), F.lit(False).alias("title_verified"))
 
 
-def crm_queue(contacts: DataFrame, entity: str | None = None, n: int = 200) -> DataFrame:
-    """Open contacts, the most urgent first, ties by id."""
-    rows = contacts.where(F.col("status").isin("new", "ready"))
-    return (rows.where(F.col("entity_type") == entity) if entity else rows).orderBy(F.desc("priority"), "id").limit(n)
+#: Contacts that the queue shows.
+CRM_OPEN, CRM_KINDS = ("ready_for_crm", "needs_enrichment"), ("seller", "buyer")
+
+
+def crm_queue(contacts: DataFrame, entity: str = "all", n: int = 200) -> DataFrame:
+    """Open contacts (id, crm_status, priority_score, entity_type), the highest score first, nulls before all as the source's order has them, ties by id. Another entity than seller or buyer means all."""
+    rows = contacts.where(F.col("crm_status").isin(*CRM_OPEN))
+    return (rows.where(F.col("entity_type") == entity) if entity in CRM_KINDS else rows).orderBy(F.desc_nulls_first("priority_score"), "id").limit(n)
 
 
-def buyer_exit(matches: DataFrame, n: int = 20) -> DataFrame:
-    """The best n matches of each property: their count, the best score, and the state."""
-    k = F.row_number().over(Window.partitionBy("property_id").orderBy(F.desc("score"), "buyer_id"))
-    best = matches.withColumn("k", k).where(F.col("k") <= n).groupBy("property_id").agg(F.count("*").alias("matches"), F.max("score").alias("best_score"))
-    return best.withColumn("state", F.when(F.col("matches") > 0, "matched").otherwise("none"))
+def buyer_exit(properties: DataFrame, matches: DataFrame, n: int = 20) -> DataFrame:
+    """Each property (property_id) with the number of its best n matches (property_id, buyer_id, match_score), the best score, and exit_status. Without matches it is 0 and up for review."""
+    k = F.row_number().over(Window.partitionBy("property_id").orderBy(F.desc_nulls_first("match_score"), "buyer_id"))
+    best = matches.withColumn("k", k).where(F.col("k") <= n).groupBy("property_id").agg(F.count("*").alias("buyer_matches"), F.max(F.coalesce("match_score", F.lit(0.0))).alias("max_match_score"))
+    out = properties.select("property_id").join(best, "property_id", "left").withColumns({"buyer_matches": F.coalesce("buyer_matches", F.lit(0).cast("long")), "max_match_score": F.coalesce("max_match_score", F.lit(0.0))})
+    return out.withColumn("exit_status", F.when(F.col("buyer_matches") > 0, "buyer_path_verified").otherwise("review_required"))
 
 
 def inventory_counts(properties: DataFrame, leads: DataFrame) -> DataFrame:

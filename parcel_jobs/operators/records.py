@@ -14,9 +14,11 @@ _LEGAL_ROW = "(?s)^" + ",".join([r'"([0-9]+)"'] * 7) + r',"(.*)"\z'
 _LEGAL_START = r'^"[0-9]{18}","'
 #: Labels of auction pages, and words that a reviewer looks for.
 LABELS = ("Case Number", "Case Type", "Final Judgment Amount", "Parcel ID", "Certificate Number", "Property Address", "Assessed Value", "Legal Description", "Auction Starts", "Name On Title")
+#: Fixed value: how a document that names its parcel is matched.
+DIRECT = "direct_parcel_id"
 #: County codes of provider replies.
 FIPS = {"lee": "12071", "charlotte": "12015", "osceola": "12097"}
-KEYWORDS = ("easement", "right of way", "right-of-way", "ingress", "egress", "access", "frontage", "road", "plat", "dedicat")
+KEYWORDS = ("frontage", "right.of.way", "easement", "dedicat", "access", "restrict", "vacat", "plat", "book", "page")
 
 
 def parse_legal_strict(lines: DataFrame) -> DataFrame:
@@ -105,15 +107,32 @@ def parse_auction_details(pages: DataFrame) -> DataFrame:
     )
 
 
+#: Line ends within a page.
+_LINES = "\r\n|[\n\r\x0b\x1c-\x1e\x85\u2028\u2029]"
+
+
 def review_excerpts(docs: DataFrame, most: int = 500, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
     """Lines of recorded documents (doc_id, text; form feeds between pages) that hold a keyword: page, place and 500 characters, the first `most` of a document."""
     pages = docs.select("doc_id", F.posexplode(F.split("text", "\f")).alias("page", "body"))
-    lines = pages.select("doc_id", F.col("page") + 1, F.posexplode(F.split("body", "\n")).alias("line", "x")).toDF("doc_id", "page", "line", "x")
+    lines = pages.select("doc_id", F.col("page") + 1, F.posexplode(F.split("body", _LINES)).alias("line", "x")).toDF("doc_id", "page", "line", "x")
     hits = lines.where(F.col("x").rlike("(?i)" + "|".join(keywords)))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "line"))
     return hits.withColumn("n", rank).where(F.col("n") <= most).select("doc_id", "page", "line", F.substring(strip(F.col("x")), 1, 500).alias("excerpt"))
 
 
+def review_documents(docs: DataFrame) -> DataFrame:
+    """What is said of recorded documents (doc_id, text, parcel, reference) besides excerpts: whether there is text, and whether it holds the parcel and the reference, whatever their case.
+
+    Always up for review: no excerpt certifies frontage, access or restrictions. A null parcel or reference is never found.
+    """
+    text = F.coalesce("text", F.lit(""))
+    within = lambda c: F.coalesce(F.contains(F.lower(text), F.lower(c)), F.lit(False))
+    return docs.select(
+        "doc_id", F.lit("REVIEW_REQUIRED").alias("status"), F.when(strip(text) != "", "TEXT_EXTRACTED").otherwise("NO_TEXT").alias("extraction_status"), within("parcel").alias("parcel_id_found_in_text"), within("reference").alias("reference_found_in_text"),
+        *[F.lit(False).alias(c) for c in ("exact_frontage_verified", "legal_access_verified", "current_restrictions_checked")],
+    )
+
+
 def tax_certificate_candidates(rows: DataFrame, today: str) -> DataFrame:
     """Report rows (c: array of 20 strings) with parcel, reason (null: a candidate), delinquent_since, amount_due and record_sha256.
 
@@ -193,10 +212,13 @@ def party_dedupe(parties: DataFrame, order: Sequence[str] = ("page_id", "ordinal
 
 
 def match_by_parcel(events: DataFrame, properties: DataFrame) -> DataFrame:
-    """Events whose exact parcel match changes what they hold: property_id, match_method, match_confidence."""
+    """Events (parcel_id, property_id, match_method, match_confidence, ...) whose exact parcel match changes what they hold, with what they hold then."""
+    new = {"property_id": F.col("match_id"), "match_method": F.lit(DIRECT), "match_confidence": F.lit(1.0)}
     known = properties.select(F.col("id").alias("match_id"), "parcel_id")
-    out = events.join(known, "parcel_id").where(~F.col("property_id").eqNullSafe(F.col("match_id")))
-    return out.select(*[F.col("match_id").alias(c) if c == "property_id" else F.col(c) for c in events.columns], F.lit("exact_parcel").alias("match_method"), F.lit(1.0).alias("match_confidence"))
+    same = F.lit(True)
+    for c, value in new.items():
+        same &= F.col(c).eqNullSafe(value)
+    return events.join(known, "parcel_id").where(~same).select(*[new[c].alias(c) if c in new else F.col(c) for c in events.columns])
 
 
 def run_audit(parties: DataFrame, documents: DataFrame, errors: int = 0) -> DataFrame:
@@ -211,8 +233,21 @@ def auction_calendar(auctions: DataFrame) -> DataFrame:
     return auctions.where("auction_date is not null").groupBy("auction_date").agg(F.count_distinct("case_number").alias("cases")).withColumn("month", F.trunc("auction_date", "month"))
 
 
-def upsert_signals(signals: DataFrame, documents: DataFrame) -> DataFrame:
-    """Signals (signal_type, source_name, source_record_id, property_id) with one more for each matched document."""
-    new = documents.where("property_id is not null").select(F.lit("lis_pendens").alias("signal_type"), F.lit("official_records").alias("source_name"), F.col("file_no").alias("source_record_id"), "property_id").distinct()
+def upsert_signals(signals: DataFrame, documents: DataFrame, as_of: str, source_name: str = "official_records") -> DataFrame:
+    """The next signals: one lis pendens, observed, for each document that was matched by its own parcel with full confidence. A signal of the same type, source and record keeps its source_url and takes all else.
+
+    documents: file_no, parcel_id, property_id, match_method, match_confidence, source_url, recording_date, raw_data (JSON).
+    """
+    now = F.lit(as_of).cast("timestamp")
+    sound = documents.where(F.col("property_id").isNotNull() & (F.col("match_method") == DIRECT) & (F.col("match_confidence") == 1.0)).dropDuplicates(["file_no"])
+    raw = F.to_json(F.struct(F.col("raw_data").alias("document"), F.col("match_method").alias("resolution_method")))
+    new = {
+        "property_id": F.col("property_id"), "parcel_id": F.col("parcel_id"), "signal_type": F.lit("lis_pendens"), "signal_status": F.lit("observed"), "source_name": F.lit(source_name), "source_url": F.col("source_url"),
+        "source_record_id": F.col("file_no"), "event_date": F.col("recording_date"), "confidence": F.lit(1.0), "raw_data": raw, "verified_at": now, "last_seen_at": now,
+    }
     key = ["signal_type", "source_name", "source_record_id"]
-    return new.unionByName(signals.join(new, key, "left_anti").select(new.columns))
+    both = signals.withColumn("was", F.lit(True)).alias("l").join(sound.select(*[c.alias(n) for n, c in new.items()]).withColumn("is", F.lit(True)).alias("r"), key, "full_outer")
+    value = lambda c: F.when(F.col("was") & F.lit(c == "source_url") | F.col("is").isNull(), F.col(f"l.{c}")).otherwise(F.col(f"r.{c}"))
+    return both.select(*[F.col(c) if c in key else value(c).alias(c) for c in new])
+
+

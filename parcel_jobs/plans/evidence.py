@@ -113,11 +113,12 @@ def _(t: Tables) -> DataFrame:
     return R.party_dedupe(party_rows(t).withColumn("name", F.concat(F.lit("P"), (k % 3).cast("string")))).select("name", "file_no", k.alias("k"))
 
 
-@query("j8_match_by_parcel", "select p_partkey as event_id, p.parcel_id, p.id as property_id, 'exact_parcel' as match_method, 1.0::double as match_confidence from part join properties p on p.id = p_partkey where p_partkey % 3 <> 0 and p.parcel_id <> ''")
+@query("j8_match_by_parcel", "select p_partkey as event_id, p.parcel_id, p.id as property_id, 'direct_parcel_id' as match_method, 1.0::double as match_confidence from part join properties p on p.id = p_partkey where p_partkey % 12 <> 0 and p.parcel_id <> ''")
 def _(t: Tables) -> DataFrame:
-    p = t("properties").where("parcel_id <> ''")
-    events = p.select(F.col("id").alias("event_id"), "parcel_id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("property_id"))
-    return R.match_by_parcel(events, p)
+    """Events of which a third have their property, and of these a fourth have it by the same method and confidence."""
+    p, k = t("properties").where("parcel_id <> ''"), F.col("id")
+    old = {"property_id": F.when(k % 3 == 0, k), "match_method": F.when(k % 2 == 0, "direct_parcel_id").otherwise("address"), "match_confidence": F.when(k % 4 < 2, 1.0)}
+    return R.match_by_parcel(p.select(k.alias("event_id"), "parcel_id", *[c.alias(n) for n, c in old.items()]), p)
 
 
 def matched_documents(t: Tables) -> DataFrame:
@@ -125,11 +126,19 @@ def matched_documents(t: Tables) -> DataFrame:
     return R.document_rollup(party_rows(t)).withColumn("property_id", F.when(F.col("file_no").cast("bigint") % 4 == 0, F.col("file_no").cast("bigint")))
 
 
-@query("m8_upsert_signals", ", d as (select distinct lpad(cast(o_orderkey - o_orderkey % 2 as string), 10, '0') as f from orders) select 'lis_pendens' as signal_type, 'official_records' as source_name, f as source_record_id, cast(f as bigint) as property_id from d where cast(f as bigint) % 4 = 0 union all select 'lis_pendens', 'official_records', 'old', -1::bigint")
+@query("m8_upsert_signals", f""", d as (select distinct lpad(cast(o_orderkey - o_orderkey % 2 as string), 10, '0') as f from orders), n as (select f, cast(f as bigint) as id from d where cast(f as bigint) % 4 = 0 and cast(f as bigint) % 3 > 0),
+o as (select 'old' as f union all select f from d where cast(f as bigint) % 5 = 0)
+select 'lis_pendens' as signal_type, 'official_records' as source_name, coalesce(n.f, o.f) as source_record_id, coalesce(id, -1) as property_id, case when n.f is not null then 'p' || n.f else 'was' end as parcel_id, case when n.f is not null then 'observed' else 'closed' end as signal_status, case when o.f is not null then 'https://was' else 'https://is' end as source_url,
+  case when n.f is not null then date '2024-01-02' else date '2020-01-01' end as event_date, case when n.f is not null then 1.0 else 0.5 end::double as confidence, case when n.f is not null then '{{"document":"{{}}","resolution_method":"direct_parcel_id"}}' else 'was' end as raw_data, cast(floor(epoch(case when n.f is not null then {_NOW} else timestamp '2020-01-01' end)) as bigint) as verified_at
+from n full join o on n.f = o.f""")
 def _(t: Tables) -> DataFrame:
-    docs = matched_documents(t)
-    old = t.spark.sql("select 'lis_pendens' as signal_type, 'official_records' as source_name, x as source_record_id, -1L as property_id from values ('old'), ('0000000004') as v(x)")
-    return R.upsert_signals(old, docs)
+    """Documents of even orders match, some of them by another method; some signals are there before."""
+    number = F.col("file_no").cast("bigint")
+    docs = matched_documents(t).select("file_no", F.concat(F.lit("p"), "file_no").alias("parcel_id"), "property_id", F.when(number % 3 == 0, "address").otherwise("direct_parcel_id").alias("match_method"), F.lit(1.0).alias("match_confidence"), F.lit("https://is").alias("source_url"), F.lit("2024-01-02").cast("date").alias("recording_date"), F.lit("{}").alias("raw_data"))
+    was = "-1L as property_id, 'was' as parcel_id, 'lis_pendens' as signal_type, 'closed' as signal_status, 'official_records' as source_name, 'https://was' as source_url, f as source_record_id, date '2020-01-01' as event_date, 0.5D as confidence, 'was' as raw_data, timestamp '2020-01-01' as verified_at, timestamp '2020-01-01' as last_seen_at"
+    some = docs.where(number % 5 == 0).select(F.col("file_no").alias("f"))
+    old = some.unionByName(t("region").where("r_regionkey = 0").select(F.lit("old").alias("f"))).selectExpr(*was.split(", "))
+    return R.upsert_signals(old, docs, AS_OF).withColumn("verified_at", F.unix_timestamp("verified_at")).drop("last_seen_at")
 
 
 @query("c25_run_audit", ", d as (select distinct o_orderkey - o_orderkey % 2 as f from orders) select (select count(*) from orders) as parties, count(*) as documents, count(*) filter (f % 4 = 0) as exact_matches, 'success' as state from d")
@@ -159,14 +168,23 @@ def _(t: Tables) -> DataFrame:
     return R.auction_calendar(auctions(t))
 
 
-@query("x3_review_excerpts", r""", l as (select doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 as n, unnest(string_split(text, chr(10))) as x from documents where text is not null)
-, h as (select doc_id, cast(n // 3 + 1 as int) as page, cast(n % 3 as int) as line, substr(trim(regexp_replace(x, '^\s+|\s+$', '', 'g')), 1, 500) as excerpt from l where regexp_matches(x, '(?i)edth|onti|heit'))
+_MARKED = "case n % 9 when 0 then 'Right-of-Way ' when 2 then 'O.R. BOOK ' when 4 then 'this Plat' when 5 then 'Vacated ' else '' end"
+
+
+@query("x3_review_excerpts", rf""", l as (select doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 as n, unnest(string_split(text, chr(10))) as y from documents where text is not null)
+, m as (select doc_id, n, {_MARKED} || y as x from l)
+, h as (select doc_id, cast(n // 3 + 1 as int) as page, cast(n % 3 as int) as line, substr(trim(regexp_replace(x, '^\s+|\s+$', '', 'g')), 1, 500) as excerpt from m where regexp_matches(x, '(?i)frontage|right.of.way|easement|dedicat|access|restrict|vacat|plat|book|page'))
 select * from h qualify row_number() over (partition by doc_id order by page, line) <= 500""")
 def _(t: Tables) -> DataFrame:
-    lines = F.split("text", "\n")
+    """Documents with words of plats before some of their lines, three lines a page."""
+    lines = F.transform(F.split("text", "\n"), lambda y, n: F.concat(F.when(n % 9 == 0, "Right-of-Way ").when(n % 9 == 2, "O.R. BOOK ").when(n % 9 == 4, "this Plat").when(n % 9 == 5, "Vacated ").otherwise(""), y))
     pages = F.transform(F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / 3).cast("int")), lambda i: F.array_join(F.slice(lines, i * 3 + 1, 3), "\n"))
-    docs = t("documents").where("text is not null").select("doc_id", F.array_join(pages, "\f").alias("text"))
-    return R.review_excerpts(docs, keywords=("edth", "onti", "heit"))
+    return R.review_excerpts(t("documents").where("text is not null").select("doc_id", F.array_join(pages, "\f").alias("text")))
+
+
+@query("x3_review_documents", r"select doc_id, 'REVIEW_REQUIRED' as status, case when regexp_matches(coalesce(text, ''), '\S') then 'TEXT_EXTRACTED' else 'NO_TEXT' end as extraction_status, coalesce(contains(lower(text), lower(substr(text, 11, 5))), false) as parcel_id_found_in_text, coalesce(contains(lower(text), lower('EN' || source)), false) as reference_found_in_text, false as exact_frontage_verified, false as legal_access_verified, false as current_restrictions_checked from documents")
+def _(t: Tables) -> DataFrame:
+    return R.review_documents(t("documents").select("doc_id", "text", F.upper(F.substring("text", 11, 5)).alias("parcel"), F.concat(F.lit("EN"), "source").alias("reference")))
 
 
 _CERT = """select o_orderkey as k, case when o_orderkey % 31 = 0 then 'bad' else lpad(cast(o_orderkey % 900 as string), 6, '0') || '-AB123456789' end as p, cast(case when o_orderkey % 5 = 0 then 2023 else 2019 + o_orderkey % 3 end as string) as y,
@@ -296,10 +314,10 @@ def _(t: Tables) -> DataFrame:
     return Q.sync_dd_holds(refreshed(t), evidence, reviews).withColumn("fatal_flags", F.array_join("fatal_flags", ","))
 
 
-@query("j9_materialize_leads", _INPUTS + f", ok as (select * from j7 where cast(parcel_id as bigint) % 4 > 0 and access_status = 'VERIFIED' and access_expires > {_NOW} and property_id is not null and property_id % 7 <> 1) select property_id, parcel_id, 'held' as status from ok")
+@query("j9_materialize_leads", _INPUTS + f", ok as (select * from j7 where cast(parcel_id as bigint) % 4 > 0 and cast(parcel_id as bigint) % 5 > 1 and access_status = 'VERIFIED' and access_expires > {_NOW} and property_id is not null and property_id % 7 <> 1) select property_id, 'qualified_for_contact_enrichment' as status, 'normal' as priority, 'held' as outreach_status, 'County qualification gates verified. Contact enrichment pending; no outreach sent.' as notes from ok")
 def _(t: Tables) -> DataFrame:
-    s = t("screening").withColumn("screening_status", F.lit(Q.QUALIFIED))
-    results = s.select("parcel_id", F.when(F.col("parcel_id").cast("bigint") % 4 > 0, Q.QUALIFIED).otherwise(Q.HOLD).alias("status"), F.lit(AS_OF).cast("timestamp").alias("evaluated_at"))
+    s, k = t("screening").withColumn("screening_status", F.lit(Q.QUALIFIED)), F.col("parcel_id").cast("bigint")
+    results = s.select("parcel_id", F.when(k % 4 > 0, Q.QUALIFIED).otherwise(Q.HOLD).alias("status"), F.when(k % 5 > 0, k % 5 > 1).alias("eligible_for_contact"), F.lit(AS_OF).cast("timestamp").alias("evaluated_at"))
     leads = t("properties").where("id % 7 = 1").select(F.col("id").alias("property_id"))
     return Q.materialize_leads(s, results, plain_properties(t), access(t), leads, AS_OF)
 
@@ -404,10 +422,10 @@ def _(t: Tables) -> DataFrame:
     return Q.derive_dd_fields(t.sql(_DD, customer=t("customer")))
 
 
-_FIN = "select c_custkey as id, case when c_custkey % 3 = 0 then c_mktsegment end as flu_name, case when c_custkey % 3 = 1 then ' ' else null end as flu_desc, case when c_custkey % 3 = 1 then 'use' end as landuse, '01' as lu_code, case when c_custkey % 4 > 0 then c_acctbal end as road_m, c_acctbal as assessed, case when c_custkey % 3 = 0 then 'true' when c_custkey % 3 = 1 then 'FALSE' else '1' end as road_signal from {customer}"
+_FIN = "select c_custkey as id, case c_custkey % 4 when 0 then map('FLU', 'RL-1', 'DESCRIPTION', c_mktsegment) when 1 then map('FLUNAME', '') when 2 then map('OTHER', 'x') end as land_use, c_custkey % 3 = 0 as road_hit, case c_custkey % 5 when 0 then '' when 1 then 'n/a' else cast(c_acctbal as string) end as assessed_value, case when c_custkey % 3 = 0 then 'true' when c_custkey % 3 = 1 then 'FALSE' else '1' end as road_signal from {customer}"
 
 
-@query("r9_finalize_dd", "select c_custkey as id, case c_custkey % 3 when 0 then c_mktsegment when 1 then 'use' else '01' end as land_use, case when c_custkey % 4 > 0 and c_acctbal <= 150 then 'near_mapped_road' else 'review_required' end as road_status, c_acctbal as reference_value, cast(null as double) as offer_value from customer")
+@query("r9_finalize_dd", "select c_custkey as id, case c_custkey % 4 when 0 then c_mktsegment when 1 then '' end as classification, case when c_custkey % 4 < 3 then 'future_land_use_verified' else 'review_required' end as zoning_status, case when c_custkey % 3 = 0 then 'mapped_road_proximity_verified' else 'review_required' end as access_status, 'review_required' as comps_status, 'review_required' as underwriting_status, 'review_required' as status, 0 as dd_score, case when c_custkey % 5 > 1 then cast(c_acctbal as double) end as assessed_reference_value, false as eligible_for_automated_acquisition, cast(null as double) as estimated_value, case when c_custkey % 4 = 0 then c_mktsegment end as future_land_use, case when c_custkey % 3 = 0 then true end as road_access_signal from customer")
 def _(t: Tables) -> DataFrame:
     return Q.finalize_dd(t.sql(_FIN, customer=t("customer")))
 
@@ -454,16 +472,18 @@ def _(t: Tables) -> DataFrame:
     return Q.seller_cards(rows, ("owner_ok", "road_ok"), {"flood": 1.0, "wetlands": 1.0}).select("id", "summary")
 
 
-@query("t1_crm_queue", "select c_custkey as id, c_nationkey as priority from customer where c_custkey % 3 > 0 and c_mktsegment = 'BUILDING' order by priority desc, id limit 200")
+_CONTACTS = "select c_custkey as id, c_nationkey as priority_score, case c_custkey % 3 when 0 then 'closed' when 1 then 'ready_for_crm' else 'needs_enrichment' end as crm_status, case c_custkey % 4 when 0 then 'buyer' when 1 then 'title' else 'seller' end as entity_type from {customer}"
+
+
+@query("t1_crm_queue", ", c as (" + _CONTACTS.format(customer="customer") + ") select id, priority_score from c where crm_status in ('ready_for_crm', 'needs_enrichment') and entity_type = 'seller' order by priority_score desc, id limit 200")
 def _(t: Tables) -> DataFrame:
-    k = F.col("c_custkey")
-    contacts = t("customer").select(k.alias("id"), F.col("c_nationkey").alias("priority"), F.when(k % 3 == 0, "closed").when(k % 3 == 1, "new").otherwise("ready").alias("status"), F.col("c_mktsegment").alias("entity_type"))
-    return Q.crm_queue(contacts, "BUILDING").select("id", "priority")
+    return Q.crm_queue(t.sql(_CONTACTS, customer=t("customer")), "seller").select("id", "priority_score")
 
 
-@query("t2_buyer_exit", "select o_custkey as property_id, least(count(*), 5) as matches, max(o_totalprice) as best_score, 'matched' as state from orders group by o_custkey")
+@query("t2_buyer_exit", ", m as (select o_custkey as property_id, o_totalprice as s, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as k from orders), b as (select property_id, count(*) as n, max(s) as s from m where k <= 20 group by property_id) select c_custkey as property_id, coalesce(n, 0) as buyer_matches, coalesce(s, 0) as max_match_score, case when n > 0 then 'buyer_path_verified' else 'review_required' end as exit_status from customer left join b on property_id = c_custkey")
 def _(t: Tables) -> DataFrame:
-    return Q.buyer_exit(t("orders").select(F.col("o_custkey").alias("property_id"), F.col("o_totalprice").alias("score"), F.col("o_orderkey").alias("buyer_id")), 5)
+    matches = t("orders").select(F.col("o_custkey").alias("property_id"), F.col("o_totalprice").alias("match_score"), F.col("o_orderkey").alias("buyer_id"))
+    return Q.buyer_exit(t("customer").select(F.col("c_custkey").alias("property_id")), matches)
 
 
 @query("c24_inventory_counts", "select count(*) as properties, count(*) filter (parcel_id <> '') as with_parcel, count(*) filter (property_type = 'land') as land, (select count(*) from customer) as leads, (select count(*) from customer where c_custkey % 3 = 0) as held from properties")
