@@ -204,3 +204,19 @@ def access_review_valid() -> Column:
     for c in confirmed:
         held = held & F.coalesce(F.col(c), F.lit(False))
     return F.when(F.col("status") == "VERIFIED", held & F.coalesce(F.col("expires_at") > F.col("reviewed_at"), F.lit(False))).otherwise(True)
+
+
+def json_text(c: Column, ascii_only: bool = False) -> Column:
+    """A JSON string: quotes, backslashes and control characters are escaped; with ascii_only all beyond ASCII too, as UTF-16 units."""
+    short = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+    rest = {chr(i): f"\\u{i:04x}" for i in range(0x20) if chr(i) not in short}
+    plain = c
+    for raw, shown in (short | rest).items():
+        plain = F.replace(plain, F.lit(raw), F.lit(shown))
+    out = F.when(c.rlike("[\\x00-\\x1f\"\\\\]"), plain).otherwise(c)
+    if ascii_only:
+        units = lambda x: F.regexp_replace(F.lower(F.hex(F.encode(x, "UTF-16BE"))), "(.{4})", r"\\u$1")
+        far, near = "[^\\x00-\\x7e]", "[\\x00-\\x7e]"  # 0x7f is escaped as well
+        parts = F.transform(F.split(out, f"(?<={near})(?={far})|(?<={far})(?={near})"), lambda x: F.when(x.rlike(far), units(x)).otherwise(x))
+        out = F.when(out.rlike(far), F.array_join(parts, "")).otherwise(out)
+    return F.concat(F.lit('"'), out, F.lit('"'))

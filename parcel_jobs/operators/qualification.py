@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import json_text, road_surface_class
+
 PENDING, QUALIFIED, HOLD = "PENDING_FLOOD_WETLAND_ROAD_DISTRESS", "QUALIFIED_FOR_CONTACT_ENRICHMENT", "HOLD"
 FLOODED, WET = "REJECTED_FLOOD_ZONE", "REJECTED_MAPPED_WETLANDS"
 #: Fixed value: the status of a review that screening holds.
@@ -220,7 +222,7 @@ def merge_documents(reviews: DataFrame, docs: DataFrame, as_of: str, order: str)
     staged = stage_documents(docs).where("accepted")
     text = F.to_json(F.struct(*[c for c in docs.columns if c != order]))
     last = staged.groupBy("parcel_id").agg(F.max_by(text, F.col(order)).alias("document"))
-    entry = F.to_json(F.struct(F.col("document").alias("recorded_document"), F.lit(as_of).alias("document_staged_at")))
+    entry = F.concat(F.lit('{"recorded_document":'), F.col("document"), F.lit(',"document_staged_at":'), json_text(F.lit(as_of)), F.lit("}"))
     return upsert_json(reviews.select("parcel_id", "research"), last.select("parcel_id", entry.alias("research")), ["parcel_id"], "research")
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import format_parcel, money, strip
+from ..functions.scalars import format_parcel, json_text, money, strip
+from .gates import require_no_errors
 
 LEGAL = "parcel_id num section township range sub parcel dscr".split()
 _LEGAL_ROW = "(?s)^" + ",".join([r'"([0-9]+)"'] * 7) + r',"(.*)"\z'
@@ -133,8 +134,36 @@ def review_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Where reports of tax certificates come from.
+REPORT_HOST, REPORT_PATH = "county-taxes.net", "/fl-lee/"
+
+
+def check_tax_report(reports: DataFrame) -> DataFrame:
+    """Reports (source_url, checked_at as text, complete, reported_total, rows: array of arrays of text) with error: what forbids to use their rows.
+
+    source: not https from the official host without credentials, or another county's path; checked_at: no time with its zone; incomplete: not
+    marked complete, or another number of rows than reported; layout: a row without 20 fields; value: a year or balance that can't be read.
+    """
+    url, rows = F.col("source_url"), F.coalesce("rows", F.array().cast("array<array<string>>"))
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    zoned = F.col("checked_at").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9:.]+(Z|[+-][0-9]{2}:?[0-9]{2})\z") & F.col("checked_at").try_cast("timestamp").isNotNull()
+    sound = lambda r: r[0].try_cast("int").isNotNull() & F.replace(r[19], F.lit(","), F.lit("")).try_cast("decimal(38,10)").isNotNull()
+    error = (
+        F.when(no(url.rlike(rf"^https://{REPORT_HOST.replace('.', '[.]')}(:[0-9]+)?{REPORT_PATH}")), "source").when(no(zoned), "checked_at")
+        .when(no(F.col("complete") & (F.size(rows) == F.col("reported_total"))), "incomplete").when(no(F.forall(rows, lambda r: F.size(r) == 20)), "layout").when(no(F.forall(rows, sound)), "value")
+    )
+    return reports.withColumn("error", error)
+
+
+def tax_report_rows(reports: DataFrame) -> DataFrame:
+    """c of each row of the reports, for tax_certificate_candidates; GateClosed if one of them has an error."""
+    checked = check_tax_report(reports)
+    require_no_errors(checked)
+    return checked.select("source_url", "checked_at", F.explode("rows").alias("c"))
+
+
 def tax_certificate_candidates(rows: DataFrame, today: str) -> DataFrame:
-    """Report rows (c: array of 20 strings) with parcel, reason (null: a candidate), delinquent_since, amount_due and record_sha256.
+    """Report rows (c: array of 20 strings) with parcel, reason (null: a candidate), delinquent_since, amount_due and record_sha256, of the row as ASCII JSON.
 
     The first rule that holds names the reason, but a repeated certificate overrides them all. A row whose year or
     balance can't be read has reason INVALID_REPORT: its report must not be used.
@@ -150,7 +179,7 @@ def tax_certificate_candidates(rows: DataFrame, today: str) -> DataFrame:
         .when(c(3) != "Issued", "CERTIFICATE_NOT_ISSUED").when(c(2) != "-- None --", "DEED_STATUS_REVIEW").when((c(16) != "Unpaid") | (F.col("due") <= 0), "NO_UNPAID_BALANCE")
         .when(F.col("since") >= F.add_months(F.lit(today).cast("date"), -12), "DELINQUENCY_NOT_OVER_12_MONTHS").when(~c(4).rlike(r"^0*[1-9][0-9]*\z"), "MISSING_CERTIFICATE")
     )
-    text = F.to_json("c")
+    text = F.concat(F.lit("["), F.array_join(F.transform("c", lambda x: F.coalesce(json_text(x, ascii_only=True), F.lit("null"))), ","), F.lit("]"))
     return rows.select(F.col("parcel").alias("parcel_id"), c(4).alias("certificate"), reason.alias("reason"), F.col("since").alias("delinquent_since"), F.col("due").alias("amount_due"), F.sha2(text, 256).alias("record_sha256"))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import parcel_key, sha_shard, source_review_flags
+from ..functions.scalars import json_text, parcel_key, sha_shard, source_review_flags
 from .gates import GateClosed, require_no_errors, require_unique
 
 
@@ -85,12 +86,13 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], keep_if_nul
 
 
 def upsert_json(target: DataFrame, source: DataFrame, key: Sequence[str], column: str) -> DataFrame:
-    """Upsert of one JSON object column: fields of both, those of source winning."""
-    fields = lambda c: F.coalesce(F.from_json(c, "map<string,string>"), F.expr("map()").cast("map<string,string>"))
+    """Upsert of one JSON object column: fields of both, those of source winning, each with its type; what is no object counts as empty. Fields come in order of name."""
+    fields = lambda c: F.coalesce(F.from_json(c, "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
     both = target.select(*key, F.col(column).alias("old")).join(source.select(*key, F.col(column).alias("new")), list(key), "full_outer")
     old, new = fields("old"), fields("new")
     merged = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
-    return both.select(*key, F.to_json(F.map_from_entries(F.array_sort(F.map_entries(merged)))).alias(column))
+    named = F.map_from_arrays(F.array_sort(F.map_keys(merged)), F.transform(F.array_sort(F.map_keys(merged)), lambda k: F.element_at(merged, k)))
+    return both.select(*key, F.to_json(named).alias(column))
 
 
 def incomplete_profiles(targets: DataFrame, feeds: dict[str, DataFrame], key: str = "parcel_id") -> DataFrame:
@@ -100,13 +102,6 @@ def incomplete_profiles(targets: DataFrame, feeds: dict[str, DataFrame], key: st
     return reduce(DataFrame.unionAll, lacks).groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("feed")), ",").alias("missing_feeds"))
 
 
-def _json_text(c: Column) -> Column:
-    """A JSON string with the escapes that are needed, text beyond ASCII as it is."""
-    for raw, shown in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
-        c = F.replace(c, F.lit(raw), F.lit(shown))
-    return F.concat(F.lit('"'), c, F.lit('"'))
-
-
 def row_digest(df: DataFrame, columns: Sequence[str], line: str | None = None, percent: str | None = None) -> DataFrame:
     """df with digest: MD5 of the JSON array of its comparison fields, line numbers as integers, percents without trailing zeros."""
     text = {c: F.coalesce(F.col(c), F.lit("")) for c in columns}
@@ -116,20 +111,32 @@ def row_digest(df: DataFrame, columns: Sequence[str], line: str | None = None, p
         plain = F.col(percent).try_cast("decimal(38,10)").cast("string")
         plain = F.regexp_replace(F.regexp_replace(plain, r"(\.[0-9]*?)0+\z", "$1"), r"\.\z", "")
         text[percent] = F.when(text[percent] == "", "").otherwise(plain)
-    return df.withColumn("digest", F.md5(F.concat(F.lit("["), F.concat_ws(", ", *[_json_text(t) for t in text.values()]), F.lit("]"))))
+    return df.withColumn("digest", F.md5(F.concat(F.lit("["), F.concat_ws(", ", *[json_text(t) for t in text.values()]), F.lit("]"))))
+
+
+def feed_digest(df: DataFrame, *order: str, max_rows: int = 1_000_000) -> DataFrame:
+    """rows and feed_digest of a target snapshot: MD5 of all row digests in the order of the key, each after the other, as a published snapshot states it.
+
+    One value of all rows needs them in one place, so there is a checked bound: GateClosed beyond max_rows, 32 bytes each. For
+    whole counties there are block_digest and table_fingerprint.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise GateClosed(f"more than {max_rows} rows for one digest")
+    listed = F.array_sort(F.collect_list(F.struct(*order, "digest")))
+    return df.agg(F.count("*").alias("rows"), F.md5(F.array_join(F.transform(listed, lambda r: r["digest"]), "")).alias("feed_digest"))
 
 
-def feed_digest(df: DataFrame, *order: str) -> DataFrame:
-    """One digest of all row digests in the order of the key, in two levels, so that no task holds them all.
+def block_digest(df: DataFrame, *order: str) -> DataFrame:
+    """rows and block_digest: a digest of all row digests in two levels, so that no task holds them all. It isn't the MD5 that a published snapshot states.
 
     A group is the rows of one first key column; its digest is the MD5 of its row digests in order. Groups are gathered
-    by the first four hex digits of the MD5 of their key, 65536 blocks at most, and the feed's digest is the MD5 of the
+    by the first four hex digits of the MD5 of their key, 65536 blocks at most, and the digest is the MD5 of the
     blocks' digests in order. A block's list grows with the number of keys over 65536, a group's with its own rows.
     """
     joined = lambda parts: F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(parts)), lambda r: r["digest"]), ""))
     groups = df.groupBy(order[0]).agg(F.count("*").alias("rows"), joined(F.struct(*order, "digest")).alias("digest"))
     blocks = groups.groupBy(F.substring(F.md5(order[0]), 1, 4).alias("block")).agg(F.sum("rows").alias("rows"), joined(F.struct(order[0], "digest")).alias("digest"))
-    return blocks.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("rows"), joined(F.struct("block", "digest")).alias("feed_digest"))
+    return blocks.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("rows"), joined(F.struct("block", "digest")).alias("block_digest"))
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str, line: str, columns: Sequence[str]) -> DataFrame:
@@ -169,10 +176,22 @@ def profile_documents(targets: DataFrame, parcel: DataFrame, owner: DataFrame, l
     return out.withColumns({"missing_feeds": missing, "flags": flags}).withColumn("review_required", (F.size("missing_feeds") > 0) | (F.size("flags") > 0))
 
 
-def quarantine_reviews(reviews: DataFrame, affected: Column, max_rows: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(backup of affected rows, next version): affected reviews that aren't approved lose score and underwriting. Above max_rows nothing is done."""
-    hit = affected & (F.col("status") != "approved")
+#: Fixed value: what a quarantined review says of its estimates.
+QUARANTINE_NOTE = "Legacy machine estimates quarantined pending verified comps and due diligence; original review retained privately."
+
+
+def quarantine_reviews(reviews: DataFrame, as_of: str, max_rows: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(backup of affected rows, next version) of reviews (status, dd_score, comps_status, underwriting_status, findings JSON, ...).
+
+    Affected is what is up for review and not marked as ineligible for automated acquisition; approved and safe reviews stay as they are. Those
+    lose their score, and a block without estimates replaces their underwriting. GateClosed above max_rows: nothing is done.
+    """
+    hit = F.coalesce((F.col("status") == "review_required") & ~F.get_json_object("findings", "$.underwriting.eligible_for_automated_acquisition").eqNullSafe(F.lit("false")), F.lit(False))
     backup = reviews.where(hit)
     if backup.limit(max_rows + 1).count() > max_rows:
         raise GateClosed(f"more than {max_rows} reviews are affected")
-    return backup, reviews.withColumns({"dd_score": F.when(hit, F.lit(0)).otherwise(F.col("dd_score")), "underwriting_status": F.when(hit, "review_required").otherwise(F.col("underwriting_status"))})
+    block = {"checked_at": as_of, "estimated_value": None, "preliminary_mao": None, "confidence_score": None, "eligible_for_automated_acquisition": False, "note": QUARANTINE_NOTE}
+    held = F.coalesce(F.from_json("findings", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
+    findings = F.to_json(F.map_concat(F.map_filter(held, lambda k, v: k != "underwriting"), F.create_map(F.lit("underwriting"), F.parse_json(F.lit(json.dumps(block))))))
+    new = {"dd_score": F.lit(0), "comps_status": F.lit("review_required"), "underwriting_status": F.lit("review_required"), "findings": findings}
+    return backup, reviews.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in new.items()})

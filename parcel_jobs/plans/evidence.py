@@ -193,7 +193,7 @@ _CERT = """select o_orderkey as k, case when o_orderkey % 31 = 0 then 'bad' else
 
 def certificates(t: Tables) -> DataFrame:
     a = t.sql(_CERT, orders=t("orders"))
-    blank = [F.lit("")] * 20
+    blank = [F.lit("")] * 5 + [F.lit('José "Ñ" 😀')] + [F.lit("")] * 14
     for i, c in ((0, "y"), (1, "p"), (2, "deed"), (3, "s"), (4, "c"), (16, "u"), (19, "due")):
         blank[i] = F.col(c)
     return a.select("k", F.array(*blank).alias("c"))
@@ -202,7 +202,7 @@ def certificates(t: Tables) -> DataFrame:
 @query("x4_tax_certificates", ", a as (" + _CERT.format(orders="orders") + """), z as (select *, upper(regexp_replace(p, '[^A-Za-z0-9]', '', 'g')) as parcel_id, make_date(cast(y as int) + 1, 4, 1) as since, count(*) over (partition by p, y, c) as n from a)
 select parcel_id, c as certificate, case when n > 1 then 'DUPLICATE_CERTIFICATE_REVIEW' when not regexp_full_match(parcel_id, '[0-9]{6}[A-Z0-9]{11}') then 'INVALID_PARCEL' when s <> 'Issued' then 'CERTIFICATE_NOT_ISSUED' when deed <> '-- None --' then 'DEED_STATUS_REVIEW' when u <> 'Unpaid' or due = '0' then 'NO_UNPAID_BALANCE' when since >= date '2023-01-31' then 'DELINQUENCY_NOT_OVER_12_MONTHS' when not regexp_full_match(c, '0*[1-9][0-9]*') then 'MISSING_CERTIFICATE' end as reason,
   since as delinquent_since, cast(replace(due, ',', '') as decimal(38,10)) as amount_due,
-  sha256('["' || y || '","' || p || '","' || deed || '","' || s || '","' || c || '","","","","","","","","","","","","' || u || '","","","' || due || '"]') as record_sha256 from z""")
+  sha256('["' || y || '","' || p || '","' || deed || '","' || s || '","' || c || '","Jos\\u00e9 \\"\\u00d1\\" \\ud83d\\ude00","","","","","","","","","","","' || u || '","","","' || due || '"]') as record_sha256 from z""")
 def _(t: Tables) -> DataFrame:
     return R.tax_certificate_candidates(certificates(t), AS_OF[:10])
 
@@ -411,7 +411,7 @@ def _(t: Tables) -> DataFrame:
     """Research of parcels, some of it there before, with the last document that was accepted."""
     old = t("events").where("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("parcel_id")).distinct().withColumn("research", F.lit('{"note":"kept"}'))
     out = Q.merge_documents(old, t.sql(_DOCS, events=t("events")), AS_OF, "id")
-    return out.select("parcel_id", F.get_json_object("research", "$.note").alias("note"), F.get_json_object(F.get_json_object("research", "$.recorded_document"), "$.document_url").alias("url"), F.get_json_object("research", "$.document_staged_at").alias("staged_at"))
+    return out.select("parcel_id", F.get_json_object("research", "$.note").alias("note"), F.get_json_object("research", "$.recorded_document.document_url").alias("url"), F.get_json_object("research", "$.document_staged_at").alias("staged_at"))
 
 
 _DD = "select c_custkey as id, c_name as owner_now, case when c_custkey % 3 = 0 then lower(c_name) else 'else' end as owner_stored, case when c_custkey % 4 = 0 then '0' when c_custkey % 4 = 1 then '12.5' when c_custkey % 4 = 2 then '' end as amount_due, c_custkey % 2 = 0 as flood_hit, c_custkey % 5 = 0 as wet_hit, c_custkey % 7 = 0 as zoning_hit, case when c_custkey % 8 = 0 then true end as street_hit, c_custkey % 2 = 1 as water_hit, case when c_custkey % 9 <> 0 then false end as sewer_hit, c_custkey % 10 <> 0 as required_ok from {customer}"

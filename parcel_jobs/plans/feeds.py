@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -274,9 +276,9 @@ def _(t: Tables) -> DataFrame:
     return snapshots.row_digest(t("owner_raw"), ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown").select("parcel_id", "ln_num", "digest")
 
 
-@query("c17_feed_digest", f", g as (select parcel_id, count(*) as n, md5(string_agg({_NORM_OWNER}, '' order by ln_num)) as digest from owner_raw group by parcel_id), b as (select substr(md5(parcel_id), 1, 4) as block, sum(n) as n, md5(string_agg(digest, '' order by parcel_id)) as digest from g group by 1) select cast(sum(n) as bigint) as rows, md5(string_agg(digest, '' order by block)) as feed_digest from b")
+@query("c17_block_digest", f", g as (select parcel_id, count(*) as n, md5(string_agg({_NORM_OWNER}, '' order by ln_num)) as digest from owner_raw group by parcel_id), b as (select substr(md5(parcel_id), 1, 4) as block, sum(n) as n, md5(string_agg(digest, '' order by parcel_id)) as digest from g group by 1) select cast(sum(n) as bigint) as rows, md5(string_agg(digest, '' order by block)) as block_digest from b")
 def _(t: Tables) -> DataFrame:
-    return snapshots.feed_digest(snapshots.row_digest(t("owner_raw"), ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown"), "parcel_id", "ln_num")
+    return snapshots.block_digest(snapshots.row_digest(t("owner_raw"), ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown"), "parcel_id", "ln_num")
 
 
 _TARGETS = f", targets as (select distinct {_KEY} as parcel_id from properties where ({_KEY}) is not null)"
@@ -286,6 +288,13 @@ def targets(t: Tables) -> DataFrame:
     return t("properties").select(S.parcel_key(F.col("parcel_id")).alias("parcel_id")).where("parcel_id is not null").distinct()
 
 
+@query("c17_feed_digest", _TARGETS + f", d as (select parcel_id, cast(ln_num as int) as n, {_NORM_OWNER} as digest from owner_raw semi join targets using (parcel_id)) select count(*) as rows, md5(coalesce(string_agg(digest, '' order by parcel_id, n), '')) as feed_digest from d")
+def _(t: Tables) -> DataFrame:
+    """The owner rows of targets, as a target snapshot holds them."""
+    rows = snapshots.select_targets(t("owner_raw"), targets(t)).withColumn("line", F.col("ln_num").cast("int"))
+    return snapshots.feed_digest(snapshots.row_digest(rows, ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown"), "parcel_id", "line")
+
+
 @query("j1_select_targets", _TARGETS + " select parcel_id, lnnum, taxesdue from tax_raw semi join targets using (parcel_id)")
 def _(t: Tables) -> DataFrame:
     return snapshots.select_targets(t("tax_raw"), targets(t)).select("parcel_id", "lnnum", "taxesdue")
@@ -383,9 +392,21 @@ def _(t: Tables) -> DataFrame:
     return out.select("parcel_id", F.coalesce(F.when(F.col("owner_rows").isNotNull(), F.size("owner_rows")), F.lit(-1)).cast("long").alias("owners"), F.coalesce(F.array_join("owner_rows.name", "|"), F.lit("")).alias("names"), F.array_join("missing_feeds", ",").alias("missing_feeds"), "review_required")
 
 
-_REVIEWS = "select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' else 'review_required' end as status, cast(c_nationkey as int) as dd_score, 'complete' as underwriting_status, c_mktsegment as segment from {customer}"
+_REVIEWS = """select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' when c_custkey % 4 = 1 then 'qualification_hold' else 'review_required' end as status, cast(c_nationkey as int) as dd_score, 'complete' as comps_status, 'complete' as underwriting_status,
+  case when c_custkey % 6 = 2 then null when c_custkey % 6 = 3 then '{{"a":1}}' else '{{"a":1,"underwriting":{{"eligible_for_automated_acquisition":' || case when c_custkey % 5 = 0 and c_custkey % 1000 < 97 then 'true' else 'false' end || ',"estimated_value":5}}}}' end as findings, c_mktsegment as segment from {customer}"""
+_HIT = "status = 'review_required' and (id % 6 in (2, 3) or (id % 5 = 0 and id % 1000 < 97))"
 
 
-@query("m5_quarantine_reviews", "select c_custkey as id, case when c_custkey % 4 = 0 then 'approved' else 'review_required' end as status, cast(case when c_mktsegment = 'BUILDING' and c_custkey % 4 <> 0 then 0 else c_nationkey end as int) as dd_score, case when c_mktsegment = 'BUILDING' and c_custkey % 4 <> 0 then 'review_required' else 'complete' end as underwriting_status, c_mktsegment as segment from customer")
+@query("m5_quarantine_reviews", ", rv as (" + _REVIEWS.format(customer="customer").replace("{{", "{").replace("}}", "}") + f"), g as (select segment, count(*) filter ({_HIT}) > 100 as closed from rv group by segment) select rv.segment, id, status, case when not closed and {_HIT} then 0 else dd_score end as dd_score, case when not closed and {_HIT} then 'review_required' else 'complete' end as comps_status, case when not closed and {_HIT} then 'review_required' else 'complete' end as underwriting_status, case when not closed and {_HIT} then 'false' when id % 6 in (2, 3) then null when id % 5 = 0 and id % 1000 < 97 then 'true' else 'false' end as eligible, case when id % 6 <> 2 then '1' end as a, case when not (not closed and {_HIT}) and id % 6 not in (2, 3) then '5' end as estimated_value, closed from rv join g using (segment)")
 def _(t: Tables) -> DataFrame:
-    return snapshots.quarantine_reviews(t.sql(_REVIEWS, customer=t("customer")), F.col("segment") == "BUILDING", max_rows=10**9)[1]
+    """A quarantine for each segment, with the cap as it is: it closes for one that has more affected reviews than a hundred, and leaves that one alone."""
+    reviews, out = t.sql(_REVIEWS, customer=t("customer")), []
+    for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
+        some = reviews.where(F.col("segment") == segment)
+        try:
+            out.append(snapshots.quarantine_reviews(some, AS_OF)[1].withColumn("closed", F.lit(False)))
+        except gates.GateClosed:
+            out.append(some.withColumn("closed", F.lit(True)))
+    at = lambda path: F.get_json_object("findings", f"$.{path}")
+    fields = {"eligible": at("underwriting.eligible_for_automated_acquisition"), "a": at("a"), "estimated_value": at("underwriting.estimated_value")}
+    return reduce(DataFrame.unionAll, out).withColumns(fields).drop("findings")
