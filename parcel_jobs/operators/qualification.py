@@ -85,10 +85,12 @@ def refresh_qualification(screening: DataFrame, access: DataFrame, properties: D
     gate = evaluate_gate(*[F.col(c) for c in ("flood_result", "features", "wet_result", "wet_count", "road_result", "paved")], legal, F.col("distress"), initial)
     rows = rows.withColumn("gate", gate)
     status = F.col("gate.status")
-    mark = lambda bad: F.when(status == bad, "FAIL").when(status == QUALIFIED, "PASS").when(status == HOLD, "REVIEW")
+    was = lambda c: F.col(c) if c in screening.columns else F.lit(None).cast("string")  # noqa: E731 - a status that the gate says nothing of stays
+    mark = lambda c, bad: F.when(status == bad, "FAIL").when(status == QUALIFIED, "PASS").when(status == HOLD, "REVIEW").otherwise(was(c))
     return rows.select(
         "parcel_id", "county", "property_id", status.alias("status"), F.array_join("gate.missing", ", ").alias("missing"), F.when(status == HOLD, PENDING).otherwise(status).alias("screening_status"),
-        mark(FLOODED).alias("flood_status"), mark(WET).alias("wetlands_status"), F.when(status == QUALIFIED, "PASS").when(status == HOLD, "REVIEW").alias("paved_road_status"), F.when(status == QUALIFIED, "VERIFIED").alias("seller_distress_status"), F.lit(as_of).cast("timestamp").alias("evaluated_at"),
+        mark("flood_status", FLOODED).alias("flood_status"), mark("wetlands_status", WET).alias("wetlands_status"), mark("paved_road_status", "").alias("paved_road_status"),
+        F.when(status == QUALIFIED, "VERIFIED").otherwise(was("seller_distress_status")).alias("seller_distress_status"), (status == QUALIFIED).alias("eligible_for_contact"), F.lit(as_of).cast("timestamp").alias("evaluated_at"),
     )
 
 
@@ -244,31 +246,58 @@ def polygon_valid(polygon: Column) -> Column:
     return _no(numeric & (F.size(rings) > 0) & F.forall(rings, ring))
 
 
-def evidence_outcome(kind: Column, complete: Column, features: Column) -> Column:
-    """ERROR for a failed reply, FOUND with features, else NOT_FOUND, but for flood UNVERIFIED."""
-    return F.when(~_no(complete), "ERROR").when(F.size(features) > 0, "FOUND").when(kind == "flood", "UNVERIFIED").otherwise("NOT_FOUND")
+def evidence_outcome(source: Column, complete: Column, features: Column, county: Column, road: Column) -> Column:
+    """outcome, feature_count and paved_candidate_count of a reply: ERROR for a failed one, FOUND with features, else NOT_FOUND, but for flood UNVERIFIED.
+
+    features is an array of attributes as maps; counts of a failed reply are null, and paved ones are counted for roads alone, by the county's own field.
+    """
+    held = F.when(_no(complete), features)
+    paved = F.filter(held, lambda f: F.exists(F.map_entries(f), lambda e: road_surface_class(county, e["key"], e["value"]) == "PAVED"))
+    count = lambda c: F.when(c.isNotNull(), F.size(c))
+    outcome = F.when(held.isNull(), "ERROR").when(F.size(held) > 0, "FOUND").when(source == "FEMA_FLOOD", "UNVERIFIED").otherwise("NOT_FOUND")
+    return F.struct(outcome.alias("outcome"), count(held).alias("feature_count"), F.when(_no(road), count(paved)).alias("paved_candidate_count"))
+
+
+#: Counties whose parcels the view shows.
+VIEW_COUNTIES = ("lee", "charlotte")
 
 
 def qualification_view(results: DataFrame, screening: DataFrame) -> DataFrame:
-    """Why a parcel is where it is: its reason, else what is missing, else UNVERIFIED. It is never released."""
-    why = F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.nullif(F.col("missing"), F.lit("")), F.lit("UNVERIFIED"))
-    return screening.select("parcel_id", "county").join(results.select("parcel_id", "status", "reason", "missing"), "parcel_id", "left").select("parcel_id", "county", F.coalesce("status", F.lit(HOLD)).alias("status"), why.alias("why"), F.lit(False).alias("release"))
+    """Results (parcel_id, status, reason, missing as text, eligible_for_contact, evaluated_at) of screened parcels of two counties, as a reviewer sees them.
+
+    buildability_status is the reason, else what is missing, which may be empty, else UNVERIFIED. Distress is shown for review only where contact is eligible,
+    the status is QUALIFIED and the seller's distress verified. Nothing is ever released.
+    """
+    shown = screening.where(F.lower("county").isin(*VIEW_COUNTIES)).select("parcel_id", "county", "owner_name", "site_address", "seller_distress_status")
+    rows = results.select("parcel_id", "status", "reason", "missing", "eligible_for_contact", "evaluated_at").join(shown, "parcel_id")
+    seen = _no(F.col("eligible_for_contact") & (F.col("status") == "QUALIFIED") & (F.col("seller_distress_status") == "VERIFIED"))
+    return rows.select(
+        F.col("parcel_id").alias("strap"), "county", "owner_name", F.col("site_address").alias("property_address"), F.col("status").alias("qualification_status"), F.coalesce("reason", "missing", F.lit("UNVERIFIED")).alias("buildability_status"),
+        F.when(seen, "DISTRESS_REVIEW_REQUIRED").otherwise("UNVERIFIED_DISTRESS").alias("financial_distress_reason"), F.when(seen, "REVIEW_PROPERTY_WITH_OWNER").alias("conversation_hook"), F.lit(False).alias("seller_card_release_authorized"), "evaluated_at",
+    )
+
+
+#: What must be verified for a card, and the most of wetlands and floodway that it may have, the latter excluded.
+CARD_FLAGS = ("distress_verified", "paved_frontage_verified", "legal_access_verified", "nwi_coverage_verified", "flood_coverage_verified", "zoning_verified", "regulatory_wetlands_verified", "title_verified")
+MOST_WETLANDS, BELOW_FLOODWAY = 30, 100
 
 
-def seller_cards(results: DataFrame, flags: tuple[str, ...], limits: dict[str, float]) -> DataFrame:
-    """Rows whose flags are all true and whose percentages are within limits (null never is), with a summary."""
-    ok = F.lit(True)
-    for f in flags:
-        ok = ok & _no(F.col(f))
-    for c, most in limits.items():
-        ok = ok & _no(F.col(c) <= most)
-    return results.where(ok).withColumn("summary", F.format_string("%s %s: " + ", ".join(f"{c} %.4f" for c in limits), "county", "strap", *[F.col(c) for c in limits]))
+def seller_cards(results: DataFrame) -> DataFrame:
+    """Cards of screening results of which all flags are true, distress has a source and a time, and percentages are within limits; null never passes. Percentages have four decimals."""
+    wet, way = (F.col(c).cast("decimal(7,4)") for c in ("wetlands_pct", "floodway_pct"))
+    ok = F.col("distress_source").isNotNull() & F.col("distress_checked_at").isNotNull() & (wet <= MOST_WETLANDS) & (way < BELOW_FLOODWAY)
+    for f in CARD_FLAGS:
+        ok &= F.col(f)
+    summary = F.concat(F.lit("Paved frontage verified; "), wet.cast("string"), F.lit("% mapped wetlands; Flood Zone "), F.coalesce("flood_zone", F.lit("unknown")))
+    shown = ("owner_name", "contact_info", "property_address", "distress_detail")
+    return results.where(_no(ok)).select("county", "strap", *shown, summary.alias("buildability_summary"), "conversation_hook", "screening_checked_at")
 
 
 def derive_dd_fields(reviews: DataFrame) -> DataFrame:
     """Review statuses from what the sources said: a field's source that failed leaves only that field in review; failed required sources reset all.
 
-    reviews: id, owner_now, owner_stored, amount_due, flood_hit, wet_hit, zoning_hit, street_hit, water_hit, sewer_hit, required_ok.
+    reviews: id, owner_now, owner_stored, amount_due, flood_hit, wet_hit, zoning_hit, street_hit, water_hit, sewer_hit, comps_status, exit_status, required_ok.
+    Whatever was found, underwriting is pending: no estimate, no offer, no confidence, no score.
     """
     from ..functions.scalars import owner_match
 
@@ -283,7 +312,12 @@ def derive_dd_fields(reviews: DataFrame) -> DataFrame:
         "access_status": F.when(F.col("street_hit"), "verified_near_mapped_street"),
         "utilities_status": F.when(F.col("water_hit").isNotNull() & F.col("sewer_hit").isNotNull() & (F.col("water_hit") | F.col("sewer_hit")), "service_area_verified"),
     }
-    return reviews.select("id", *[F.when(_no(F.col("required_ok")), F.coalesce(c, review)).otherwise(review).alias(name) for name, c in fields.items()])
+    good = _no(F.col("required_ok"))
+    out = [F.when(good, F.coalesce(c, review)).otherwise(review).alias(name) for name, c in fields.items()]
+    out += [F.when(good, F.coalesce(F.col(c), review)).otherwise(review).alias(c) for c in ("comps_status", "exit_status")]
+    none = [F.lit(None).cast("double").alias(c) for c in ("estimated_value", "preliminary_mao", "confidence_score")]
+    pending = [review.alias("underwriting_status"), review.alias("status"), F.lit(0).alias("dd_score"), *none, F.lit(False).alias("eligible_for_automated_acquisition")]
+    return reviews.select("id", *out, *pending, F.when(~good, "source_or_write_failure").alias("source_error"))
 
 
 #: Attributes that name a land use, in order.

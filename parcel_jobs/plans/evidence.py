@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import SALES
 from ..operators import qualification as Q
 from ..operators import records as R
 from ..operators import screening
 from .bindings import AS_OF, END, START
 from .catalogue import Tables, query
 from .feeds import _ALIAS, _DATE, _TARGETS, ACCESS, targets
+from .files import folder
 
 _NOW = f"timestamp '{AS_OF}'"
 
@@ -22,10 +24,10 @@ _SCREEN = (
 , sid as (select ia, min(parcel_id) <> max(parcel_id) as apart from sa where ia is not null group by ia having count(*) > 1)
 , fl as (select parcel_id, case dorus_code when '9910' then 'county_inaccessible_tract' when '9350' then 'county_mineral_rights' when '0989' then 'county_split_combine' end as by_code,
     case lower(dordesc1) when 'inaccessible tracts' then 'county_inaccessible_tract' when 'mineral rights (not phos.)' then 'county_mineral_rights' when 'split and/or combine in progress' then 'county_split_combine' end as by_text from parcel_raw)
-, w as (select sa.*, rec.ba is not null as again, rec.apart as rapart, sid.ia is not null as sagain, sid.apart as sapart, p.parcel_id as pp, p.dorus_code, p.dordesc, p.dordesc1, coalesce(fl.by_code, fl.by_text) as cls, coalesce(fl.by_code, fl.by_text) is not null and fl.by_code is distinct from fl.by_text as mism, t.parcel_id is not null as is_target
+, w as (select sa.*, rec.ba is not null as again, rec.apart as rapart, sid.ia is not null as sagain, sid.apart as sapart, p.parcel_id as pp, p.dorus_code, p.dordesc, p.dordesc1, p.parcel_id || '|' || p.dorus_code || '|' || p.dordesc || '|' || p.dordesc1 as current_parcel, coalesce(fl.by_code, fl.by_text) as cls, coalesce(fl.by_code, fl.by_text) is not null and fl.by_code is distinct from fl.by_text as mism, t.parcel_id is not null as is_target
    from sa left join rec on rec.ba = sa.ba and rec.pa = sa.pa left join sid on sid.ia = sa.ia left join parcel_raw p on p.parcel_id = sa.parcel_id left join fl on fl.parcel_id = sa.parcel_id left join targets t on t.parcel_id = sa.parcel_id
    where {_DATE} between date '{START}' and date '{END}')
-, sc as (select parcel_id, ln_num, is_target, list_sort(list_filter([
+, sc as (select parcel_id, ln_num, is_target, current_parcel, case when cls is null then '' else cls || ':' || dorus_code || ':' || dordesc1 || case when mism then ',county_classification_mismatch:' || dorus_code || ':' || dordesc1 else '' end end as source_review_flags, list_sort(list_filter([
    case when instrtyp not in ('01', '02') then 'qualification_code_outside_candidate_contract' end,
    case when (instrtyp = '01' and instrtyp_dscr <> 'Q-Per examination of deed') or (instrtyp = '02' and instrtyp_dscr <> 'Q-Credible, verified & documented') then 'qualification_code_description_drift' end,
    case when price = '' then 'price_missing' when cast(price as decimal(38,10)) <= 100 then 'nominal_price_screen_at_most_100' end,
@@ -40,18 +42,24 @@ _SCREEN = (
 
 
 def screened(t: Tables) -> DataFrame:
-    return screening.screen_sales(t("sales_raw"), t("parcel_raw"), targets(t), START, END)
+    """The feed is a window over a whole table, and screening reads it more than once: it is written first."""
+    path = folder(t, "sales-rows")
+    t("sales_raw").select(*SALES).write.parquet(path)
+    return screening.screen_sales(t.spark.read.parquet(path), t("parcel_raw"), targets(t), START, END)
 
 
-@query("r1_screen_sales", _SCREEN + " select parcel_id, ln_num, array_to_string(reasons, ',') as reasons, array_to_string(list_sort(seen), ',') as observations, case when len(reasons) > 0 then 'held' else 'candidate_for_comparability_review' end as status, is_target, true as review_required, false as qualified_comp, false as eligible_for_automated_acquisition from sc")
+@query("r1_screen_sales", _SCREEN + " select parcel_id, ln_num, array_to_string(reasons, ',') as reasons, array_to_string(list_sort(seen), ',') as observations, case when len(reasons) > 0 then 'held_for_review' else 'candidate_for_comparability_review' end as status, is_target, 'historical_export_semantics_unverified,transaction_identity_unverified,sale_date_property_attributes_unverified,subject_comparability_unverified' as remaining_review, current_parcel, source_review_flags, true as review_required, false as qualified_comp, false as eligible_for_automated_acquisition from sc")
 def _(t: Tables) -> DataFrame:
-    return screened(t).withColumns({"reasons": F.array_join("reasons", ","), "observations": F.array_join("observations", ",")})
+    text = {c: F.array_join(c, ",") for c in ("reasons", "observations", "remaining_review")} | {"current_parcel": F.concat_ws("|", "current_parcel.parcel_id", "current_parcel.dorus_code", "current_parcel.dordesc", "current_parcel.dordesc1")}
+    text["current_parcel"] = F.when(F.col("current_parcel").isNotNull(), text["current_parcel"])
+    text["source_review_flags"] = F.array_join(F.transform("source_review_flags", lambda f: F.concat_ws(":", f["reason"], f["source_code"], f["source_description"])), ",")
+    return screened(t).withColumns(text)
 
 
-_NAMES = ", ".join([f"('reason', '{r}')" for r in screening.REASONS] + [f"('observation', '{o}')" for o in screening.OBSERVATIONS] + ["('status', 'held')", "('status', 'candidate_for_comparability_review')", "('target', 'true')", "('target', 'false')"])
+_NAMES = ", ".join([f"('reason', '{r}')" for r in screening.REASONS] + [f"('observation', '{o}')" for o in screening.OBSERVATIONS] + ["('status', 'held_for_review')", "('status', 'candidate_for_comparability_review')", "('target', 'true')", "('target', 'false')"])
 
 
-@query("c15_screen_report", _SCREEN + f", x as (select 'status' as kind, case when len(reasons) > 0 then 'held' else 'candidate_for_comparability_review' end as name from sc union all select 'target', cast(is_target as varchar) from sc union all select 'reason', unnest(reasons) from sc union all select 'observation', unnest(seen) from sc), nm(kind, name) as (values {_NAMES}) select nm.kind, nm.name, count(x.name) as n from nm left join x on x.kind = nm.kind and x.name = nm.name group by all")
+@query("c15_screen_report", _SCREEN + f", x as (select 'status' as kind, case when len(reasons) > 0 then 'held_for_review' else 'candidate_for_comparability_review' end as name from sc union all select 'target', cast(is_target as varchar) from sc union all select 'reason', unnest(reasons) from sc union all select 'observation', unnest(seen) from sc), nm(kind, name) as (values {_NAMES}) select nm.kind, nm.name, count(x.name) as n from nm left join x on x.kind = nm.kind and x.name = nm.name group by all")
 def _(t: Tables) -> DataFrame:
     return screening.screen_report(screened(t))
 
@@ -293,14 +301,15 @@ _R3 = (
 
 
 def refreshed(t: Tables) -> DataFrame:
-    s = t("screening")
     number = F.col("parcel_id").cast("bigint")
+    fields = ("flood_status", "wetlands_status", "paved_road_status", "seller_distress_status")
+    s = t("screening").withColumns({c: F.concat(F.lit(f"{c[:3]}-"), (number % 4).cast("string")) for c in fields})
     return Q.refresh_qualification(s, access(t), plain_properties(t), t("evidence"), s.where(number % 2 == 0), s.select("parcel_id", (number % 3 > 0).alias("comps_pass")), AS_OF)
 
 
-@query("r3_refresh_qualification", _R3 + " select parcel_id, property_id, status, case when status = 'HOLD' then missing else '' end as missing, case when status = 'REJECTED_FLOOD_ZONE' then 'FAIL' when status like 'QUAL%' then 'PASS' when status = 'HOLD' then 'REVIEW' end as flood_status from r3")
+@query("r3_refresh_qualification", _R3 + ", o as (select *, cast(cast(parcel_id as bigint) % 4 as varchar) as m, case when status like 'QUAL%' then 'PASS' when status = 'HOLD' then 'REVIEW' end as mark from r3) select parcel_id, property_id, status, case when status = 'HOLD' then missing else '' end as missing, case when status = 'HOLD' then 'PENDING_FLOOD_WETLAND_ROAD_DISTRESS' else status end as screening_status, case when status = 'REJECTED_FLOOD_ZONE' then 'FAIL' else coalesce(mark, 'flo-' || m) end as flood_status, case when status = 'REJECTED_MAPPED_WETLANDS' then 'FAIL' else coalesce(mark, 'wet-' || m) end as wetlands_status, coalesce(mark, 'pav-' || m) as paved_road_status, case when status like 'QUAL%' then 'VERIFIED' else 'sel-' || m end as seller_distress_status from o")
 def _(t: Tables) -> DataFrame:
-    return refreshed(t).select("parcel_id", "property_id", "status", "missing", "flood_status")
+    return refreshed(t).select("parcel_id", "property_id", "status", "missing", "screening_status", "flood_status", "wetlands_status", "paved_road_status", "seller_distress_status")
 
 
 @query("m7_sync_dd_holds", _R3 + ", h as (select property_id, status as gate from r3 where property_id is not null and parcel_id in (select parcel_id from evidence where source = 'LEE_PARCEL_GEOMETRY' and id % 4 > 0)), rv as (select c_custkey as property_id, case when c_custkey % 3 = 0 then 'qualification_hold' else 'approved' end as status from customer where c_custkey % 2 = 0), b as (select coalesce(h.property_id, rv.property_id) as property_id, gate, status, gate is not null and coalesce(status = 'qualification_hold', true) as change from h full join rv on rv.property_id = h.property_id) select property_id, case when change then 'qualification_hold' else status end as status, case when not change then 'old' when gate = 'REJECTED_FLOOD_ZONE' then 'failed' else 'review_required' end as flood_status, case when not change then 'old' when gate = 'REJECTED_MAPPED_WETLANDS' then 'failed' else 'review_required' end as wetlands_status, case when change then 'review_required' else 'old' end as access_status, case when change and gate like 'REJECTED%' then gate else '' end as fatal_flags from b")
@@ -414,10 +423,10 @@ def _(t: Tables) -> DataFrame:
     return out.select("parcel_id", F.get_json_object("research", "$.note").alias("note"), F.get_json_object("research", "$.recorded_document.document_url").alias("url"), F.get_json_object("research", "$.document_staged_at").alias("staged_at"))
 
 
-_DD = "select c_custkey as id, c_name as owner_now, case when c_custkey % 3 = 0 then lower(c_name) else 'else' end as owner_stored, case when c_custkey % 4 = 0 then '0' when c_custkey % 4 = 1 then '12.5' when c_custkey % 4 = 2 then '' end as amount_due, c_custkey % 2 = 0 as flood_hit, c_custkey % 5 = 0 as wet_hit, c_custkey % 7 = 0 as zoning_hit, case when c_custkey % 8 = 0 then true end as street_hit, c_custkey % 2 = 1 as water_hit, case when c_custkey % 9 <> 0 then false end as sewer_hit, c_custkey % 10 <> 0 as required_ok from {customer}"
+_DD = "select c_custkey as id, c_name as owner_now, case when c_custkey % 3 = 0 then lower(c_name) else 'else' end as owner_stored, case when c_custkey % 4 = 0 then '0' when c_custkey % 4 = 1 then '12.5' when c_custkey % 4 = 2 then '' end as amount_due, c_custkey % 2 = 0 as flood_hit, c_custkey % 5 = 0 as wet_hit, c_custkey % 7 = 0 as zoning_hit, case when c_custkey % 8 = 0 then true end as street_hit, c_custkey % 2 = 1 as water_hit, case when c_custkey % 9 <> 0 then false end as sewer_hit, case when c_custkey % 6 = 0 then 'recorded_sales_found' end as comps_status, case when c_custkey % 12 = 1 then 'buyer_path_verified' end as exit_status, c_custkey % 10 <> 0 as required_ok from {customer}"
 
 
-@query("r8_derive_dd_fields", ", d as (" + _DD.format(customer="customer") + ") select id, case when required_ok and id % 3 = 0 then 'owner_name_match_current_pa' else 'review_required' end as title_status, case when required_ok and amount_due = '0' then 'current_pa_zero_due' when required_ok and amount_due = '12.5' then 'current_pa_balance_due' else 'review_required' end as tax_status, case when required_ok and flood_hit then 'point_screen_only' else 'review_required' end as flood_status, case when required_ok and wet_hit then 'point_screen_only' else 'review_required' end as wetlands_status, case when required_ok and zoning_hit then 'verified_gis' else 'review_required' end as zoning_status, case when required_ok and street_hit then 'verified_near_mapped_street' else 'review_required' end as access_status, case when required_ok and water_hit and sewer_hit is not null then 'service_area_verified' else 'review_required' end as utilities_status from d")
+@query("r8_derive_dd_fields", ", d as (" + _DD.format(customer="customer") + ") select id, case when required_ok and id % 3 = 0 then 'owner_name_match_current_pa' else 'review_required' end as title_status, case when required_ok and amount_due = '0' then 'current_pa_zero_due' when required_ok and amount_due = '12.5' then 'current_pa_balance_due' else 'review_required' end as tax_status, case when required_ok and flood_hit then 'point_screen_only' else 'review_required' end as flood_status, case when required_ok and wet_hit then 'point_screen_only' else 'review_required' end as wetlands_status, case when required_ok and zoning_hit then 'verified_gis' else 'review_required' end as zoning_status, case when required_ok and street_hit then 'verified_near_mapped_street' else 'review_required' end as access_status, case when required_ok and water_hit and sewer_hit is not null then 'service_area_verified' else 'review_required' end as utilities_status, case when required_ok then coalesce(comps_status, 'review_required') else 'review_required' end as comps_status, case when required_ok then coalesce(exit_status, 'review_required') else 'review_required' end as exit_status, 'review_required' as underwriting_status, 'review_required' as status, 0 as dd_score, cast(null as double) as estimated_value, cast(null as double) as preliminary_mao, cast(null as double) as confidence_score, false as eligible_for_automated_acquisition, case when not required_ok then 'source_or_write_failure' end as source_error from d")
 def _(t: Tables) -> DataFrame:
     return Q.derive_dd_fields(t.sql(_DD, customer=t("customer")))
 
@@ -452,24 +461,36 @@ def _(t: Tables) -> DataFrame:
     return t.sql(_POLY, events=t("events")).select("id", Q.polygon_valid(F.col("polygon")).alias("valid"))
 
 
-@query("x8_evidence_outcome", "select event_id as id, case when event_id % 7 > 1 then 'ERROR' when event_id % 7 = 0 then 'FOUND' when event_type = 'error' then 'UNVERIFIED' else 'NOT_FOUND' end as outcome from events")
+_SCREENS = """select event_id as id, case event_type when 'error' then 'FEMA_FLOOD' when 'click' then 'LEE_ROAD' else 'USFWS_WETLANDS' end as source, case when user_id % 3 = 0 then 'charlotte' else 'Lee' end as county, case event_id % 7
+  when 0 then '{{"features":[{{"attributes":{{"SURFACE":"PAVED"}}}},{{"attributes":{{"SURFACE":"DIRT","PAVED":"YES"}}}},{{"attributes":{{"OTHER":"PAVED","SURFACE":" paved "}}}}]}}' when 1 then '{{"features":[]}}' when 2 then '{{"error":{{"code":1}},"features":[]}}' when 3 then '{{"features":[],"exceededTransferLimit":true}}' when 4 then 'not json' when 5 then '{{"features":{{"a":1}}}}'
+  else '{{"features":[{{"attributes":{{"PAVED":"No"}}}}]}}' end as reply from {events}"""
+
+
+@query("x8_evidence_outcome", ", s as (" + _SCREENS.format(events="events").replace("{{", "{").replace("}}", "}") + ") select id, case when id % 7 between 2 and 5 then 'ERROR' when id % 7 in (0, 6) then 'FOUND' when source = 'FEMA_FLOOD' then 'UNVERIFIED' else 'NOT_FOUND' end as outcome, case id % 7 when 0 then 3 when 1 then 0 when 6 then 1 end as feature_count, case when source = 'LEE_ROAD' then case id % 7 when 0 then case when county = 'Lee' then 2 else 1 end when 1 then 0 when 6 then 0 end end as paved_candidate_count from s")
 def _(t: Tables) -> DataFrame:
-    rows = t.sql(_REPLIES, events=t("events")).join(t("events").select(F.col("event_id").alias("id"), "event_type"), "id")
-    features = F.from_json("reply", "struct<features:array<string>>")["features"]
-    return rows.select("id", Q.evidence_outcome(F.when(F.col("event_type") == "error", "flood"), Q.gis_response_complete(F.col("reply")), features).alias("outcome"))
+    rows = t.sql(_SCREENS, events=t("events"))
+    features = F.transform(F.from_json("reply", "struct<features:array<struct<attributes:map<string,string>>>>")["features"], lambda f: f["attributes"])
+    out = Q.evidence_outcome(F.col("source"), Q.gis_response_complete(F.col("reply")), features, F.col("county"), F.col("source") == "LEE_ROAD")
+    return rows.select("id", out.alias("x")).select("id", "x.*")
+
 
+_VIEWED = "select parcel_id, case cast(parcel_id as bigint) % 5 when 0 then 'Polk' when 1 then 'CHARLOTTE' else county end as county, owner_name, city as site_address, case cast(parcel_id as bigint) % 3 when 0 then 'VERIFIED' when 1 then 'old' end as seller_distress_status from {screening}"
 
-@query("x9_qualification_view", _R3 + " select s.parcel_id, s.county, coalesce(r3.status, 'HOLD') as status, case when r3.status = 'REJECTED_FLOOD_ZONE' then 'full_polygon_flood_hazard' else coalesce(nullif(case when r3.status = 'HOLD' then missing else '' end, ''), 'UNVERIFIED') end as why, false as release from screening s left join r3 using (parcel_id)")
+
+@query("x9_qualification_view", _R3 + ", v as (" + _VIEWED.format(screening="screening") + "), j as (select v.*, cast(v.parcel_id as bigint) as k, case when r3.status = 'HOLD' then r3.missing else '' end as missing, case when r3.status like 'QUAL%' or cast(v.parcel_id as bigint) % 7 = 0 then 'QUALIFIED' else r3.status end as status from r3 join v using (parcel_id) where lower(v.county) in ('lee', 'charlotte')), w as (select *, k % 4 > 0 and status = 'QUALIFIED' and coalesce(seller_distress_status = 'VERIFIED', false) as seen from j) select parcel_id as strap, county, owner_name, site_address as property_address, status as qualification_status, case when k % 6 = 0 then 'full_polygon_flood_hazard' when k % 11 = 0 then 'UNVERIFIED' else missing end as buildability_status, case when seen then 'DISTRESS_REVIEW_REQUIRED' else 'UNVERIFIED_DISTRESS' end as financial_distress_reason, case when seen then 'REVIEW_PROPERTY_WITH_OWNER' end as conversation_hook, false as seller_card_release_authorized from w")
 def _(t: Tables) -> DataFrame:
-    results = refreshed(t).withColumn("reason", F.when(F.col("status") == Q.FLOODED, "full_polygon_flood_hazard"))
-    return Q.qualification_view(results, t("screening"))
+    k = F.col("parcel_id").cast("bigint")
+    results = refreshed(t).withColumns({"reason": F.when(k % 6 == 0, "full_polygon_flood_hazard"), "missing": F.when(k % 11 > 0, F.col("missing")), "eligible_for_contact": F.when(k % 4 > 0, True)})
+    results = results.withColumn("status", F.when((F.col("status") == Q.QUALIFIED) | (k % 7 == 0), "QUALIFIED").otherwise(F.col("status")))
+    return Q.qualification_view(results, t.sql(_VIEWED, screening=t("screening"))).drop("evaluated_at")
+
+
+_CARDS = "select s_suppkey as k, 'lee' as county, 'S' || cast(s_suppkey as string) as strap, s_name as owner_name, cast(s_nationkey as string) as contact_info, 'x' as property_address, 'd' as distress_detail, 'h' as conversation_hook, timestamp '2024-01-01' as screening_checked_at, s_suppkey % 13 > 0 as distress_verified, s_suppkey % 17 > 0 as paved_frontage_verified, case when s_suppkey % 11 > 0 then true end as legal_access_verified, true as nwi_coverage_verified, s_suppkey % 19 > 0 as flood_coverage_verified, true as zoning_verified, true as regulatory_wetlands_verified, s_suppkey % 7 > 0 as title_verified, case when s_suppkey % 23 > 0 then 's' end as distress_source, timestamp '2024-01-01' as distress_checked_at, case when s_suppkey % 9 > 0 then s_suppkey % 5 * 7.5 end as wetlands_pct, 98 + s_suppkey % 3 as floodway_pct, case when s_suppkey % 2 = 0 then 'X' end as flood_zone from {supplier}"
 
 
-@query("x10_seller_cards", "select s_suppkey as id, 'lee S' || cast(s_suppkey as string) || ': flood ' || printf('%.4f', s_suppkey % 13 / 8.0) || ', wetlands ' || printf('%.4f', s_suppkey % 3 / 1.0) as summary from supplier where s_suppkey % 2 = 0 and s_suppkey % 5 > 0 and s_suppkey % 13 / 8.0 <= 1 and s_suppkey % 3 <= 1")
+@query("x10_seller_cards", "select 'S' || cast(s_suppkey as varchar) as strap, s_name as owner_name, cast(s_nationkey as varchar) as contact_info, 'Paved frontage verified; ' || printf('%.4f', s_suppkey % 5 * 7.5) || '% mapped wetlands; Flood Zone ' || case when s_suppkey % 2 = 0 then 'X' else 'unknown' end as buildability_summary from supplier where s_suppkey % 13 > 0 and s_suppkey % 17 > 0 and s_suppkey % 11 > 0 and s_suppkey % 19 > 0 and s_suppkey % 7 > 0 and s_suppkey % 23 > 0 and s_suppkey % 9 > 0 and s_suppkey % 3 < 2")
 def _(t: Tables) -> DataFrame:
-    k = F.col("s_suppkey")
-    rows = t("supplier").select(k.alias("id"), F.lit("lee").alias("county"), F.concat(F.lit("S"), k.cast("string")).alias("strap"), (k % 2 == 0).alias("owner_ok"), F.when(k % 5 > 0, True).alias("road_ok"), (k % 13 / 8.0).alias("flood"), (k % 3 / 1.0).alias("wetlands"))
-    return Q.seller_cards(rows, ("owner_ok", "road_ok"), {"flood": 1.0, "wetlands": 1.0}).select("id", "summary")
+    return Q.seller_cards(t.sql(_CARDS, supplier=t("supplier"))).select("strap", "owner_name", "contact_info", "buildability_summary")
 
 
 _CONTACTS = "select c_custkey as id, c_nationkey as priority_score, case c_custkey % 3 when 0 then 'closed' when 1 then 'ready_for_crm' else 'needs_enrichment' end as crm_status, case c_custkey % 4 when 0 then 'buyer' when 1 then 'title' else 'seller' end as entity_type from {customer}"
