@@ -151,9 +151,9 @@ def test_digest_gate(spark, tmp_path):
             feeds.require_digests(found, wrong, "k")
 
 
-def test_feed_digest_sees_every_row(spark):
+def test_block_digest_sees_every_row(spark):
     df = spark.createDataFrame([(KEY(i % 50), str(i), f"d{i}") for i in range(500)], "parcel_id string, ln_num string, digest string")
-    one = snapshots.feed_digest(df, "parcel_id", "ln_num").first()
-    assert one["rows"] == 500 and one == snapshots.feed_digest(df.repartition(7).orderBy(F.desc("digest")), "parcel_id", "ln_num").first()
-    assert one["feed_digest"] != snapshots.feed_digest(df.withColumn("digest", F.when(F.col("ln_num") == "77", "x").otherwise(F.col("digest"))), "parcel_id", "ln_num").first()["feed_digest"]
-    assert snapshots.feed_digest(df.limit(0), "parcel_id", "ln_num").first()["rows"] == 0
+    one = snapshots.block_digest(df, "parcel_id", "ln_num").first()
+    assert one["rows"] == 500 and one == snapshots.block_digest(df.repartition(7).orderBy(F.desc("digest")), "parcel_id", "ln_num").first()
+    assert one["block_digest"] != snapshots.block_digest(df.withColumn("digest", F.when(F.col("ln_num") == "77", "x").otherwise(F.col("digest"))), "parcel_id", "ln_num").first()["block_digest"]
+    assert snapshots.block_digest(df.limit(0), "parcel_id", "ln_num").first()["rows"] == 0

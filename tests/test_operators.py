@@ -48,14 +48,6 @@ def test_upsert_twice_changes_nothing(spark):
     assert sorted(snapshots.upsert(once, new, ["k"], keep_if_null=["s"]).collect()) == sorted(once.collect())
 
 
-def test_quarantine_has_a_cap(spark):
-    reviews = spark.range(10).select("id", F.lit("open").alias("status"), F.lit(5).alias("dd_score"), F.lit("x").alias("underwriting_status"))
-    with pytest.raises(gates.GateClosed):
-        snapshots.quarantine_reviews(reviews, "2024-01-31", max_rows=9)
-    backup, after = snapshots.quarantine_reviews(reviews, F.col("id") < 3)
-    assert backup.count() == 3 and after.where("dd_score = 0").count() == 3
-
-
 @pytest.mark.parametrize(
     ("feature", "wet", "road", "paved", "flags", "status", "missing"),
     [
