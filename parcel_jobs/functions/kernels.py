@@ -43,8 +43,11 @@ def _merged(parts: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def overlap_areas(parcel: list[Ring], hazards: list[list[Ring]]) -> tuple[float, float]:
-    """Area of the parcel and the part of it that the union of the hazards covers.
+Box = tuple[float, float, float, float]  # x0, y0, x1, y1
+
+
+def overlap_areas(parcel: list[Ring], hazards: list[list[Ring]], box: Box | None = None) -> tuple[float, float]:
+    """Area of the parcel and the part of it that the union of the hazards covers, both within the box if there is one: areas of boxes side by side add up.
 
     The plane is cut into slabs at every vertex and crossing. No edges cross within a slab, so covered length is linear
     in x there and the middle times the width is exact. Holes, concave rings and overlapping hazards need no care.
@@ -53,19 +56,36 @@ def overlap_areas(parcel: list[Ring], hazards: list[list[Ring]]) -> tuple[float,
     if not len(own):
         return 0.0, 0.0
     lo, hi = own[:, [0, 2]].min(), own[:, [0, 2]].max()
-    near = [e[(np.maximum(e[:, 0], e[:, 2]) > lo) & (np.minimum(e[:, 0], e[:, 2]) < hi)] for e in map(edges, hazards)]
+    low, high = (-np.inf, np.inf) if box is None else (box[1], box[3])
+    if box is not None:
+        lo, hi = max(lo, box[0]), min(hi, box[2])
+    if lo >= hi:
+        return 0.0, 0.0
+    spans = lambda e: e[(np.maximum(e[:, 0], e[:, 2]) > lo) & (np.minimum(e[:, 0], e[:, 2]) < hi)]
+    own, near = spans(own), [spans(e) for e in map(edges, hazards)]
     every = np.concatenate([own, *near])
-    cuts = np.unique(np.clip(np.concatenate([every[:, 0], every[:, 2], _crossings(every)]), lo, hi))
+    every = every[(np.maximum(every[:, 1], every[:, 3]) >= low) & (np.minimum(every[:, 1], every[:, 3]) <= high)]  # what crosses elsewhere doesn't count
+    borders = [_at_height(every, y) for y in (low, high) if np.isfinite(y)]
+    cuts = np.unique(np.clip(np.concatenate([[lo, hi], every[:, 0], every[:, 2], _crossings(every), *borders]), lo, hi))
     area = covered = 0.0
     for a, b in zip(cuts, cuts[1:], strict=False):
         x = (a + b) / 2
-        inside = _intervals(own, x)
+        inside = [(max(c, low), min(d, high)) for c, d in _intervals(own, x) if c < high and d > low]
+        if not inside:
+            continue
         union = _merged([i for e in near for i in _intervals(e, x)])
         area += sum(d - c for c, d in inside) * (b - a)
         covered += sum(max(0.0, min(d, f) - max(c, e)) for c, d in inside for e, f in union) * (b - a)
     return area, covered
 
 
+def _at_height(e: np.ndarray, y: float) -> np.ndarray:
+    """x where edges cross a height."""
+    cross = (np.minimum(e[:, 1], e[:, 3]) < y) & (np.maximum(e[:, 1], e[:, 3]) > y)
+    e = e[cross]
+    return e[:, 0] + (y - e[:, 1]) / (e[:, 3] - e[:, 1]) * (e[:, 2] - e[:, 0])
+
+
 def contains(rings: list[Ring], x: float, y: float) -> bool:
     """Even-odd test of a point."""
     e = edges(rings)
@@ -100,13 +120,30 @@ def _meet(a: np.ndarray, b: np.ndarray) -> bool:
     return bool(((cross(pa, da, pb) * cross(pa, da, pb + db) <= 0) & (cross(pb, db, pa) * cross(pb, db, pa + da) <= 0)).any() and len(a) and len(b))
 
 
-def length_near(boundary: np.ndarray, lines: np.ndarray, reach: float) -> float:
-    """Length of the boundary's segments within reach of any line segment: intervals of each are merged, so none counts twice.
+def _clip(s: np.ndarray, box: Box | None) -> tuple[float, float] | None:
+    """The part of a segment, from 0 to 1, in the box; its right and upper sides belong to the next one."""
+    lo, hi = 0.0, 1.0
+    if box is None:
+        return lo, hi
+    for at, step, least, most in ((s[0], s[2] - s[0], box[0], box[2]), (s[1], s[3] - s[1], box[1], box[3])):
+        if step == 0:
+            if not least <= at < most:
+                return None
+            continue
+        a, b = sorted(((least - at) / step, (most - at) / step))
+        lo, hi = max(lo, a), min(hi, b)
+    return (lo, hi) if lo < hi else None
+
+
+def length_near(boundary: np.ndarray, lines: np.ndarray, reach: float, box: Box | None = None) -> float:
+    """Length of the boundary's segments within reach of any line segment: intervals of each are merged, so none counts twice. With a box, of what lies in it: lengths of boxes side by side add up.
 
     A segment is within reach of another along the interval where it lies in a stadium: a strip and two end circles.
     """
     total = 0.0
     for s in boundary:
+        if (own := _clip(s, box)) is None:
+            continue
         p, d = s[:2], s[2:] - s[:2]
         size = float(np.hypot(*d))
         parts = []
@@ -118,7 +155,7 @@ def length_near(boundary: np.ndarray, lines: np.ndarray, reach: float) -> float:
             spans = [x for x in spans if x]
             if spans:
                 parts.append((min(x[0] for x in spans), max(x[1] for x in spans)))  # the stadium is convex
-        total += size * sum(b - a for a, b in _merged(parts))
+        total += size * sum(max(0.0, min(b, own[1]) - max(a, own[0])) for a, b in _merged(parts))
     return total
 
 

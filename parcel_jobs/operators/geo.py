@@ -57,19 +57,74 @@ def _segments(shape: list) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, 4))
 
 
-def overlap_pct(parcels: DataFrame, hazards: DataFrame) -> DataFrame:
-    """Percent of each parcel that the union of the hazards covers, 0 to 100 to four decimals; error for a shape without area."""
-    met = candidate_pairs(parcels, hazards)
+#: Of a parcel's tile, more other shapes than this are told apart in smaller tiles, SPLIT to each side, so many times.
+TILE_MOST, TILE_LEVELS, SPLIT = 64, 2, 8
 
-    def measure(group: pd.DataFrame) -> pd.DataFrame:
-        area, covered = kernels.overlap_areas(_arrays(group["shape"].iloc[0]), [_arrays(h) for h in group["other_shape"]])
-        pct = min(100.0, max(0.0, 100 * covered / area)) if area > 0 else None
-        return pd.DataFrame({"parcel_id": [group["parcel_id"].iloc[0]], "hazards": [len(group)], "pct": [pct]})
 
-    found = met.groupBy("parcel_id").applyInPandas(measure, "parcel_id string, hazards long, pct double")
+def tiles(parcels: DataFrame, others: DataFrame, reach: float = 0.0, cell: float = 500.0, most: int = TILE_MOST, levels: int = TILE_LEVELS) -> DataFrame:
+    """(parcel_id, other_id, level, i, j, met): for each tile of a parcel, the others whose bounds come within reach of the parcel's part of it.
+
+    met is true in one tile of a pair. A tile that more than `most` others share is split, at most `levels` times, so a
+    parcel under very many small shapes is many tasks. Ids and bounds alone are moved; ids of either side must be unique.
+    """
+    px0, py0, px1, py1 = _bounds(F.col("shape"))
+    a = parcels.select("parcel_id", px0.alias("ax0"), py0.alias("ay0"), px1.alias("ax1"), py1.alias("ay1"))
+    ox0, oy0, ox1, oy1 = _bounds(F.col("other_shape"))
+    b = others.select("other_id", (ox0 - reach).alias("bx0"), (oy0 - reach).alias("by0"), (ox1 + reach).alias("bx1"), (oy1 + reach).alias("by1"))
+    a = a.withColumn("cell", F.explode(_cells(*map(F.col, ("ax0", "ay0", "ax1", "ay1")), cell)))
+    b = b.withColumn("cell", F.explode(_cells(*map(F.col, ("bx0", "by0", "bx1", "by1")), cell)))
+    touch = (F.col("ax0") <= F.col("bx1")) & (F.col("bx0") <= F.col("ax1")) & (F.col("ay0") <= F.col("by1")) & (F.col("by0") <= F.col("ay1"))
+    common = {"x0": F.greatest("ax0", "bx0"), "y0": F.greatest("ay0", "by0"), "x1": F.least("ax1", "bx1"), "y1": F.least("ay1", "by1")}
+    first = (F.col("cell.i") == F.floor(common["x0"] / cell)) & (F.col("cell.j") == F.floor(common["y0"] / cell))
+    rows = a.join(b, "cell").where(touch).select("parcel_id", "other_id", *[c.alias(n) for n, c in common.items()], F.lit(0).alias("level"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), first.alias("met"))
+    tile = ["parcel_id", "level", "i", "j"]
+    for level in range(1, levels + 1):
+        size = cell / SPLIT**level
+        full = rows.where(F.col("level") == level - 1).groupBy(*tile).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*tile, F.lit(True).alias("full"))
+        rows = rows.join(full, tile, "left")
+        within = lambda lo, hi, at: F.sequence(F.greatest(F.floor(F.col(lo) / size), F.col(at) * SPLIT), F.least(F.floor(F.col(hi) / size), F.col(at) * SPLIT + SPLIT - 1))  # noqa: E731, B023
+        parts = F.flatten(F.transform(within("x0", "x1", "i"), lambda i: F.transform(within("y0", "y1", "j"), lambda j: F.struct(F.lit(level).alias("level"), i.alias("i"), j.alias("j")))))  # noqa: B023
+        own = F.array(F.struct("level", "i", "j"))
+        rows = rows.select("parcel_id", "other_id", "x0", "y0", "x1", "y1", "met", F.posexplode(F.when(F.col("full"), parts).otherwise(own)).alias("k", "tile"))
+        rows = rows.select("parcel_id", "other_id", "x0", "y0", "x1", "y1", "tile.level", "tile.i", "tile.j", (F.col("met") & (F.col("k") == 0)).alias("met"))
+    return rows.select(*tile, "other_id", "met")
+
+
+def _tiled(parcels: DataFrame, others: DataFrame, reach: float, cell: float, most: int) -> DataFrame:
+    """A row for each tile of a parcel, with the parcel's shape and those of the others in it."""
+    rows = tiles(parcels, others, reach, cell, most).join(others.select("other_id", "other_shape"), "other_id")
+    rows = rows.groupBy("parcel_id", "level", "i", "j").agg(F.collect_list("other_shape").alias("others"), F.count_if("met").alias("met"))
+    return rows.join(parcels.select("parcel_id", "shape"), "parcel_id")
+
+
+def _box(level: int, i: int, j: int, cell: float) -> kernels.Box:
+    size = cell / SPLIT**level
+    return i * size, j * size, (i + 1) * size, (j + 1) * size
+
+
+def overlap_pct(parcels: DataFrame, hazards: DataFrame, cell: float = 500.0, most: int = TILE_MOST) -> DataFrame:
+    """Percent of each parcel that the union of the hazards covers, 0 to 100 to four decimals; error for a shape without area.
+
+    Areas are measured tile by tile and added, so what a task holds is one tile's hazards.
+    """
+    met = _tiled(parcels, hazards, 0.0, cell, most)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            boxes = (_box(*t, cell) for t in zip(b["level"], b["i"], b["j"], strict=True))
+            areas = [kernels.overlap_areas(_arrays(s), [_arrays(h) for h in others], box)[1] for s, others, box in zip(b["shape"], b["others"], boxes, strict=True)]
+            yield pd.DataFrame({"parcel_id": b["parcel_id"], "hazards": b["met"], "covered": areas})
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"parcel_id": b["parcel_id"], "area": [kernels.overlap_areas(_arrays(s), [])[0] for s in b["shape"]]})
+
+    found = met.mapInPandas(measure, "parcel_id string, hazards long, covered double").groupBy("parcel_id").agg(F.sum("hazards").alias("hazards"), F.sum("covered").alias("covered"))
+    some = parcels.select("parcel_id", "shape").join(found.select("parcel_id"), "parcel_id", "left_semi").mapInPandas(whole, "parcel_id string, area double")
     flat = F.aggregate("shape", F.lit(0.0), lambda s, r: s + F.abs(_ring_area(r))) <= 0
-    out = parcels.select("parcel_id", flat.alias("flat")).join(found, "parcel_id", "left")
-    return out.select("parcel_id", F.coalesce("hazards", F.lit(0).cast("long")).alias("hazards"), F.when(F.col("flat"), None).otherwise(F.round(F.coalesce("pct", F.lit(0.0)), 4)).alias("overlap_pct"), F.when(F.col("flat"), "invalid_parcel").alias("error"))
+    out = parcels.select("parcel_id", flat.alias("flat")).join(found, "parcel_id", "left").join(some, "parcel_id", "left")
+    pct = F.when(F.col("area") > 0, F.least(F.lit(100.0), F.greatest(F.lit(0.0), 100 * F.col("covered") / F.col("area"))))
+    return out.select("parcel_id", F.coalesce("hazards", F.lit(0).cast("long")).alias("hazards"), F.when(F.col("flat"), None).otherwise(F.round(F.coalesce(pct, F.lit(0.0)), 4)).alias("overlap_pct"), F.when(F.col("flat"), "invalid_parcel").alias("error"))
 
 
 def _ring_area(ring: Column) -> Column:
@@ -93,16 +148,22 @@ def lines_within(parcels: DataFrame, lines: DataFrame, metres: float) -> DataFra
     return near.where(F.col("distance_m") <= metres)
 
 
-def frontage_metrics(parcels: DataFrame, lines: DataFrame, reach: float = 0.20, search: float = 30.0) -> DataFrame:
-    """Boundary length within reach of mapped right-of-way lines and the nearest distance; without lines near, review. Never verified."""
-    pairs = candidate_pairs(parcels, lines, search)
+def frontage_metrics(parcels: DataFrame, lines: DataFrame, reach: float = 0.20, search: float = 30.0, cell: float = 500.0, most: int = TILE_MOST) -> DataFrame:
+    """Boundary length within reach of mapped right-of-way lines and the nearest distance; without lines near, review. Never verified.
 
-    def measure(group: pd.DataFrame) -> pd.DataFrame:
-        shape, every = _arrays(group["shape"].iloc[0]), np.concatenate([_segments(o) for o in group["other_shape"]])
-        return pd.DataFrame({"parcel_id": [group["parcel_id"].iloc[0]], "frontage_m": [kernels.length_near(kernels.edges(shape), every, reach)], "nearest_m": [kernels.distance(shape, every)]})
+    Lengths are measured tile by tile and added; the distance is the least of those of all pairs.
+    """
 
-    found = pairs.groupBy("parcel_id").applyInPandas(measure, "parcel_id string, frontage_m double, nearest_m double")
-    out = parcels.select("parcel_id").join(found, "parcel_id", "left")
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            boxes = (_box(*t, cell) for t in zip(b["level"], b["i"], b["j"], strict=True))
+            lengths = [kernels.length_near(kernels.edges(_arrays(s)), np.concatenate([_segments(o) for o in others]), reach, box) for s, others, box in zip(b["shape"], b["others"], boxes, strict=True)]
+            yield pd.DataFrame({"parcel_id": b["parcel_id"], "frontage_m": lengths})
+
+    found = _tiled(parcels, lines, reach, cell, most).mapInPandas(measure, "parcel_id string, frontage_m double").groupBy("parcel_id").agg(F.sum("frontage_m").alias("frontage_m"))
+    apart = _pairwise(candidate_pairs(parcels, lines, search), "nearest_m", lambda s, o: kernels.distance(_arrays(s), _segments(o))).groupBy("parcel_id").agg(F.min("nearest_m").alias("nearest_m"))
+    out = parcels.select("parcel_id").join(apart, "parcel_id", "left").join(found, "parcel_id", "left")
+    out = out.withColumn("frontage_m", F.when(F.col("nearest_m").isNotNull(), F.coalesce("frontage_m", F.lit(0.0))))
     status = F.when(F.col("nearest_m").isNull(), "no_mapped_line_review").otherwise("measured_review")
     return out.select("parcel_id", F.round("frontage_m", 4).alias("frontage_m"), F.round(F.col("frontage_m") / 0.3048, 4).alias("frontage_ft"), F.round("nearest_m", 4).alias("nearest_m"), status.alias("status"), F.lit(False).alias("verified"))
 
