@@ -99,12 +99,13 @@ def _(t: Tables) -> DataFrame:
     return feeds.read_json_snapshot(t.spark, f"{path}/*/*.txt", "id long, reply struct<kind:string, body:string>").select("id", "reply.kind", "reply.body")
 
 
-@query("a10_write_snapshot", "select parcel_id, amtdue, 'READY' as state, (select cast(count(*) as varchar) from parcel_raw) as n from parcel_raw")
+@query("a10_write_snapshot", "select parcel_id, amtdue, 'READY' as state, (select count(*) from parcel_raw) as n, 'screen' as mode from parcel_raw")
 def _(t: Tables) -> DataFrame:
+    """A snapshot that must have as many rows as the table, read back by what its manifest names."""
     path, rows = folder(t, "published"), t("parcel_raw").select("parcel_id", "amtdue")
-    feeds.write_snapshot(rows, path, {"state": "READY", "n": rows.count()})
-    manifest = t.spark.read.schema("state string, n string").json(f"{path}/manifest")
-    return t.spark.read.parquet(f"{path}/data").crossJoin(F.broadcast(manifest))  # one row
+    feeds.write_snapshot(rows, path, {"mode": "screen"}, rows=rows.count())
+    back, manifest = feeds.read_snapshot(t.spark, path)
+    return back.select("*", *[F.lit(manifest[c]).alias(n) for c, n in (("state", "state"), ("rows", "n"), ("mode", "mode"))]).withColumn("n", F.col("n").cast("long"))
 
 
 @query("a11_write_shards", "select parcel_id, cast(cast('0x' || substr(sha256(parcel_id), 1, 16) as ubigint) % 16 as int) as shard from parcel_raw")

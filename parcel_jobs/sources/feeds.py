@@ -6,14 +6,15 @@ import io
 import zipfile
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import SALES, md5_shard, sha_shard
 from ..operators.gates import GateClosed
-from .ranges import read_ranges
+from .ranges import opened, read_ranges
+from .snapshot import read_snapshot, source_digests, write_snapshot  # noqa: F401 - part of the readers and writers here
 
 #: Windows-1252 at 0x80 to 0x9F; the five codes that it leaves open stay as they are.
 CP1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
@@ -53,27 +54,35 @@ def decode_cp1252(latin1: Column) -> Column:
 
 
 def land_zip_feed(spark: SparkSession, path: str, encoding: str = "utf-8-sig") -> DataFrame:
-    """Lines (file, line_no, value) of ZIP archives that must hold one data member each, decoded strictly. An archive is one task."""
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [m for m in archive.infolist() if not m.is_dir()]
-                    if len(members) != 1:
-                        raise GateClosed(f"{name} holds {len(members)} members")
-                    with archive.open(members[0]) as raw, io.TextIOWrapper(raw, encoding=encoding, errors="strict", newline="\n") as text:
-                        held: list[str] = []
-                        n = 0
-                        for line in text:
-                            held.append(line.rstrip("\r\n"))
-                            if len(held) == 50_000:
-                                yield pd.DataFrame({"file": name, "line_no": range(n, n + len(held)), "value": held})
-                                n, held = n + len(held), []
-                        if held:
-                            yield pd.DataFrame({"file": name, "line_no": range(n, n + len(held)), "value": held})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(lines, "file string, line_no long, value string")
+    """Lines (file, line_no, value) of ZIP archives that must hold one data member each, decoded strictly.
+
+    An archive is one task, which seeks its directory and inflates the member in blocks: memory doesn't grow with either, and both may be of any
+    size. Another number of members, a wrong checksum, or bytes that can't be decoded fail the job.
+    """
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(name: str, n: int, held: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"file": pa.array([name] * len(held), pa.string()), "line_no": pa.array(range(n, n + len(held)), pa.int64()), "value": pa.array(held, pa.string())})
+
+        for name in (x for batch in batches for x in batch.column(0).to_pylist()):
+            store, where = opened(name)
+            with store.open_input_file(where) as source, zipfile.ZipFile(source) as archive:
+                members = [m for m in archive.infolist() if not m.is_dir()]
+                if len(members) != 1:
+                    raise GateClosed(f"{name} holds {len(members)} members")
+                with archive.open(members[0]) as raw, io.TextIOWrapper(raw, encoding=encoding, errors="strict", newline="\n") as text:
+                    held, n, size = [], 0, 0
+                    for line in text:
+                        held.append(line.rstrip("\r\n"))
+                        size += len(line)
+                        if size > 4_000_000:
+                            yield batch_of(name, n, held)
+                            n, held, size = n + len(held), [], 0
+                    if held:
+                        yield batch_of(name, n, held)
+
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.repartition(spark.sparkContext.defaultParallelism * 4).mapInArrow(lines, "file string, line_no long, value string")
 
 
 def read_json_snapshot(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -81,11 +90,6 @@ def read_json_snapshot(spark: SparkSession, path: str, schema: str | T.StructTyp
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def source_digests(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes and sha256 of each file. A file is one row, and so at most 2 GB."""
-    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-
-
 def require_digests(found: DataFrame, accepted: DataFrame, key: str) -> DataFrame:
     """found (key, sha256), or GateClosed if a file is not the accepted one of its key, is missing or is one too many."""
     both = found.select(key, F.col("sha256").alias("is")).join(accepted.select(key, F.col("sha256").alias("should")), key, "full_outer")
@@ -103,14 +107,6 @@ def require_source(spark: SparkSession, path: str, sha256: str, rows: int | None
         raise GateClosed(f"{path} has {n} rows, not {rows}")
 
 
-def write_snapshot(df: DataFrame, path: str, manifest: dict) -> None:
-    """Write once: rows as Parquet under data, one JSON manifest beside them. An existing folder is refused."""
-    df.write.mode("errorifexists").parquet(f"{path}/data")
-    names = ", ".join(f"{c} string" for c in manifest)
-    one = df.sparkSession.createDataFrame([tuple(str(v) for v in manifest.values())], names)
-    one.coalesce(1).write.mode("errorifexists").json(f"{path}/manifest")
-
-
 def write_shards(df: DataFrame, key: str, n: int, path: str, digest: str = "sha") -> None:
     """CSV files by hash shard of the key, which no prefix of the key can skew."""
     shard = sha_shard(F.col(key), n) if digest == "sha" else md5_shard(F.col(key), n)

@@ -63,13 +63,18 @@ def record_ends(data: np.ndarray, state: int, sep: int) -> np.ndarray:
     return ends[states[np.searchsorted(runs.start, ends)] == 0]
 
 
+def opened(uri: str) -> tuple:
+    """(file system, path in it) of Arrow for a place as Spark names it."""
+    from pyarrow import fs
+
+    return (fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")) if uri.startswith("file:") else fs.FileSystem.from_uri(uri)
+
+
 class Source:
     """Bytes of a file, with a line's end in place of what precedes it. The mark of UTF-8 at its start counts as such an end, too."""
 
     def __init__(self, uri: str, length: int):
-        from pyarrow import fs
-
-        store, path = (fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")) if uri.startswith("file:") else fs.FileSystem.from_uri(uri)
+        store, path = opened(uri)
         self.file, self.length = store.open_input_file(path), length
         self.skip = 3 if self.file.read_at(3, 0) == BOM else 0
 

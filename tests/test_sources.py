@@ -1,4 +1,5 @@
 import hashlib
+import json
 import zipfile
 
 import pytest
@@ -47,12 +48,58 @@ def test_cp1252(spark):
     assert df.select(feeds.decode_cp1252(F.col("c"))).first()[0] == want
 
 
-def test_write_once_and_shards(spark, tmp_path):
+def test_snapshots_are_written_once(spark, tmp_path):
+    df = spark.range(50).select(F.format_string("%018d", "id").alias("k"), F.lit("2024-01-31 01:02:03").cast("timestamp").alias("t"), F.col("id").cast("decimal(38,10)").alias("d"))
+    path = str(tmp_path / "s")
+    feeds.write_snapshot(df, path, {"mode": "x"}, rows=50)
+    rows, manifest = feeds.read_snapshot(spark, path)
+    assert sorted(rows.collect()) == sorted(df.collect()) and (manifest["state"], manifest["rows"], manifest["mode"]) == ("READY", 50, "x")
+    assert {p["name"] for p in manifest["files"]} == {p.name for p in (tmp_path / "s/data").glob("*.parquet")}
+    with pytest.raises(GateClosed, match="exists"):
+        feeds.write_snapshot(df, path, {})
+    df.limit(1).write.parquet(str(tmp_path / "stray"))
+    next((tmp_path / "stray").glob("*.parquet")).rename(tmp_path / "s/data/part-stray.parquet")
+    assert feeds.read_snapshot(spark, path)[0].count() == 50  # files that no manifest names are no rows
+    (tmp_path / "s/data" / manifest["files"][0]["name"]).write_bytes(b"PAR1")
+    with pytest.raises(GateClosed, match="changed"):
+        feeds.read_snapshot(spark, path)
+
+
+def test_failed_snapshots_are_blocked_and_leave_no_data(spark, tmp_path):
+    df = spark.range(100, numPartitions=4)
+    bad = df.select(F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    for name, frame, rows in (("failed", bad, None), ("short", df, 101)):
+        with pytest.raises(Exception):  # noqa: B017 - Spark's own
+            feeds.write_snapshot(frame, str(tmp_path / name), {"mode": "x"}, rows=rows)
+        assert not (tmp_path / name / "data").exists()
+        manifest = json.loads((tmp_path / name / "manifest.json").read_text())
+        assert manifest["state"] == "BLOCKED" and manifest["reasons"] and manifest["mode"] == "x"
+        with pytest.raises(GateClosed, match="BLOCKED"):
+            feeds.read_snapshot(spark, str(tmp_path / name))
+
+
+def test_archives_that_fail(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "two.zip", "w") as z:
+        z.writestr("a.txt", "one\n")
+        z.writestr("b.txt", "two\n")
+    with zipfile.ZipFile(tmp_path / "crc.zip", "w") as z:
+        z.writestr("a.txt", "one two three\n")
+    data = (tmp_path / "crc.zip").read_bytes()
+    (tmp_path / "crc.zip").write_bytes(data.replace(b"one two three", b"one 2wo three", 1))
+    for name, says in (("two", "2 members"), ("crc", "CRC")):
+        with pytest.raises(Exception, match=says):
+            feeds.land_zip_feed(spark, str(tmp_path / f"{name}.zip")).collect()
+
+
+def test_digests_of_files(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.bin").write_bytes(bytes([i]) * (9_000_000 * i))
+    got = {r["path"].rsplit("/")[-1]: (r["bytes"], r["sha256"]) for r in feeds.source_digests(spark, str(tmp_path / "*.bin")).collect()}
+    assert got == {f"{i}.bin": (9_000_000 * i, hashlib.sha256(bytes([i]) * (9_000_000 * i)).hexdigest()) for i in (1, 2)}
+
+
+def test_shards(spark, tmp_path):
     df = spark.range(50).select(F.format_string("%018d", "id").alias("k"))
-    feeds.write_snapshot(df, str(tmp_path / "s"), {"state": "READY", "rows": 50})
-    assert spark.read.parquet(str(tmp_path / "s/data")).count() == 50 and spark.read.json(str(tmp_path / "s/manifest")).first()["state"] == "READY"
-    with pytest.raises(Exception):  # noqa: B017 - Spark's own
-        feeds.write_snapshot(df, str(tmp_path / "s"), {"state": "READY"})
     feeds.write_shards(df, "k", 4, str(tmp_path / "shards"))
     assert spark.read.option("header", True).csv(str(tmp_path / "shards")).count() == 50
 
