@@ -139,9 +139,43 @@ def block_digest(df: DataFrame, *order: str) -> DataFrame:
     return blocks.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("rows"), joined(F.struct("block", "digest")).alias("block_digest"))
 
 
-def diff_snapshots(old: DataFrame, new: DataFrame, key: str, line: str, columns: Sequence[str]) -> DataFrame:
-    """Keys with their state and how many rows were added, removed or changed, and how many fields changed."""
-    both = old.withColumn("was", F.lit(True)).alias("l").join(new.withColumn("is", F.lit(True)).alias("r"), [key, line], "full_outer")
+#: Ranges of hashes of the key in a tree of fingerprints, and how many of them one node above holds.
+RANGES, FANOUT = 65_536, 256
+
+
+def _range(key: str, ranges: int = RANGES) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(ranges)).cast("int")
+
+
+def fingerprint_tree(df: DataFrame, key: str, columns: Sequence[str], ranges: int = RANGES) -> DataFrame:
+    """(level, node, rows, one, two): for each range of hashes of the key (level 1), and each FANOUT of them (level 0), sums of two 64-bit hashes of their rows.
+
+    Sums don't depend on order, so they are added in partial sums; a tree has at most ranges * (1 + 1 / FANOUT) rows. One that was kept with a version stands for it.
+    """
+    number = lambda seed: F.xxhash64(F.lit(seed), *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (key, *columns)]).cast("decimal(20,0)")
+    leaves = df.groupBy(_range(key, ranges).alias("node")).agg(F.count("*").alias("rows"), F.sum(number(1)).alias("one"), F.sum(number(2)).alias("two"))
+    up = leaves.groupBy((F.col("node") / FANOUT).cast("int").alias("node")).agg(*[F.sum(c).alias(c) for c in ("rows", "one", "two")])
+    same = ["rows", F.col("one").cast("decimal(38,0)").alias("one"), F.col("two").cast("decimal(38,0)").alias("two")]
+    return leaves.select(F.lit(1).alias("level"), "node", *same).unionAll(up.select(F.lit(0).alias("level"), "node", *same))
+
+
+def differing_ranges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """node of the ranges in which two trees differ: those below a node of level 0 that does."""
+    both = old.alias("l").join(new.alias("r"), ["level", "node"], "full_outer").where(~_same(["rows", "one", "two"]))
+    above = both.where("level = 0").select(F.col("node").alias("above"))
+    return both.where("level = 1").select("node").join(F.broadcast(above), (F.col("node") / FANOUT).cast("int") == F.col("above"), "left_semi")  # at most RANGES / FANOUT rows
+
+
+def diff_snapshots(old: DataFrame, new: DataFrame, key: str, line: str, columns: Sequence[str], ranges: int = RANGES, trees: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Keys with their state and how many rows were added, removed or changed, and how many fields changed.
+
+    Only rows of ranges whose fingerprints differ are joined; keys of all others are unchanged, by two sums of 64 bits each. trees are those of both
+    versions, if they were kept; else they are made, which reads each version once more but shuffles none of its rows.
+    """
+    a, b = trees or (fingerprint_tree(old, key, [line, *columns], ranges), fingerprint_tree(new, key, [line, *columns], ranges))
+    differ = F.broadcast(differing_ranges(a, b).distinct())  # at most `ranges` numbers
+    part = lambda df, how: df.withColumn("node", _range(key, ranges)).join(differ, "node", how).drop("node")
+    both = part(old, "left_semi").withColumn("was", F.lit(True)).alias("l").join(part(new, "left_semi").withColumn("is", F.lit(True)).alias("r"), [key, line], "full_outer")
     fields = sum(((~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))).cast("int") for c in columns), F.lit(0))
     kept = F.col("was") & F.col("is")
     per = both.select(key, "was", "is", F.when(kept, fields).otherwise(0).alias("fields")).groupBy(key).agg(
@@ -149,7 +183,9 @@ def diff_snapshots(old: DataFrame, new: DataFrame, key: str, line: str, columns:
         F.sum("fields").cast("long").alias("changed_fields"), F.count_if(F.col("was")).alias("old_rows"), F.count_if(F.col("is")).alias("new_rows"),
     )
     state = F.when(F.col("old_rows") == 0, "added").when(F.col("new_rows") == 0, "missing").when(F.col("added_rows") + F.col("removed_rows") + F.col("changed_rows") > 0, "changed").otherwise("unchanged")
-    return per.select(key, state.alias("state"), "added_rows", "removed_rows", "changed_rows", "changed_fields")
+    counts = ["added_rows", "removed_rows", "changed_rows", "changed_fields"]
+    rest = part(new, "left_anti").select(key).distinct()
+    return per.select(key, state.alias("state"), *counts).unionByName(rest.select(key, F.lit("unchanged").alias("state"), *[F.lit(0).cast("long").alias(c) for c in counts]))
 
 
 def owner_set_changes(old: DataFrame, new: DataFrame, key: str = "parcel_id", name: str = "name") -> DataFrame:

@@ -371,8 +371,10 @@ _OLD_OWNERS = "select parcel_id, ln_num, case when parcel_id like '%7' then 'For
 k as (select parcel_id, count(*) filter (not was) as added_rows, count(*) filter (not is_new) as removed_rows, count(*) filter (fields > 0) as changed_rows, cast(sum(fields) as bigint) as changed_fields, count(*) filter (was) as o, count(*) filter (is_new) as n from b group by parcel_id)
 select parcel_id, case when o = 0 then 'added' when n = 0 then 'missing' when added_rows + removed_rows + changed_rows > 0 then 'changed' else 'unchanged' end as state, added_rows, removed_rows, changed_rows, changed_fields from k""")
 def _(t: Tables) -> DataFrame:
-    new = t("owner_raw")
-    return snapshots.diff_snapshots(t.sql(_OLD_OWNERS, owner_raw=new), new, "parcel_id", "ln_num", ["name", "pctown"])
+    """Both versions are stored tables, as snapshots are."""
+    new = t.stored("owner_raw", t("owner_raw"))
+    old = t.stored("old-owners", t.sql(_OLD_OWNERS, owner_raw=new))
+    return snapshots.diff_snapshots(old, new, "parcel_id", "ln_num", ["name", "pctown"])
 
 
 @query("c20_owner_set_changes", ", o as (" + _OLD_OWNERS.format(owner_raw="owner_raw") + "), a as (select parcel_id, string_agg(distinct name, '|' order by name) as old_names from o group by parcel_id), b as (select parcel_id, string_agg(distinct name, '|' order by name) as new_names from owner_raw group by parcel_id) select parcel_id, old_names, new_names from a join b using (parcel_id) where old_names <> new_names")

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
-import tempfile
-import uuid
 import zipfile
 
 import pandas as pd
@@ -18,14 +15,7 @@ from .catalogue import Tables, query
 
 
 def folder(t: Tables, tag: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; where that is unset and Spark runs in one process, in a temporary one."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", t.spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        t.spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base if ':' in base else 'file://' + base}/{tag}-{uuid.uuid4().hex}"
+    return t.folder(tag)
 
 
 def _csv(df: DataFrame, path: str, **options) -> str:
