@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -61,14 +59,14 @@ def _within(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
     """Words [queries, W] with a bit for each member within the radius of the query.
 
     planes: [64, W] words. queries: [Q, 64] or, if each word has a query of its own, [Q, 64, W]; entries are 0 or all
-    ones. Distances of all members grow at once in counters of four bits, held as carry-save words; a counter that
-    reaches sixteen, or the radius + 1 at a check, stays out. Words in which all members are out are dropped on the way.
+    ones. Distances of all members grow at once in counters of three to five bits, held as carry-save words; a counter that
+    overflows, or the radius + 1 at a check, stays out. Words in which all members are out are dropped on the way.
     """
     q, width = queries.shape[0], planes.shape[1]
     own = queries.ndim == 3
     out = np.zeros((q, width), np.uint64)
     at = np.arange(width)
-    one = two = four = eight = over = np.zeros((q, width), np.uint64)
+    one = two = four = eight = sixteen = over = np.zeros((q, width), np.uint64)
     for b in range(64):
         differ = planes[b, at] ^ (queries[:, b, at] if own else queries[:, b, None])
         carry = one & differ
@@ -77,21 +75,24 @@ def _within(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
         carry, four = four & carry, four ^ carry
         if radius > 7:
             carry, eight = eight & carry, eight ^ carry
+        if radius > 15:
+            carry, sixteen = sixteen & carry, sixteen ^ carry
         over = over | carry
         if b % 16 == 15 and b < 63:
-            keep = np.flatnonzero((_beyond(one, two, four, eight, over, radius) != ~np.uint64(0)).any(axis=0))
+            keep = np.flatnonzero((_beyond((sixteen, eight, four, two, one), over, radius) != ~np.uint64(0)).any(axis=0))
             if len(keep) < len(at) // 2:
-                at, one, two, four, eight, over = at[keep], one[:, keep], two[:, keep], four[:, keep], eight[:, keep], over[:, keep]
+                at, over = at[keep], over[:, keep]
+                one, two, four, eight, sixteen = (plane[:, keep] for plane in (one, two, four, eight, sixteen))
                 if not len(at):
                     return out
-    out[:, at] = ~_beyond(one, two, four, eight, over, radius)
+    out[:, at] = ~_beyond((sixteen, eight, four, two, one), over, radius)
     return out
 
 
-def _beyond(one: np.ndarray, two: np.ndarray, four: np.ndarray, eight: np.ndarray, over: np.ndarray, radius: int) -> np.ndarray:
-    """Members whose counter exceeds a radius of 0 to 15: the counter is compared with it bit by bit."""
+def _beyond(planes: tuple[np.ndarray, ...], over: np.ndarray, radius: int) -> np.ndarray:
+    """Members whose counter exceeds a radius of 0 to 31: the counter's planes, highest first, are compared with it bit by bit."""
     greater, equal = over, ~over
-    for bit, plane in ((8, eight), (4, four), (2, two), (1, one)):
+    for bit, plane in zip((16, 8, 4, 2, 1), planes, strict=True):
         if radius & bit:
             equal = equal & plane
         else:
@@ -115,14 +116,20 @@ def _all_ones(bits: np.ndarray) -> np.ndarray:
     return np.where(bits != 0, ~np.uint64(0), np.uint64(0))
 
 
-def spanning_links(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span the parts of one run of distinct fingerprints: as many as members at most, never all pairs."""
+def near_matrix(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """[n, n] of whether two members of one run are within the radius."""
     n = len(fps)
     planes = _planes(fps, -(-n // 64) * 64)
     near = np.zeros((n, n), bool)
     for i in range(0, n, 64):
         found = _within(planes, _all_ones(_bits(fps[i : i + 64])), radius)
         near[i : i + 64] = np.unpackbits(found.astype("<u8").view(np.uint8).reshape(len(found), -1), axis=1, bitorder="little")[:, :n]
+    return near
+
+
+def spanning_links(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the parts of one run of distinct fingerprints: as many as members at most, never all pairs."""
+    n, near = len(fps), near_matrix(fps, radius)
     seen, a, b = np.zeros(n, bool), [], []
     for root in range(n):
         if seen[root]:
@@ -225,7 +232,7 @@ def near_groups(docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text"
     """
     by_doc = written(fingerprints(docs, carry, text, shingle).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     by_fp = _distinct(by_doc)
-    return _named(by_doc, by_fp, near_links(by_fp.select("fp")), carry)
+    return named_rows(by_doc, by_fp, near_links(by_fp.select("fp")), carry)
 
 
 def _distinct(by_doc: DataFrame) -> DataFrame:
@@ -234,7 +241,7 @@ def _distinct(by_doc: DataFrame) -> DataFrame:
     return written(by_doc.groupBy("fp").agg(F.min(order).alias("least")), "distinct-fingerprints")
 
 
-def _named(by_doc: DataFrame, by_fp: DataFrame, links: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+def named_rows(by_doc: DataFrame, by_fp: DataFrame, links: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     """Rows with the name of their component, whose fingerprints the links join."""
     roots = written(roots_of(links), "roots")
     rooted = by_fp.join(roots.toDF("fp", "root").hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -243,51 +250,3 @@ def _named(by_doc: DataFrame, by_fp: DataFrame, links: DataFrame, carry: tuple[s
     forget(by_fp, roots, names)
     out = by_doc.join(named.hint("merge"), "fp")
     return out.select(*carry, "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", (F.col("row") == F.col("first")).alias("first"))
-
-
-def shingles(text: str, size: int) -> np.ndarray:
-    """Hashes of the different shingles of a text, as fingerprint() cuts them; a text of fewer words has one."""
-    from xxhash import xxh64_intdigest
-
-    words = text.encode().lower().split()
-    return np.unique(np.array([xxh64_intdigest(b" ".join(words[i : i + size]), SEED) for i in range(max(1, len(words) - size + 1))], np.uint64)).view(np.int64)
-
-
-def similar_groups(
-    docs: DataFrame, carry: tuple[str, ...] = (), text: str = "text", shingle: int = 5, least: float = 0.8, tables: int = 16, radius: int = 15, tile: int = TILE
-) -> DataFrame:
-    """near_groups whose links are texts that share `least` of their different shingles (Jaccard), found by wider buckets and then verified.
-
-    Fingerprints of texts as alike as that differ in up to radius bits, too many for blocks that find all of them. So a
-    bucket's key is four of the fingerprint's blocks, for `tables` choices of four, and fingerprints of a bucket within
-    the radius are candidates. Blocks are as wide as leaves about sixteen chance members to a bucket, whatever the
-    number of texts. A candidate counts if the shingles of the two texts, all of them, are alike enough; texts with one
-    fingerprint are alike without a look. What share of all such pairs is found is measured in the README; none that is not one is linked.
-    """
-    if not carry:
-        held = docs.select("doc_id", F.struct(F.col(text).alias("text")).alias("held"))
-        return similar_groups(held, ("held",), "held.text", shingle, least, tables, radius, tile).drop("held")
-    by_doc = written(fingerprints(docs, carry, text, shingle).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
-    by_fp = _distinct(by_doc)
-    width = max(4, -(-(max(1, by_fp.count()).bit_length() - 4) // 4))
-    choices = list(combinations(range(64 // width), 4))
-    chosen = random.Random(SEED).sample(choices, min(tables, len(choices)))
-    block = lambda i: F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1))
-    packed = lambda n, four: reduce(lambda key, i: F.shiftleft(key, width).bitwiseOR(block(i)), four, F.lit(n).cast("long"))  # noqa: E731  small numbers, which shuffle in few bytes
-    keys = [packed(n, four) for n, four in enumerate(chosen)]
-    candidates = written(_bucket_links(by_fp.select("fp"), keys, radius, tile).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t, shingle) for _, texts in chunks(batch.column(1)) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["fp", "shingles"])
-
-    nodes = candidates.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    first = by_fp.join(nodes.hint("merge"), "fp").select(F.col("least.c").alias("row"))
-    sets = written(by_doc.join(first.hint("merge"), "row", "left_semi").select("fp", F.col(text).alias("text")).mapInArrow(cut, "fp long, shingles array<long>"), "shingles")
-    left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    alike = candidates.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(shared >= least * (F.size("of_a") + F.size("of_b") - shared))
-    links = written(alike.select("a", "b"), "links")
-    forget(candidates, sets)
-    return _named(by_doc, by_fp, links, carry)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcel_jobs.llm import simhash
+from parcel_jobs.llm import similar, simhash
 from parcel_jobs.llm.components import roots_of
 from parcel_jobs.llm.exact_dedup import exact_groups
 
@@ -141,17 +141,47 @@ def test_a_radius_that_blocks_do_not_cover_is_an_error(spark):
         simhash.near_links(df, radius=4)
 
 
-@pytest.mark.parametrize("radius", [0, 3, 7, 8, 14, 15])
-def test_distances_up_to_fifteen(radius):
+@pytest.mark.parametrize("radius", [0, 3, 7, 8, 15, 16, 21, 31])
+def test_distances_up_to_thirty_one(radius):
     rng = np.random.default_rng(radius)
-    fps = np.unique(np.concatenate([[np.uint64(0xABCDEF)], np.array([0xABCDEF ^ int(np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, replace=False).astype(np.uint64))) for k in rng.integers(1, 24, 90)], np.uint64)]))
+    fps = np.unique(np.concatenate([[np.uint64(0xABCDEF)], np.array([0xABCDEF ^ int(np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, replace=False).astype(np.uint64))) for k in rng.integers(1, 40, 90)], np.uint64)]))
     planes = simhash._planes(fps, -(-len(fps) // 64) * 64)
     found = simhash._within(planes, simhash._all_ones(simhash._bits(fps)), radius)
     near = np.unpackbits(found.astype("<u8").view(np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")[:, : len(fps)]
     assert near.tolist() == [[int(bin(int(a ^ b)).count("1") <= radius) for b in fps] for a in fps]
 
 
-def test_similar_groups_are_verified(spark):
+def groups_of(n, alike):
+    """Sets of indices that chains of alike pairs reach."""
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, j in alike:
+        parent[find(i)] = find(j)
+    out = {}
+    for i in range(n):
+        out.setdefault(find(i), set()).add(i)
+    return sorted(map(sorted, out.values()))
+
+
+def alike_pairs(texts, least=0.8):
+    sets = [set(similar.shingles(t or "").tolist()) for t in texts]
+    return [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+
+
+def found_groups(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r["component_id"], []).append(r["doc_id"])
+    return sorted(map(sorted, out.values()))
+
+
+def test_similar_groups_equal_brute_force(spark):
     rng = random.Random(12)
     words = [f"w{i}" for i in range(3000)]
     texts = []
@@ -162,24 +192,65 @@ def test_similar_groups_are_verified(spark):
             for k in rng.sample(range(300), changed):
                 w[k] = "other"
             texts.append(" ".join(w))
-    texts += [None, "", "one two", "one two", "x " * 9000]
+    texts += [None, "", "one two", "one two", "x " * 9000, "x " * 40, " ".join(f"v{i % 25_000}" for i in range(60_000)), " ".join(f"v{i % 25_000}" for i in range(70_000))]
     rows = [*enumerate(texts), (None, texts[0])]
-    got = simhash.similar_groups(table(spark, rows)).collect()
-    sets = [set(simhash.shingles(t or "", 5).tolist()) for _, t in rows]
-    group = {}
-    for r in got:
-        if r["doc_id"] is not None:
-            group[r["doc_id"]] = r["component_id"]
-    assert len(got) == len(rows)
-    alike = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    assert len(alike) >= 12 * 6
-    many = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table(spark, rows), tables=64).collect()}
-    assert sum(many[i] == many[j] for i, j in alike) >= 0.95 * len(alike)
-    assert sum(group[i] == group[j] for i, j in alike) >= 0.8 * len(alike)  # with the default, sixteen tables, whose disk the pipeline can afford
-    parts = {}
-    for i, j in alike:
-        parts.setdefault(i, {i}).add(j)
-    for i in range(len(texts)):  # nothing is linked to what no chain of alike texts reaches
-        assert group[i] == i or any(i in (a, b) for a, b in alike)
-    assert sum(r["first"] for r in got) == len({r["component_id"] for r in got})
-    assert simhash.similar_groups(table(spark, [])).collect() == []
+    got = similar.similar_groups(table(spark, rows)).collect()
+    assert len(got) == len(rows) and sum(r["first"] for r in got) == len({r["component_id"] for r in got})
+    assert found_groups(r for r in got if r["doc_id"] is not None) == groups_of(len(texts), alike_pairs(texts))
+    assert next(r["component_id"] for r in got if r["doc_id"] is None) == min(i for i, t in enumerate(texts) if t == texts[0])
+    assert similar.similar_groups(table(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("least", [0.8, 0.85, 0.9])
+def test_pairs_at_the_threshold_are_found(spark, least):
+    rng = random.Random(int(least * 100))
+    texts, n = [], 0
+    while n < 150:  # pairs that differ in a run of words at the end and in single words, at or just over the threshold
+        b = [f"u{rng.randrange(10**6)}" for _ in range(rng.randint(60, 400))]
+        w = b.copy()
+        while True:
+            nearer = w.copy()
+            w[rng.randrange(len(w))] = "other"
+            if not alike_pairs([" ".join(b), " ".join(w)], least):
+                break
+        if nearer != b and alike_pairs([" ".join(b), " ".join(nearer)], least):
+            texts += [" ".join(b), " ".join(nearer)]
+            n += 1
+    got = {r["doc_id"]: r["component_id"] for r in similar.similar_groups(table(spark, enumerate(texts)), least=least).collect()}
+    found = sum(got[2 * i] == got[2 * i + 1] for i in range(150))
+    assert found >= 147, found
+    assert all(got[2 * i] >= 2 * i for i in range(150))
+
+
+@pytest.mark.parametrize("n", [65, 200, 2000])
+def test_large_buckets_of_texts_that_only_chains_join(spark, n):
+    """Windows that move on by a fixed step: only those close to each other are alike, and no leader is alike to all."""
+    rng = random.Random(n)
+    shared = " ".join(f"s{i}" for i in range(40))
+    words = [f"w{rng.randrange(10**6)}" for _ in range(n * 3 + 100)]
+    texts = [shared + " " + " ".join(words[3 * i : 3 * i + 60]) for i in range(n) if i % 37 != 5 and i % 37 != 6 and i % 37 != 7]
+    got = similar.similar_groups(table(spark, enumerate(texts)), tile=64).collect()
+    sets = [set(similar.shingles(t).tolist()) for t in texts]
+    alike = [(i, j) for i in range(len(texts)) for j in range(max(0, i - 40), i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = groups_of(len(texts), alike)
+    assert len(want) > 1 and max(map(len, want)) > 20
+    found = found_groups(got)
+    at = {i: k for k, g in enumerate(want) for i in g}
+    assert all(len({at[i] for i in g}) == 1 for g in found)  # none is linked to what no chain reaches
+    assert sum(len(g) - 1 for g in found) >= 0.98 * sum(len(g) - 1 for g in want)
+
+
+def test_pairs_of_one_bucket_are_all_compared(spark):
+    """Without stars: all pairs within the radius of different components, in tiles or not, by brute force."""
+    rng = random.Random(4)
+    fps = sorted({0x1234567812345678 ^ sum(1 << k for k in rng.sample(range(63), rng.randint(0, 9))) for _ in range(300)})
+    roots = [0 if i % 3 else rng.randrange(1, 5) for i in range(len(fps))]
+    df = spark.createDataFrame([(7, x, r) for x, r in zip(fps, roots, strict=True)], "key long, fp long, root long")
+    want = sorted((a, b) for i, a in enumerate(fps) for j, b in enumerate(fps) if a < b and roots[i] != roots[j] and bin(a ^ b).count("1") <= 10)
+    for tile in (16, 64, 4096):
+        assert sorted(map(tuple, similar._pairs(df, 10, tile).collect())) == want
+
+
+def test_sketch_counts_each_shingle_once():
+    one, many = similar.sketch(similar.shingles("a b c d e f g " * 2)), similar.sketch(similar.shingles("a b c d e f g " * 50))
+    assert one[0] == many[0] and (one[1] == many[1]).all() and len(set(one[1].tolist())) == similar.BANDS

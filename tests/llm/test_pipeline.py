@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from parcel_jobs.llm.exact_dedup import exact_groups
 from parcel_jobs.llm.queries import QUERIES
-from parcel_jobs.llm.simhash import shingles, similar_groups
+from parcel_jobs.llm.similar import shingles, similar_groups
 
 DATA = "/root/testdata/sf0.001"
 
@@ -83,4 +83,4 @@ def test_run_leaves_one_table_and_takes_odd_rows(spark, tmp_path):
         alike |= {r["doc_id"]} if sum(find(k) == find(i) for k in range(len(rest))) > 1 else set()
     full = {x["doc_id"] for x in corpus_pipeline.run(spark, f"{tmp_path}/full").collect()}
     kept = {i for _, i in first.values()}
-    assert kept <= full and full - kept <= alike and len(full - kept) <= 0.2 * len(alike)  # some links may be missed, none is invented
+    assert kept <= full and full - kept <= alike and len(full - kept) <= 0.02 * len(alike)  # a link is missed with a chance under one in a hundred, none is invented
