@@ -16,7 +16,7 @@ from parcel_jobs.llm.exact_dedup import exact_groups
 from parcel_jobs.llm.packing import pack_documents
 from parcel_jobs.llm.quality import quality_verdicts
 from parcel_jobs.llm.shared import forget, new_path, scratch, written
-from parcel_jobs.llm.simhash import similar_groups
+from parcel_jobs.llm.similar import similar_groups
 from parcel_jobs.llm.toxicity import score_toxicity
 
 
