@@ -29,7 +29,7 @@ def test_stages(spark, tmp_path):
 
 
 def test_queries_run(spark):
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     for name in ("op1_merge_dropout", "op7_html_text", "op9_toxicity"):
         assert QUERIES[name](spark, DATA).count() > 0
 
