@@ -47,7 +47,8 @@ class SnapshotWriter(DataSourceArrowWriter):
         self.path, self.manifest = options["path"], json.loads(options["manifest"])
         self.rows = int(options["rows"]) if "rows" in options else None
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Part | None:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
+        """What the task wrote; of a partition without rows a part without a file, since Spark takes no other answer than a message."""
         import pyarrow.parquet as pq
         from pyspark import TaskContext
 
@@ -60,7 +61,7 @@ class SnapshotWriter(DataSourceArrowWriter):
             out.write_batch(batch)
             rows += batch.num_rows
         if out is None:
-            return None
+            return Part("", 0, 0, "")
         out.close()
         return Part(name, rows, *digest(store, f"{path}/data/{name}"))
 
@@ -71,7 +72,7 @@ class SnapshotWriter(DataSourceArrowWriter):
             f.write(json.dumps(self.manifest | fields).encode())
 
     def commit(self, messages: list[Part | None]) -> None:
-        parts = sorted((asdict(m) for m in messages if m), key=lambda p: p["name"])
+        parts = sorted((asdict(m) for m in messages if m and m.name), key=lambda p: p["name"])
         rows = sum(p["rows"] for p in parts)
         if self.rows is not None and rows != self.rows:
             self._block(f"{rows} rows, not {self.rows}")

@@ -107,3 +107,14 @@ def test_shards(spark, tmp_path):
 def test_json_snapshot(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"rows": [["1", "2"]],\n "complete": true}')
     assert feeds.read_json_snapshot(spark, str(tmp_path / "a.json"), "complete boolean, rows array<array<string>>").first()["rows"] == [["1", "2"]]
+
+
+def test_partitions_without_rows_have_no_file(spark, tmp_path):
+    """A Parquet file is split by bytes, so a split may hold no row group."""
+    df, path = spark.range(4000, numPartitions=8).where("id >= 1500 and id < 2500"), str(tmp_path / "s")
+    feeds.write_snapshot(df, path, {}, rows=1000)
+    rows, manifest = feeds.read_snapshot(spark, path)
+    assert rows.count() == 1000 == manifest["rows"] and 0 < len(manifest["files"]) == len(list((tmp_path / "s/data").iterdir())) < 8
+    feeds.write_snapshot(df.where("id < 0"), str(tmp_path / "none"), {}, rows=0)
+    with pytest.raises(GateClosed, match="no rows"):
+        feeds.read_snapshot(spark, str(tmp_path / "none"))
