@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,16 +117,41 @@ def row_digest(df: DataFrame, columns: Sequence[str], line: str | None = None, p
     return df.withColumn("digest", F.md5(F.concat(F.lit("["), F.concat_ws(", ", *[json_text(t) for t in text.values()]), F.lit("]"))))
 
 
-def feed_digest(df: DataFrame, *order: str, max_rows: int = 1_000_000) -> DataFrame:
-    """rows and feed_digest of a target snapshot: MD5 of all row digests in the order of the key, each after the other, as a published snapshot states it.
+#: Bytes of digests in one row of a stream, so that a batch of rows stays small.
+_PIECE = 4096
 
-    One value of all rows needs them in one place, so there is a checked bound: GateClosed beyond max_rows, 32 bytes each. For
-    whole counties there are block_digest and table_fingerprint.
+
+def feed_digest(df: DataFrame, *order: str, max_rows: int | None = None) -> DataFrame:
+    """rows and feed_digest of a snapshot: MD5 of all row digests in the order of the key, each after the other, as a published snapshot states it.
+
+    Rows are sorted and joined to pieces side by side. An MD5 is a chain, so one task takes the pieces in turn, 32 bytes a row, and
+    holds no more than a batch of them. GateClosed beyond max_rows, if that is given. block_digest and table_fingerprint have no such chain.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
+    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
         raise GateClosed(f"more than {max_rows} rows for one digest")
-    listed = F.array_sort(F.collect_list(F.struct(*order, "digest")))
-    return df.agg(F.count("*").alias("rows"), F.md5(F.array_join(F.transform(listed, lambda r: r["digest"]), "")).alias("feed_digest"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            text = "".join(d for d in batch.column(0).to_pylist() if d).encode()
+            pieces = [text[i : i + _PIECE] for i in range(0, max(len(text), 1), _PIECE)]
+            rows = [batch.num_rows] + [0] * (len(pieces) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(pieces), pa.int32()), pa.array(range(at, at + len(pieces)), pa.int64()), pa.array(rows, pa.int64()), pa.array(pieces, pa.binary())], names=["part", "at", "rows", "piece"])
+            at += len(pieces)
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, rows = hashlib.md5(), 0
+        for batch in batches:
+            rows += pc.sum(batch.column(0)).as_py() or 0
+            for piece in batch.column(1):
+                seen.update(piece.as_buffer())
+        yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64()), "feed_digest": pa.array([seen.hexdigest()])})
+
+    pieces = df.orderBy(*order, "digest").select("digest").mapInArrow(joined, "part int, at long, rows long, piece binary")
+    chain = pieces.repartition(1).sortWithinPartitions("part", "at").select("rows", "piece").mapInArrow(chained, "rows long, feed_digest string")
+    return chain.agg(F.coalesce(F.max("rows"), F.lit(0).cast("long")).alias("rows"), F.coalesce(F.max("feed_digest"), F.md5(F.lit(""))).alias("feed_digest"))
 
 
 def block_digest(df: DataFrame, *order: str) -> DataFrame:

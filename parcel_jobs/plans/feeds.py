@@ -288,10 +288,9 @@ def targets(t: Tables) -> DataFrame:
     return t("properties").select(S.parcel_key(F.col("parcel_id")).alias("parcel_id")).where("parcel_id is not null").distinct()
 
 
-@query("c17_feed_digest", _TARGETS + f", d as (select parcel_id, cast(ln_num as int) as n, {_NORM_OWNER} as digest from owner_raw semi join targets using (parcel_id)) select count(*) as rows, md5(coalesce(string_agg(digest, '' order by parcel_id, n), '')) as feed_digest from d")
+@query("c17_feed_digest", f", d as (select parcel_id, cast(ln_num as int) as n, {_NORM_OWNER} as digest from owner_raw) select count(*) as rows, md5(coalesce(string_agg(digest, '' order by parcel_id, n), '')) as feed_digest from d")
 def _(t: Tables) -> DataFrame:
-    """The owner rows of targets, as a target snapshot holds them."""
-    rows = snapshots.select_targets(t("owner_raw"), targets(t)).withColumn("line", F.col("ln_num").cast("int"))
+    rows = t("owner_raw").withColumn("line", F.col("ln_num").cast("int"))
     return snapshots.feed_digest(snapshots.row_digest(rows, ["parcel_id", "ln_num", "name", "pctown"], line="ln_num", percent="pctown"), "parcel_id", "line")
 
 

@@ -265,3 +265,21 @@ def test_queues_exits_and_matches(spark):
     events = frame(spark, "event_id int, parcel_id string, property_id int, match_method string, match_confidence double", (1, "P", 7, "direct_parcel_id", 1.0), (2, "P", 7, "address", 1.0), (3, "P", 7, "direct_parcel_id", 0.5), (4, "P", None, None, None), (5, None, None, None, None), (6, "Q", None, None, None))
     got = records.match_by_parcel(events, frame(spark, "id int, parcel_id string", (7, "P")))
     assert sorted(map(tuple, got.collect())) == [(i, "P", 7, "direct_parcel_id", 1.0) for i in (2, 3, 4)]
+
+
+def test_feed_digest_of_more_than_a_million_rows(spark):
+    """Rows from many tasks, in the order of the key; an older version held them all in one array and closed here."""
+    n = 1_000_050
+    df = spark.range(n, numPartitions=7).select(F.pmod(F.col("id") * 7919, F.lit(n)).alias("k")).select("k", F.md5(F.col("k").cast("string")).alias("digest"))
+    want = hashlib.md5()
+    for k in range(n):
+        want.update(hashlib.md5(str(k).encode()).hexdigest().encode())
+    assert snapshots.feed_digest(df, "k").first() == (n, want.hexdigest())
+
+
+def test_feed_digest_query_takes_every_owner_row(spark):
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    rows = entry.queries()["c17_row_digest"](spark, sf).count()
+    assert entry.queries()["c17_feed_digest"](spark, sf).first()["rows"] == rows
