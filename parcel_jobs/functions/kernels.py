@@ -117,7 +117,8 @@ def distance(parcel: list[Ring], lines: np.ndarray) -> float:
 def _meet(a: np.ndarray, b: np.ndarray) -> bool:
     cross = lambda o, d, p: d[..., 0] * (p[..., 1] - o[..., 1]) - d[..., 1] * (p[..., 0] - o[..., 0])
     pa, da, pb, db = a[:, None, :2], (a[:, 2:] - a[:, :2])[:, None], b[None, :, :2], (b[:, 2:] - b[:, :2])[None]
-    return bool(((cross(pa, da, pb) * cross(pa, da, pb + db) <= 0) & (cross(pb, db, pa) * cross(pb, db, pa + da) <= 0)).any() and len(a) and len(b))
+    bounds = (np.maximum(np.minimum(pa, pa + da), np.minimum(pb, pb + db)) <= np.minimum(np.maximum(pa, pa + da), np.maximum(pb, pb + db))).all(axis=2)  # segments of one line may lie apart
+    return bool((bounds & (cross(pa, da, pb) * cross(pa, da, pb + db) <= 0) & (cross(pb, db, pa) * cross(pb, db, pa + da) <= 0)).any() and len(a) and len(b))
 
 
 def _clip(s: np.ndarray, box: Box | None) -> tuple[float, float] | None:

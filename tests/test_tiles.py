@@ -88,3 +88,10 @@ def test_one_parcel_is_many_tiles(spark):
     sizes = geo.tiles(parcel, hazards).groupBy("level", "i", "j").agg(F.count("*").alias("n"), F.count_if("met").alias("met"))
     most, tiles, met = sizes.select(F.max("n"), F.count("*"), F.sum("met")).first()
     assert most <= geo.TILE_MOST and tiles > 200 and met == 10_000
+
+
+def test_lines_beyond_a_side_are_apart():
+    """A line in the prolongation of a side doesn't meet it."""
+    shape = arrays(box(0, 0, 80, 80))
+    for line, apart in (([100, 0, 400, 0], 20), ([-30, 80, -10, 80], 10), ([80, 95, 80, 200], 15), ([60, 0, 400, 0], 0), ([80, 80, 90, 80], 0)):
+        assert kernels.distance(shape, np.array([line], float)) == pytest.approx(apart)
