@@ -61,6 +61,9 @@ def overlap_areas(parcel: list[Ring], hazards: list[list[Ring]], box: Box | None
         lo, hi = max(lo, box[0]), min(hi, box[2])
     if lo >= hi:
         return 0.0, 0.0
+    bottom, top = max(low, own[:, [1, 3]].min()), min(high, own[:, [1, 3]].max())
+    if whole := next((h for h in hazards if _covers(edges(h), lo, bottom, hi, top)), None):
+        hazards = [whole]
     spans = lambda e: e[(np.maximum(e[:, 0], e[:, 2]) > lo) & (np.minimum(e[:, 0], e[:, 2]) < hi)]
     own, near = spans(own), [spans(e) for e in map(edges, hazards)]
     every = np.concatenate([own, *near])
@@ -79,6 +82,14 @@ def overlap_areas(parcel: list[Ring], hazards: list[list[Ring]], box: Box | None
     return area, covered
 
 
+def _covers(e: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> bool:
+    """Whether the shape holds the whole box: no edge's bounds touch it, and its middle is inside. An edge that runs past a corner may hide that."""
+    x, y = (e[:, 0], e[:, 2]), (e[:, 1], e[:, 3])
+    if ((np.minimum(*x) <= x1) & (np.maximum(*x) >= x0) & (np.minimum(*y) <= y1) & (np.maximum(*y) >= y0)).any():
+        return False
+    return _odd(e, (x0 + x1) / 2, (y0 + y1) / 2)
+
+
 def _at_height(e: np.ndarray, y: float) -> np.ndarray:
     """x where edges cross a height."""
     cross = (np.minimum(e[:, 1], e[:, 3]) < y) & (np.maximum(e[:, 1], e[:, 3]) > y)
@@ -88,7 +99,10 @@ def _at_height(e: np.ndarray, y: float) -> np.ndarray:
 
 def contains(rings: list[Ring], x: float, y: float) -> bool:
     """Even-odd test of a point."""
-    e = edges(rings)
+    return _odd(edges(rings), x, y)
+
+
+def _odd(e: np.ndarray, x: float, y: float) -> bool:
     up = (e[:, 1] > y) != (e[:, 3] > y)
     with np.errstate(divide="ignore", invalid="ignore"):
         at = e[:, 0] + (y - e[:, 1]) / (e[:, 3] - e[:, 1]) * (e[:, 2] - e[:, 0])

@@ -90,6 +90,31 @@ def test_one_parcel_is_many_tiles(spark):
     assert most <= geo.TILE_MOST and tiles > 200 and met == 10_000
 
 
+def stacked(n, seed, side=600):
+    """Boxes of whole metres, many over each place."""
+    rng = random.Random(seed)
+    corners = [(rng.randrange(-100, side), rng.randrange(-100, side), rng.randrange(5, 160), rng.randrange(5, 160)) for _ in range(n)]
+    return [(x, y, x + w, y + h) for x, y, w, h in corners]
+
+
+def test_crowded_tiles_under_one_hazard_stay_one(spark):
+    """Thousands of hazards over each place: a tile that one of them covers isn't split. The union is held against a raster of metres."""
+    hazards = stacked(3000, 3)
+    raster = np.zeros((900, 900), bool)
+    for x0, y0, x1, y1 in hazards:
+        raster[max(x0, 0) : max(x1, 0), max(y0, 0) : max(y1, 0)] = True
+    parcels = {f"{x}-{y}": (x, y, x + 40, y + 40) for x in (10, 480, 640, 700) for y in (20, 490, 650)}
+    a = spark.createDataFrame([(k, box(*b)) for k, b in parcels.items()], f"parcel_id string, shape {SHAPE}")
+    b = spark.createDataFrame([(k, box(*h)) for k, h in enumerate(hazards)], f"other_id long, other_shape {SHAPE}")
+    got = {r.parcel_id: r for r in geo.overlap_pct(a, b).collect()}
+    for k, (x0, y0, x1, y1) in parcels.items():
+        assert got[k].overlap_pct == pytest.approx(100 * raster[x0:x1, y0:y1].mean(), abs=1e-4)
+        assert got[k].hazards == sum(x0 <= h[2] and h[0] <= x1 and y0 <= h[3] and h[1] <= y1 for h in hazards)
+    one = spark.createDataFrame([("p", box(10, 20, 50, 60))], f"parcel_id string, shape {SHAPE}")
+    rows = geo.tiles(one, b, settle=True)
+    assert rows.agg(F.count_if("used"), F.max("level"), F.count_if("met")).first() == (1, 0, got["10-20"].hazards) and got["10-20"].hazards > geo.TILE_MOST
+
+
 def test_lines_beyond_a_side_are_apart():
     """A line in the prolongation of a side doesn't meet it."""
     shape = arrays(box(0, 0, 80, 80))
