@@ -115,6 +115,20 @@ def test_crowded_tiles_under_one_hazard_stay_one(spark):
     assert rows.agg(F.count_if("used"), F.max("level"), F.count_if("met")).first() == (1, 0, got["10-20"].hazards) and got["10-20"].hazards > geo.TILE_MOST
 
 
+def test_points_under_stacked_polygons_meet_few(spark):
+    rng = random.Random(4)
+    polygons = [(k, k * 7 % 5, box(*h)) for k, h in enumerate(stacked(2000, 5))] + [(2000 + k, k % 5, star(rng, rng.uniform(0, 600), rng.uniform(0, 600), 80)) for k in range(300)]
+    points = [(k, *p) for k, p in enumerate([(float(rng.randrange(0, 700)), float(rng.randrange(0, 700))) for _ in range(200)] + [(rng.uniform(0, 700), rng.uniform(0, 700)) for _ in range(200)])]
+    a = spark.createDataFrame(points, "point_id long, x double, y double")
+    b = spark.createDataFrame(polygons, f"other_id long, layer int, other_shape {SHAPE}")
+    got = {r.point_id: (r.layer, r.other_id) for r in geo.point_in_polygon(a, b).collect()}
+    shapes = [(layer, k, arrays(s)) for k, layer, s in polygons]
+    for k, x, y in points:
+        assert got[k] == min(((layer, i) for layer, i, s in shapes if kernels.contains(s, x, y)), default=(None, None))
+    sizes = geo._first_tiles(b, 500.0, geo.TILE_MOST).groupBy("level", "i", "j").count()
+    assert sizes.agg(F.max("count")).first()[0] <= geo.TILE_MOST
+
+
 def test_lines_beyond_a_side_are_apart():
     """A line in the prolongation of a side doesn't meet it."""
     shape = arrays(box(0, 0, 80, 80))
