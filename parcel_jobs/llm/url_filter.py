@@ -127,7 +127,7 @@ def _with_features(rows: DataFrame, url: Column, stats: DataFrame, prior: float,
     names = []
     for i, k in enumerate(SUFFIXES):
         of_k = stats.where(F.col("k") == k).select(F.col("of").alias(f"of_{k}"), F.col("bad").alias(f"bad_{k}"), F.col("n").alias(f"n_{k}"))
-        out = out.join(F.broadcast(of_k), F.col("suffix")[i] == F.col(f"of_{k}"), "left")
+        out = out.join(of_k, F.col("suffix")[i] == F.col(f"of_{k}"), "left")
         bad, n = (F.coalesce(F.aggregate(F.col(f"{x}_{k}"), F.lit(0.0), lambda a, b: a + b), F.lit(0.0)) for x in ("bad", "n"))
         if fold:
             bad, n = (whole - F.coalesce(F.get(F.col(f"{x}_{k}"), F.col(fold)), F.lit(0.0)) for whole, x in ((bad, "bad"), (n, "n")))
@@ -137,13 +137,13 @@ def _with_features(rows: DataFrame, url: Column, stats: DataFrame, prior: float,
     return VectorAssembler(inputCols=[*own, *names], outputCol="features").transform(out.withColumns(own))
 
 
-def train_urls(labelled: DataFrame, most: int = 20_000, trees: int = 20, depth: int = 4, seed: int = 7) -> UrlModel:
+def train_urls(labelled: DataFrame, most: int | None = None, trees: int = 20, depth: int = 4, seed: int = 7) -> UrlModel:
     """A model of labelled (url, label: 1 to block, 0 to allow).
 
-    It is fitted on a bounded sample: of each label at most most / 2 distinct URLs, those of the smallest hashes, weighted so that the
-    labels keep their shares of all distinct URLs. A URL with both labels is one to block. Statistics of suffixes come
-    from the same sample, so they are no more than len(SUFFIXES) * most rows and may be broadcast. Rows without a URL or label are left
-    out. Without URLs of one label, all scores are 1 or 0; without any, 0.
+    Trees and statistics of suffixes come from all distinct URLs; a URL with both labels is one to block. If most is given, they come
+    from a sample instead: of each label at most most / 2 distinct URLs, those of the smallest hashes, weighted so that the labels keep
+    their shares. Statistics are a row for each suffix, in a written table. Rows without a URL or label are left out. Without
+    URLs of one label, all scores are 1 or 0; without any, 0.
     """
     urls = labelled.select(F.col("url").alias("url"), F.col("label").cast("int").alias("label")).where("url is not null and label is not null")
     urls = written(urls.groupBy("url").agg(F.max("label").alias("label")), "labelled-urls")
@@ -151,23 +151,23 @@ def train_urls(labelled: DataFrame, most: int = 20_000, trees: int = 20, depth:
     n = [totals.get(0, 0), totals.get(1, 0)]
     if not all(n):
         return UrlModel(None, None, 0.0, 1.0 if n[1] else 0.0)
-    halves = []
-    for label in (0, 1):
-        half = urls.where(F.col("label") == label).withColumn("hash", F.xxhash64("url", F.lit(seed))).orderBy("hash", "url").limit(most // 2)
-        halves.append(half.withColumn("weight", F.lit(n[label] / min(n[label], most // 2))))
-    sample = halves[0].unionAll(halves[1]).withColumn("fold", F.pmod("hash", F.lit(_FOLDS)).cast("int"))
-    sample = written(sample.coalesce(1).sortWithinPartitions("hash", "url"), "url-sample")
+    sample = urls.withColumns({"hash": F.xxhash64("url", F.lit(seed)), "weight": F.lit(1.0)})
+    if most is not None:
+        halves = [sample.where(F.col("label") == label).orderBy("hash", "url").limit(most // 2).withColumn("weight", F.lit(n[label] / min(n[label], most // 2))) for label in (0, 1)]
+        sample = halves[0].unionAll(halves[1])
+    sample = sample.withColumn("fold", F.pmod("hash", F.lit(_FOLDS)).cast("int"))
+    sample = written(sample.sortWithinPartitions("hash", "url"), "url-sample")
     rows = sample.select("label", "weight", "fold", F.posexplode(_suffixes(host_of(F.col("url")))).alias("i", "of"))
     of_fold = lambda c: F.array(*[F.sum(F.when(F.col("fold") == f, c).otherwise(0.0)) for f in range(_FOLDS)])
     stats = rows.withColumn("k", F.get(F.array(*map(F.lit, SUFFIXES)), F.col("i"))).groupBy("k", "of")
-    stats = written(stats.agg(of_fold(F.col("weight") * F.col("label")).alias("bad"), of_fold(F.col("weight")).alias("n")).coalesce(1), "url-suffixes")
+    stats = written(stats.agg(of_fold(F.col("weight") * F.col("label")).alias("bad"), of_fold(F.col("weight")).alias("n")), "url-suffixes")
     prior = n[1] / sum(n)
     ready = _with_features(sample, F.col("url"), stats, prior, "fold").select("label", "weight", "features")
     learner = GBTClassifier(labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, seed=seed, minInstancesPerNode=1, cacheNodeIds=False)
     return UrlModel(learner.fit(ready), stats, prior)
 
 
-def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[Rule] = RULES, threshold: float = 0.5, most: int = 20_000) -> DataFrame:
+def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[Rule] = RULES, threshold: float = 0.5, most: int | None = None) -> DataFrame:
     """One row for each row of pages (page_id, url): page_id, host, path, rule, verdict, score.
 
     rule is the longest that fits, as host and path, else null, and gives the verdict; otherwise it is block where the trees' score, the

@@ -108,3 +108,11 @@ def test_no_labels_and_empty_tables(spark):
     assert [r.verdict for r in filter_urls(pages).collect()] == ["allow", "allow"]
     assert [r.verdict for r in filter_urls(pages, labelled=pages.select("url", F.lit(1).alias("label"))).collect()] == ["block", "block"]
     assert [r.verdict for r in filter_urls(pages, labelled=pages.select("url", F.lit(None).cast("int").alias("label"))).collect()] == ["allow", "allow"]
+
+
+def test_every_url_is_learned_from(spark):
+    """Statistics hold the suffix of each of over 20,000 distinct hosts, the bound of an older version."""
+    n = 20_500
+    rows = spark.range(n).select(F.concat(F.lit("http://www.h"), "id", F.lit(".example/a")).alias("url"), (F.col("id") % 5 == 0).cast("int").alias("label"))
+    model = train_urls(rows, trees=1, depth=1)
+    assert model.stats.where("k = 2").count() == n
