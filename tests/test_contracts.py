@@ -141,7 +141,7 @@ def test_coordinates_agree_with_another_series(spark):
 
 
 def test_coordinates_round_like_their_sql(spark):
-    """To a tenth of a micrometre, at latitudes of larger tables too: a tenth of a millimetre apart, some of a million coordinates were rounded otherwise."""
+    """To a tenth of a micrometre, at latitudes of larger tables too: up to half a millimetre apart, some of a million coordinates were rounded otherwise."""
     df = spark.range(0, 60_000, 977).select((-82 + F.col("id") % 50 * 0.001).alias("lon"), (26.5 + F.col("id") * 0.0004).alias("lat"))
     east, north = to_utm17(F.col("lon"), F.col("lat"))
     for r in df.select("lon", "lat", east.alias("e"), north.alias("n")).collect():
