@@ -254,3 +254,27 @@ def test_pairs_of_one_bucket_are_all_compared(spark):
 def test_sketch_counts_each_shingle_once():
     one, many = similar.sketch(similar.shingles("a b c d e f g " * 2)), similar.sketch(similar.shingles("a b c d e f g " * 50))
     assert one[0] == many[0] and (one[1] == many[1]).all() and len(set(one[1].tolist())) == similar.BANDS
+
+
+def test_near_copies_that_are_not_alike_are_no_candidates(spark):
+    """Texts of one model with changes of their own meet in buckets, within the radius, but bounds on what they share leave out all but those that are nearly alike."""
+    rng = random.Random(8)
+    model = [f"m{i}" for i in range(140)]
+    texts = []
+    for i in range(120):
+        w = model.copy()
+        for k in rng.sample(range(140), rng.choice((3, 4, 6))):
+            w[k] = f"n{rng.randrange(200)}"
+        texts.append(" ".join(w))
+    sets = {x: similar.shingles(t) for t in texts for x in [int(np.uint64(similar.sketch(similar.shingles(t))[0]).view(np.int64))]}
+    both = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    alike = {(a, b) for a in sets for b in sets if a < b and both(a, b) >= 0.8 * (len(sets[a]) + len(sets[b]) - both(a, b))}
+    rows = [(fp, x.tolist(), similar.parities(x)) for fp, x in sets.items()]
+    held = spark.createDataFrame(rows, "fp long, members array<long>, bits binary")
+    met = similar._rarest(held.selectExpr("fp", "fp as root"), held, 0.8)
+    for tile in (16, 1024):
+        got = set(map(tuple, similar._pairs(met, 30, tile, 0.8).collect()))
+        assert alike <= got and len(got) <= 2 * len(alike) + 20, (len(alike), len(got))
+    a, b = rows[0], rows[1]
+    apart = np.bitwise_count(np.frombuffer(a[2], np.uint64) ^ np.frombuffer(b[2], np.uint64)).sum()
+    assert apart <= len(np.setxor1d(sets[a[0]], sets[b[0]]))
