@@ -41,8 +41,8 @@ _SCREEN = (
 
 
 def screened(t: Tables) -> DataFrame:
-    """The feed is a window over a whole table, and screening reads it more than once: it is written first."""
-    return screening.screen_sales(t.stored("sales-rows", t("sales_raw").select(*SALES)), t("parcel_raw"), targets(t), START, END)
+    """The feed is a window over a whole table, and screening reads it more than once: the columns that it reads are written first."""
+    return screening.screen_sales(t.stored("sales-rows", t("sales_raw").select(*[c for c in SALES if c not in ("trns_cd", "trns_dscr", "grantor", "grantee")])), t("parcel_raw"), targets(t), START, END)
 
 
 @query("r1_screen_sales", _SCREEN + " select parcel_id, ln_num, array_to_string(reasons, ',') as reasons, array_to_string(list_sort(seen), ',') as observations, case when len(reasons) > 0 then 'held_for_review' else 'candidate_for_comparability_review' end as status, is_target, 'historical_export_semantics_unverified,transaction_identity_unverified,sale_date_property_attributes_unverified,subject_comparability_unverified' as remaining_review, current_parcel, source_review_flags, true as review_required, false as qualified_comp, false as eligible_for_automated_acquisition from sc")
