@@ -17,13 +17,14 @@ SEPARATOR = "\x1f"
 def probe_keys(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
     """For each candidate key: blank rows (any part blank), rows beyond the first of a key, distinct keys, and whether complete and unique.
 
-    The candidates are exploded from one scan and counted by (candidate, key) at once.
+    The candidates, by their places, are exploded from one scan and counted by (candidate, key) at once.
     """
     parts = lambda key: [strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in key]
-    one = lambda key: F.struct(F.lit("+".join(key)).alias("candidate"), F.concat_ws(SEPARATOR, *parts(key)).alias("key"), reduce(lambda a, b: a | b, [p == "" for p in parts(key)]).alias("blank"))
+    one = lambda key: F.struct(F.lit(candidates.index(key)).alias("candidate"), F.concat_ws(SEPARATOR, *parts(key)).alias("key"), reduce(lambda a, b: a | b, [p == "" for p in parts(key)]).alias("blank"))
     long = df.select(F.explode(F.array(*map(one, candidates))).alias("x")).select("x.*")
     by_key = long.groupBy("candidate", "key").agg(F.count("*").alias("n"), F.max(F.col("blank").cast("int")).alias("blank"))
     out = by_key.groupBy("candidate").agg(F.sum(F.col("n") * F.col("blank")).alias("blank_rows"), F.sum((F.col("n") - 1) * (1 - F.col("blank"))).alias("duplicate_rows"), F.sum((1 - F.col("blank")).cast("long")).alias("distinct_keys"))
+    out = out.withColumn("candidate", F.array(*[F.lit("+".join(key)) for key in candidates])[F.col("candidate")])
     return out.withColumn("complete_unique", (F.col("blank_rows") == 0) & (F.col("duplicate_rows") == 0))
 
 
