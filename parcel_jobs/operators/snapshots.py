@@ -53,7 +53,7 @@ def reconcile(source: DataFrame, incoming: DataFrame, key: Sequence[str], column
 
 def missing_by_shard(expected: DataFrame, seen: DataFrame, key: Sequence[str], shards: int) -> DataFrame:
     """Rows that are still to be loaded, by shard of the first key column, so that a rerun resumes."""
-    left = expected.select(*key).join(seen.select(*key).distinct(), list(key), "left_anti")
+    left = expected.select(*key).join(seen.select(*key), list(key), "left_anti")
     return left.groupBy(sha_shard(F.col(key[0]), shards).alias("shard")).agg(F.count("*").alias("n"))
 
 
