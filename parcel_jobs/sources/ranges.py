@@ -186,8 +186,9 @@ def read_ranges(spark: SparkSession, path: str, header: Sequence[str], sep: str
                         if rows[0] != names:
                             raise GateClosed(f"header drift in {r['file']}: {str(rows[0])[:200]}")
                         seen, rows = True, rows[1:]
-                    errors = ["quote" if x is None else "width" if len(x) != len(names) else "nul" if any("\0" in v for v in x) else None for x in rows]
-                    full = [x if e is None or e == "nul" else [*(x or ()), *[""] * len(names)][: len(names)] for x, e in zip(rows, errors, strict=True)]
+                    sound = b"\0" not in data and None not in rows and set(map(len, rows)) <= {len(names)}
+                    errors = [None] * len(rows) if sound else ["quote" if x is None else "width" if len(x) != len(names) else "nul" if any("\0" in v for v in x) else None for x in rows]
+                    full = rows if sound else [x if e is None or e == "nul" else [*(x or ()), *[""] * len(names)][: len(names)] for x, e in zip(rows, errors, strict=True)]
                     columns = list(zip(*full, strict=True)) if full else [()] * len(names)
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns), pa.array(errors, pa.string())], names=[*names, "error"])
                 if first and not seen:
