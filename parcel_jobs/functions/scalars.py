@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,9 +149,16 @@ def md5_shard(c: Column, n: int) -> Column:
 
 def parse_year(c: Column) -> Column:
     """The year of one of four date formats, else the first number of four digits from 1900 to 2100."""
-    dates = [F.year(F.try_to_date(c, f)) for f in ("MM/dd/yyyy", "yyyy-MM-dd", "MM-dd-yyyy", "yyyy/MM/dd")]
-    tokens = F.filter(F.split(F.translate(c, "-", "/"), "/"), lambda x: x.rlike(r"^(19[0-9]{2}|20[0-9]{2}|2100)\z"))
-    return F.coalesce(*dates, F.get(tokens, F.lit(0)).try_cast("int"))
+    # A date that fails is dear: plain digits are cast, and a format is tried where its separator stands.
+    at = lambda i, n: F.substring(c, i, n)
+    forms = (("MM/dd/yyyy", 3, "/", 7, 1, 4), ("yyyy-MM-dd", -3, "-", 1, 6, 9), ("MM-dd-yyyy", 3, "-", 7, 1, 4), ("yyyy/MM/dd", -3, "/", 1, 6, 9))
+    dates = []
+    for form, place, sep, y, m, d in forms:
+        plain = c.rlike(f"^{re.sub('[Mdy]', '[0-9]', form)}\\z")
+        fast = F.concat(at(y, 4), F.lit("-"), at(m, 2), F.lit("-"), at(d, 2)).try_cast("date")
+        dates.append(F.when(at(place, 1) == sep, F.year(F.when(plain, fast).otherwise(F.try_to_date(c, form)))))
+    token = F.regexp_extract(F.translate(c, "-", "/"), r"(?:^|/)(19[0-9]{2}|20[0-9]{2}|2100)(?=/|\z)", 1)
+    return F.coalesce(*dates, F.nullif(token, F.lit("")).try_cast("int"))
 
 
 def window_class(date: Column, start: str, as_of: str) -> Column:

@@ -48,3 +48,15 @@ def test_flags(spark):
     df = spark.createDataFrame([("9910", "INACCESSIBLE TRACTS"), ("9910", "Other"), ("1", "Mineral Rights (Not Phos.)"), ("1", "x"), (None, None)], "a string, b string")
     got = [r[0] for r in df.select(S.source_review_flags(F.col("a"), F.col("b"))).collect()]
     assert got == [["county_inaccessible_tract"], ["county_inaccessible_tract", "county_classification_mismatch"], ["county_mineral_rights", "county_classification_mismatch"], [], []]
+
+
+def test_parse_year_tries_formats_only_where_their_separators_stand(spark):
+    """The same years as from all formats in turn, and fewer dates that are parsed in vain."""
+    texts = ["02/29/2024", "02/29/2023", "2024-02-29", "2023-02-30", "02-29-2024", "13-01-2020", "2024/12/31", "2024/13/31", "sold/1999/x", "x-2100", "2101/1899", "19991", "1/2/1998", " 01/02/1998", "01/02/1998 ",
+             "01/02/1998\n", "1999\n", "0000-01-01", "01/01/0000", "+12345-01-01", "01/02/+12345", "-0001-01-01", "12345/01/01", "99/1998/2003", "", "/", "-", "ab", "١٢/٠١/٢٠٢٠", "2020", "2020-", None]
+    c = F.col("t")
+    dates = [F.year(F.try_to_date(c, f)) for f in ("MM/dd/yyyy", "yyyy-MM-dd", "MM-dd-yyyy", "yyyy/MM/dd")]
+    tokens = F.filter(F.split(F.translate(c, "-", "/"), "/"), lambda x: x.rlike(r"^(19[0-9]{2}|20[0-9]{2}|2100)\z"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.parse_year(c).alias("got"), F.coalesce(*dates, F.get(tokens, F.lit(0)).try_cast("int")).alias("want"))
+    assert [r for r in df.collect() if r["got"] != r["want"]] == []
+    assert "filter" not in str(S.parse_year(c)).lower()
