@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcel_jobs.functions.geodesy import geodesic_m
 from parcel_jobs.operators import geo
-from parcel_jobs.operators.nearest import LEVELS, nearest, quadtree
+from parcel_jobs.operators.nearest import LEVELS, fewest, nearest, quadtree, tally, within_areas
 
 METRES = 5 * 1609.344
 POINT = "lon double, lat double, sale_parcel string, instrument string, price double"
@@ -85,6 +85,28 @@ def test_sparse_subject_beside_a_town_meets_its_outskirts_alone(spark):
     assert rows[0] == 30 and rows[1] <= 4_000  # of joins from the result down: those kept, then pairs measured
 
 
+@pytest.mark.parametrize("lat", [26.5, -0.01, 88.95])
+def test_points_of_areas_that_no_subject_reaches_are_left_out(spark, lat):
+    rng = random.Random(lat)
+    points = spark.createDataFrame([(i, rng.uniform(-180, 180), lat + rng.uniform(-3, 0.04)) for i in range(4000)] + [(4000 + i, -82 + rng.gauss(0, 0.1), lat + rng.gauss(0, 0.02)) for i in range(300)], "id int, lon double, lat double")
+    subjects = spark.createDataFrame([(-82.0, lat), (-81.99, lat - 0.01), (179.9, lat)], "lon double, lat double")
+    kept = {r.id for r in within_areas(points, subjects, METRES).collect()}
+    d = geodesic_m(F.col("s_lon"), F.col("s_lat"), F.col("lon"), F.col("lat"))
+    near = subjects.select(F.col("lon").alias("s_lon"), F.col("lat").alias("s_lat")).crossJoin(points).where(d <= METRES).collect()
+    assert near and {r.id for r in near} <= kept and len(kept) < 3000
+
+
+def test_counts_are_those_of_the_points_that_are_kept(spark):
+    rng = random.Random(3)
+    points = spark.createDataFrame([(rng.randrange(5) * 1.0, 1.0, f"p{rng.randrange(4) ** 2}", str(i)) for i in range(600)], "lon double, lat double, sale_parcel string, instrument string")
+    for most in (2, 40, 1000):
+        places, own = tally(points, "sale_parcel", most)
+        kept = fewest(points, "sale_parcel", ("instrument",), most)
+        assert {r.lon: r.n for r in places.collect()} == {r.lon: r["count"] for r in kept.groupBy("lon").count().collect()}
+        counts = {r.sale_parcel: r["count"] for r in kept.groupBy("sale_parcel").count().collect()}
+        assert all(counts.get(r.subject_id, 0) <= r.own for r in own.collect())
+
+
 def test_comparables_of_the_rules(spark):
     good = ("b", -82.0, 26.5, "R1", 1.0, "V", "01", "02", 101.0, "2026-01-01", "i")
     names = ["sale_parcel", "lon", "lat", "sale_zoning", "sale_acres", "vacant", "code", "second_code", "price", "sale_date", "instrument"]
