@@ -117,3 +117,18 @@ def test_comparables_of_the_rules(spark):
     sales = spark.createDataFrame(rows, "sale_parcel string, lon double, lat double, sale_zoning string, sale_acres double, vacant string, code string, second_code string, price double, sale_date string, instrument string").withColumn("sale_date", F.to_date("sale_date"))
     subjects = spark.createDataFrame([("a", -82.001, 26.5, "R1", 1.0)], "subject_id string, lon double, lat double, zoning string, acres double")
     assert [r.sale_parcel for r in geo.comps_within_radius(subjects, sales, "2026-09-22").collect()] == ["b"]
+
+
+def test_comparables_are_counted_before_they_meet_subjects(spark):
+    rng = random.Random(5)
+    places = [(f"p{k}", -82 + rng.random() * 0.08, 26.5 + rng.random() * 0.08, rng.choice(["R1", "R2"])) for k in range(60)]
+    rows = [(*rng.choice(places), rng.choice([0.4, 0.5, 1.0, 2.0, 2.1, None]), rng.choice("aab")) for _ in range(3000)] + [("far", 10.0, 50.0, "R1", 1.0, "a")]
+    sales = spark.createDataFrame(rows, "sale_parcel string, lon double, lat double, sale_zoning string, sale_acres double, instrument string")
+    sales = sales.selectExpr("*", "'V' as vacant", "'01' as code", "'01' as second_code", "101.0 as price", "date '2026-01-01' as sale_date")
+    subjects = spark.createDataFrame([(k, x, y, z, rng.choice([1.0, 4.0])) for k, x, y, z in places[:40]], "subject_id string, lon double, lat double, zoning string, acres double")
+    got = geo.comps_by_instrument(subjects, sales, "2026-09-22")
+    pairs = geo.comps_within_radius(subjects, sales, "2026-09-22").groupBy("subject_id", "sale_parcel", "instrument").agg(F.count("*").alias("n"), F.max("distance_m").alias("distance_m"))
+    want = sorted(tuple(r) for r in pairs.collect())
+    assert want and sorted(tuple(r) for r in got.select(*pairs.columns).collect()) == want
+    text = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in text[: text.index("SortMergeJoin")]  # nothing groups pairs
