@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 Ring = np.ndarray  # [n, 2]; the last point may repeat the first
@@ -109,88 +111,114 @@ def _odd(e: np.ndarray, x: float, y: float) -> bool:
     return bool((up & (at > x)).sum() % 2)
 
 
+#: Numbers that one step over stacked rows holds at most, but for one row alone.
+STACK = 1_000_000
+
+
+def _stacked(rows: list[tuple[np.ndarray, ...]]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """(places, arrays [n, ...]) of rows of two or more arrays, those whose arrays have equal shapes side by side."""
+    alike: dict[tuple, list[int]] = {}
+    for i, row in enumerate(rows):
+        alike.setdefault(tuple(a.shape for a in row), []).append(i)
+    for (own, lines, *_), places in alike.items():
+        step = max(1, STACK // max(1, own[0] * lines[0]))
+        for k in range(0, len(places) if own[0] and lines[0] else 0, step):
+            at = places[k : k + step]
+            yield at, [np.stack(c) for c in zip(*(rows[i] for i in at), strict=True)]
+
+
 def _point_segment(p: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """[n, m] distances of points from segments."""
-    a, d = s[:, :2], s[:, 2:] - s[:, :2]
-    size = np.maximum((d * d).sum(axis=1), 1e-300)
-    t = np.clip(((p[:, None] - a[None]) * d[None]).sum(axis=2) / size, 0, 1)
-    return np.sqrt((((a[None] + t[..., None] * d[None]) - p[:, None]) ** 2).sum(axis=2))
+    """[n, a, b] distances of points [n, a, 2] from segments [n, b, 4]."""
+    a, d = s[:, None, :, :2], (s[..., 2:] - s[..., :2])[:, None]
+    t = np.clip(((p[:, :, None] - a) * d).sum(axis=3) / np.maximum((d * d).sum(axis=3), 1e-300), 0, 1)
+    return np.sqrt((((a + t[..., None] * d) - p[:, :, None]) ** 2).sum(axis=3))
 
 
 def distance(parcel: list[Ring], lines: np.ndarray) -> float:
     """Least distance of line segments from the parcel; 0 where they meet or a line lies inside."""
-    own = edges(parcel)
-    if not len(own) or not len(lines):
-        return float("inf")
-    if any(contains(parcel, *p) for p in lines[:, :2]) or _meet(own, lines):
-        return 0.0
-    ends = lambda s: np.concatenate([s[:, :2], s[:, 2:]])
-    return float(min(_point_segment(ends(lines), own).min(), _point_segment(ends(own), lines).min()))
+    return float(distances([(edges(parcel), lines)])[0])
+
+
+def distances(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The same for each row of a parcel's edges and line segments."""
+    out = np.full(len(rows), np.inf)
+    for at, (own, lines) in _stacked(rows):
+        x, y, e = lines[:, :, None, 0], lines[:, :, None, 1], own[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cut = e[..., 0] + (y - e[..., 1]) / (e[..., 3] - e[..., 1]) * (e[..., 2] - e[..., 0])
+        inside = ((((e[..., 1] > y) != (e[..., 3] > y)) & (cut > x)).sum(axis=2) % 2 == 1).any(axis=1)
+        ends = lambda s: np.concatenate([s[..., :2], s[..., 2:]], axis=1)
+        apart = np.minimum(_point_segment(ends(lines), own).min(axis=(1, 2)), _point_segment(ends(own), lines).min(axis=(1, 2)))
+        out[at] = np.where(inside | _meet(own, lines), 0.0, apart)
+    return out
 
 
-def _meet(a: np.ndarray, b: np.ndarray) -> bool:
+def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """[n]: whether any of the segments [n, a, 4] meets any of [n, b, 4]."""
     cross = lambda o, d, p: d[..., 0] * (p[..., 1] - o[..., 1]) - d[..., 1] * (p[..., 0] - o[..., 0])
-    pa, da, pb, db = a[:, None, :2], (a[:, 2:] - a[:, :2])[:, None], b[None, :, :2], (b[:, 2:] - b[:, :2])[None]
-    bounds = (np.maximum(np.minimum(pa, pa + da), np.minimum(pb, pb + db)) <= np.minimum(np.maximum(pa, pa + da), np.maximum(pb, pb + db))).all(axis=2)  # segments of one line may lie apart
-    return bool((bounds & (cross(pa, da, pb) * cross(pa, da, pb + db) <= 0) & (cross(pb, db, pa) * cross(pb, db, pa + da) <= 0)).any() and len(a) and len(b))
-
-
-def _clip(s: np.ndarray, box: Box | None) -> tuple[float, float] | None:
-    """The part of a segment, from 0 to 1, in the box; its right and upper sides belong to the next one."""
-    lo, hi = 0.0, 1.0
-    if box is None:
-        return lo, hi
-    for at, step, least, most in ((s[0], s[2] - s[0], box[0], box[2]), (s[1], s[3] - s[1], box[1], box[3])):
-        if step == 0:
-            if not least <= at < most:
-                return None
-            continue
-        a, b = sorted(((least - at) / step, (most - at) / step))
-        lo, hi = max(lo, a), min(hi, b)
-    return (lo, hi) if lo < hi else None
+    pa, da, pb, db = a[:, :, None, :2], (a[..., 2:] - a[..., :2])[:, :, None], b[:, None, :, :2], (b[..., 2:] - b[..., :2])[:, None]
+    bounds = (np.maximum(np.minimum(pa, pa + da), np.minimum(pb, pb + db)) <= np.minimum(np.maximum(pa, pa + da), np.maximum(pb, pb + db))).all(axis=3)  # segments of one line may lie apart
+    return (bounds & (cross(pa, da, pb) * cross(pa, da, pb + db) <= 0) & (cross(pb, db, pa) * cross(pb, db, pa + da) <= 0)).any(axis=(1, 2))
+
+
+def _clip(s: np.ndarray, box: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each segment [n, m, 4], from 0 to 1, in its box [n, 4], 0 to 0 if none; a box's right and upper sides belong to the next one."""
+    lo, hi = np.zeros(s.shape[:2]), np.ones(s.shape[:2])
+    for k in (0, 1):
+        at, step, least, most = s[..., k], s[..., k + 2] - s[..., k], box[:, k, None], box[:, k + 2, None]
+        lo, hi = _between(lo, hi, at, step, least, most, step == 0, (least <= at) & (at < most))
+    return np.where(lo < hi, lo, 0.0), np.where(lo < hi, hi, 0.0)
+
+
+def _between(lo, hi, start, slope, least, most, flat, held) -> tuple[np.ndarray, np.ndarray]:
+    """lo to hi without where start + t * slope isn't between least and most; where it is flat, all or nothing."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        a, b = (least - start) / slope, (most - start) / slope
+    lo = np.where(flat, lo, np.maximum(lo, np.minimum(a, b)))
+    return lo, np.where(flat, np.where(held, hi, -np.inf), np.minimum(hi, np.maximum(a, b)))
 
 
 def length_near(boundary: np.ndarray, lines: np.ndarray, reach: float, box: Box | None = None) -> float:
-    """Length of the boundary's segments within reach of any line segment: intervals of each are merged, so none counts twice. With a box, of what lies in it: lengths of boxes side by side add up.
+    """Length of the boundary's segments within reach of any line segment: intervals of each are merged, so none counts twice. With a box, of what lies in it: lengths of boxes side by side add up."""
+    return float(lengths_near([(boundary, lines, np.array(box or (-np.inf, -np.inf, np.inf, np.inf)))], reach)[0])
+
+
+def lengths_near(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], reach: float) -> np.ndarray:
+    """The same for each row of boundary segments, line segments and a box.
 
     A segment is within reach of another along the interval where it lies in a stadium: a strip and two end circles.
     """
-    total = 0.0
-    for s in boundary:
-        if (own := _clip(s, box)) is None:
-            continue
-        p, d = s[:2], s[2:] - s[:2]
-        size = float(np.hypot(*d))
-        parts = []
-        for q in lines:
-            a, e = q[:2], q[2:] - q[:2]
-            spans = [_circle(p, d, a, reach), _circle(p, d, q[2:], reach)]
-            if (long := float(np.hypot(*e))) > 0:
-                spans.append(_strip(p, d, a, e / long, long, reach))
-            spans = [x for x in spans if x]
-            if spans:
-                parts.append((min(x[0] for x in spans), max(x[1] for x in spans)))  # the stadium is convex
-        total += size * sum(max(0.0, min(b, own[1]) - max(a, own[0])) for a, b in _merged(parts))
-    return total
-
-
-def _circle(p: np.ndarray, d: np.ndarray, c: np.ndarray, r: float) -> tuple[float, float] | None:
+    out = np.zeros(len(rows))
+    for at, (own, lines, box) in _stacked(rows):
+        first, last = _clip(own, box)
+        p, d, a, e = own[:, :, None, :2], (own[..., 2:] - own[..., :2])[:, :, None], lines[:, None, :, :2], (lines[..., 2:] - lines[..., :2])[:, None]
+        spans = [_circle(p, d, a, reach), _circle(p, d, lines[:, None, :, 2:], reach), _strip(p, d, a, e, reach)]
+        lo = np.minimum.reduce([np.where(x < y, x, np.inf) for x, y in spans])  # the stadium is convex
+        hi = np.maximum.reduce([np.where(x < y, y, -np.inf) for x, y in spans])
+        lo, hi = np.maximum(lo, first[..., None]), np.minimum(hi, last[..., None])
+        lo, hi = np.where(lo < hi, lo, 0.0), np.where(lo < hi, hi, 0.0)
+        turn = np.argsort(lo, axis=2)
+        lo, hi = np.take_along_axis(lo, turn, 2), np.take_along_axis(hi, turn, 2)
+        before = np.concatenate([np.zeros_like(hi[..., :1]), np.maximum.accumulate(hi, axis=2)[..., :-1]], axis=2)
+        part = np.maximum(0.0, hi - np.maximum(lo, before)).sum(axis=2)
+        out[at] = (np.hypot(d[:, :, 0, 0], d[:, :, 0, 1]) * part).sum(axis=1)
+    return out
+
+
+def _circle(p: np.ndarray, d: np.ndarray, c: np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray]:
     f = p - c
-    a, b, k = d @ d, 2 * (f @ d), f @ f - r * r
-    root = b * b - 4 * a * k
-    if root < 0:
-        return None
-    lo, hi = max(0.0, (-b - root**0.5) / (2 * a)), min(1.0, (-b + root**0.5) / (2 * a))
-    return (lo, hi) if lo < hi else None
-
-
-def _strip(p: np.ndarray, d: np.ndarray, a: np.ndarray, u: np.ndarray, long: float, r: float) -> tuple[float, float] | None:
-    lo, hi = 0.0, 1.0
-    for start, slope, least, most in (((p - a) @ u, d @ u, 0.0, long), ((p - a) @ np.array([-u[1], u[0]]), d @ np.array([-u[1], u[0]]), -r, r)):
-        if abs(slope) < 1e-15:
-            if not least <= start <= most:
-                return None
-            continue
-        x, y = sorted(((least - start) / slope, (most - start) / slope))
-        lo, hi = max(lo, x), min(hi, y)
-    return (lo, hi) if lo < hi else None
+    a, b, k = (d * d).sum(axis=3), 2 * (f * d).sum(axis=3), (f * f).sum(axis=3) - r * r
+    with np.errstate(divide="ignore", invalid="ignore"):
+        root = np.sqrt(b * b - 4 * a * k)  # none: no number, which is never less than another
+        return np.maximum(0.0, (-b - root) / (2 * a)), np.minimum(1.0, (-b + root) / (2 * a))
+
+
+def _strip(p: np.ndarray, d: np.ndarray, a: np.ndarray, e: np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray]:
+    long = np.hypot(e[..., 0], e[..., 1])
+    u = e / np.where(long > 0, long, 1.0)[..., None]
+    v = np.stack([-u[..., 1], u[..., 0]], axis=-1)
+    lo, hi = np.zeros(np.broadcast_shapes(p.shape, a.shape)[:3]), np.where(long > 0, 1.0, -np.inf)
+    for w, least, most in ((u, 0.0, long), (v, -r, r)):
+        start, slope = ((p - a) * w).sum(axis=3), (d * w).sum(axis=3)
+        lo, hi = _between(lo, hi, start, slope, least, most, np.abs(slope) < 1e-15, (least <= start) & (start <= most))
+    return lo, hi

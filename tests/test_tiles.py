@@ -134,3 +134,21 @@ def test_lines_beyond_a_side_are_apart():
     shape = arrays(box(0, 0, 80, 80))
     for line, apart in (([100, 0, 400, 0], 20), ([-30, 80, -10, 80], 10), ([80, 95, 80, 200], 15), ([60, 0, 400, 0], 0), ([80, 80, 90, 80], 0)):
         assert kernels.distance(shape, np.array([line], float)) == pytest.approx(apart)
+
+
+def test_rows_of_a_batch_are_measured_together():
+    """Each as if alone, whatever their sizes."""
+    rng = random.Random(7)
+    rows = [(kernels.edges(arrays(star(rng, 50, 50, 40, rng.randrange(3, 7)))), np.array([[rng.uniform(0, 100) for _ in range(4)] for _ in range(rng.randrange(0, 4))]).reshape(-1, 4)) for _ in range(60)]
+    assert kernels.distances(rows).tolist() == [kernels.distances([r])[0] for r in rows]
+    boxes = [np.array([x, 20.0, x + 50, 70.0]) for x in range(60)]
+    full = [(*r, b) for r, b in zip(rows, boxes, strict=True)]
+    assert kernels.lengths_near(full, 3.0) == pytest.approx([kernels.length_near(*r[:2], 3.0, tuple(r[2])) for r in full])
+
+
+def test_shapes_to_measure_are_dealt_by_number(spark):
+    a = spark.createDataFrame([(str(k), box(k * 100, 0, k * 100 + 80, 80)) for k in range(40)], f"parcel_id string, shape {SHAPE}")
+    b = spark.createDataFrame([(k, [[[k * 100.0, 0.0], [k * 100.0 + 80, 0.0]]]) for k in range(0, 40, 2)], f"other_id long, other_shape {SHAPE}")
+    out = geo.frontage_metrics(a, b, search=5.0)
+    assert out._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 2
+    assert {r.parcel_id: (r.frontage_m, r.nearest_m) for r in out.collect()} == {str(k): (80.4, 0.0) if k % 2 == 0 else (None, None) for k in range(40)}
